@@ -33,22 +33,31 @@ def new_members(members: DataFrame, existing: DataFrame | None, natural_key: lis
     return members.join(ex, natural_key, "left_anti")
 
 
-def build_dimension(members: DataFrame, natural_key: list[str], key_col: str,
+def build_dimension(members: DataFrame | list[DataFrame], natural_key: list[str], key_col: str,
                     existing: DataFrame | None = None, null_safe: bool = False,
                     name: str | None = None) -> DataFrame:
     """Add the distinct ``members`` not in ``existing`` with keys after its maximum.
 
-    ``members`` holds the natural key and the attributes; it is de-duplicated
-    on the natural key here (first attribute values in key order win).
+    ``members`` holds the natural key and the attributes. A list of member
+    frames is a sequence of load batches (machine 1, then machine 2): a member
+    belongs to the first batch it appears in and takes that batch's
+    attributes; keys follow (batch, natural key) order, exactly as loading the
+    batches one after the other would give. One shuffle per batch for the
+    de-duplication, one range shuffle for the keys, whatever the batch count.
     """
-    attrs = [c for c in members.columns if c not in natural_key]
+    batches = members if isinstance(members, list) else [members]
+    attrs = [c for c in batches[0].columns if c not in natural_key]
+    tagged = reduce(DataFrame.unionByName, [
+        b.select(*natural_key, *attrs, F.lit(i).alias("_batch")) for i, b in enumerate(batches)])
     if attrs:
-        members = members.groupBy(*natural_key).agg(*[F.min(c).alias(c) for c in attrs])
+        deduped = tagged.groupBy(*natural_key).agg(
+            F.min("_batch").alias("_batch"),
+            *[F.min_by(c, F.struct("_batch", c)).alias(c) for c in attrs])
     else:
-        members = members.select(*natural_key).distinct()
-    fresh = new_members(members, existing, natural_key, null_safe)
+        deduped = tagged.groupBy(*natural_key).agg(F.min("_batch").alias("_batch"))
+    fresh = new_members(deduped, existing, natural_key, null_safe)
     base = next_key(existing, key_col)
-    keyed = dense_keys(fresh, natural_key, key_col, base=base, name=name or key_col)
+    keyed = dense_keys(fresh, ["_batch", *natural_key], key_col, base=base, name=name or key_col)
     keyed = keyed.select(key_col, *natural_key, *attrs)
     if existing is None:
         return keyed

@@ -79,7 +79,7 @@ def clean_sheet(sheet: DataFrame) -> DataFrame:
         F.col("step_ID").cast("bigint").alias("step_id"),
         F.col("step_name"),
         F.col("time_in_step").cast("decimal(18,8)").alias("time_in_step"),
-        round_half_up(to_decimal("voltage_V", 10, 4), 4).alias("voltage_v"),
+        round_half_up(to_decimal("voltage_V", 10, 4), 4).cast("decimal(10,4)").alias("voltage_v"),
         milliamp_to_amp("current_mA", DoubleType()).alias("current_a"),
         to_decimal("capacity_mAh", 18, 8).alias("capacity_mah"),
         to_decimal("energy_mWh", 18, 8).alias("energy_mwh"),
@@ -155,14 +155,11 @@ def build_dimensions(s1: DataFrame, s2: DataFrame, existing: dict | None = None)
     ]
     out = {}
     for name, nk, key, members, null_safe in specs:
-        dim = ex.get(name)
-        for batch in (s1, s2):
-            dim = D.build_dimension(members(batch), nk, key, existing=dim, null_safe=null_safe, name=name)
-        out[name] = stage(dim, name)
-    meta = D.build_dimension(s2.select(*D.DAT_METADATA_KEY).distinct(), D.DAT_METADATA_KEY,
-                             "dat_metadata_id", existing=ex.get("dim_dat_metadata"), null_safe=True,
-                             name="dim_dat_metadata")
-    out["dim_dat_metadata"] = stage(meta, "dim_dat_metadata")
+        out[name] = D.build_dimension([members(s1), members(s2)], nk, key, existing=ex.get(name),
+                                      null_safe=null_safe, name=name)
+    out["dim_dat_metadata"] = D.build_dimension(
+        s2.select(*D.DAT_METADATA_KEY), D.DAT_METADATA_KEY, "dat_metadata_id",
+        existing=ex.get("dim_dat_metadata"), null_safe=True, name="dim_dat_metadata")
     return out
 
 

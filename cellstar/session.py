@@ -49,6 +49,7 @@ def get_session(master: str | None = None, cores: int | None = None,
         .config("spark.driver.memory", os.environ.get("CELLSTAR_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
