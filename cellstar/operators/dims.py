@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellstar.functions.clean import date_of, time_key
-from cellstar.operators.keys import dense_keys, next_key
+from cellstar.operators.keys import dense_keys, known_rows, next_key, remember_rows
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]):
@@ -58,10 +58,12 @@ def build_dimension(members: DataFrame | list[DataFrame], natural_key: list[str]
     fresh = new_members(deduped, existing, natural_key, null_safe)
     base = next_key(existing, key_col)
     keyed = dense_keys(fresh, ["_batch", *natural_key], key_col, base=base, name=name or key_col)
-    keyed = keyed.select(key_col, *natural_key, *attrs)
+    keyed = remember_rows(keyed.select(key_col, *natural_key, *attrs), known_rows(keyed))
     if existing is None:
         return keyed
-    return existing.select(key_col, *natural_key, *attrs).unionByName(keyed)
+    out = existing.select(key_col, *natural_key, *attrs).unionByName(keyed)
+    n_old, n_new = known_rows(existing), known_rows(keyed)
+    return remember_rows(out, n_old + n_new) if n_old is not None and n_new is not None else out
 
 
 # --- the seven dimensions of the star schema ---------------------------------

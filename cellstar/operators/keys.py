@@ -62,6 +62,18 @@ def dense_keys(df: DataFrame, order_by: list[str], key_col: str, base: int = 0,
     offset = F.create_map(*[x for r, s in zip(files, starts)
                             for x in (F.lit(r["_file"]), F.lit(s + base))]) if files else None
     if offset is None:
-        return staged.select(F.lit(None).cast("bigint").alias(key_col), *staged.columns).limit(0)
+        return remember_rows(
+            staged.select(F.lit(None).cast("bigint").alias(key_col), *staged.columns).limit(0), 0)
     key = (F.element_at(offset, F.col("_file")) + F.col("_row") + F.lit(1)).cast("bigint")
-    return with_pos.select(key.alias(key_col), *staged.columns)
+    out = with_pos.select(key.alias(key_col), *staged.columns)
+    return remember_rows(out, sum(r["count"] for r in files))
+
+
+def remember_rows(df: DataFrame, n: int) -> DataFrame:
+    """Attach a known row count so size checks need no extra job."""
+    df._cellstar_rows = int(n)
+    return df
+
+
+def known_rows(df: DataFrame) -> int | None:
+    return getattr(df, "_cellstar_rows", None)

@@ -14,12 +14,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellstar.operators.keys import known_rows, remember_rows
+
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check (count of the, usually staged, dimension)."""
-    n = dim.count()
+def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       rows: int | None = None) -> DataFrame:
+    """Broadcast hint behind a size check: the row count recorded when the
+    dimension was keyed, else a count of the (usually staged) dimension."""
+    n = rows if rows is not None else known_rows(dim)
+    if n is None:
+        n = dim.count()
     return F.broadcast(dim) if n <= max_rows else dim
 
 
@@ -53,7 +59,11 @@ class Lookup:
         if self.broadcast is True:
             return F.broadcast(d)
         if self.broadcast is None:
-            return broadcast_if_small(d, self.max_broadcast_rows)
+            n = known_rows(self.dim)
+            if n is None:
+                n = self.dim.count()
+                remember_rows(self.dim, n)
+            return broadcast_if_small(d, self.max_broadcast_rows, rows=n)
         return d
 
 

@@ -26,6 +26,7 @@ from cellstar.functions.clean import (
 from cellstar.operators import dims as D
 from cellstar.operators.keys import dense_keys, next_key, stage
 from cellstar.operators.lookup import Lookup, broadcast_if_small, resolve_keys
+from cellstar.plans.concurrent import run_concurrently
 from cellstar.sources.fixtures import DAT_MEASURES
 
 # Defaults for machine 1 when no metadata document names them.
@@ -133,9 +134,11 @@ class Star:
 
 
 def silver_tables(sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    s1 = stage(enrich_with_metadata(clean_sheet(sheet), metadata), "silver_excel")
-    s2 = stage(clean_dat(dat), "silver_dat")
-    return s1, s2
+    out = run_concurrently({
+        "s1": lambda: stage(enrich_with_metadata(clean_sheet(sheet), metadata), "silver_excel"),
+        "s2": lambda: stage(clean_dat(dat), "silver_dat"),
+    })
+    return out["s1"], out["s2"]
 
 
 def build_dimensions(s1: DataFrame, s2: DataFrame, existing: dict | None = None) -> dict[str, DataFrame]:
@@ -153,14 +156,14 @@ def build_dimensions(s1: DataFrame, s2: DataFrame, existing: dict | None = None)
         ("dim_electrode_material", ["electrode_material"], "electrode_material_id",
          lambda r: D.material_members(r), False),
     ]
-    out = {}
-    for name, nk, key, members, null_safe in specs:
-        out[name] = D.build_dimension([members(s1), members(s2)], nk, key, existing=ex.get(name),
-                                      null_safe=null_safe, name=name)
-    out["dim_dat_metadata"] = D.build_dimension(
+    jobs = {name: (lambda nk=nk, key=key, members=members, null_safe=null_safe, name=name:
+                   D.build_dimension([members(s1), members(s2)], nk, key, existing=ex.get(name),
+                                     null_safe=null_safe, name=name))
+            for name, nk, key, members, null_safe in specs}
+    jobs["dim_dat_metadata"] = lambda: D.build_dimension(
         s2.select(*D.DAT_METADATA_KEY), D.DAT_METADATA_KEY, "dat_metadata_id",
         existing=ex.get("dim_dat_metadata"), null_safe=True, name="dim_dat_metadata")
-    return out
+    return run_concurrently(jobs)
 
 
 def build_fact_excel(s1: DataFrame, dims: dict, existing: DataFrame | None = None) -> DataFrame:
@@ -206,7 +209,9 @@ def build_star(sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None = No
                metadata_lookup: str = "full") -> Star:
     s1, s2 = silver_tables(sheet, dat, metadata)
     dims = build_dimensions(s1, s2)
-    fe = build_fact_excel(s1, dims)
-    fd = build_fact_dat(s2, dims, metadata_lookup=metadata_lookup)
-    return Star(silver_excel=s1, silver_dat=s2, fact_excel_measurements=fe,
-                fact_dat_measurements=fd, **dims)
+    facts = run_concurrently({
+        "fe": lambda: build_fact_excel(s1, dims),
+        "fd": lambda: build_fact_dat(s2, dims, metadata_lookup=metadata_lookup),
+    })
+    return Star(silver_excel=s1, silver_dat=s2, fact_excel_measurements=facts["fe"],
+                fact_dat_measurements=facts["fd"], **dims)
