@@ -35,7 +35,8 @@ def star_for(spark: SparkSession, sf_dir: str, metadata_lookup: str = "full"):
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), metadata_lookup)
     if key not in _STAR_CACHE:
-        rd = fx.readings(spark, sf_dir)
+        from cellstar.operators.keys import stage
+        rd = stage(fx.readings(spark, sf_dir), "bronze_readings")
         _STAR_CACHE[key] = build_star(fx.sheet_rows(rd), fx.dat_rows(rd), fx.metadata_rows(rd),
                                       metadata_lookup=metadata_lookup)
     return _STAR_CACHE[key]

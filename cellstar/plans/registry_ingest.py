@@ -67,8 +67,8 @@ _HEADER_UNPIVOT = " union all ".join(
 @register("dat_header_map", star_sql(f"select distinct * from ({_HEADER_UNPIVOT})"))
 def dat_header_map(spark, sf_dir):
     """Header ``key: value`` pairs of each ingested file."""
-    p = parsed_dat(spark, sf_dir).filter(F.col("status") == "ok")
-    files = p.select("file_stem", "header").dropDuplicates(["file_stem"])
+    files = DAT.parse_files(DAT.read_dat_files(spark, landed_dat_root(spark, sf_dir)), name_col="file_stem")
+    files = files.filter(F.col("error").isNull())
     return (files.select(measurement_name("file_stem").alias("measurement_name"),
                          F.explode("header").alias("key", "value"))
             .distinct())

@@ -109,14 +109,9 @@ def _strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def parse_dat(files: DataFrame, name_col: str | None = None) -> DataFrame:
-    """A4-A8 + A15: one row per table line with header fields attached.
-
-    Returns ``source``, ``table_name``, ``line_no``, ``status``, ``error``,
-    the clean measure and header columns (text), and ``timestamp``.
-    Files without the marker or without a column line keep one row with
-    ``status = 'quarantined'``.
-    """
+def parse_files(files: DataFrame, name_col: str | None = None) -> DataFrame:
+    """One row per file -- header map, column names, table lines
+    and the reason the file cannot be read (NULL when it can)."""
     name = F.col(name_col) if name_col and name_col in files.columns else path_stem("path")
     text = F.decode(F.col("content"), ENCODING)
     base = files.select(F.col("path").alias("source"), name.alias("file_stem"),
@@ -134,45 +129,51 @@ def parse_dat(files: DataFrame, name_col: str | None = None) -> DataFrame:
     body = F.when(F.col("marker_pos") > 0,
                   F.slice("lines", F.col("marker_pos") + 2, F.greatest(F.size("lines"), F.lit(1))))
     parsed = base.select(
-        "source", "file_stem", "marker_pos",
+        "source", "file_stem",
         F.map_from_entries(kv).alias("header"),
         F.split(cols_line, "\t").alias("columns"),
-        F.filter(body, lambda l: F.length(F.trim(l)) > 0).alias("body"))
-    status = (F.when(F.col("marker_pos") == 0, F.lit("no measurement data marker"))
-              .when(F.col("columns").isNull() | (F.size("columns") == 0), F.lit("no column line")))
-    parsed = parsed.select("*", status.alias("error"))
-    bad = parsed.filter(F.col("error").isNotNull()).select(
-        "source", "file_stem", F.lit(None).cast("int").alias("line_no"), F.lit("quarantined").alias("status"),
-        "error", F.lit(None).cast("array<string>").alias("values"), "header", "columns")
-    good = parsed.filter(F.col("error").isNull()).select(
-        "source", "file_stem", F.posexplode_outer("body").alias("line_no", "line"), "header", "columns")
-    good = good.select("source", "file_stem", "line_no", F.lit("ok").alias("status"),
-                       F.lit(None).cast("string").alias("error"), F.split("line", "\t").alias("values"),
-                       "header", "columns")
-    return good.unionByName(bad)
-
-
-def _cell(values: Column, columns: Column, name: str) -> Column:
-    pos = F.array_position(columns, F.lit(name))
-    v = F.when(pos > 0, F.try_element_at(values, pos.cast("int")))
-    return F.when(v.isin(*MISSING_CELLS), F.lit(None)).otherwise(v)
+        F.filter(body, lambda l: F.length(F.trim(l)) > 0).alias("body"),
+        F.when(F.col("marker_pos") == 0, F.lit("no measurement data marker")).alias("_e1"))
+    error = F.coalesce(F.col("_e1"), F.when(F.col("columns").isNull() | (F.size("columns") == 0),
+                                            F.lit("no column line")))
+    return parsed.select("source", "file_stem", "header", "columns", "body", error.alias("error"))
 
 
-def dat_rows_from_files(parsed: DataFrame) -> DataFrame:
-    """Clean column names; a header key equal to a column name wins."""
-    out = []
-    for src, clean in DAT_COLUMN_MAP.items():
-        cell = F.coalesce(F.try_element_at("header", F.lit(src)),
-                          _cell(F.col("values"), F.col("columns"), src))
-        out.append(cell.alias(clean))
+def parse_dat(files: DataFrame, name_col: str | None = None) -> DataFrame:
+    """A4-A8 + A15 in one pass: one row per table line with the header fields
+    and the clean column names; a file that cannot be read keeps one row with
+    ``status = 'quarantined'`` and its ``error``.
+
+    Column positions and header values are resolved once per file, before the
+    lines are exploded, so each line only indexes its split values.
+    """
+    per_file = parse_files(files, name_col)
+    pos = [F.array_position("columns", F.lit(src)).cast("int").alias(f"_p{i}")
+           for i, src in enumerate(DAT_COLUMN_MAP)]
+    hdr_cols = [F.try_element_at("header", F.lit(src)).alias(f"_h{i}") for i, src in enumerate(DAT_COLUMN_MAP)]
     hdr = [F.try_element_at("header", F.lit(k)).alias(f) for k, f in DAT_HEADER_MAP.items()]
-    rows = parsed.filter(F.col("status") == "ok").filter(F.col("line_no").isNotNull())
-    sel = rows.select(
+    lines = F.when(F.col("error").isNull(), F.col("body"))
+    exploded = per_file.select(
+        "source", "file_stem", "error", *pos, *hdr_cols, *hdr,
+        F.posexplode_outer(lines).alias("line_no", "line"))
+    values = F.split("line", "\t")
+    cells = []
+    for i, clean in enumerate(DAT_COLUMN_MAP.values()):
+        v = F.when(F.col(f"_p{i}") > 0, F.try_element_at(values, F.col(f"_p{i}")))
+        v = F.when(v.isin(*MISSING_CELLS), F.lit(None)).otherwise(v)
+        cells.append(F.coalesce(F.col(f"_h{i}"), v).alias(clean))  # a header key equal to a column wins
+    rows = exploded.select(
         "source", "file_stem", "line_no",
-        F.concat(F.col("file_stem"), F.lit("_table")).alias("table_name"),
-        *out, *hdr)
-    return sel.withColumn("timestamp",
-                          F.try_to_timestamp(F.col("timestamp"), F.lit(TS_TEXT_FORMAT)).cast("timestamp_ntz"))
+        F.when(F.col("error").isNull(), F.lit("ok")).otherwise(F.lit("quarantined")).alias("status"),
+        "error", F.concat(F.col("file_stem"), F.lit("_table")).alias("table_name"),
+        *cells, *DAT_HEADER_FIELDS)
+    return rows.withColumn(
+        "timestamp", F.try_to_timestamp(F.col("timestamp"), F.lit(TS_TEXT_FORMAT)).cast("timestamp_ntz"))
+
+
+def dat_rows_from_files(parsed: DataFrame) -> DataFrame:
+    """The readable rows of a ``parse_dat`` result."""
+    return parsed.filter((F.col("status") == "ok") & F.col("line_no").isNotNull())
 
 
 def ingest_status(parsed: DataFrame) -> DataFrame:
