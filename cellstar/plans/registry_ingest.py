@@ -226,3 +226,64 @@ def one_measurement(spark, sf_dir, prefix: str = "2001"):
     df = read_bronze(spark, sf_dir)
     return df.filter(F.col("measurement_name").startswith(prefix))
 
+
+
+# --- workbooks (A3, A9, C16) -------------------------------------------------------------
+
+# The machine 1 sheet's columns, as the sheet names them.
+SHEET_COLUMNS = ["record_ID", "cycle", "step_ID", "step_name", "time_in_step", "voltage_V", "current_mA",
+                 "capacity_mAh", "energy_mWh", "timestamp", "Validated"]
+SHEET_NUMERIC = {"record_ID", "cycle", "step_ID", "time_in_step", "current_mA"}
+METADATA_COLUMNS = ["json_name", "operator_name", "operator_level", "machine_name", "machine_type",
+                    "electrode_material", "measurement_name"]
+_WORKBOOKS: dict[tuple, object] = {}
+
+
+def landed_workbooks(spark, sf_dir, kind: str = "sheet"):
+    """Workbooks rendered from the tables, kept as a (path, content) table in
+    the shared scratch folder (the shape a ``binaryFile`` scan returns)."""
+    from cellstar.operators.keys import stage
+    from cellstar.sources import sheet as SH
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    if key not in _WORKBOOKS:
+        rd = fx.readings(spark, sf_dir)
+        if kind == "sheet":
+            rows = fx.sheet_rows(rd)
+            f = F.concat(measurement_name("table_name"), F.lit("_"), F.date_format("timestamp", "yyyyMM"))
+            wb = SH.render_workbooks(rows.withColumn("_f", f), "_f", SHEET_COLUMNS, SHEET_NUMERIC,
+                                     ["timestamp", "record_ID"])
+        else:
+            rows = fx.metadata_rows(rd)
+            wb = SH.render_workbooks(rows.withColumn("_f", F.concat(F.lit("metadata_"), F.col("machine_name"))),
+                                     "_f", METADATA_COLUMNS, set(), ["json_name"], folder="raw-data/metadata",
+                                     sheet="metadata")
+        _WORKBOOKS[key] = stage(wb, f"landing-{kind}")
+    return _WORKBOOKS[key]
+
+
+@register("sheet_ingest", star_sql("""
+select split_part(table_name, '_', 1) as measurement_name, record_ID, cycle, step_ID, step_name, time_in_step,
+  voltage_V, current_mA, capacity_mAh, energy_mWh, timestamp from sheet"""))
+def sheet_ingest(spark, sf_dir):
+    """A3: sheet ``Sheet1`` of every machine 1 workbook, typed once in Spark."""
+    from cellstar.sources import sheet as SH
+    rows = SH.read_sheets(landed_workbooks(spark, sf_dir), SHEET_COLUMNS, sheet_name="Sheet1")
+    rows = rows.filter(F.col("error").isNull())
+    stem = F.regexp_extract("source", r"([^/]+)\.xlsx$", 1)
+    return rows.select(
+        measurement_name(stem).alias("measurement_name"),
+        F.col("record_ID").cast("bigint").alias("record_ID"), F.col("cycle").cast("bigint").alias("cycle"),
+        F.col("step_ID").cast("bigint").alias("step_ID"), "step_name",
+        F.col("time_in_step").cast("double").alias("time_in_step"), "voltage_V",
+        F.col("current_mA").cast("double").alias("current_mA"), "capacity_mAh", "energy_mWh",
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
+@register("metadata_sheet_ingest", star_sql(
+    "select " + ", ".join(METADATA_COLUMNS) + " from meta"))
+def metadata_sheet_ingest(spark, sf_dir):
+    """A9 + C16: the first sheet of the metadata workbooks, empty cells as ''."""
+    from cellstar.sources import sheet as SH
+    rows = SH.read_sheets(landed_workbooks(spark, sf_dir, "metadata"), METADATA_COLUMNS, sheet_name=None,
+                          fill_text="")
+    return rows.filter(F.col("error").isNull()).select(*METADATA_COLUMNS)
