@@ -287,3 +287,16 @@ def metadata_sheet_ingest(spark, sf_dir):
     rows = SH.read_sheets(landed_workbooks(spark, sf_dir, "metadata"), METADATA_COLUMNS, sheet_name=None,
                           fill_text="")
     return rows.filter(F.col("error").isNull()).select(*METADATA_COLUMNS)
+
+
+@register("streaming_ingest", star_sql(_TYPED_SQL))
+def streaming_ingest(spark, sf_dir):
+    """Landed files ingested incrementally (file stream, exactly-once file sink),
+    run twice: the second run finds nothing new, so the table does not grow."""
+    from cellstar.streaming.landing import run_available_now
+    root = landed_dat_root(spark, sf_dir)
+    out, ckpt = scratch_dir(spark, "stream-bronze"), scratch_dir(spark, "stream-ckpt")
+    run_available_now(spark, root, out, ckpt)
+    run_available_now(spark, root, out, ckpt)
+    rows = spark.read.parquet(out).filter(F.col("status") == "ok").filter(F.col("line_no").isNotNull())
+    return typed_dat(rows)
