@@ -24,7 +24,7 @@ from cellstar.functions.clean import (
     date_of, machine_name, measurement_name, milliamp_to_amp, round_half_up, time_key, to_decimal,
 )
 from cellstar.operators import dims as D
-from cellstar.operators.keys import dense_keys, next_key, stage
+from cellstar.operators.keys import dense_keys, known_rows, next_key, remember_rows, stage
 from cellstar.operators.lookup import Lookup, broadcast_if_small, resolve_keys
 from cellstar.plans.concurrent import run_concurrently
 from cellstar.sources.fixtures import DAT_MEASURES
@@ -178,7 +178,7 @@ def build_fact_excel(s1: DataFrame, dims: dict, existing: DataFrame | None = Non
     ])
     keyed = dense_keys(f, ["measurement_name", "timestamp", "record_id"], "fact_excel_measurement_id",
                        base=next_key(existing, "fact_excel_measurement_id"), name="fact_excel")
-    return keyed.select(*FACT_EXCEL_COLUMNS)
+    return remember_rows(keyed.select(*FACT_EXCEL_COLUMNS), known_rows(keyed))
 
 
 def build_fact_dat(s2: DataFrame, dims: dict, existing: DataFrame | None = None,
@@ -202,16 +202,31 @@ def build_fact_dat(s2: DataFrame, dims: dict, existing: DataFrame | None = None,
     ])
     keyed = dense_keys(f, ["measurement_name", "timestamp", "record_id"], "fact_dat_measurement_id",
                        base=next_key(existing, "fact_dat_measurement_id"), name="fact_dat")
-    return keyed.select(*FACT_DAT_COLUMNS)
+    return remember_rows(keyed.select(*FACT_DAT_COLUMNS), known_rows(keyed))
+
+
+class UnresolvedKeyError(ValueError):
+    """A strict lookup found no dimension member (E1: the load must fail)."""
+
+
+def _check_all_rows_kept(silver: DataFrame, fact: DataFrame, name: str) -> None:
+    n_in, n_out = silver.count(), known_rows(fact)
+    if n_out is None:
+        n_out = fact.count()
+    if n_in != n_out:
+        raise UnresolvedKeyError(f"{name}: {n_in - n_out} of {n_in} rows found no dimension member")
 
 
 def build_star(sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None = None,
-               metadata_lookup: str = "full") -> Star:
+               metadata_lookup: str = "full", strict: bool = True) -> Star:
     s1, s2 = silver_tables(sheet, dat, metadata)
     dims = build_dimensions(s1, s2)
     facts = run_concurrently({
         "fe": lambda: build_fact_excel(s1, dims),
         "fd": lambda: build_fact_dat(s2, dims, metadata_lookup=metadata_lookup),
     })
+    if strict:
+        _check_all_rows_kept(s1, facts["fe"], "fact_excel_measurements")
+        _check_all_rows_kept(s2, facts["fd"], "fact_dat_measurements")
     return Star(silver_excel=s1, silver_dat=s2, fact_excel_measurements=facts["fe"],
                 fact_dat_measurements=facts["fd"], **dims)

@@ -50,3 +50,12 @@ def test_scan_pushdown_and_pruning(spark):
     import re
     assert re.search(r"PartitionFilters: \[[^\]]*StartsWith\(measurement_name#\d+, 2\)", plan)
     assert "ReadSchema: struct<timestamp:timestamp_ntz,voltage_v:decimal(10,4)>" in plan
+
+
+def test_strict_lookup_fails_loudly(spark):
+    import pytest
+
+    from cellstar.plans.star import UnresolvedKeyError, _check_all_rows_kept
+    df = spark.range(10)
+    with pytest.raises(UnresolvedKeyError):
+        _check_all_rows_kept(df, df.filter("id < 9"), "t")
