@@ -20,14 +20,31 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def q(name: str) -> str:
+    """Quote a column name for a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+# Helpers given a column *name* build one SQL expression (parsed JVM-side in a
+# single call); given a Column they compose Column objects. Same plan either way.
+
+def nan_to_null_sql(name: str, dtype: DataType | None = None) -> str:
+    c = q(name)
+    if isinstance(dtype, StringType):
+        return f"CASE WHEN {c} IS NULL OR {c} = '{MISSING_TEXT}' THEN NULL ELSE {c} END"
+    if isinstance(dtype, (DoubleType, FloatType)):
+        return f"CASE WHEN {c} IS NULL OR isnan({c}) THEN NULL ELSE {c} END"
+    return c
+
+
 def nan_to_null(c, dtype: DataType | None = None) -> Column:
     """C4: the text ``NAN``, a float NaN, and NULL all become NULL.
 
     ``dtype`` is the column's type when known: a text column is compared with
-    ``NAN``, a floating column is tested with ``isnan``. Unknown types get both
-    tests, each guarded so ANSI mode never casts the other way.
+    ``NAN``, a floating column is tested with ``isnan``.
     """
-    c = _col(c)
+    if isinstance(c, str):
+        return F.expr(nan_to_null_sql(c, dtype))
     if isinstance(dtype, StringType):
         return F.when(c.isNull() | (c == F.lit(MISSING_TEXT)), F.lit(None)).otherwise(c)
     if isinstance(dtype, (DoubleType, FloatType)):
@@ -35,9 +52,15 @@ def nan_to_null(c, dtype: DataType | None = None) -> Column:
     return c
 
 
+def to_decimal_sql(name: str, precision: int, scale: int, dtype: DataType | None = StringType()) -> str:
+    return f"CAST({nan_to_null_sql(name, dtype)} AS DECIMAL({precision},{scale}))"
+
+
 def to_decimal(c, precision: int, scale: int, dtype: DataType | None = StringType()) -> Column:
     """C4 + C5: missing rule, then an ANSI decimal cast (a value that does not
     fit raises, as the typed target table would)."""
+    if isinstance(c, str):
+        return F.expr(to_decimal_sql(c, precision, scale, dtype))
     return nan_to_null(c, dtype).cast(f"decimal({precision},{scale})")
 
 
@@ -48,6 +71,11 @@ def round_half_up(c, scale: int = 4) -> Column:
 
 def milliamp_to_amp(c, dtype: DataType | None = DoubleType()) -> Column:
     """mA -> A as a double division, then the (10,4) decimal of the fact."""
+    if isinstance(c, str):
+        v = nan_to_null_sql(c, dtype)
+        if isinstance(dtype, StringType):
+            v = f"CAST({v} AS DOUBLE)"
+        return F.expr(f"CAST({v} / 1000D AS DECIMAL(10,4))")
     c = nan_to_null(c, dtype)
     if isinstance(dtype, StringType):
         c = c.cast("double")
@@ -56,26 +84,34 @@ def milliamp_to_amp(c, dtype: DataType | None = DoubleType()) -> Column:
 
 def date_of(ts) -> Column:
     """Calendar date of a timestamp."""
-    return F.to_date(_col(ts))
+    return F.expr(f"to_date({q(ts)})") if isinstance(ts, str) else F.to_date(ts)
 
 
 def time_key(ts) -> Column:
     """Time of day, microseconds kept, as the ``HH:mm:ss.SSSSSS`` text key."""
-    return F.date_format(_col(ts), TIME_KEY_FORMAT)
+    if isinstance(ts, str):
+        return F.expr(f"date_format({q(ts)}, '{TIME_KEY_FORMAT}')")
+    return F.date_format(ts, TIME_KEY_FORMAT)
 
 
 def measurement_name(table_name) -> Column:
     """The part of a table / file name before the first ``_``."""
-    return F.substring_index(_col(table_name), "_", 1)
+    if isinstance(table_name, str):
+        return F.expr(f"substring_index({q(table_name)}, '_', 1)")
+    return F.substring_index(table_name, "_", 1)
 
 
 def machine_digit(table_name) -> Column:
     """Machine id = first character of the table name."""
-    return F.substring(_col(table_name), 1, 1)
+    if isinstance(table_name, str):
+        return F.expr(f"substring({q(table_name)}, 1, 1)")
+    return F.substring(table_name, 1, 1)
 
 
 def machine_name(table_name) -> Column:
     """``machine_<digit>``; the machine type carries the same text."""
+    if isinstance(table_name, str):
+        return F.expr(f"concat('machine_', substring({q(table_name)}, 1, 1))")
     return F.concat(F.lit("machine_"), machine_digit(table_name))
 
 

@@ -18,11 +18,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType
 
-from cellstar.functions.clean import (
-    date_of, machine_name, measurement_name, milliamp_to_amp, round_half_up, time_key, to_decimal,
-)
+from cellstar.functions import clean as C
 from cellstar.operators import dims as D
 from cellstar.operators.keys import dense_keys, known_rows, next_key, remember_rows, stage
 from cellstar.operators.lookup import Lookup, broadcast_if_small, resolve_keys
@@ -70,48 +68,48 @@ def enrich_with_metadata(rows: DataFrame, metadata: DataFrame | None) -> DataFra
 
 def clean_sheet(sheet: DataFrame) -> DataFrame:
     """C1-C8, C12, C13 for machine 1 rows (the fact's typed columns)."""
-    return sheet.select(
+    return sheet.selectExpr(
         "table_name",
-        measurement_name("table_name").alias("measurement_name"),
-        machine_name("table_name").alias("machine_name"),
-        F.col("timestamp"),
-        F.col("record_ID").cast("bigint").alias("record_id"),
-        F.col("cycle").cast("bigint").alias("cycle"),
-        F.col("step_ID").cast("bigint").alias("step_id"),
-        F.col("step_name"),
-        F.col("time_in_step").cast("decimal(18,8)").alias("time_in_step"),
-        round_half_up(to_decimal("voltage_V", 10, 4), 4).cast("decimal(10,4)").alias("voltage_v"),
-        milliamp_to_amp("current_mA", DoubleType()).alias("current_a"),
-        to_decimal("capacity_mAh", 18, 8).alias("capacity_mah"),
-        to_decimal("energy_mWh", 18, 8).alias("energy_mwh"),
-        date_of("timestamp").alias("date"),
-        time_key("timestamp").alias("time"),
+        "substring_index(table_name, '_', 1) AS measurement_name",
+        "concat('machine_', substring(table_name, 1, 1)) AS machine_name",
+        "timestamp",
+        "CAST(record_ID AS BIGINT) AS record_id",
+        "CAST(cycle AS BIGINT) AS cycle",
+        "CAST(step_ID AS BIGINT) AS step_id",
+        "step_name",
+        "CAST(time_in_step AS DECIMAL(18,8)) AS time_in_step",
+        f"CAST(round({C.to_decimal_sql('voltage_V', 10, 4)}, 4) AS DECIMAL(10,4)) AS voltage_v",
+        f"CAST({C.nan_to_null_sql('current_mA', DoubleType())} / 1000D AS DECIMAL(10,4)) AS current_a",
+        f"{C.to_decimal_sql('capacity_mAh', 18, 8)} AS capacity_mah",
+        f"{C.to_decimal_sql('energy_mWh', 18, 8)} AS energy_mwh",
+        "to_date(timestamp) AS date",
+        f"date_format(timestamp, '{C.TIME_KEY_FORMAT}') AS time",
     )
 
 
 def clean_dat(dat: DataFrame) -> DataFrame:
     """C3-C5, C8, C9 for machine 2 rows: measures as decimal(10,4), header typed."""
-    return dat.select(
+    return dat.selectExpr(
         "table_name",
-        measurement_name("table_name").alias("measurement_name"),
-        machine_name("table_name").alias("machine_name"),
-        F.col("record_id").cast("bigint").alias("record_id"),
-        F.col("timestamp"),
-        *[to_decimal(c, 10, 4, StringType()).alias(c) for c in DAT_MEASURES],
-        F.col("operator").alias("operator_name"),
-        F.col("electrodes").alias("electrode_material"),
+        "substring_index(table_name, '_', 1) AS measurement_name",
+        "concat('machine_', substring(table_name, 1, 1)) AS machine_name",
+        "CAST(record_id AS BIGINT) AS record_id",
+        "timestamp",
+        *[f"{C.to_decimal_sql(c, 10, 4)} AS {c}" for c in DAT_MEASURES],
+        "operator AS operator_name",
+        "electrodes AS electrode_material",
         "diaphragm",
-        F.col("thickness").cast("bigint").alias("thickness"),
-        F.col("porosity").cast("bigint").alias("porosity"),
+        "CAST(thickness AS BIGINT) AS thickness",
+        "CAST(porosity AS BIGINT) AS porosity",
         "electrolyte", "electrodes",
-        to_decimal("electrodes_area", 10, 3).alias("electrodes_area"),
+        f"{C.to_decimal_sql('electrodes_area', 10, 3)} AS electrodes_area",
         "current_density_mode",
-        to_decimal("current_density_value", 10, 2).alias("current_density_value"),
+        f"{C.to_decimal_sql('current_density_value', 10, 2)} AS current_density_value",
         "pump_speed_mode",
-        to_decimal("pump_speed_value", 10, 2).alias("pump_speed_value"),
-        to_decimal("experiment_running_time", 10, 2).alias("experiment_running_time"),
-        date_of("timestamp").alias("date"),
-        time_key("timestamp").alias("time"),
+        f"{C.to_decimal_sql('pump_speed_value', 10, 2)} AS pump_speed_value",
+        f"{C.to_decimal_sql('experiment_running_time', 10, 2)} AS experiment_running_time",
+        "to_date(timestamp) AS date",
+        f"date_format(timestamp, '{C.TIME_KEY_FORMAT}') AS time",
     )
 
 

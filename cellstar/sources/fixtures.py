@@ -87,28 +87,14 @@ def sheet_rows(rd: DataFrame) -> DataFrame:
     """
     m1 = machine_readings(rd, "1").withColumn("measurement_name", measurement_name("table_name"))
     start = _measurement_start(m1).select("measurement_name", "start_ts")
-    return (m1.join(start, "measurement_name")
-            .select(
-                "table_name",
-                F.col("record_id").alias("record_ID"),
-                F.col("k").alias("cycle"),
-                (F.col("k") % 6).alias("step_ID"),
-                "step_name",
-                ((F.unix_micros(F.col("reading_ts").cast("timestamp"))
-                  - F.unix_micros(F.col("start_ts").cast("timestamp"))) / F.lit(1e6)).alias("time_in_step"),
-                F.col("voltage_raw").alias("voltage_V"),
-                F.col("current_ma").alias("current_mA"),
-                F.when(F.col("current_ma").isNull(), F.lit("NAN"))
-                 .otherwise(F.col("current_ma").cast("string")).alias("capacity_mAh"),
-                F.when(F.col("voltage_raw") == "NAN", F.lit("NAN"))
-                 .otherwise(F.col("k").cast("string")).alias("energy_mWh"),
-                F.col("reading_ts").alias("timestamp"),
-                F.lit("yes").alias("Validated"),
-            ))
-
-
-def _text(c) -> F.Column:
-    return c.cast("string")
+    return m1.join(start, "measurement_name").selectExpr(
+        "table_name", "record_id AS record_ID", "k AS cycle", "k % 6 AS step_ID", "step_name",
+        "(unix_micros(CAST(reading_ts AS TIMESTAMP)) - unix_micros(CAST(start_ts AS TIMESTAMP))) / 1000000D"
+        " AS time_in_step",
+        "voltage_raw AS voltage_V", "current_ma AS current_mA",
+        "CASE WHEN current_ma IS NULL THEN 'NAN' ELSE CAST(current_ma AS STRING) END AS capacity_mAh",
+        "CASE WHEN voltage_raw = 'NAN' THEN 'NAN' ELSE CAST(k AS STRING) END AS energy_mWh",
+        "reading_ts AS timestamp", "'yes' AS Validated")
 
 
 def dat_rows(rd: DataFrame) -> DataFrame:
@@ -120,40 +106,35 @@ def dat_rows(rd: DataFrame) -> DataFrame:
     """
     m2 = machine_readings(rd, "2").withColumn("measurement_name", measurement_name("table_name"))
     hdr = _measurement_start(m2).select("measurement_name", "hk", "hk_material")
-    hk = F.col("hk")
-    cur = F.col("current_ma")
-    missing = F.lit("NAN")
-    return (m2.join(hdr, "measurement_name")
-            .select(
-                "table_name", "record_id",
-                F.col("reading_ts").alias("timestamp"),
-                F.col("voltage_raw").alias("voltage_v"),
-                F.when(cur.isNull(), missing).otherwise(_text(cur / 2000)).alias("h2_flow"),
-                F.when(cur.isNull(), missing).otherwise(_text(cur / 4000)).alias("o2_flow"),
-                _text(F.lit(90) + F.col("k") / 10).alias("h2_purity_percent"),
-                F.when(F.col("k") % 4 == 0, missing).otherwise(_text(F.lit(95) + F.col("k") / 20)).alias("o2_purity_percent"),
-                F.when(cur.isNull(), missing).otherwise(_text(cur / 1000)).alias("current_a"),
-                _text(F.col("k") % 7 + 1).alias("h2_pressure_bar"),
-                _text(F.col("k") % 5 + 1).alias("o2_pressure_bar"),
-                F.lit("5").alias("set_pressure_bar"),
-                _text(F.col("k") % 10 + 55).alias("cathode_temp_c"),
-                _text(F.col("k") % 8 + 55).alias("anode_temp_c"),
-                _text(F.col("k") % 6 + 50).alias("cell_inlet_temp_c"),
-                _text(F.col("k") % 50 + 25).alias("h2_level_percent"),
-                _text(F.col("k") % 40 + 30).alias("o2_level_percent"),
-                F.concat(F.lit("Operator_"), _text(hk % 7)).alias("operator"),
-                F.concat(F.lit("D"), _text(hk % 3)).alias("diaphragm"),
-                _text(hk % 5).alias("thickness"),
-                _text(hk % 2).alias("porosity"),
-                F.lit("KOH").alias("electrolyte"),
-                F.col("hk_material").alias("electrodes"),
-                F.lit("5.0").alias("electrodes_area"),
-                F.lit("const").alias("current_density_mode"),
-                F.lit("400").alias("current_density_value"),
-                F.when(hk % 4 == 0, F.lit("off")).otherwise(F.lit("const")).alias("pump_speed_mode"),
-                F.when(hk % 4 == 0, missing).otherwise(_text(hk % 4 * 25)).alias("pump_speed_value"),
-                F.lit("2.5").alias("experiment_running_time"),
-            ))
+    cur = "CASE WHEN current_ma IS NULL THEN 'NAN' ELSE CAST(current_ma / {d} AS STRING) END"
+    return m2.join(hdr, "measurement_name").selectExpr(
+        "table_name", "record_id", "reading_ts AS timestamp", "voltage_raw AS voltage_v",
+        cur.format(d=2000) + " AS h2_flow",
+        cur.format(d=4000) + " AS o2_flow",
+        "CAST(90 + k / 10 AS STRING) AS h2_purity_percent",
+        "CASE WHEN k % 4 = 0 THEN 'NAN' ELSE CAST(95 + k / 20 AS STRING) END AS o2_purity_percent",
+        cur.format(d=1000) + " AS current_a",
+        "CAST(k % 7 + 1 AS STRING) AS h2_pressure_bar",
+        "CAST(k % 5 + 1 AS STRING) AS o2_pressure_bar",
+        "'5' AS set_pressure_bar",
+        "CAST(k % 10 + 55 AS STRING) AS cathode_temp_c",
+        "CAST(k % 8 + 55 AS STRING) AS anode_temp_c",
+        "CAST(k % 6 + 50 AS STRING) AS cell_inlet_temp_c",
+        "CAST(k % 50 + 25 AS STRING) AS h2_level_percent",
+        "CAST(k % 40 + 30 AS STRING) AS o2_level_percent",
+        "concat('Operator_', CAST(hk % 7 AS STRING)) AS operator",
+        "concat('D', CAST(hk % 3 AS STRING)) AS diaphragm",
+        "CAST(hk % 5 AS STRING) AS thickness",
+        "CAST(hk % 2 AS STRING) AS porosity",
+        "'KOH' AS electrolyte",
+        "hk_material AS electrodes",
+        "'5.0' AS electrodes_area",
+        "'const' AS current_density_mode",
+        "'400' AS current_density_value",
+        "CASE WHEN hk % 4 = 0 THEN 'off' ELSE 'const' END AS pump_speed_mode",
+        "CASE WHEN hk % 4 = 0 THEN 'NAN' ELSE CAST(hk % 4 * 25 AS STRING) END AS pump_speed_value",
+        "'2.5' AS experiment_running_time",
+    )
 
 
 def metadata_rows(rd: DataFrame, batch: int = 1) -> DataFrame:
