@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.functions.clean import MEASUREMENT_DATA_MARKER, measurement_name, path_stem
+from cellstar.functions.clean import MEASUREMENT_DATA_MARKER, measurement_name, q
 from cellstar.sources.fixtures import (
     DAT_COLUMN_MAP, DAT_HEADER_FIELDS, DAT_HEADER_KEYS, DAT_HEADER_MAP, DAT_MEASURES, DAT_TABLE_COLUMNS,
 )
@@ -104,39 +104,32 @@ def read_dat_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
 
 
-def _strip(c: Column) -> Column:
-    """Remove surrounding whitespace (blanks, tabs, CR, ...), as ``str.strip`` does."""
-    return F.btrim(c, F.lit(WHITESPACE))
-
-
 def parse_files(files: DataFrame, name_col: str | None = None) -> DataFrame:
     """One row per file -- header map, column names, table lines
     and the reason the file cannot be read (NULL when it can)."""
-    name = F.col(name_col) if name_col and name_col in files.columns else path_stem("path")
-    text = F.decode(F.col("content"), ENCODING)
-    base = files.select(F.col("path").alias("source"), name.alias("file_stem"),
-                        F.split(text, "\r?\n").alias("lines"))
-    marker = F.array_position(
-        F.transform("lines", lambda l: l.startswith(MEASUREMENT_DATA_MARKER)), F.lit(True))
-    base = base.select("*", marker.cast("int").alias("marker_pos"))
-    head_lines = F.when(F.col("marker_pos") > 0, F.slice("lines", 1, F.greatest(F.col("marker_pos") - 1, F.lit(0)))
-                        ).otherwise(F.col("lines"))
-    kv = F.transform(
-        F.filter(head_lines, lambda l: F.instr(l, ":") > 0),
-        lambda l: F.struct(_strip(F.substring_index(l, ":", 1)).alias("key"),
-                           _strip(F.substring(l, F.instr(l, ":") + 1, 1 << 30)).alias("value")))
-    cols_line = F.when(F.col("marker_pos") > 0, F.try_element_at("lines", F.col("marker_pos") + 1))
-    body = F.when(F.col("marker_pos") > 0,
-                  F.slice("lines", F.col("marker_pos") + 2, F.greatest(F.size("lines"), F.lit(1))))
-    parsed = base.select(
+    name = q(name_col) if name_col and name_col in files.columns else \
+        "regexp_extract(path, '([^/]+?)(\\\\.[^./]*)?$', 1)"
+    ws = _lit(WHITESPACE)
+    marker = _lit(MEASUREMENT_DATA_MARKER)
+    base = files.selectExpr(
+        "path AS source", f"{name} AS file_stem",
+        f"split(decode(content, '{ENCODING}'), '\\r?\\n') AS lines")
+    base = base.selectExpr(
+        "*", f"CAST(array_position(transform(lines, l -> startswith(l, {marker})), true) AS INT) AS marker_pos")
+    head = "CASE WHEN marker_pos > 0 THEN slice(lines, 1, greatest(marker_pos - 1, 0)) ELSE lines END"
+    kv = (f"transform(filter({head}, l -> instr(l, ':') > 0), l -> named_struct("
+          f"'key', btrim(substring_index(l, ':', 1), {ws}), "
+          f"'value', btrim(substring(l, instr(l, ':') + 1), {ws})))")
+    parsed = base.selectExpr(
         "source", "file_stem",
-        F.map_from_entries(kv).alias("header"),
-        F.split(cols_line, "\t").alias("columns"),
-        F.filter(body, lambda l: F.length(F.trim(l)) > 0).alias("body"),
-        F.when(F.col("marker_pos") == 0, F.lit("no measurement data marker")).alias("_e1"))
-    error = F.coalesce(F.col("_e1"), F.when(F.col("columns").isNull() | (F.size("columns") == 0),
-                                            F.lit("no column line")))
-    return parsed.select("source", "file_stem", "header", "columns", "body", error.alias("error"))
+        f"map_from_entries({kv}) AS header",
+        "split(CASE WHEN marker_pos > 0 THEN try_element_at(lines, marker_pos + 1) END, '\\t') AS columns",
+        "filter(CASE WHEN marker_pos > 0 THEN slice(lines, marker_pos + 2, greatest(size(lines), 1)) END, "
+        "l -> length(trim(l)) > 0) AS body",
+        "CASE WHEN marker_pos = 0 THEN 'no measurement data marker' END AS _e1")
+    return parsed.selectExpr(
+        "source", "file_stem", "header", "columns", "body",
+        "coalesce(_e1, CASE WHEN columns IS NULL OR size(columns) = 0 THEN 'no column line' END) AS error")
 
 
 def parse_dat(files: DataFrame, name_col: str | None = None) -> DataFrame:
@@ -148,27 +141,36 @@ def parse_dat(files: DataFrame, name_col: str | None = None) -> DataFrame:
     lines are exploded, so each line only indexes its split values.
     """
     per_file = parse_files(files, name_col)
-    pos = [F.array_position("columns", F.lit(src)).cast("int").alias(f"_p{i}")
-           for i, src in enumerate(DAT_COLUMN_MAP)]
-    hdr_cols = [F.try_element_at("header", F.lit(src)).alias(f"_h{i}") for i, src in enumerate(DAT_COLUMN_MAP)]
-    hdr = [F.try_element_at("header", F.lit(k)).alias(f) for k, f in DAT_HEADER_MAP.items()]
-    lines = F.when(F.col("error").isNull(), F.col("body"))
-    exploded = per_file.select(
-        "source", "file_stem", "error", *pos, *hdr_cols, *hdr,
-        F.posexplode_outer(lines).alias("line_no", "line"))
-    values = F.split("line", "\t")
+    srcs = list(DAT_COLUMN_MAP)
+    # per file: column positions and header values (a select of its own, so
+    # they are computed once per file and not after the explode, per line)
+    resolved = per_file.selectExpr(
+        "source", "file_stem", "error",
+        *[f"CAST(array_position(columns, {_lit(src)}) AS INT) AS _p{i}" for i, src in enumerate(srcs)],
+        *[f"try_element_at(header, {_lit(src)}) AS _h{i}" for i, src in enumerate(srcs)],
+        *[f"try_element_at(header, {_lit(k)}) AS {f}" for k, f in DAT_HEADER_MAP.items()],
+        "CASE WHEN error IS NULL THEN body END AS _body")
+    exploded = resolved.selectExpr("*", "posexplode_outer(_body) AS (line_no, line)").drop("_body")
+    # split each line once; the cells below index the split array
+    split = exploded.selectExpr("*", "split(line, '\\t') AS _values")
+    missing = ", ".join(_lit(m) for m in MISSING_CELLS)
     cells = []
     for i, clean in enumerate(DAT_COLUMN_MAP.values()):
-        v = F.when(F.col(f"_p{i}") > 0, F.try_element_at(values, F.col(f"_p{i}")))
-        v = F.when(v.isin(*MISSING_CELLS), F.lit(None)).otherwise(v)
-        cells.append(F.coalesce(F.col(f"_h{i}"), v).alias(clean))  # a header key equal to a column wins
-    rows = exploded.select(
+        v = f"CASE WHEN _p{i} > 0 THEN try_element_at(_values, _p{i}) END"
+        v = f"CASE WHEN ({v}) IN ({missing}) THEN NULL ELSE {v} END"
+        expr = f"coalesce(_h{i}, {v})"  # a header key equal to a column name wins
+        if clean == "timestamp":
+            expr = f"CAST(try_to_timestamp({expr}, '{TS_TEXT_FORMAT}') AS TIMESTAMP_NTZ)"
+        cells.append(f"{expr} AS {clean}")
+    return split.selectExpr(
         "source", "file_stem", "line_no",
-        F.when(F.col("error").isNull(), F.lit("ok")).otherwise(F.lit("quarantined")).alias("status"),
-        "error", F.concat(F.col("file_stem"), F.lit("_table")).alias("table_name"),
-        *cells, *DAT_HEADER_FIELDS)
-    return rows.withColumn(
-        "timestamp", F.try_to_timestamp(F.col("timestamp"), F.lit(TS_TEXT_FORMAT)).cast("timestamp_ntz"))
+        "CASE WHEN error IS NULL THEN 'ok' ELSE 'quarantined' END AS status", "error",
+        "concat(file_stem, '_table') AS table_name", *cells, *DAT_HEADER_FIELDS)
+
+
+def _lit(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def dat_rows_from_files(parsed: DataFrame) -> DataFrame:
