@@ -19,15 +19,18 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return repr(v) if STRICT else round(v, 9)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 9)
+        return str(v) if STRICT else round(float(v), 9)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (dt.date, dt.time)):
