@@ -2,7 +2,7 @@
 
 On a cluster the session is created by the platform; ``configure`` only
 fills in settings the engine relies on when they are missing (UTC session
-zone, AQE with skew handling, last-wins map keys). ``scratch_dir`` returns a
+zone, AQE with skew handling). ``scratch_dir`` returns a
 fresh folder below ``spark.checkpoint.dir`` -- the shared folder the cluster
 names -- and only when that setting is absent (tests, local runs) sets one
 below the system temp folder.
@@ -22,8 +22,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # header maps: a repeated key keeps its last value, as the file parser does
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 

@@ -120,9 +120,14 @@ def parse_files(files: DataFrame, name_col: str | None = None) -> DataFrame:
     kv = (f"transform(filter({head}, l -> instr(l, ':') > 0), l -> named_struct("
           f"'key', btrim(substring_index(l, ':', 1), {ws}), "
           f"'value', btrim(substring(l, instr(l, ':') + 1), {ws})))")
+    base = base.selectExpr("*", f"{kv} AS _kv")
+    # a repeated key keeps its last value: keep entry i only if it is the key's
+    # last occurrence (independent of the session's map key policy)
+    last_only = ("filter(_kv, (e, i) -> i = size(_kv) - "
+                 "array_position(reverse(transform(_kv, x -> x.key)), e.key))")
     parsed = base.selectExpr(
         "source", "file_stem",
-        f"map_from_entries({kv}) AS header",
+        f"map_from_entries({last_only}) AS header",
         "split(CASE WHEN marker_pos > 0 THEN try_element_at(lines, marker_pos + 1) END, '\\t') AS columns",
         "filter(CASE WHEN marker_pos > 0 THEN slice(lines, marker_pos + 2, greatest(size(lines), 1)) END, "
         "l -> length(trim(l)) > 0) AS body",

@@ -44,6 +44,15 @@ def test_bad_files_are_quarantined_and_others_continue(spark):
     assert out["empty"].status == "quarantined"
 
 
+def test_repeated_key_last_wins_under_strict_map_policy(spark):
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    try:
+        r = parse_files(files(spark, {"f": "A: 1\nA: 2\nB: 3\nMeasurement Data:\n" + COLS + "\n"})).first()
+        assert r.header == {"A": "2", "B": "3"}
+    finally:
+        spark.conf.unset("spark.sql.mapKeyDedupPolicy")
+
+
 def test_header_map_only_before_marker(spark):
     text = "A: 1\nMeasurement Data:\n" + COLS + "\nB: 2\n"
     r = parse_files(files(spark, {"f": text})).first()
