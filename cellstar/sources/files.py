@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.functions.clean import path_extension, path_folder, path_stem
+from cellstar.functions.clean import path_extension
 from cellstar.operators.keys import dense_keys
 
 # Accepted data-file extensions per machine and the numbering bases.

@@ -56,7 +56,8 @@ def duck(sf_dir):
         p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
             con.execute(f"create view {t} as select * from read_parquet('{p}')")
-    con.execute("set TimeZone='UTC'")
+    if os.environ.get("ORACLE_UTC", "1") == "1":
+        con.execute("set TimeZone='UTC'")
     return con
 
 
