@@ -59,3 +59,21 @@ def test_strict_lookup_fails_loudly(spark):
     df = spark.range(10)
     with pytest.raises(UnresolvedKeyError):
         _check_all_rows_kept(df, df.filter("id < 9"), "t")
+
+
+def test_second_load_changes_no_dimension(spark):
+    from cellstar.plans.star import build_dimensions
+    st = star_for(spark, SMALL)
+    dims = {k: v for k, v in st.tables().items() if k.startswith("dim_")}
+    again = build_dimensions(st.silver_excel, st.silver_dat, existing=dims)
+    for name, dim in dims.items():
+        assert sorted(again[name].collect()) == sorted(dim.collect()), name
+
+
+def test_upsert_replaces_whole_documents_and_keeps_others(spark):
+    from cellstar.operators.metadata import upsert
+    old = spark.createDataFrame([("a", "x", 1), ("b", "y", 1)], "_id string, v string, n int")
+    new = spark.createDataFrame([("b", "z", 2, 1), ("b", "w", 3, 2), ("c", "q", 1, 1)],
+                                "_id string, v string, n int, _seq int")
+    got = {r["_id"]: (r.v, r.n) for r in upsert(old, new).collect()}
+    assert got == {"a": ("x", 1), "b": ("w", 3), "c": ("q", 1)}
