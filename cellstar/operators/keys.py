@@ -37,8 +37,10 @@ def stage(df: DataFrame, name: str, partitions: int | None = None,
     path = scratch_dir(spark, name)
     out = df
     if order_by:
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        out = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+        # Without an explicit count AQE sizes the range partitions from the data
+        # (merging neighbours keeps the key order); ``partitions`` pins it.
+        ranged = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
+        out = ranged.sortWithinPartitions(*order_by)
     out.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
