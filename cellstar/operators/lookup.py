@@ -17,16 +17,32 @@ from pyspark.sql import functions as F
 from cellstar.operators.keys import known_rows, remember_rows
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+
+# Planning widths (bytes) per type, for the broadcast size estimate.
+_WIDTH = {"string": 24, "binary": 64, "bigint": 8, "int": 4, "smallint": 2, "tinyint": 1, "double": 8,
+          "float": 4, "boolean": 1, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row of ``df`` (fixed widths; 24 for a text value)."""
+    total = 0
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        total += 16 if t.startswith("decimal") else _WIDTH.get(t, 32)
+    return total + 8
 
 
 def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                       rows: int | None = None) -> DataFrame:
+                       rows: int | None = None, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint behind a size check: the row count recorded when the
-    dimension was keyed, else a count of the (usually staged) dimension."""
+    dimension was keyed (else a count of the, usually staged, dimension) and
+    the estimated bytes of the broadcast columns must both be under the
+    limits. Above them the join is left to a shuffle (and to AQE)."""
     n = rows if rows is not None else known_rows(dim)
     if n is None:
         n = dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if n <= max_rows and n * row_width(dim) <= max_bytes else dim
 
 
 @dataclass

@@ -77,3 +77,17 @@ def test_upsert_replaces_whole_documents_and_keeps_others(spark):
                                 "_id string, v string, n int, _seq int")
     got = {r["_id"]: (r.v, r.n) for r in upsert(old, new).collect()}
     assert got == {"a": ("x", 1), "b": ("w", 3), "c": ("q", 1)}
+
+
+def test_broadcast_only_under_both_limits(spark):
+    from cellstar.operators.lookup import broadcast_if_small, row_width
+
+    df = spark.range(10).selectExpr("id", "cast(id as string) AS s")
+    assert row_width(df) == 8 + 24 + 8
+
+    def hinted(d):
+        return "broadcast" in d._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(broadcast_if_small(df, rows=1000))
+    assert not hinted(broadcast_if_small(df, rows=3_000_000))             # too many rows
+    assert not hinted(broadcast_if_small(df, rows=1000, max_bytes=1000))  # too many bytes
