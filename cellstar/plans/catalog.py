@@ -48,4 +48,5 @@ def clear_cache() -> None:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from cellstar.plans import registry, registry_ingest, registry_ops, registry_scalar  # noqa: F401
+    from cellstar.plans import registry  # noqa: F401  (first: later modules reuse its oracles)
+    from cellstar.plans import registry_ingest, registry_ops, registry_scalar  # noqa: F401
