@@ -164,13 +164,26 @@ def build_dimensions(s1: DataFrame, s2: DataFrame, existing: dict | None = None)
     return run_concurrently(jobs)
 
 
+# The time-of-day join runs on microseconds since midnight (a bigint) rather than
+# the HH:mm:ss.SSSSSS text: at scale dim_time is too large to broadcast, so this
+# join shuffles the fact, and a long key halves the shuffled key bytes.
+_TS_MICROS_OF_DAY = "pmod(unix_micros(CAST(timestamp AS TIMESTAMP)), 86400000000)"
+_KEY_MICROS_OF_DAY = ("unix_micros(to_timestamp(concat('1970-01-01 ', time), "
+                      f"'yyyy-MM-dd {C.TIME_KEY_FORMAT}'))")
+
+
+def _time_lookup(dim_time: DataFrame) -> Lookup:
+    dim = remember_rows(dim_time.selectExpr("time_id", f"{_KEY_MICROS_OF_DAY} AS time_us"), known_rows(dim_time))
+    return Lookup(dim, "time_id", ["time_us"])
+
+
 def build_fact_excel(s1: DataFrame, dims: dict, existing: DataFrame | None = None) -> DataFrame:
     """Machine 1 fact; every lookup strict."""
-    f = resolve_keys(s1, [
+    f = resolve_keys(s1.selectExpr("*", f"{_TS_MICROS_OF_DAY} AS time_us"), [
         Lookup(dims["dim_machine"], "machine_id", ["machine_name"]),
         Lookup(dims["dim_measurement"], "measurement_id", ["measurement_name"]),
         Lookup(dims["dim_date"], "date_id", ["date"]),
-        Lookup(dims["dim_time"], "time_id", ["time"]),
+        _time_lookup(dims["dim_time"]),
         Lookup(dims["dim_electrode_material"], "electrode_material_id", ["electrode_material"]),
         Lookup(dims["dim_operator"], "operator_id", ["operator_name"]),
     ])
@@ -189,11 +202,11 @@ def build_fact_dat(s2: DataFrame, dims: dict, existing: DataFrame | None = None,
                       ["electrodes"], mode="first")
     else:
         meta = Lookup(dims["dim_dat_metadata"], "dat_metadata_id", D.DAT_METADATA_KEY, mode="null_safe")
-    f = resolve_keys(s2, [
+    f = resolve_keys(s2.selectExpr("*", f"{_TS_MICROS_OF_DAY} AS time_us"), [
         Lookup(dims["dim_machine"], "machine_id", ["machine_name"]),
         Lookup(dims["dim_measurement"], "measurement_id", ["measurement_name"]),
         Lookup(dims["dim_date"], "date_id", ["date"]),
-        Lookup(dims["dim_time"], "time_id", ["time"]),
+        _time_lookup(dims["dim_time"]),
         Lookup(dims["dim_electrode_material"], "electrode_material_id", ["electrode_material"]),
         Lookup(dims["dim_operator"], "operator_id", ["operator_name"], mode="optional"),
         meta,

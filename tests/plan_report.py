@@ -68,12 +68,13 @@ def build_plans(spark, sf_dir):
     from cellstar.operators import dims as D
     from cellstar.operators.lookup import Lookup, resolve_keys
     from cellstar.plans.catalog import star_for
+    from cellstar.plans.star import _TS_MICROS_OF_DAY, _time_lookup
     st = star_for(spark, sf_dir)
-    lookups = resolve_keys(st.silver_dat, [
+    lookups = resolve_keys(st.silver_dat.selectExpr("*", f"{_TS_MICROS_OF_DAY} AS time_us"), [
         Lookup(st.dim_machine, "machine_id", ["machine_name"]),
         Lookup(st.dim_measurement, "measurement_id", ["measurement_name"]),
         Lookup(st.dim_date, "date_id", ["date"]),
-        Lookup(st.dim_time, "time_id", ["time"]),
+        _time_lookup(st.dim_time),
         Lookup(st.dim_electrode_material, "electrode_material_id", ["electrode_material"]),
         Lookup(st.dim_operator, "operator_id", ["operator_name"], mode="optional"),
         Lookup(st.dim_dat_metadata, "dat_metadata_id", D.DAT_METADATA_KEY, mode="null_safe")])
