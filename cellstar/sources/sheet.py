@@ -28,6 +28,7 @@ NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
       "p": "http://schemas.openxmlformats.org/package/2006/relationships"}
 _CELL_REF = re.compile(r"([A-Z]+)(\d+)")
+BATCH_ROWS = 50_000  # rows per Arrow batch handed back to Spark
 
 
 def _col_index(ref: str) -> int:
@@ -62,33 +63,42 @@ def _sheet_path(z: zipfile.ZipFile, sheet_name: str | None) -> str:
     return target.lstrip("/") if target.startswith("/") else "xl/" + target
 
 
-def sheet_rows(content: bytes, sheet_name: str | None = "Sheet1") -> list[list[str | None]]:
-    """All rows of one sheet as text cells (shared, inline and plain strings,
-    numbers as written, booleans as TRUE/FALSE)."""
+def iter_sheet_rows(content: bytes, sheet_name: str | None = "Sheet1"):
+    """Yield the rows of one sheet as text cells (shared, inline and plain
+    strings, numbers as written, booleans as TRUE/FALSE). The sheet XML is
+    parsed as a stream and each row is released once read, so memory stays
+    bounded by one row, not by the sheet."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         shared: list[str] = []
         if "xl/sharedStrings.xml" in z.namelist():
             sst = ET.fromstring(z.read("xl/sharedStrings.xml"))
             shared = ["".join(t.text or "" for t in si.iter(f"{{{NS['m']}}}t")) for si in sst.findall("m:si", NS)]
-        root = ET.fromstring(z.read(_sheet_path(z, sheet_name)))
-    out: list[list[str | None]] = []
-    for row in root.iterfind("m:sheetData/m:row", NS):
-        cells: dict[int, str | None] = {}
-        for c in row.findall("m:c", NS):
-            t = c.get("t")
-            if t == "inlineStr":
-                val = "".join(x.text or "" for x in c.iter(f"{{{NS['m']}}}t"))
-            else:
-                v = c.find("m:v", NS)
-                val = None if v is None else v.text
-                if t == "s" and val is not None:
-                    val = shared[int(val)]
-                elif t == "b" and val is not None:
-                    val = "TRUE" if val == "1" else "FALSE"
-            cells[_col_index(c.get("r"))] = val
-        width = max(cells) + 1 if cells else 0
-        out.append([cells.get(i) for i in range(width)])
-    return out
+        row_tag, c_tag = f"{{{NS['m']}}}row", f"{{{NS['m']}}}c"
+        with z.open(_sheet_path(z, sheet_name)) as fh:
+            for _, el in ET.iterparse(fh, events=("end",)):
+                if el.tag != row_tag:
+                    continue
+                cells: dict[int, str | None] = {}
+                for c in el.iter(c_tag):
+                    t = c.get("t")
+                    if t == "inlineStr":
+                        val = "".join(x.text or "" for x in c.iter(f"{{{NS['m']}}}t"))
+                    else:
+                        v = c.find("m:v", NS)
+                        val = None if v is None else v.text
+                        if t == "s" and val is not None:
+                            val = shared[int(val)]
+                        elif t == "b" and val is not None:
+                            val = "TRUE" if val == "1" else "FALSE"
+                    cells[_col_index(c.get("r"))] = val
+                el.clear()
+                width = max(cells) + 1 if cells else 0
+                yield [cells.get(i) for i in range(width)]
+
+
+def sheet_rows(content: bytes, sheet_name: str | None = "Sheet1") -> list[list[str | None]]:
+    """All rows of one sheet (see ``iter_sheet_rows``)."""
+    return list(iter_sheet_rows(content, sheet_name))
 
 
 def read_sheets(files: DataFrame, columns: list[str], sheet_name: str | None = "Sheet1",
@@ -104,25 +114,39 @@ def read_sheets(files: DataFrame, columns: list[str], sheet_name: str | None = "
                          StructField("error", StringType())]
                         + [StructField(c, StringType()) for c in columns])
 
+    names = schema.fieldNames()
+
     def parse(batches):
+        out: list[dict] = []
         for pdf in batches:
-            out = []
             for path, content in zip(pdf["path"], pdf["content"]):
+                done = []
                 try:
-                    rows = sheet_rows(bytes(content), sheet_name)
-                    header = rows[0] if rows else []
+                    rows = iter_sheet_rows(bytes(content), sheet_name)
+                    header = next(rows, [])
                     pos = {name: i for i, name in enumerate(header) if name is not None}
-                    for n, r in enumerate(rows[1:], start=1):
+                    for n, r in enumerate(rows, start=1):
                         rec = {"source": path, "row_no": n, "error": None}
                         for c in columns:
                             i = pos.get(c)
                             v = r[i] if i is not None and i < len(r) else None
                             rec[c] = fill_text if v is None and fill_text is not None else v
-                        out.append(rec)
-                except Exception as e:  # A15: report the workbook, keep going
+                        done.append(rec)
+                        if len(done) >= BATCH_ROWS:       # bounded batches, even for one huge sheet
+                            out.extend(done)
+                            done = []
+                            yield pd.DataFrame(out, columns=names)
+                            out = []
+                    out.extend(done)
+                except Exception as e:  # A15: report the workbook, keep going (rows already sent stay)
+                    out.extend(done)
                     out.append({"source": path, "row_no": None, "error": f"{type(e).__name__}: {e}",
                                 **{c: None for c in columns}})
-            yield pd.DataFrame(out, columns=schema.fieldNames())
+                if len(out) >= BATCH_ROWS:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+        if out:
+            yield pd.DataFrame(out, columns=names)
 
     return files.select("path", "content").mapInPandas(parse, schema)
 
