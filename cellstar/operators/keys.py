@@ -65,7 +65,7 @@ def dense_keys(df: DataFrame, order_by: list[str], key_col: str, base: int = 0,
                             for x in (F.lit(r["_file"]), F.lit(s + base))]) if files else None
     if offset is None:
         return remember_rows(
-            staged.select(F.lit(None).cast("bigint").alias(key_col), *staged.columns).limit(0), 0)
+            staged.select(F.lit(None).cast("bigint").alias(key_col), *staged.columns).where(F.lit(False)), 0)
     key = (F.element_at(offset, F.col("_file")) + F.col("_row") + F.lit(1)).cast("bigint")
     out = with_pos.select(key.alias(key_col), *staged.columns)
     return remember_rows(out, sum(r["count"] for r in files))
