@@ -15,6 +15,7 @@ instead of recomputing the shuffle, and every re-read sees the same rows.
 
 from __future__ import annotations
 
+import re
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
@@ -59,16 +60,36 @@ def dense_keys(df: DataFrame, order_by: list[str], key_col: str, base: int = 0,
         F.col("_metadata.row_index").alias("_row"),
     )
     counts = with_pos.groupBy("_file").count().collect()  # one row per staged file
-    files = sorted(counts, key=lambda r: r["_file"])
-    starts = [0] + list(accumulate(r["count"] for r in files))[:-1]
-    offset = F.create_map(*[x for r, s in zip(files, starts)
-                            for x in (F.lit(r["_file"]), F.lit(s + base))]) if files else None
-    if offset is None:
+    files = sorted(counts, key=lambda r: _file_order(r["_file"]))
+    if not files:
         return remember_rows(
             staged.select(F.lit(None).cast("bigint").alias(key_col), *staged.columns).where(F.lit(False)), 0)
-    key = (F.element_at(offset, F.col("_file")) + F.col("_row") + F.lit(1)).cast("bigint")
-    out = with_pos.select(key.alias(key_col), *staged.columns)
-    return remember_rows(out, sum(r["count"] for r in files))
+    starts = [s + base for s in [0] + list(accumulate(r["count"] for r in files))[:-1]]
+    total = sum(r["count"] for r in files)
+    if len(files) <= MAP_LITERAL_MAX_FILES:
+        offset = F.create_map(*[x for r, s in zip(files, starts) for x in (F.lit(r["_file"]), F.lit(s))])
+        key = (F.element_at(offset, F.col("_file")) + F.col("_row") + F.lit(1)).cast("bigint")
+        return remember_rows(with_pos.select(key.alias(key_col), *staged.columns), total)
+    # Many files: offsets as a small table (one row per file) joined by broadcast.
+    offsets = df.sparkSession.createDataFrame([(r["_file"], s) for r, s in zip(files, starts)],
+                                              "_file string, _offset bigint")
+    key = (F.col("_offset") + F.col("_row") + F.lit(1)).cast("bigint")
+    out = with_pos.join(F.broadcast(offsets), "_file").select(key.alias(key_col), *staged.columns)
+    return remember_rows(out, total)
+
+
+MAP_LITERAL_MAX_FILES = 2000
+_PART = re.compile(r"part-(\d+)(?:-.*?-c(\d+))?")
+
+
+def _file_order(name: str) -> tuple:
+    """Write order of a staged file: task partition number, then the file
+    counter inside the task (``part-00012-<uuid>-c001``). Numeric, so
+    ``part-100000`` follows ``part-99999``."""
+    m = _PART.search(name)
+    if not m:
+        return (float("inf"), 0, name)
+    return (int(m.group(1)), int(m.group(2) or 0), name)
 
 
 def remember_rows(df: DataFrame, n: int) -> DataFrame:

@@ -91,3 +91,19 @@ def test_broadcast_only_under_both_limits(spark):
     assert hinted(broadcast_if_small(df, rows=1000))
     assert not hinted(broadcast_if_small(df, rows=3_000_000))             # too many rows
     assert not hinted(broadcast_if_small(df, rows=1000, max_bytes=1000))  # too many bytes
+
+
+def test_file_order_is_numeric():
+    from cellstar.operators.keys import _file_order
+    names = ["part-100000-u-c000.snappy.parquet", "part-99999-u-c001.snappy.parquet",
+             "part-99999-u-c000.snappy.parquet", "part-00002-u-c000.snappy.parquet"]
+    assert sorted(names, key=_file_order) == [names[3], names[2], names[1], names[0]]
+
+
+def test_dense_keys_many_files_path(spark, monkeypatch):
+    from cellstar.operators import keys as KEYS
+    monkeypatch.setattr(KEYS, "MAP_LITERAL_MAX_FILES", 1)
+    df = spark.range(0, 3000).select((F.col("id") * 37 % 3001).alias("v"))
+    keyed = KEYS.dense_keys(df, ["v"], "k", base=5, partitions=6)
+    expect = df.select((F.row_number().over(Window.orderBy("v")) + 5).alias("k"), "v")
+    assert sorted(keyed.collect()) == sorted(expect.collect())
