@@ -496,3 +496,22 @@ def preview(spark, sf_dir):
         .select(F.lit(t).alias("table_name"), "key")
         for t, sets in UNIQUE_KEYS.items()])
 
+
+
+@register("fact_incremental", star_sql("""
+select cast(row_number() over (order by cast(ms.measurement_name as bigint) % 4, ms.measurement_name,
+         f.timestamp) as bigint) as fact_dat_measurement_id,
+  f.measurement_id, f.timestamp, f.voltage_v, f.operator_id
+from fact_dat_measurements f join dim_measurement ms using (measurement_id)"""))
+def fact_incremental(spark, sf_dir):
+    """The machine 2 fact loaded in two batches (measurements numbered
+    1 then 3 modulo 4); the second batch's keys continue after the first's
+    maximum, as a table that is kept and grows."""
+    from cellstar.plans.star import build_fact_dat
+    st = star_for(spark, sf_dir)
+    dims = {k: v for k, v in st.tables().items() if k.startswith("dim_")}
+    num = F.col("measurement_name").cast("bigint") % 4
+    first = build_fact_dat(st.silver_dat.filter(num == 1), dims)
+    second = build_fact_dat(st.silver_dat.filter(num == 3), dims, existing=first)
+    cols = ["fact_dat_measurement_id", "measurement_id", "timestamp", "voltage_v", "operator_id"]
+    return first.select(*cols).unionByName(second.select(*cols))
