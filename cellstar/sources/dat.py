@@ -132,9 +132,13 @@ def parse_files(files: DataFrame, name_col: str | None = None) -> DataFrame:
         "filter(CASE WHEN marker_pos > 0 THEN slice(lines, marker_pos + 2, greatest(size(lines), 1)) END, "
         "l -> length(trim(l)) > 0) AS body",
         "CASE WHEN marker_pos = 0 THEN 'no measurement data marker' END AS _e1")
+    # a table line with more cells than the column line makes the whole file
+    # unreadable, as a CSV reader reports it; fewer cells are missing values
+    too_wide = "exists(body, l -> size(split(l, '\\t')) > size(columns))"
     return parsed.selectExpr(
         "source", "file_stem", "header", "columns", "body",
-        "coalesce(_e1, CASE WHEN columns IS NULL OR size(columns) = 0 THEN 'no column line' END) AS error")
+        "coalesce(_e1, CASE WHEN columns IS NULL OR size(columns) = 0 THEN 'no column line' END, "
+        f"CASE WHEN {too_wide} THEN 'row with more cells than columns' END) AS error")
 
 
 def parse_dat(files: DataFrame, name_col: str | None = None) -> DataFrame:

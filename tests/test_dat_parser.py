@@ -36,12 +36,13 @@ def test_header_rules_and_rows(spark):
 def test_bad_files_are_quarantined_and_others_continue(spark):
     good = "Operator:\tX\nMeasurement Data:\n" + COLS + "\n2024-01-01 00:00:01.000000\t1\t1\t1\t1\t1\t1\t1\t1\t1\t1\t1\t1\t1\t1\n"
     docs = {"ok": good, "nomarker": "Operator:\tX\nfoo: bar\n", "nocols": "Operator:\tX\nMeasurement Data:",
-            "empty": ""}
+            "empty": "", "wide": good + "2024-01-01 00:00:02.000000" + "\t1" * 15 + "\n"}
     out = {r.file_stem: r for r in parse_dat(files(spark, docs)).collect()}
     assert out["ok"].status == "ok"
     assert out["nomarker"].status == "quarantined" and out["nomarker"].error == "no measurement data marker"
     assert out["nocols"].status == "quarantined" and out["nocols"].error == "no column line"
     assert out["empty"].status == "quarantined"
+    assert out["wide"].status == "quarantined" and out["wide"].error == "row with more cells than columns"
 
 
 def test_repeated_key_last_wins_under_strict_map_policy(spark):
