@@ -32,6 +32,10 @@ MACHINE1_DEFAULT_OPERATOR = "Operator_2d226185_e3f33b7d"
 MACHINE1_DEFAULT_MATERIAL = "1"
 DEFAULT_OPERATOR_LEVEL = "medium"
 
+# Fact keys follow this order; the source table (file) breaks ties between files
+# of one measurement whose line numbers coincide.
+FACT_ORDER = ["measurement_name", "timestamp", "record_id", "table_name"]
+
 FACT_EXCEL_COLUMNS = [
     "fact_excel_measurement_id", "machine_id", "measurement_id", "timestamp", "date_id", "time_id",
     "electrode_material_id", "voltage_v", "current_a", "time_in_step", "record_id", "cycle",
@@ -187,7 +191,7 @@ def build_fact_excel(s1: DataFrame, dims: dict, existing: DataFrame | None = Non
         Lookup(dims["dim_electrode_material"], "electrode_material_id", ["electrode_material"]),
         Lookup(dims["dim_operator"], "operator_id", ["operator_name"]),
     ])
-    keyed = dense_keys(f, ["measurement_name", "timestamp", "record_id"], "fact_excel_measurement_id",
+    keyed = dense_keys(f, FACT_ORDER, "fact_excel_measurement_id",
                        base=next_key(existing, "fact_excel_measurement_id"), name="fact_excel")
     return remember_rows(keyed.select(*FACT_EXCEL_COLUMNS), known_rows(keyed))
 
@@ -211,7 +215,7 @@ def build_fact_dat(s2: DataFrame, dims: dict, existing: DataFrame | None = None,
         Lookup(dims["dim_operator"], "operator_id", ["operator_name"], mode="optional"),
         meta,
     ])
-    keyed = dense_keys(f, ["measurement_name", "timestamp", "record_id"], "fact_dat_measurement_id",
+    keyed = dense_keys(f, FACT_ORDER, "fact_dat_measurement_id",
                        base=next_key(existing, "fact_dat_measurement_id"), name="fact_dat")
     return remember_rows(keyed.select(*FACT_DAT_COLUMNS), known_rows(keyed))
 
