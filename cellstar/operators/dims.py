@@ -1,10 +1,12 @@
 """Dimension building: distinct members, anti-join, dense keys, union.
 
-The reference inserts one member at a time after a point lookup. Here the new
-members of a batch are one ``left_anti`` join against the existing dimension
-(null-safe when the natural key may hold NULL), numbered after the existing
-maximum, and unioned with it. Running the builder twice -- machine 1, then
-machine 2 with ``existing=`` -- gives one shared key sequence.
+The reference inserts one member at a time after a point lookup. Here the
+members of all load batches (machine 1, then machine 2) are de-duplicated in
+one aggregation, a member belongs to the first batch it appears in, the ones
+already in an existing dimension are removed with one ``left_anti`` join
+(null-safe when the natural key may hold NULL), and the rest are numbered
+after the existing maximum in (batch, natural key) order -- the same keys a
+batch-by-batch load gives, which ``dim_incremental`` checks.
 """
 
 from __future__ import annotations
