@@ -70,12 +70,6 @@ def build_dimension(members: DataFrame | list[DataFrame], natural_key: list[str]
 
 # --- the seven dimensions of the star schema ---------------------------------
 
-def machine_members(tables: DataFrame, table_col: str = "table_name") -> DataFrame:
-    """N1 members: ``machine_<first digit>``; type equals the name."""
-    name = F.concat(F.lit("machine_"), F.substring(table_col, 1, 1))
-    return tables.select(name.alias("machine_name"), name.alias("machine_type"))
-
-
 def measurement_members(rows: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     """N2 members: first and last reading per measurement (F1), a partial aggregate."""
     return (rows.groupBy("measurement_name")
@@ -120,20 +114,3 @@ DAT_METADATA_KEY = [
     "current_density_mode", "current_density_value", "pump_speed_mode", "pump_speed_value",
     "experiment_running_time",
 ]
-
-
-def dat_metadata_members(dat: DataFrame) -> DataFrame:
-    """N7 members: the distinct typed header tuple of machine 2 files."""
-    from cellstar.functions.clean import to_decimal
-    return dat.select(
-        "diaphragm",
-        F.col("thickness").cast("bigint").alias("thickness"),
-        F.col("porosity").cast("bigint").alias("porosity"),
-        "electrolyte", "electrodes",
-        to_decimal("electrodes_area", 10, 3).alias("electrodes_area"),
-        "current_density_mode",
-        to_decimal("current_density_value", 10, 2).alias("current_density_value"),
-        "pump_speed_mode",
-        to_decimal("pump_speed_value", 10, 2).alias("pump_speed_value"),
-        to_decimal("experiment_running_time", 10, 2).alias("experiment_running_time"),
-    ).distinct()
