@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellstar.functions.clean import measurement_name, to_decimal
+from cellstar.plans import registry as _base  # noqa: F401  (q2_from_files reuses its oracle)
 from cellstar.plans.catalog import register
 from cellstar.plans.oracle import MEASURES, star_sql
 from cellstar.session import scratch_dir

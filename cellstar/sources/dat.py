@@ -120,21 +120,24 @@ def parse_files(files: DataFrame, name_col: str | None = None) -> DataFrame:
     kv = (f"transform(filter({head}, l -> instr(l, ':') > 0), l -> named_struct("
           f"'key', btrim(substring_index(l, ':', 1), {ws}), "
           f"'value', btrim(substring(l, instr(l, ':') + 1), {ws})))")
+    # A repeated key keeps its last value (independent of the session's map key
+    # policy): fold the entries into a map, replacing an earlier value. Lambdas
+    # here and below refer only to their own arguments, never to a computed
+    # column: when a filter on the result is pushed down, such a column would be
+    # re-expanded inside the lambda, once per element.
+    header = ("aggregate(_kv, CAST(map() AS MAP<STRING,STRING>), (acc, e) -> "
+              "map_concat(map_filter(acc, (k, v) -> k != e.key), map(e.key, e.value)))")
     base = base.selectExpr("*", f"{kv} AS _kv")
-    # a repeated key keeps its last value: keep entry i only if it is the key's
-    # last occurrence (independent of the session's map key policy)
-    last_only = ("filter(_kv, (e, i) -> i = size(_kv) - "
-                 "array_position(reverse(transform(_kv, x -> x.key)), e.key))")
     parsed = base.selectExpr(
         "source", "file_stem",
-        f"map_from_entries({last_only}) AS header",
+        f"{header} AS header",
         "split(CASE WHEN marker_pos > 0 THEN try_element_at(lines, marker_pos + 1) END, '\\t') AS columns",
         "filter(CASE WHEN marker_pos > 0 THEN slice(lines, marker_pos + 2, greatest(size(lines), 1)) END, "
         "l -> length(trim(l)) > 0) AS body",
         "CASE WHEN marker_pos = 0 THEN 'no measurement data marker' END AS _e1")
     # a table line with more cells than the column line makes the whole file
     # unreadable, as a CSV reader reports it; fewer cells are missing values
-    too_wide = "exists(body, l -> size(split(l, '\\t')) > size(columns))"
+    too_wide = "coalesce(array_max(transform(body, l -> size(split(l, '\\t')))), 0) > size(columns)"
     return parsed.selectExpr(
         "source", "file_stem", "header", "columns", "body",
         "coalesce(_e1, CASE WHEN columns IS NULL OR size(columns) = 0 THEN 'no column line' END, "
@@ -183,8 +186,9 @@ def _lit(text: str) -> str:
 
 
 def dat_rows_from_files(parsed: DataFrame) -> DataFrame:
-    """The readable rows of a ``parse_dat`` result."""
-    return parsed.filter((F.col("status") == "ok") & F.col("line_no").isNotNull())
+    """The readable rows of a ``parse_dat`` result: rows with a line number
+    (a quarantined file explodes to one row without one)."""
+    return parsed.filter(F.col("line_no").isNotNull())
 
 
 def ingest_status(parsed: DataFrame) -> DataFrame:

@@ -58,3 +58,38 @@ def test_header_map_only_before_marker(spark):
     text = "A: 1\nMeasurement Data:\n" + COLS + "\nB: 2\n"
     r = parse_files(files(spark, {"f": text})).first()
     assert r.header == {"A": "1"}
+
+
+def _lambda_bodies(plan: str):
+    i = 0
+    while True:
+        i = plan.find("lambdafunction(", i)
+        if i < 0:
+            return
+        depth, j = 0, i + len("lambdafunction")
+        while j < len(plan):
+            depth += {"(": 1, ")": -1}.get(plan[j], 0)
+            j += 1
+            if depth == 0:
+                break
+        yield plan[i:j]
+        i = j
+
+
+def test_pushed_filters_never_reparse_inside_a_lambda(spark):
+    """A filter on a parse result is pushed down to the scan with the parse
+    inlined; no lambda may then contain the file decode (that would re-parse
+    the whole file once per line)."""
+    from pyspark.sql import functions as F
+
+    from cellstar.sources.dat import dat_rows_from_files, ingest_status
+    text = "Operator:\tX\nMeasurement Data:\n" + COLS + "\n" + "2024-01-01 00:00:01.000000\t1\n" * 3
+    df = files(spark, {"a": text, "b": "no marker"})
+    parsed = parse_dat(df)
+    frames = [dat_rows_from_files(parsed),
+              ingest_status(parsed).filter(F.col("status") == "quarantined"),
+              parse_files(df).filter(F.col("error").isNull())]
+    for f in frames:
+        plan = f._jdf.queryExecution().optimizedPlan().toString()
+        assert not [b for b in _lambda_bodies(plan) if "decode" in b]
+    assert dat_rows_from_files(parsed).count() == 3
