@@ -1,9 +1,9 @@
 """Table sinks: create, append, replace and publish.
 
-Tables are Parquet folders (no table-format add-on is present); the format is
-a parameter, and ``saveAsTable`` is used when a catalog is configured. Publish
-overwrites each table as a whole, so running it twice leaves the same tables
--- the reference's append-on-rerun duplicates cannot happen.
+Tables are folders in a file format given as a parameter (Parquet here; no
+table-format add-on is present). Publish overwrites each table as a whole, so
+running it twice leaves the same tables -- the reference's append-on-rerun
+duplicates cannot happen.
 """
 
 from __future__ import annotations
