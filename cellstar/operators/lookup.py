@@ -98,11 +98,3 @@ def resolve(fact: DataFrame, lookup: Lookup) -> DataFrame:
 def resolve_keys(fact: DataFrame, lookups: list[Lookup]) -> DataFrame:
     """Apply the lookups in order; each adds one key column."""
     return reduce(resolve, lookups, fact)
-
-
-def unresolved(fact: DataFrame, lookup: Lookup) -> DataFrame:
-    """K4/E1 check: fact rows a strict lookup would lose (left_anti)."""
-    right = lookup.right()
-    cond = reduce(lambda a, b: a & b,
-                  [fact[c] == right[f"__lk_{i}"] for i, c in enumerate(lookup.fact_cols)])
-    return fact.join(right, cond, "left_anti")
