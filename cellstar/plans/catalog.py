@@ -7,6 +7,7 @@ reused by every query that reads it, as queries on a published warehouse do.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_STAR_CACHE: dict[tuple, object] = {}
+_CACHE: dict[tuple, object] = {}
+_LOCK = threading.RLock()
 
 
 def register(name: str, oracle: str | None = None):
@@ -28,22 +30,34 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def memo(kind: str, spark: SparkSession, sf_dir: str, build: Callable[[], object], *extra):
+    """Build an artefact (a written table, rendered files, the star schema) once
+    per session, input folder and kind. Callers on several threads wait for one
+    build instead of repeating it."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir.rstrip("/"), *extra)
+    with _LOCK:
+        if key not in _CACHE:
+            _CACHE[key] = build()
+        return _CACHE[key]
+
+
 def star_for(spark: SparkSession, sf_dir: str, metadata_lookup: str = "full"):
-    """The star schema built from the readings of ``sf_dir`` (cached per session)."""
+    """The star schema built from the readings of ``sf_dir`` (once per session)."""
+    from cellstar.operators.keys import stage
     from cellstar.plans.star import build_star
     from cellstar.sources import fixtures as fx
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), metadata_lookup)
-    if key not in _STAR_CACHE:
-        from cellstar.operators.keys import stage
+    def build():
         rd = stage(fx.readings(spark, sf_dir), "bronze_readings")
-        _STAR_CACHE[key] = build_star(fx.sheet_rows(rd), fx.dat_rows(rd), fx.metadata_rows(rd),
-                                      metadata_lookup=metadata_lookup)
-    return _STAR_CACHE[key]
+        return build_star(fx.sheet_rows(rd), fx.dat_rows(rd), fx.metadata_rows(rd),
+                          metadata_lookup=metadata_lookup)
+
+    return memo("star", spark, sf_dir, build, metadata_lookup)
 
 
 def clear_cache() -> None:
-    _STAR_CACHE.clear()
+    with _LOCK:
+        _CACHE.clear()
 
 
 def load_all() -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cellstar.functions.clean import measurement_name, to_decimal
 from cellstar.plans import registry as _base  # noqa: F401  (q2_from_files reuses its oracle)
-from cellstar.plans.catalog import register
+from cellstar.plans.catalog import memo, register
 from cellstar.plans.oracle import MEASURES, star_sql
 from cellstar.session import scratch_dir
 from cellstar.sources import dat as DAT
@@ -14,19 +14,14 @@ from cellstar.sources import files as FL
 from cellstar.sources import fixtures as fx
 from cellstar.sources.fixtures import DAT_HEADER_FIELDS, DAT_HEADER_KEYS
 
-_LANDED: dict[tuple, str] = {}
-
-
 def landed_dat_root(spark, sf_dir) -> str:
     """Render the machine 2 files of ``sf_dir`` once per session (plus the
     header-only copies that must be quarantined) and return their folder."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _LANDED:
+    def build():
         dat = fx.dat_rows(fx.readings(spark, sf_dir))
         root = scratch_dir(spark, "landing-dat")
-        DAT.write_dat_files(DAT.dat_lines(dat).unionByName(DAT.broken_lines(dat)), root)
-        _LANDED[key] = root
-    return _LANDED[key]
+        return DAT.write_dat_files(DAT.dat_lines(dat).unionByName(DAT.broken_lines(dat)), root)
+    return memo("landing-dat", spark, sf_dir, build)
 
 
 def parsed_dat(spark, sf_dir):
@@ -116,17 +111,13 @@ def file_manifest(spark, sf_dir):
     return FL.manifest(spark, root, glob="*.csv").select("path", "length")
 
 
-_BRONZE: dict[tuple, str] = {}
-
-
-def bronze_root(spark, sf_dir) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _BRONZE:
+def bronze_root(spark, sf_dir):
+    def build():
         path = scratch_dir(spark, "bronze-dat")
         rows = dat_ingest(spark, sf_dir)
         rows.write.mode("errorifexists").partitionBy("measurement_name").parquet(path)
-        _BRONZE[key] = (path, rows.schema)
-    return _BRONZE[key]
+        return path, rows.schema
+    return memo("bronze-dat", spark, sf_dir, build)
 
 
 def read_bronze(spark, sf_dir):
@@ -233,29 +224,27 @@ def one_measurement(spark, sf_dir, prefix: str = "2001"):
 
 from cellstar.plans.warehouse import METADATA_COLUMNS, SHEET_COLUMNS, SHEET_NUMERIC  # noqa: E402
 
-_WORKBOOKS: dict[tuple, object] = {}
-
-
 def landed_workbooks(spark, sf_dir, kind: str = "sheet"):
     """Workbooks rendered from the tables, kept as a (path, content) table in
     the shared scratch folder (the shape a ``binaryFile`` scan returns)."""
+    return memo("workbooks", spark, sf_dir, lambda: _render_workbooks(spark, sf_dir, kind), kind)
+
+
+def _render_workbooks(spark, sf_dir, kind):
     from cellstar.operators.keys import stage
     from cellstar.sources import sheet as SH
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
-    if key not in _WORKBOOKS:
-        rd = fx.readings(spark, sf_dir)
-        if kind == "sheet":
-            rows = fx.sheet_rows(rd)
-            f = F.concat(measurement_name("table_name"), F.lit("_"), F.date_format("timestamp", "yyyyMM"))
-            wb = SH.render_workbooks(rows.withColumn("_f", f), "_f", SHEET_COLUMNS, SHEET_NUMERIC,
-                                     ["timestamp", "record_ID"])
-        else:
-            rows = fx.metadata_rows(rd)
-            wb = SH.render_workbooks(rows.withColumn("_f", F.concat(F.lit("metadata_"), F.col("machine_name"))),
-                                     "_f", METADATA_COLUMNS, set(), ["json_name"], folder="raw-data/metadata",
-                                     sheet="metadata")
-        _WORKBOOKS[key] = stage(wb, f"landing-{kind}")
-    return _WORKBOOKS[key]
+    rd = fx.readings(spark, sf_dir)
+    if kind == "sheet":
+        rows = fx.sheet_rows(rd)
+        f = F.concat(measurement_name("table_name"), F.lit("_"), F.date_format("timestamp", "yyyyMM"))
+        wb = SH.render_workbooks(rows.withColumn("_f", f), "_f", SHEET_COLUMNS, SHEET_NUMERIC,
+                                 ["timestamp", "record_ID"])
+    else:
+        rows = fx.metadata_rows(rd)
+        wb = SH.render_workbooks(rows.withColumn("_f", F.concat(F.lit("metadata_"), F.col("machine_name"))),
+                                 "_f", METADATA_COLUMNS, set(), ["json_name"], folder="raw-data/metadata",
+                                 sheet="metadata")
+    return stage(wb, f"landing-{kind}")
 
 
 @register("sheet_ingest", star_sql("""
@@ -299,19 +288,16 @@ def streaming_ingest(spark, sf_dir):
     return typed_dat(rows)
 
 
-_WAREHOUSE: dict[tuple, object] = {}
-
-
 def warehouse_from_files(spark, sf_dir):
     """The star schema built only from the landed files (``.dat``, machine 1
     workbooks, metadata workbooks) -- broken files are quarantined, not loaded."""
     from cellstar.plans.warehouse import build_warehouse
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _WAREHOUSE:
+
+    def build():
         dat_files = DAT.read_dat_files(spark, landed_dat_root(spark, sf_dir))
-        _WAREHOUSE[key] = build_warehouse(dat_files, landed_workbooks(spark, sf_dir, "sheet"),
-                                          landed_workbooks(spark, sf_dir, "metadata"))
-    return _WAREHOUSE[key]
+        return build_warehouse(dat_files, landed_workbooks(spark, sf_dir, "sheet"),
+                               landed_workbooks(spark, sf_dir, "metadata"))
+    return memo("warehouse", spark, sf_dir, build)
 
 
 def _q2_sql():

@@ -10,7 +10,7 @@ from cellstar.operators import dims as D
 from cellstar.operators import metadata as META
 from cellstar.operators import pseudonym as P
 from cellstar.operators.lookup import Lookup, resolve_keys
-from cellstar.plans.catalog import register, star_for
+from cellstar.plans.catalog import memo, register, star_for
 from cellstar.plans.oracle import MEASURES, star_sql
 from cellstar.plans.registry_ingest import _LANDING, read_bronze
 from cellstar.session import scratch_dir
@@ -21,23 +21,18 @@ from cellstar.sources import fixtures as fx
 
 LOAD_TIME = "2024-02-01 00:00:00"          # fixed load time of the fixture documents
 SALT = "cellstar-fixture-salt"             # pseudonym salt of the fixture run
-_key = lambda spark, sf_dir: (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
 
 # --- metadata documents ---------------------------------------------------------------
 
-_DOCS: dict[tuple, str] = {}
-
-
 def _docs(spark, sf_dir, batch=1):
     rows = fx.metadata_rows(fx.readings(spark, sf_dir), batch=batch)
     return META.documents(rows, F.lit(LOAD_TIME).cast("timestamp_ntz"))
 
 
 def stored_documents(spark, sf_dir):
-    k = _key(spark, sf_dir)
-    if k not in _DOCS:
-        _DOCS[k] = META.write_documents(_docs(spark, sf_dir), scratch_dir(spark, "documents"))
-    return META.read_documents(spark, _DOCS[k])
+    path = memo("documents", spark, sf_dir,
+                lambda: META.write_documents(_docs(spark, sf_dir), scratch_dir(spark, "documents")))
+    return META.read_documents(spark, path)
 
 
 def upserted_documents(spark, sf_dir):
@@ -113,20 +108,14 @@ def metadata_enrich(spark, sf_dir):
 
 # --- pseudonymisation --------------------------------------------------------------------
 
-_RAW: dict[tuple, str] = {}
-
-
 def raw_texts(spark, sf_dir):
     """Machine 2 files as they come from the lab: real operator names
     (``Tech <letter>``), read back as whole texts."""
-    k = _key(spark, sf_dir)
-    if k not in _RAW:
+    def build():
         dat = fx.dat_rows(fx.readings(spark, sf_dir))
         real = F.concat(F.lit("Tech "), F.expr("chr(65 + cast(substring_index(operator, '_', -1) as int))"))
-        root = scratch_dir(spark, "raw-dat")
-        DAT.write_dat_files(DAT.dat_lines(dat.withColumn("operator", real)), root)
-        _RAW[k] = root
-    files = DAT.read_dat_files(spark, _RAW[k])
+        return DAT.write_dat_files(DAT.dat_lines(dat.withColumn("operator", real)), scratch_dir(spark, "raw-dat"))
+    files = DAT.read_dat_files(spark, memo("raw-dat", spark, sf_dir, build))
     return files.select("file_stem", F.decode("content", DAT.ENCODING).alias("text"))
 
 
