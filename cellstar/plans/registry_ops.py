@@ -321,15 +321,16 @@ def dim_incremental(spark, sf_dir):
         "dim_measurement": D.measurement_members, "dim_date": D.date_members, "dim_time": D.time_members,
         "dim_operator": D.operator_members, "dim_electrode_material": D.material_members,
     }
-    parts = []
-    for t, k, nk in _DIM_KEYS:
-        if not nk:
-            continue
+    from cellstar.plans.concurrent import run_concurrently
+
+    def two_loads(t, k, nk):
         first = D.build_dimension(members[t](s1), [nk], k, name=f"{t}-m1")
         both = D.build_dimension(members[t](s2), [nk], k, existing=first, name=f"{t}-m2")
-        parts.append(both.select(F.lit(t).alias("dimension"), F.col(k).alias("key"),
-                                 F.col(nk).cast("string").alias("natural_key")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        return both.select(F.lit(t).alias("dimension"), F.col(k).alias("key"),
+                           F.col(nk).cast("string").alias("natural_key"))
+
+    built = run_concurrently({t: (lambda t=t, k=k, nk=nk: two_loads(t, k, nk)) for t, k, nk in _DIM_KEYS if nk})
+    return reduce(lambda a, b: a.unionByName(b), built.values())
 
 
 # --- joins ---------------------------------------------------------------------------------------
