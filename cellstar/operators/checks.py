@@ -61,15 +61,29 @@ def check_not_null(tables: dict[str, DataFrame], columns: dict[str, list[str]])
 
 def check_foreign_keys(tables: dict[str, DataFrame],
                        fks: list[tuple[str, str, str, str]]) -> DataFrame:
-    """K4: rows of a fact whose (non-NULL) reference has no dimension row (left anti join)."""
+    """K4: rows of a fact whose (non-NULL) reference has no dimension row.
+
+    One pass per fact: each referenced key set is left-joined (broadcast when
+    its size check passes) and all unmatched references are counted in one
+    aggregate, instead of one anti join -- and one fact scan -- per key.
+    """
+    from cellstar.operators.lookup import broadcast_if_small
+    by_fact: dict[str, list[tuple[int, str, str, str]]] = {}
+    for i, (fact, col, dim, dim_col) in enumerate(fks):
+        by_fact.setdefault(fact, []).append((i, col, dim, dim_col))
     parts = []
-    for fact, col, dim, dim_col in fks:
-        f = tables[fact].select(F.col(col).alias("_k")).filter(F.col("_k").isNotNull())
-        d = tables[dim].select(F.col(dim_col).alias("_k"))
-        missing = f.join(d, "_k", "left_anti")
-        parts.append(missing.agg(F.count(F.lit(1)).alias("n_missing")).select(
-            F.lit(fact).alias("table_name"), F.lit(col).alias("column_name"),
-            F.lit(dim).alias("referenced_table"), "n_missing"))
+    for fact, refs in by_fact.items():
+        f = tables[fact].select(*{col for _, col, _, _ in refs})
+        for i, col, dim, dim_col in refs:
+            keys = tables[dim].select(F.col(dim_col).alias(f"_k{i}")).distinct() \
+                .withColumn(f"_hit{i}", F.lit(True))
+            f = f.join(broadcast_if_small(keys), f[col] == keys[f"_k{i}"], "left").drop(f"_k{i}")
+        counts = f.agg(*[F.count_if(F.col(col).isNotNull() & F.col(f"_hit{i}").isNull()).alias(f"_m{i}")
+                         for i, col, _, _ in refs])
+        stack = F.explode(F.array(*[F.struct(F.lit(col).alias("column_name"), F.lit(dim).alias("referenced_table"),
+                                             F.col(f"_m{i}").alias("n_missing")) for i, col, dim, _ in refs]))
+        parts.append(counts.select(F.lit(fact).alias("table_name"), stack.alias("s"))
+                     .select("table_name", "s.column_name", "s.referenced_table", "s.n_missing"))
     return _union(parts)
 
 
