@@ -46,8 +46,8 @@ _META_FIELDS = ", ".join(META.DOC_FIELDS)
 
 
 @register("metadata_json", star_sql(
-    "select json_name, to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in META.DOC_FIELDS)
-    + ")) as json from meta"))
+    "select json_name, cast(to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in META.DOC_FIELDS)
+    + ")) as varchar) as json from meta"))
 def metadata_json(spark, sf_dir):
     """B2: JSON text per document, store fields left out."""
     return META.to_json_documents(_docs(spark, sf_dir))
@@ -232,7 +232,7 @@ def _tables(spark, sf_dir):
 
 @register("check_unique", star_sql(" union all ".join(
     f"select '{t}' as table_name, '{','.join(cols)}' as key_columns, cast(sum(c) as bigint) as n_rows, "
-    f"count(*) as n_keys, count_if(c > 1) as n_duplicate_keys "
+    f"count(*) as n_keys, cast(count_if(c > 1) as bigint) as n_duplicate_keys "
     f"from (select {', '.join(cols)}, count(*) as c from {t} group by all)"
     for t, sets in UNIQUE_KEYS.items() for cols in sets)))
 def check_unique(spark, sf_dir):
@@ -240,7 +240,7 @@ def check_unique(spark, sf_dir):
 
 
 @register("check_not_null", star_sql(" union all ".join(
-    f"select '{t}' as table_name, '{c}' as column_name, count_if({c} is null) as n_null from {t}"
+    f"select '{t}' as table_name, '{c}' as column_name, cast(count_if({c} is null) as bigint) as n_null from {t}"
     for t, cols in NOT_NULL.items() for c in cols)))
 def check_not_null(spark, sf_dir):
     return K.check_not_null(_tables(spark, sf_dir), NOT_NULL)
@@ -256,7 +256,8 @@ def check_foreign_keys(spark, sf_dir):
 
 @register("check_lengths", star_sql(" union all ".join(
     f"select '{t}' as table_name, '{c}' as column_name, {n} as \"limit\", "
-    f"cast(max(length({c})) as bigint) as max_length, count_if(length({c}) > {n}) as n_over from {t}"
+    f"cast(max(length({c})) as bigint) as max_length, cast(count_if(length({c}) > {n}) as bigint) as n_over "
+    f"from {t}"
     for t, cols in LENGTHS.items() for c, n in cols.items())))
 def check_lengths(spark, sf_dir):
     return K.check_lengths(_tables(spark, sf_dir), LENGTHS)
@@ -264,7 +265,7 @@ def check_lengths(spark, sf_dir):
 
 @register("check_decimal_range", star_sql(" union all ".join(
     f"select '{c}' as column_name, 'decimal({p},{s})' as target, "
-    f"count_if({c} is not null and {c} <> 'NAN' and try_cast({c} as decimal({p},{s})) is null) "
+    f"cast(count_if({c} is not null and {c} <> 'NAN' and try_cast({c} as decimal({p},{s})) is null) as bigint) "
     f"as n_out_of_range from dat"
     for c in MEASURES for p, s in DECIMAL_TARGETS)))
 def check_decimal_range(spark, sf_dir):

@@ -46,8 +46,8 @@ from readings"""))
 def round_half_up(spark, sf_dir):
     rd = fx.readings(spark, sf_dir)
     v = C.to_decimal("voltage_raw", 10, 4)
-    return rd.select("record_id", C.round_half_up(v, 4).alias("v_round4"),
-                     C.round_half_up(v, 1).alias("v_round1"), C.round_half_up(v, 0).alias("v_round0"))
+    return rd.select("record_id", *[C.round_half_up(v, k).cast(f"decimal(10,{k})").alias(f"v_round{k}")
+                                    for k in (4, 1, 0)])
 
 
 @register("milliamp_to_amp", star_sql("""

@@ -27,3 +27,15 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 4
     assert set(df.columns) >= {"electrode_material", "machine_name", "avg_voltage_v"}
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_result_types_match_oracle(spark, duck, name):
+    spark_types = {f.name: f.dataType.simpleString() for f in QUERIES[name](spark, SMALL).schema.fields}
+    duck_types = {d[0]: str(d[1]) for d in duck.execute(ORACLES[name]).description}
+    for col, t in spark_types.items():
+        assert duck_types.get(col) == SPARK_TO_DUCK.get(t, t.upper()), (name, col, t, duck_types.get(col))
