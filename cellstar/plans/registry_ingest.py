@@ -241,7 +241,9 @@ def _render_workbooks(spark, sf_dir, kind):
                                  ["timestamp", "record_ID"])
     else:
         rows = fx.metadata_rows(rd)
-        wb = SH.render_workbooks(rows.withColumn("_f", F.concat(F.lit("metadata_"), F.col("machine_name"))),
+        # one workbook per machine and block of 1,000 measurement numbers: bounded groups
+        block = F.floor(F.col("measurement_name").cast("bigint") / 1000).cast("string")
+        wb = SH.render_workbooks(rows.withColumn("_f", F.concat_ws("_", F.lit("metadata"), "machine_name", block)),
                                  "_f", METADATA_COLUMNS, set(), ["json_name"], folder="raw-data/metadata",
                                  sheet="metadata")
     return stage(wb, f"landing-{kind}")
