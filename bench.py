@@ -64,10 +64,19 @@ def main() -> None:
 
     run_all(sf_dir, timed)
 
+    # input volume, for throughput (not timed)
+    readings = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    from cellstar.sources import dat as DAT
+    landed = (DAT.read_dat_files(spark, RI.landed_dat_root(spark, sf_dir)).select("path").count()
+              + RI.landed_workbooks(spark, sf_dir, "sheet").count()
+              + RI.landed_workbooks(spark, sf_dir, "metadata").count())
+
     total = round(sum(timings.values()), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": timings,
                       "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf, "cpus": cpus,
+                      "readings": readings, "landed_files": landed,
+                      "readings_per_sec_from_files": round(readings / timings["warehouse_from_files"]),
                       "warmup": warm if warm and warm.rstrip("/") != sf_dir else None}))
     spark.stop()
 
