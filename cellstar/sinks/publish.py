@@ -43,9 +43,26 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
     return r.load(path)
 
 
-def publish(tables: dict[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, str]:
-    """Write the fixed list of star-schema tables under ``root``."""
-    return {name: replace_table(df, f"{root.rstrip('/')}/{name}", fmt) for name, df in tables.items()}
+# Facts are partitioned by date so date-bounded questions read only their days.
+DEFAULT_PARTITIONS = {"fact_excel_measurements": ["date_id"], "fact_dat_measurements": ["date_id"]}
+
+
+def publish(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
+            partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
+    """Write the fixed list of star-schema tables under ``root``.
+
+    Each table is replaced as a whole (static overwrite, also of partitioned
+    tables, so a partition that no longer has rows does not linger)."""
+    parts = DEFAULT_PARTITIONS if partition_by is None else partition_by
+    out = {}
+    for name, df in tables.items():
+        path = f"{root.rstrip('/')}/{name}"
+        w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
+        if parts.get(name):
+            w = w.partitionBy(*parts[name])
+        w.save(path)
+        out[name] = path
+    return out
 
 
 def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
