@@ -22,8 +22,9 @@ from pyspark.sql.types import DoubleType
 
 from cellstar.functions import clean as C
 from cellstar.operators import dims as D
+from cellstar.operators.metadata import enrich
 from cellstar.operators.keys import dense_keys, known_rows, next_key, remember_rows, stage
-from cellstar.operators.lookup import Lookup, broadcast_if_small, resolve_keys
+from cellstar.operators.lookup import Lookup, resolve_keys
 from cellstar.plans.concurrent import run_concurrently
 from cellstar.sources.fixtures import DAT_MEASURES
 
@@ -53,21 +54,11 @@ FACT_DAT_COLUMNS = [
 def enrich_with_metadata(rows: DataFrame, metadata: DataFrame | None) -> DataFrame:
     """E8 + C14: operator, level and material per measurement from the metadata
     documents (left join); the fixed machine 1 values are only defaults."""
+    defaults = {"operator_name": MACHINE1_DEFAULT_OPERATOR, "operator_level": DEFAULT_OPERATOR_LEVEL,
+                "electrode_material": MACHINE1_DEFAULT_MATERIAL}
     if metadata is None:
-        meta = None
-    else:
-        meta = broadcast_if_small(metadata.select(
-            "measurement_name",
-            F.col("operator_name").alias("_m_operator"),
-            F.col("operator_level").alias("_m_level"),
-            F.col("electrode_material").alias("_m_material")))
-    out = rows.join(meta, "measurement_name", "left") if meta is not None else rows.select(
-        "*", F.lit(None).cast("string").alias("_m_operator"),
-        F.lit(None).cast("string").alias("_m_level"), F.lit(None).cast("string").alias("_m_material"))
-    return (out.withColumn("operator_name", F.coalesce("_m_operator", F.lit(MACHINE1_DEFAULT_OPERATOR)))
-            .withColumn("operator_level", F.coalesce("_m_level", F.lit(DEFAULT_OPERATOR_LEVEL)))
-            .withColumn("electrode_material", F.coalesce("_m_material", F.lit(MACHINE1_DEFAULT_MATERIAL)))
-            .drop("_m_operator", "_m_level", "_m_material"))
+        return rows.select("*", *[F.lit(v).alias(c) for c, v in defaults.items()])
+    return enrich(rows, metadata, defaults)
 
 
 def clean_sheet(sheet: DataFrame) -> DataFrame:
