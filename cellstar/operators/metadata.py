@@ -72,8 +72,14 @@ def enrich(rows: DataFrame, docs: DataFrame, defaults: dict[str, str]) -> DataFr
     """Attach operator, level and material per measurement (left join),
     the fixed values only where no document names them."""
     from cellstar.operators.lookup import broadcast_if_small
-    meta = broadcast_if_small(docs.select(
-        "measurement_name", *[F.col(c).alias(f"_d_{c}") for c in defaults]))
+    # one document per measurement (the first by document name), so the join
+    # never multiplies readings when two documents name the same measurement
+    order = "json_name" if "json_name" in docs.columns else ("_id" if "_id" in docs.columns else None)
+    pick = F.struct(*[F.col(c) for c in defaults])
+    one = docs.groupBy("measurement_name").agg(
+        (F.min_by(pick, F.col(order)) if order else F.min(pick)).alias("_d"))
+    meta = broadcast_if_small(one.select(
+        "measurement_name", *[F.col(f"_d.{c}").alias(f"_d_{c}") for c in defaults]))
     out = rows.join(meta, "measurement_name", "left")
     for c, v in defaults.items():
         out = out.withColumn(c, F.coalesce(F.col(f"_d_{c}"), F.lit(v))).drop(f"_d_{c}")

@@ -219,8 +219,10 @@ def _check_all_rows_kept(silver: DataFrame, fact: DataFrame, name: str) -> None:
     n_in, n_out = silver.count(), known_rows(fact)
     if n_out is None:
         n_out = fact.count()
-    if n_in != n_out:
+    if n_out < n_in:
         raise UnresolvedKeyError(f"{name}: {n_in - n_out} of {n_in} rows found no dimension member")
+    if n_out > n_in:
+        raise UnresolvedKeyError(f"{name}: {n_out - n_in} extra rows -- a lookup matched more than one member")
 
 
 def build_star(sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None = None,

@@ -107,3 +107,12 @@ def test_dense_keys_many_files_path(spark, monkeypatch):
     keyed = KEYS.dense_keys(df, ["v"], "k", base=5, partitions=6)
     expect = df.select((F.row_number().over(Window.orderBy("v")) + 5).alias("k"), "v")
     assert sorted(keyed.collect()) == sorted(expect.collect())
+
+
+def test_enrich_takes_one_document_per_measurement(spark):
+    from cellstar.operators.metadata import enrich
+    rows = spark.createDataFrame([("m1", 1), ("m1", 2), ("m2", 3)], "measurement_name string, v int")
+    docs = spark.createDataFrame([("b", "m1", "op_b"), ("a", "m1", "op_a")],
+                                 "json_name string, measurement_name string, operator_name string")
+    got = sorted((r.v, r.operator_name) for r in enrich(rows, docs, {"operator_name": "dflt"}).collect())
+    assert got == [(1, "op_a"), (2, "op_a"), (3, "dflt")]
