@@ -36,24 +36,35 @@ def key_table(names: DataFrame, salt: str) -> DataFrame:
             .select("original", pseudonym(F.col("original"), salt).alias("pseudonym")))
 
 
-def replace_operators(texts: DataFrame, keys: DataFrame, text_col: str = "text") -> DataFrame:
+def replace_operators(texts: DataFrame, keys: DataFrame | None = None, text_col: str = "text",
+                      salt: str | None = None) -> DataFrame:
     """Replace each operator line's value by its pseudonym.
 
-    The per-file map of names is small (names in one file); it is joined to
-    the file and applied to its lines, so no global map reaches the driver.
+    With ``salt`` the pseudonym is computed on the line itself (the same salted
+    hash the key table holds): a narrow map, no join, no shuffle. With a
+    ``keys`` table (e.g. one kept from earlier runs) the names of each file are
+    looked up: the per-file map is small (names in one file) and joined to the
+    file, so no global map reaches the driver.
     """
+    lines = F.split(F.col(text_col), "\n")
+    eol = lambda line: F.when(line.endswith("\r"), F.lit("\r")).otherwise(F.lit(""))
+
+    if salt is not None:
+        def fix_hashed(line):
+            m = F.regexp_extract(line, OPERATOR_LINE, 1)
+            new = pseudonym(F.btrim(m, F.lit(" \t")), salt)
+            return F.when(F.length(m) > 0, F.concat(F.lit("Operator:\t"), new, eol(line))).otherwise(line)
+        return texts.select("*", F.array_join(F.transform(lines, fix_hashed), "\n").alias("pseudonymized"))
+
     per_file = (operator_names(texts, text_col).join(keys, "original")
                 .groupBy("file_stem").agg(F.map_from_entries(
                     F.collect_list(F.struct("original", "pseudonym"))).alias("names")))
-    lines = F.split(F.col(text_col), "\n")
 
     def fix(line):
         m = F.regexp_extract(line, OPERATOR_LINE, 1)
         new = F.element_at(F.col("names"), F.btrim(m, F.lit(" \t")))
         return F.when((F.length(m) > 0) & new.isNotNull(),
-                      F.concat(F.lit("Operator:\t"), new, F.when(line.endswith("\r"), F.lit("\r"))
-                               .otherwise(F.lit(""))))\
-            .otherwise(line)
+                      F.concat(F.lit("Operator:\t"), new, eol(line))).otherwise(line)
 
     out = texts.join(per_file, "file_stem", "left")
     return out.select("*", F.array_join(F.transform(lines, fix), "\n").alias("pseudonymized")).drop("names")

@@ -122,7 +122,7 @@ def raw_texts(spark, sf_dir):
 def _pseudonymized(spark, sf_dir):
     texts = raw_texts(spark, sf_dir)
     keys = P.key_table(P.operator_names(texts), SALT)
-    return P.replace_operators(texts, keys), keys
+    return P.replace_operators(texts, salt=SALT), keys
 
 
 _PSEUDO_SQL = f"""

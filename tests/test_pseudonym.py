@@ -18,3 +18,5 @@ def test_replace_whole_names_and_prefixes(spark):
     assert out["b"] == f"Operator:\t{k['Ann']}\r\nMeasurement Data:\r\n"
     again = {r.original: r.pseudonym for r in P.key_table(P.operator_names(texts), "s").collect()}
     assert again == k  # same salt, same pseudonyms on a re-run
+    hashed = {r.file_stem: r.pseudonymized for r in P.replace_operators(texts, salt="s").collect()}
+    assert hashed == out  # the narrow (no join) path gives the same texts
