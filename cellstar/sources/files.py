@@ -14,7 +14,7 @@ from cellstar.operators.keys import dense_keys
 
 # Accepted data-file extensions per machine and the numbering bases.
 MACHINE_EXTENSIONS = {"machine_1": [".xlsx", ".xls"], "machine_2": [".dat"]}
-SEQUENCE_BASE = {".xlsx": 1001, ".dat": 2001}
+SEQUENCE_BASE = {".ndax": 1001, ".xlsx": 1001, ".dat": 2001}
 
 
 def manifest(spark: SparkSession, root: str, glob: str | None = None,

@@ -36,3 +36,9 @@ def test_file_sequence_per_extension(spark):
     df = paths(spark, "m2/b.dat", "m1/z.xlsx", "m2/a.dat", "m1/y.xlsx", "m2/c.txt")
     got = {r.file_name: r.sequence for r in file_sequence(df).collect()}
     assert got == {"y.xlsx": 1001, "z.xlsx": 1002, "a.dat": 2001, "b.dat": 2002}
+
+
+def test_ndax_files_numbered_from_1001(spark):
+    df = paths(spark, "m1/b.ndax", "m1/a.NDAX", "m2/x.dat")
+    got = {r.file_name: r.sequence for r in file_sequence(df).collect()}
+    assert got == {"a.NDAX": 1001, "b.ndax": 1002, "x.dat": 2001}
