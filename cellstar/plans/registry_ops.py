@@ -138,13 +138,16 @@ select file_stem, original, 'Operator_' || substr(sha256('{SALT}' || original),
 def pseudonymize(spark, sf_dir):
     """M-1/C18: operator names replaced in whole file texts through a key table."""
     out, _ = _pseudonymized(spark, sf_dir)
-    names = P.operator_names(out.select("file_stem", F.col("pseudonymized").alias("text")))
-    orig = P.operator_names(out.select("file_stem", "text"))
-    return (orig.join(names.withColumnRenamed("original", "pseudonym"), "file_stem")
-            .join(out.select("file_stem", "pseudonymized"), "file_stem")
+    # the i-th operator line before and after replacement, paired on the same row
+    pairs = F.arrays_zip(F.regexp_extract_all("text", F.lit(P.OPERATOR_LINE), 1).alias("o"),
+                         F.regexp_extract_all("pseudonymized", F.lit(P.OPERATOR_LINE), 1).alias("p"))
+    rows = out.select("file_stem", "pseudonymized", F.explode(pairs).alias("pair"))
+    return (rows.select("file_stem", F.btrim("pair.o", F.lit(" \t")).alias("original"),
+                        F.btrim("pair.p", F.lit(" \t")).alias("pseudonym"), "pseudonymized")
             .select("file_stem", "original", "pseudonym",
                     F.col("pseudonymized").contains(F.concat(F.lit("Operator:\t"), F.col("original")))
-                    .alias("original_left")))
+                    .alias("original_left"))
+            .distinct())
 
 
 @register("pseudonymize_summary", star_sql(_PSEUDO_SQL + """
