@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.session import scratch_dir
+from cellstar.session import scratch_dir, ship_package
 
 #: Rows handed to Python at a time. Texts average a few kB and the longest
 #: reach some MB, so a few hundred rows keep a worker's arrays small.
@@ -33,7 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Settings that the Arrow steps rely on."""
+    """The package on the executors, and settings that the Arrow steps rely on."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 

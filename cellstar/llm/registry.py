@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cellstar.llm import piece_codec, quality_rules, simple8b, winnowing
+from cellstar.llm import parity_join, piece_codec, quality_rules, simple8b, suffix_dedup, winnowing
 from cellstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +56,16 @@ def op6_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` encoded to sentence pieces and decoded."""
     return piece_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without passages of 100 bytes that start earlier too."""
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of ``documents`` by Jaccard similarity of four-word shingles."""
+    return parity_join.similarity_components(table(spark, sf_dir, "documents"))
