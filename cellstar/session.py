@@ -11,6 +11,7 @@ below the system temp folder.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -25,7 +26,24 @@ REQUIRED_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, so that Python
+    steps find it wherever the session was started."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="cellstar-zip-")  # the driver's own file; Spark's file server hands it out
+    spark.sparkContext.addPyFile(shutil.make_archive(
+        os.path.join(folder, "cellstar"), "zip", os.path.dirname(package), os.path.basename(package)))
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    ship_package(spark)
     for key, value in REQUIRED_CONF.items():
         if key == "spark.sql.session.timeZone" or spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
