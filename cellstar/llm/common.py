@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellstar.session import scratch_dir, ship_package
 
@@ -57,6 +58,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def schema(before: str, kept: list, after: str = "") -> T.StructType:
+    """The columns of two DDL texts with the fields ``kept`` between them."""
+    return T.StructType([*T.StructType.fromDDL(before).fields, *kept,
+                         *(T.StructType.fromDDL(after).fields if after else ())])
+
+
 def text_chunks(batch: pa.RecordBatch, name: str = "text", limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges [a, b) of ``batch`` whose texts hold at most ``limit`` bytes
     together (a single longer text is a range of its own)."""

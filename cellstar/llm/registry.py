@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.llm import parity_join, piece_codec, quality_rules, simple8b, suffix_dedup, winnowing
+from cellstar.llm import (bestfit, html_extract, kneser_ney, parity_join, piece_codec, quality_rules, simple8b,
+                          suffix_dedup, toxicity, winnowing)
 from cellstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +70,29 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of ``documents`` by Jaccard similarity of four-word shingles."""
     return parity_join.similarity_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of ``pages``."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    return kneser_ney.identify(docs, kneser_ney.train(docs))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of ``documents``, learned from ``labels``."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op9_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` packed into bins."""
+    return bestfit.pack(table(spark, sf_dir, "documents"))

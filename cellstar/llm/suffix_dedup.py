@@ -31,12 +31,14 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cellstar.llm.common import bytes_of, documents, mix64, partitions, sliding_min, stage, text_chunks
+from cellstar.llm.common import bytes_of, documents, mix64, partitions, schema, sliding_min, stage, text_chunks
 from cellstar.llm.induced import equal_windows
 from cellstar.llm.shingles import _BASE, _INVERSE, powers
 
@@ -219,6 +221,12 @@ def found_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return meet(documents(docs).mapInArrow(send, _SENT), parts, length)
 
 
+@F.pandas_udf(T.StringType())
+def whole_characters(kept: pd.Series) -> pd.Series:
+    """Bytes as text, without what is left of characters cut in two."""
+    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
+
 def _cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The compressed texts of documents beside their wanted segments."""
     lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("start", "n", "m")).alias("segments"))
@@ -354,8 +362,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
                 [batch.column("doc_id"), batch.column("doc_id").fill_null(NULL_ID), texts,
                  *batch.columns[2:]], ["doc_id", "key", "z", *batch.schema.names[2:]])
 
-    extra = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in data.schema.fields[2:])
-    packed = data.mapInArrow(pack, "doc_id long, key long, z binary" + extra)
+    extra = data.schema.fields[2:]
+    packed = data.mapInArrow(pack, schema("doc_id long, key long, z binary", extra))
     texts = packed.select("key", "z")
     removed = (found.filter("kind = 0").select("doc", "start", "n")
                .union(sorted_shards(_cut_out(texts, found.filter("kind = 1")), parts, length)
@@ -390,4 +398,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
                 ["doc_id", "kept", "n_bytes", "n_removed", "n_spans", *keep])
 
     return (packed.join(spans, packed.key == spans.doc, "left").select("doc_id", "z", "spans", *keep)
-            .mapInArrow(cut, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long" + extra))
+            .mapInArrow(cut, schema("doc_id long, kept binary, n_bytes long, n_removed long, n_spans long", extra)))
