@@ -37,6 +37,53 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+ORACLES["op3_quality_rules"] = r"""
+with d as (select doc_id, coalesce(text, '') as text, row_number() over () as rn from documents),
+ln as (
+  select rn, unnest(lines) as line, generate_subscripts(lines, 1) as k
+  from (select rn, string_split(text, chr(10)) as lines from d)),
+lw as (
+  select rn, k, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as ws,
+    row_number() over (partition by rn, line order by k) > 1 as again
+  from ln),
+lf as (
+  select rn, k, len(ws) as nw, coalesce(list_sum([length(w) for w in ws]), 0) as wc,
+    again and len(ws) > 0 as dup,
+    len(ws) > 0 and (
+      again
+      or 100 * len(regexp_extract_all(line, '[#*$%&|<>]')) > 25 * len(ws)
+      or len(regexp_extract_all(line, '[|»›•·]|::|>>')) >= 3
+      or (len(ws) < 8 and not regexp_matches(line, '[.!?:;…。！？]["''”’»)\]]*[ \t\r]*$'))
+      or regexp_matches(line, 'cookie|privacy policy|terms of (?:use|service)|all rights reserved|lorem ipsum|enable javascript|subscribe to our|sign up for|click here|read more\b|share this|add to cart', 'i')
+    ) as failed
+  from lw),
+agg as (
+  select rn, sum(nw) as n_words, sum(wc) as word_chars, count(*) filter (dup) as n_dup_lines, count(*) as lines,
+    count(*) filter (failed) as n_failed, coalesce(sum(wc) filter (not failed), 0) as kept_chars
+  from lf group by rn),
+w as (
+  select rn, unnest(ws) as w, generate_subscripts(ws, 1) as i
+  from (select rn, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as ws from d)),
+win as (
+  select rn, i, w, lead(w, 1) over s as w2, lead(w, 2) over s as w3 from w window s as (partition by rn order by i)),
+rep as (
+  select rn, i, count(*) over (partition by rn, w, w2, w3) as n from win where w3 is not null),
+cov as (
+  select rn, count(distinct i + o) as n_repeat
+  from (select rn, i, unnest([0, 1, 2]) as o from rep where n > 1) group by rn),
+f as (
+  select d.doc_id, d.text, agg.*, coalesce(n_repeat, 0) as n_repeat
+  from d join agg using (rn) left join cov using (rn)),
+b as (select *, n_words < 50 or 100 * n_repeat > 50 * n_words as base_failed from f)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
+  cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
+  cast(n_repeat as bigint) as n_repeat_words, base_failed,
+  not base_failed and 100 * kept_chars >= 50 * word_chars as kept,
+  cast(case when n_words > 0 then lines else 0 end as bigint) as n_lines, cast(n_failed as bigint) as n_failed_lines
+from b
+"""
+
+
 @query
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of ``documents``, of their edited texts, and likenesses."""

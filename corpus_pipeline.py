@@ -42,22 +42,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kneser_ney.identify(rows, identifier, "row_").filter(~F.col("rejected")).select("row_.*")
 
 
+def free(name: str, docs: DataFrame) -> str:
+    """A column name that ``docs`` doesn't have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = parity_join.similarity_components(docs, percent=80, width=5)
     keep = found.filter(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
     kept = docs.join(keep, "doc_id", "left_semi")
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = kept.withColumn("rank_", F.row_number().over(one)).filter("rank_ = 1").drop("rank_")
+    rank = free("rank_", docs)
+    kept = kept.withColumn(rank, F.row_number().over(one)).filter(F.col(rank) == 1).drop(rank)
     return kept.unionByName(docs.filter(F.col("doc_id").isNull())).select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias("none_"), *others).alias("row_"))
+    none = free("none_", docs)
+    rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias(none), *others).alias("row_"))
     left = suffix_dedup.remove_repeats(rows, keep=("row_",))
     text = F.replace(F.try_validate_utf8("kept"), F.lit("�"), F.lit("")) if False else F.col("kept")
     kind = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
-    out = left.select("doc_id", suffix_dedup.whole_characters(F.col("kept")).alias("text"), "row_.*").drop("none_")
+    out = left.select("doc_id", suffix_dedup.whole_characters(F.col("kept")).alias("text"), "row_.*").drop(none)
     if kind is not None:
         out = out.withColumn("n_chars", F.length("text").cast(kind))
     return out.select(docs.columns)
