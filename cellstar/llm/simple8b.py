@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -196,7 +197,7 @@ class PieceEncoder:
     """
 
     #: Pieces, and units, remembered by a generation (about 150 bytes each).
-    REMEMBER = 300_000
+    PIECES, UNITS = 150_000, 450_000
 
     def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -206,13 +207,20 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.split = regex.compile(pattern).findall
-        self.pieces = _Remembered(self._piece, self.REMEMBER)
-        self.units = _Remembered(lambda unit: self._joined(" " + unit), self.REMEMBER)
+        self.pieces = _Remembered(self._piece, self.PIECES)
+        self.units = _Remembered(self._unit, self.UNITS)
 
     def _piece(self, piece: str) -> bytes:
         raw = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
         ids = [t.id for t in self.model.tokenize(raw)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", ids).tobytes()
+
+    def _unit(self, unit: str) -> bytes:
+        if unit.isalpha():  # letters are one piece, with a sign after them two
+            return self._piece(" " + unit)
+        if unit[-1:] in (".", ",") and unit[:-1].isalpha():
+            return self.units[unit[:-1]] + self.pieces[unit[-1]]
+        return self._joined(" " + unit)
 
     def _joined(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
@@ -268,8 +276,9 @@ def write_ids(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> Dat
             yield close()
 
     data = documents(docs)
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc()]
-    return stage(data.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order).mapInArrow(
+    by_id = F.col("doc_id").asc_nulls_first()
+    return stage(data.repartitionByRange(partitions(docs.sparkSession), by_id)
+                 .sortWithinPartitions(by_id, "text").mapInArrow(
         run, "shard int, chunk int, start_in_shard long, n_ids long, doc_ids array<long>, data binary"), "ids")
 
 
