@@ -2,9 +2,11 @@
 
     python -m cellstar --landing <root> --out <root> [--master local[8]]
 
-``<root>`` holds ``machine_1/*.xlsx``, ``machine_2/*.dat`` and
-``metadata/*.xlsx`` (any file system Spark reads). Prints the row count of
-every published table and the files that were quarantined.
+``<root>`` holds workbooks below ``machine_1`` and ``metadata`` and ``.dat``
+files below ``machine_2``, in any letter case (any file system Spark reads).
+Prints the row count of every published table. Every file that was not loaded
+is a row of the published table ``ingest_report`` (source, status, error);
+their number is printed, with at most ``REPORT_LINES`` of them.
 """
 
 from __future__ import annotations
@@ -15,8 +17,11 @@ import json
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.plans.warehouse import build_warehouse, landing_files, quarantine
+from cellstar.plans.warehouse import build_warehouse, land
 from cellstar.session import configure, get_session
+from cellstar.sources.files import routed, skipped
+
+REPORT_LINES = 50
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -28,15 +33,19 @@ def main(argv: list[str] | None = None) -> dict:
     # on a cluster (spark-submit) take the provided session; --master only for stand-alone runs
     spark = get_session(master=args.master) if args.master else configure(SparkSession.builder.getOrCreate())
     root = args.landing.rstrip("/")
-    dat = landing_files(spark, f"{root}/machine_2", glob="*.dat")
-    books = landing_files(spark, f"{root}/machine_1", glob="*.xlsx")
-    meta = landing_files(spark, f"{root}/metadata", glob="*.xlsx")
-    star = build_warehouse(dat, books, meta, publish_root=args.out)
+    out = args.out.rstrip("/")
+    landed = land(routed(spark, root, "machine_2"), routed(spark, root, "machine_1"))
+    star = build_warehouse(None, None, routed(spark, root, "metadata"), publish_root=out, landed=landed)
+    left_out = (landed.quarantine().select("source", F.lit("quarantined").alias("status"), "error")
+                .unionByName(skipped(spark, root).select("source", F.lit("skipped").alias("status"), "error")))
+    left_out.write.mode("overwrite").parquet(f"{out}/ingest_report")
+    left_out = spark.read.parquet(f"{out}/ingest_report")
+    shown = left_out.orderBy("status", "source").limit(REPORT_LINES).collect()
     report = {
-        "tables": {name: spark.read.parquet(f"{args.out.rstrip('/')}/{name}").count()
-                   for name in star.tables()},
-        "quarantined": [r.asDict() for r in quarantine(dat, books).select("source", "error")
-                        .orderBy(F.col("source")).collect()],
+        "tables": {name: spark.read.parquet(f"{out}/{name}").count() for name in star.tables()},
+        "not_loaded": left_out.count(),
+        "quarantined": [{"source": r.source, "error": r.error} for r in shown if r.status == "quarantined"],
+        "skipped": [{"source": r.source, "error": r.error} for r in shown if r.status == "skipped"],
     }
     print(json.dumps(report, indent=2))
     return report

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellstar.functions.clean import measurement_name, to_decimal
+from cellstar.functions.clean import MEASUREMENT_DATA_MARKER, measurement_name, path_extension, path_stem, to_decimal
 from cellstar.plans import registry as _base  # noqa: F401  (q2_from_files reuses its oracle)
 from cellstar.plans.catalog import memo, register
 from cellstar.plans.oracle import MEASURES, star_sql
@@ -12,7 +12,10 @@ from cellstar.session import scratch_dir
 from cellstar.sources import dat as DAT
 from cellstar.sources import files as FL
 from cellstar.sources import fixtures as fx
-from cellstar.sources.fixtures import DAT_HEADER_FIELDS, DAT_HEADER_KEYS
+from cellstar.sources.fixtures import DAT_HEADER_FIELDS, DAT_HEADER_KEYS, DAT_TABLE_COLUMNS
+
+DAT_TABLE_LINE = "\t".join(DAT_TABLE_COLUMNS)
+
 
 def landed_dat_root(spark, sf_dir) -> str:
     """Render the machine 2 files of ``sf_dir`` once per session (plus the
@@ -104,11 +107,37 @@ def rows_per_file(spark, sf_dir):
     return st.filter(F.col("status") == "ok").select("file_stem", "n_rows")
 
 
-@register("file_manifest")
+def _text_length(c: str) -> str:
+    """Length of a number's text as Spark writes it: below 0.001 as digits, ``E``, exponent."""
+    digits = f"ltrim(replace(regexp_replace({c}, 'e.*$', ''), '.', ''), '0')"
+    return (f"case when {c} is null then 0 when try_cast({c} as double) <> 0 and try_cast({c} as double) < 0.001 "
+            f"then greatest(length({digits}), 2) + 4 else length({c}) end")
+
+
+@register("file_manifest", star_sql(f"""
+select file_stem, '.csv' as extension, cast(sum(n + 1) as bigint) as length
+from (
+  select split_part(table_name, '_', 1) || '_' || strftime(timestamp, '%Y%m') as file_stem,
+    26 + case when record_id % 3 = 2 then 3 else 0 end + {" + ".join(f"1 + {_text_length(c)}" for c in MEASURES)} as n
+  from dat
+  union all
+  select file_stem, length(h) from (
+    select distinct split_part(table_name, '_', 1) || '_' || strftime(timestamp, '%Y%m') as file_stem,
+      unnest([{", ".join(f"'{k}' || ':' || {'chr(9)' if k == 'Operator' else repr(' ')} || coalesce({f}, 'NAN')"
+                         for k, f in zip(DAT_HEADER_KEYS, DAT_HEADER_FIELDS))},
+              '{MEASUREMENT_DATA_MARKER}', '{DAT_TABLE_LINE}']) as h from dat)
+  union all
+  select file_stem, length(h) from (
+    select distinct split_part(table_name, '_', 1) || '_broken' as file_stem,
+      unnest([{", ".join(f"'{k}' || ':' || {'chr(9)' if k == 'Operator' else repr(' ')} || coalesce({f}, 'NAN')"
+                         for k, f in zip(DAT_HEADER_KEYS, DAT_HEADER_FIELDS))}]) as h
+    from dat where cast(split_part(table_name, '_', 1) as bigint) % 10 = 3))
+group by 1"""))
 def file_manifest(spark, sf_dir):
-    """A1/A2: landed files with size (paths are run-specific: rows-only check)."""
-    root = landed_dat_root(spark, sf_dir)
-    return FL.manifest(spark, root, glob="*.csv").select("path", "length")
+    """A1/A2: stem, extension and size of every landed file (Latin-1: a byte a character)."""
+    files = FL.manifest(spark, landed_dat_root(spark, sf_dir)).filter(~F.col("path").rlike("/[._][^/]*$"))
+    return files.select(F.regexp_extract("path", r"file_stem=([^/]+)/", 1).alias("file_stem"),
+                        path_extension("path").alias("extension"), "length")
 
 
 def bronze_root(spark, sf_dir):
@@ -237,8 +266,11 @@ def _render_workbooks(spark, sf_dir, kind):
     if kind == "sheet":
         rows = fx.sheet_rows(rd)
         f = F.concat(measurement_name("table_name"), F.lit("_"), F.date_format("timestamp", "yyyyMM"))
-        wb = SH.render_workbooks(rows.withColumn("_f", f), "_f", SHEET_COLUMNS, SHEET_NUMERIC,
-                                 ["timestamp", "record_ID"])
+        # times as the date numbers that a workbook stores
+        micros = "unix_micros(CAST(timestamp AS TIMESTAMP))"
+        rows = rows.withColumn("_f", f).withColumn("_ts", F.col("timestamp")).withColumn("timestamp", F.expr(
+            f"CAST({micros} div 86400000000 + 25569 AS DOUBLE) + pmod({micros}, 86400000000) / 86400000000D"))
+        wb = SH.render_workbooks(rows, "_f", SHEET_COLUMNS, SHEET_NUMERIC, ["_ts", "record_ID"])
     else:
         rows = fx.metadata_rows(rd)
         # one workbook per machine and block of 1,000 measurement numbers: bounded groups
@@ -254,17 +286,38 @@ select split_part(table_name, '_', 1) as measurement_name, record_ID, cycle, ste
   voltage_V, current_mA, capacity_mAh, energy_mWh, timestamp from sheet"""))
 def sheet_ingest(spark, sf_dir):
     """A3: sheet ``Sheet1`` of every machine 1 workbook, typed once in Spark."""
-    from cellstar.sources import sheet as SH
-    rows = SH.read_sheets(landed_workbooks(spark, sf_dir), SHEET_COLUMNS, sheet_name="Sheet1")
-    rows = rows.filter(F.col("error").isNull())
-    stem = F.regexp_extract("source", r"([^/]+)\.xlsx$", 1)
+    from cellstar.plans.warehouse import land_sheets
+    rows = DAT.whole_files(land_sheets(landed_workbooks(spark, sf_dir)))
     return rows.select(
-        measurement_name(stem).alias("measurement_name"),
-        F.col("record_ID").cast("bigint").alias("record_ID"), F.col("cycle").cast("bigint").alias("cycle"),
-        F.col("step_ID").cast("bigint").alias("step_ID"), "step_name",
-        F.col("time_in_step").cast("double").alias("time_in_step"), "voltage_V",
-        F.col("current_mA").cast("double").alias("current_mA"), "capacity_mAh", "energy_mWh",
-        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+        measurement_name("table_name").alias("measurement_name"), "record_ID", "cycle", "step_ID", "step_name",
+        "time_in_step", "voltage_V", "current_mA", "capacity_mAh", "energy_mWh", "timestamp")
+
+
+@register("quarantine_all", star_sql("""
+select split_part(table_name, '_', 1) || '_broken' as file, 'no measurement data marker' as error
+from dat where cast(split_part(table_name, '_', 1) as bigint) % 10 = 3 group by 1
+union all
+select split_part(table_name, '_', 1) || '_' || strftime(timestamp, '%Y%m'), 'unreadable experiment_running_time: 2.5x'
+from dat where cast(split_part(table_name, '_', 1) as bigint) % 10 = 1 group by 1
+union all
+select split_part(table_name, '_', 1) || '_' || strftime(timestamp, '%Y%m'), 'BadZipFile: File is not a zip file'
+from sheet where cast(split_part(table_name, '_', 1) as bigint) % 10 = 2 group by 1"""))
+def quarantine_all(spark, sf_dir):
+    """Files of both machines that are kept out whole -- no marker, one bad
+    cell, a workbook that breaks off -- each with its reason."""
+    from cellstar.plans.warehouse import land
+    number = F.regexp_extract("path", r"([0-9]+)_[^/]*(/[^/]*)?$", 1).cast("bigint") % 10
+    dat = DAT.read_dat_files(spark, landed_dat_root(spark, sf_dir))
+    text = F.decode("content", DAT.ENCODING)
+    dat = dat.withColumn("content", F.when(
+        F.substring_index("file_stem", "_", 1).cast("bigint") % 10 == 1,
+        F.encode(F.replace(text, F.lit("[h]: 2.5"), F.lit("[h]: 2.5x")), DAT.ENCODING)).otherwise(F.col("content")))
+    books = landed_workbooks(spark, sf_dir)
+    cut = F.expr("substring(content, 1, CAST(length(content) * 3 / 5 AS INT))")
+    books = books.withColumn("content", F.when(number == 2, cut).otherwise(F.col("content")))
+    bad = land(dat, books).quarantine()
+    folder = F.regexp_extract("source", r"file_stem=([^/]+)/", 1)
+    return bad.select(F.when(folder != "", folder).otherwise(path_stem("source")).alias("file"), "error")
 
 
 @register("metadata_sheet_ingest", star_sql(
@@ -284,8 +337,8 @@ def streaming_ingest(spark, sf_dir):
     from cellstar.streaming.landing import run_available_now
     root = landed_dat_root(spark, sf_dir)
     out, ckpt = scratch_dir(spark, "stream-bronze"), scratch_dir(spark, "stream-ckpt")
-    run_available_now(spark, root, out, ckpt)
-    run_available_now(spark, root, out, ckpt)
+    for _ in range(2):  # Spark's own text files stand for the instrument's here
+        run_available_now(spark, root, out, ckpt, glob="*.csv")
     rows = spark.read.parquet(out).filter(F.col("status") == "ok").filter(F.col("line_no").isNotNull())
     return typed_dat(rows)
 

@@ -25,6 +25,8 @@ from cellstar.sources.fixtures import (
 ENCODING = "ISO-8859-1"
 WHITESPACE = " \t\r\n\x0b\x0c"
 TS_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+# The forms that fixture files mix: with a blank or a T, six or nine digits.
+TS_TEXT_FORMS = [TS_TEXT_FORMAT, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SSSSSS'000'"]
 # Cell texts a CSV reader (pandas defaults) takes as missing.
 # ``NAN`` in upper case is not among them; the cleaning rule handles it.
 MISSING_CELLS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -51,7 +53,8 @@ def dat_lines(dat: DataFrame) -> DataFrame:
                       *DAT_MEASURES, *DAT_HEADER_FIELDS)
     data = rows.select(
         "file_stem", F.lit(2).alias("section"), F.col("timestamp").alias("ts"), F.col("record_id").alias("ord"),
-        F.concat_ws("\t", F.date_format("timestamp", TS_TEXT_FORMAT),
+        F.concat_ws("\t", F.element_at(F.array(*[F.date_format("timestamp", f) for f in TS_TEXT_FORMS]),
+                                       F.pmod("record_id", F.lit(len(TS_TEXT_FORMS))).cast("int") + 1),
                     *[F.coalesce(F.col(c), F.lit("")) for c in DAT_MEASURES]).alias("line"))
     heads = rows.groupBy("file_stem").agg(*[F.min(c).alias(c) for c in DAT_HEADER_FIELDS])
     header = heads.select("file_stem", F.explode(F.array(*[
@@ -116,7 +119,8 @@ def parse_files(files: DataFrame, name_col: str | None = None) -> DataFrame:
         f"split(decode(content, '{ENCODING}'), '\\r?\\n') AS lines")
     base = base.selectExpr(
         "*", f"CAST(array_position(transform(lines, l -> startswith(l, {marker})), true) AS INT) AS marker_pos")
-    head = "CASE WHEN marker_pos > 0 THEN slice(lines, 1, greatest(marker_pos - 1, 0)) ELSE lines END"
+    head = ("CASE WHEN marker_pos > 0 THEN slice(lines, 1, greatest(marker_pos - 1, 0)) "
+            "ELSE CAST(array() AS ARRAY<STRING>) END")
     kv = (f"transform(filter({head}, l -> instr(l, ':') > 0), l -> named_struct("
           f"'key', btrim(substring_index(l, ':', 1), {ws}), "
           f"'value', btrim(substring(l, instr(l, ':') + 1), {ws})))")
@@ -166,18 +170,56 @@ def parse_dat(files: DataFrame, name_col: str | None = None) -> DataFrame:
     # split each line once; the cells below index the split array
     split = exploded.selectExpr("*", "split(line, '\\t') AS _values")
     missing = ", ".join(_lit(m) for m in MISSING_CELLS)
-    cells = []
+    cells, bad = [], []
     for i, clean in enumerate(DAT_COLUMN_MAP.values()):
         v = f"CASE WHEN _p{i} > 0 THEN try_element_at(_values, _p{i}) END"
         v = f"CASE WHEN ({v}) IN ({missing}) THEN NULL ELSE {v} END"
         expr = f"coalesce(_h{i}, {v})"  # a header key equal to a column name wins
         if clean == "timestamp":
-            expr = f"CAST(try_to_timestamp({expr}, '{TS_TEXT_FORMAT}') AS TIMESTAMP_NTZ)"
+            raw, expr = expr, timestamp_sql(expr)
+            bad.append(f"WHEN ({raw}) IS NOT NULL AND ({expr}) IS NULL THEN concat('unreadable timestamp: ', {raw})")
+        else:
+            bad.append(unfit_sql(clean, expr, "DECIMAL(10,4)"))
         cells.append(f"{expr} AS {clean}")
+    bad += [unfit_sql(f, f, kind) for f, kind in HEADER_TYPES.items()]
     return split.selectExpr(
         "source", "file_stem", "line_no",
         "CASE WHEN error IS NULL THEN 'ok' ELSE 'quarantined' END AS status", "error",
-        "concat(file_stem, '_table') AS table_name", *cells, *DAT_HEADER_FIELDS)
+        "concat(file_stem, '_table') AS table_name", *cells, *DAT_HEADER_FIELDS,
+        f"CASE WHEN line_no IS NULL THEN NULL {' '.join(bad)} END AS cell_error")
+
+
+# Types of the header fields that aren't text.
+HEADER_TYPES = {"thickness": "BIGINT", "porosity": "BIGINT", "electrodes_area": "DECIMAL(10,3)",
+                "current_density_value": "DECIMAL(10,2)", "pump_speed_value": "DECIMAL(10,2)",
+                "experiment_running_time": "DECIMAL(10,2)"}
+
+
+def timestamp_sql(text: str) -> str:
+    """The instrument's form, or any ISO 8601 form with 0-9 fraction digits
+    (beyond microseconds they are cut); NULL where neither fits."""
+    return (f"coalesce(CAST(try_to_timestamp({text}, '{TS_TEXT_FORMAT}') AS TIMESTAMP_NTZ), "
+            f"try_cast({text} AS TIMESTAMP_NTZ))")
+
+
+def unfit_sql(name: str, text: str, kind: str) -> str:
+    """A CASE branch: the reason when a present cell doesn't fit its type."""
+    return (f"WHEN ({text}) <> 'NAN' AND try_cast({text} AS {kind}) IS NULL "
+            f"THEN concat('unreadable {name}: ', {text})")
+
+
+def whole_files(landed: DataFrame) -> DataFrame:
+    """The rows of the files that could be read whole. ``landed`` is a
+    written table of ``parse_dat`` or ``read_sheets`` rows; one bad cell or a
+    broken end keeps all of its file out."""
+    bad = landed.filter(F.coalesce("error", "cell_error").isNotNull()).select("source").distinct()
+    return landed.join(bad, "source", "left_anti")
+
+
+def broken_files(landed: DataFrame) -> DataFrame:
+    """One row per file that is kept out, with its first reason."""
+    return (landed.select("source", F.coalesce("error", "cell_error").alias("error"))
+            .filter(F.col("error").isNotNull()).groupBy("source").agg(F.min("error").alias("error")))
 
 
 def _lit(text: str) -> str:

@@ -67,6 +67,33 @@ def route_files(paths: DataFrame) -> DataFrame:
     return paths.select("path", r.alias("route"), ext.alias("extension"), accepted.alias("accepted"))
 
 
+# Name patterns of the accepted files in any letter case (a listing filter is case-sensitive).
+ROUTE_GLOBS = {"machine_1": "*.{[xX][lL][sS],[xX][lL][sS][xX]}", "machine_2": "*.[dD][aA][tT]",
+               "metadata": "*.{[xX][lL][sS],[xX][lL][sS][xX]}"}
+
+
+def routed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Contents of the accepted files of one route, whatever their letter case."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", ROUTE_GLOBS[name])
+             .option("recursiveFileLookup", "true").load(root))
+    # the scheme that a listing adds stands before the root: only what follows the root counts
+    below = F.substring_index(F.col("path"), root.rstrip("/").split("://")[-1], -1)
+    return files.filter(route(below) == name)
+
+
+def skipped(spark: SparkSession, root: str) -> DataFrame:
+    """Files below ``root`` that no route accepts, with the reason."""
+    below = F.substring_index(F.col("path"), root.rstrip("/").split("://")[-1], -1)
+    names = manifest(spark, root).select("path", below.alias("below"))
+    ext, to = path_extension("below"), route("below")
+    accepted = F.coalesce(*[F.when(to == m, ext.isin(*MACHINE_EXTENSIONS.get(m, [".xlsx", ".xls"])))
+                            for m in ROUTE_GLOBS], F.lit(False))
+    return names.filter(~accepted).select(
+        F.col("path").alias("source"),
+        F.when(to == "skipped", F.lit("no route for this folder"))
+        .otherwise(F.concat(F.lit("extension not accepted: "), ext)).alias("error"))
+
+
 def file_sequence(paths: DataFrame, bases: dict[str, int] | None = None) -> DataFrame:
     """Number files per extension in name order from a base (1001, 2001 ...).
 

@@ -22,7 +22,7 @@ from xml.etree import ElementTree as ET
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, IntegerType, StringType, StructField, StructType
 
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
@@ -96,6 +96,13 @@ def iter_sheet_rows(content: bytes, sheet_name: str | None = "Sheet1"):
                 yield [cells.get(i) for i in range(width)]
 
 
+def uses_1904(content: bytes) -> bool:
+    """Whether the workbook counts its date numbers from 1904."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        pr = ET.fromstring(z.read("xl/workbook.xml")).find("m:workbookPr", NS)
+    return pr is not None and pr.get("date1904", "0").lower() in ("1", "true")
+
+
 def sheet_rows(content: bytes, sheet_name: str | None = "Sheet1") -> list[list[str | None]]:
     """All rows of one sheet (see ``iter_sheet_rows``)."""
     return list(iter_sheet_rows(content, sheet_name))
@@ -106,12 +113,13 @@ def read_sheets(files: DataFrame, columns: list[str], sheet_name: str | None = "
     """Rows of ``sheet_name`` (first sheet when None) of every workbook.
 
     ``columns`` are picked by header name (first row); missing ones are NULL.
-    Output: ``source``, ``row_no``, ``error`` and ``columns`` as text. A
-    workbook that cannot be read yields one row with its ``error``.
+    Output: ``source``, ``row_no``, ``error``, ``date1904`` and ``columns`` as
+    text. A workbook that cannot be read, or breaks off, yields one row with its
+    ``error``; ``whole_files`` then keeps out the rows before it, too.
     ``fill_text`` (C16) replaces empty cells, as the reference's ``fillna('')``.
     """
     schema = StructType([StructField("source", StringType()), StructField("row_no", IntegerType()),
-                         StructField("error", StringType())]
+                         StructField("error", StringType()), StructField("date1904", BooleanType())]
                         + [StructField(c, StringType()) for c in columns])
 
     names = schema.fieldNames()
@@ -122,11 +130,12 @@ def read_sheets(files: DataFrame, columns: list[str], sheet_name: str | None = "
             for path, content in zip(pdf["path"], pdf["content"]):
                 done = []
                 try:
+                    base = uses_1904(bytes(content))
                     rows = iter_sheet_rows(bytes(content), sheet_name)
                     header = next(rows, [])
                     pos = {name: i for i, name in enumerate(header) if name is not None}
                     for n, r in enumerate(rows, start=1):
-                        rec = {"source": path, "row_no": n, "error": None}
+                        rec = {"source": path, "row_no": n, "error": None, "date1904": base}
                         for c in columns:
                             i = pos.get(c)
                             v = r[i] if i is not None and i < len(r) else None
@@ -140,7 +149,7 @@ def read_sheets(files: DataFrame, columns: list[str], sheet_name: str | None = "
                     out.extend(done)
                 except Exception as e:  # A15: report the workbook, keep going (rows already sent stay)
                     out.extend(done)
-                    out.append({"source": path, "row_no": None, "error": f"{type(e).__name__}: {e}",
+                    out.append({"source": path, "row_no": None, "error": f"{type(e).__name__}: {e}", "date1904": None,
                                 **{c: None for c in columns}})
                 if len(out) >= BATCH_ROWS:
                     yield pd.DataFrame(out, columns=names)

@@ -17,6 +17,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from cellstar.functions.clean import path_stem
 from cellstar.sources.dat import parse_dat
+from cellstar.sources.files import ROUTE_GLOBS
 
 
 # The fixed schema of the binaryFile source (a stream must state it).
@@ -31,7 +32,7 @@ def stem_from_path(path_col: str = "path"):
     return F.when(folder != "", folder).otherwise(path_stem(path_col))
 
 
-def ingest_stream(spark: SparkSession, landing_root: str, glob: str = "*.csv",
+def ingest_stream(spark: SparkSession, landing_root: str, glob: str = ROUTE_GLOBS["machine_2"],
                   max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true"))
@@ -42,7 +43,7 @@ def ingest_stream(spark: SparkSession, landing_root: str, glob: str = "*.csv",
 
 
 def run_available_now(spark: SparkSession, landing_root: str, bronze_path: str, checkpoint: str,
-                      glob: str = "*.csv") -> None:
+                      glob: str = ROUTE_GLOBS["machine_2"]) -> None:
     """Process every file not yet committed, then stop (batch-like scheduling)."""
     rows = ingest_stream(spark, landing_root, glob)
     q = (rows.writeStream.format("parquet").outputMode("append")
