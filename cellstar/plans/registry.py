@@ -125,8 +125,8 @@ def q3_degradation(spark, sf_dir):
   select measurement_id, electrode_material_id,
     (cast(h2_flow as double) + cast(lag(h2_flow) over w as double)) / 2.0
       * (epoch_us(timestamp) - epoch_us(lag(timestamp) over w)) / 6e7 as s
-  from fact_dat_measurements
-  window w as (partition by measurement_id order by fact_dat_measurement_id)),
+  from fact_dat_measurements where h2_flow is not null and timestamp is not null
+  window w as (partition by measurement_id order by timestamp, h2_flow)),
 vol as (
   select electrode_material_id, round(sum(v), 4) as h2_volume, count(*) as n_measurements
   from (select measurement_id, electrode_material_id, sum(s) as v from seg

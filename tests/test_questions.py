@@ -39,3 +39,14 @@ def test_q3_slope_per_hour(spark):
     meas = spark.createDataFrame([(10, T0)], "measurement_id bigint, start_timestamp timestamp_ntz")
     r = Q.q3_degradation(excel, dat, meas, materials(spark)).first()
     assert (r.n_measurements, r.avg_slope_v_per_h) == (1, 0.5)
+
+
+def test_q4_missing_flows_and_two_loads(spark):
+    """A missing flow is bridged; keys that come from a second load don't matter."""
+    rows = [row(1, 10, 0, "2", "60", "99"), (2, 2, 10, T0 + dt.timedelta(minutes=1), 1, Decimal("2"), Decimal("1"), 1,
+                                             None, Decimal("98")), row(3, 10, 3, "2", "60", "97")]
+    assert Q.q4_h2_output(facts(spark, rows), materials(spark)).first().h2_volume == 180.0
+    late = [row(3, 10, 0, "2", "60", "99"), row(1, 10, 1, "2", "60", "99"), row(2, 10, 2, "2", "60", "99")]
+    assert Q.q4_h2_output(facts(spark, late), materials(spark)).first().h2_volume == 120.0
+    days = [row(1, 10, 0, "2", "60", "99"), row(2, 10, 1440, "2", "60", "99"), row(3, 10, 1441, "2", "60", "99")]
+    assert Q.q4_h2_output(facts(spark, days), materials(spark)).first().h2_volume == 60.0 * 1441
