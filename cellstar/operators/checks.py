@@ -67,6 +67,7 @@ def check_foreign_keys(tables: dict[str, DataFrame],
     its size check passes) and all unmatched references are counted in one
     aggregate, instead of one anti join -- and one fact scan -- per key.
     """
+    from cellstar.operators.keys import known_rows
     from cellstar.operators.lookup import broadcast_if_small
     by_fact: dict[str, list[tuple[int, str, str, str]]] = {}
     for i, (fact, col, dim, dim_col) in enumerate(fks):
@@ -75,9 +76,9 @@ def check_foreign_keys(tables: dict[str, DataFrame],
     for fact, refs in by_fact.items():
         f = tables[fact].select(*{col for _, col, _, _ in refs})
         for i, col, dim, dim_col in refs:
-            keys = tables[dim].select(F.col(dim_col).alias(f"_k{i}")).distinct() \
-                .withColumn(f"_hit{i}", F.lit(True))
-            f = f.join(broadcast_if_small(keys), f[col] == keys[f"_k{i}"], "left").drop(f"_k{i}")
+            # unique by K1; the table's known size spares a count
+            keys = tables[dim].select(F.col(dim_col).alias(f"_k{i}"), F.lit(True).alias(f"_hit{i}"))
+            f = f.join(broadcast_if_small(keys, rows=known_rows(tables[dim])), f[col] == keys[f"_k{i}"], "left").drop(f"_k{i}")
         counts = f.agg(*[F.count_if(F.col(col).isNotNull() & F.col(f"_hit{i}").isNull()).alias(f"_m{i}")
                          for i, col, _, _ in refs])
         stack = F.explode(F.array(*[F.struct(F.lit(col).alias("column_name"), F.lit(dim).alias("referenced_table"),
@@ -108,9 +109,10 @@ def check_decimal_range(rows: DataFrame, columns: list[str], targets: list[tuple
     the rows an ANSI load would fail on."""
     aggs = []
     for c in columns:
-        present = F.col(c).isNotNull() & (F.col(c) != "NAN")
+        text = F.col(c).cast("string")
+        present = text.isNotNull() & (text != "NAN")
         for p, s in targets:
-            aggs.append(F.count_if(present & F.col(c).try_cast(f"decimal({p},{s})").isNull())
+            aggs.append(F.count_if(present & text.try_cast(f"decimal({p},{s})").isNull())
                         .alias(f"{c}__{p}_{s}"))
     agg = rows.agg(*aggs)
     stack = F.explode(F.array(*[

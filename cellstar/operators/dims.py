@@ -95,12 +95,27 @@ def time_members(rows: DataFrame, ts_col: str = "timestamp") -> DataFrame:
                     F.second("_ts").cast("bigint").alias("second"))
 
 
-def operator_members(rows: DataFrame, name_col: str = "operator_name",
+def operator_members(rows: DataFrame, name_col: str = "operator_name", levels: DataFrame | None = None,
                      level: str = "medium") -> DataFrame:
-    """N5 members: distinct non-null operator names (D3, F3); level defaults to ``medium``."""
-    return (rows.filter(F.col(name_col).isNotNull())
-            .select(F.col(name_col).alias("operator_name")).distinct()
-            .select("operator_name", F.lit(level).alias("operator_level")))
+    """N5 members: distinct non-null operator names (D3, F3) with their level:
+    the one the documents name (``levels``: operator_name, operator_level),
+    ``level`` where none does."""
+    from cellstar.operators.lookup import broadcast_if_small
+    names = rows.filter(F.col(name_col).isNotNull()).select(F.col(name_col).alias("operator_name")).distinct()
+    if levels is None:
+        return names.select("operator_name", F.lit(level).alias("operator_level"))
+    return names.join(broadcast_if_small(levels), "operator_name", "left").select(
+        "operator_name", F.coalesce("operator_level", F.lit(level)).alias("operator_level"))
+
+
+def operator_levels(metadata: DataFrame) -> DataFrame:
+    """One level per operator named in the metadata. Where documents name
+    several, the one that most documents name; of equally many, the first in
+    alphabetical order."""
+    named = metadata.filter(F.col("operator_name").isNotNull() & (F.coalesce("operator_level", F.lit("")) != ""))
+    counted = named.groupBy("operator_name", "operator_level").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("operator_name").agg(F.min(F.struct((-F.col("n")).alias("n"), "operator_level")).alias("m")) \
+        .select("operator_name", F.col("m.operator_level").alias("operator_level"))
 
 
 def material_members(rows: DataFrame, col: str = "electrode_material") -> DataFrame:

@@ -66,19 +66,15 @@ def dense_keys(df: DataFrame, order_by: list[str], key_col: str, base: int = 0,
             staged.select(F.lit(None).cast("bigint").alias(key_col), *staged.columns).where(F.lit(False)), 0)
     starts = [s + base for s in [0] + list(accumulate(r["count"] for r in files))[:-1]]
     total = sum(r["count"] for r in files)
-    if len(files) <= MAP_LITERAL_MAX_FILES:
-        offset = F.create_map(*[x for r, s in zip(files, starts) for x in (F.lit(r["_file"]), F.lit(s))])
-        key = (F.element_at(offset, F.col("_file")) + F.col("_row") + F.lit(1)).cast("bigint")
-        return remember_rows(with_pos.select(key.alias(key_col), *staged.columns), total)
-    # Many files: offsets as a small table (one row per file) joined by broadcast.
+    # offsets: one row per staged file
     offsets = df.sparkSession.createDataFrame([(r["_file"], s) for r, s in zip(files, starts)],
                                               "_file string, _offset bigint")
     key = (F.col("_offset") + F.col("_row") + F.lit(1)).cast("bigint")
-    out = with_pos.join(F.broadcast(offsets), "_file").select(key.alias(key_col), *staged.columns)
+    from cellstar.operators.lookup import broadcast_if_small
+    out = with_pos.join(broadcast_if_small(offsets, rows=len(files)), "_file").select(key.alias(key_col), *staged.columns)
     return remember_rows(out, total)
 
 
-MAP_LITERAL_MAX_FILES = 2000
 _PART = re.compile(r"part-(\d+)(?:-.*?-c(\d+))?")
 
 
@@ -92,9 +88,10 @@ def _file_order(name: str) -> tuple:
     return (int(m.group(1)), int(m.group(2) or 0), name)
 
 
-def remember_rows(df: DataFrame, n: int) -> DataFrame:
-    """Attach a known row count so size checks need no extra job."""
-    df._cellstar_rows = int(n)
+def remember_rows(df: DataFrame, n: int | None) -> DataFrame:
+    """Attach a known row count so size checks need no extra job (None: not known)."""
+    if n is not None:
+        df._cellstar_rows = int(n)
     return df
 
 

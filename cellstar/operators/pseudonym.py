@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 
 OPERATOR_LINE = r"Operator:\t([^\r\n]+)"
 PSEUDONYM_PREFIX = "Operator_"
-PSEUDONYM_HEX = 8
 
 
 def pseudonym(name: Column, salt: str) -> Column:
-    return F.concat(F.lit(PSEUDONYM_PREFIX),
-                    F.substring(F.sha2(F.concat(F.lit(salt), name), 256), 1, PSEUDONYM_HEX))
+    """The whole digest, so that two names never share a pseudonym."""
+    return F.concat(F.lit(PSEUDONYM_PREFIX), F.sha2(F.concat(F.lit(salt), name), 256))
 
 
 def operator_names(texts: DataFrame, text_col: str = "text") -> DataFrame:

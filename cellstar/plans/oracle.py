@@ -91,7 +91,8 @@ dat as (
   from m2 r join m2_hdr h on split_part(r.table_name, '_', 1) = h.mn),
 meta as (
   select split_part(table_name, '_', 1) || '_meta' as json_name,
-    'Operator_' || cast(min(k) % 7 as varchar) as operator_name, 'medium' as operator_level,
+    'Operator_' || cast(min(k) % 7 as varchar) as operator_name,
+    ['low', 'medium', 'high'][cast(split_part(table_name, '_', 1) as bigint) % 3 + 1] as operator_level,
     'machine_' || substr(table_name, 1, 1) as machine_name, 'machine_' || substr(table_name, 1, 1) as machine_type,
     min(electrode_material) as electrode_material, split_part(table_name, '_', 1) as measurement_name
   from readings where regexp_matches(table_name, '^[0-9]') group by table_name),
@@ -142,8 +143,13 @@ DIMS = ",".join([
          "cast(second(timestamp) as bigint) as second, _batch from (select time, timestamp, 0 as _batch from s1e "
          "union all select time, timestamp, 1 from s2c)"),
     _dim("dim_operator", "operator_id", ["operator_name"], ["operator_level"],
-         "select operator_name, 'medium' as operator_level, 0 as _batch from s1e where operator_name is not null "
-         "union all select operator_name, 'medium', 1 from s2c where operator_name is not null"),
+         "select o.operator_name, coalesce(l.operator_level, 'medium') as operator_level, _batch from ("
+         "select operator_name, 0 as _batch from s1e where operator_name is not null "
+         "union all select operator_name, 1 from s2c where operator_name is not null) o "
+         "left join (select operator_name, operator_level from ("
+         "select operator_name, operator_level, row_number() over (partition by operator_name "
+         "order by count(*) desc, operator_level) as _rn from meta group by 1, 2) where _rn = 1) l "
+         "on o.operator_name = l.operator_name"),
     _dim("dim_electrode_material", "electrode_material_id", ["electrode_material"], [],
          "select electrode_material, 0 as _batch from s1e where electrode_material is not null "
          "union all select electrode_material, 1 from s2c where electrode_material is not null"),

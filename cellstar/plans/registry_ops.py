@@ -9,7 +9,8 @@ from cellstar.operators import checks as K
 from cellstar.operators import dims as D
 from cellstar.operators import metadata as META
 from cellstar.operators import pseudonym as P
-from cellstar.operators.lookup import Lookup, resolve_keys
+from cellstar.operators.keys import stage
+from cellstar.operators.lookup import Lookup, broadcast_if_small, resolve_keys
 from cellstar.plans.catalog import memo, register, star_for
 from cellstar.plans.oracle import MEASURES, star_sql
 from cellstar.plans.registry_ingest import _LANDING, read_bronze
@@ -133,7 +134,7 @@ _PSEUDO_SQL = f"""
 
 
 @register("pseudonymize", star_sql(_PSEUDO_SQL + f"""
-select file_stem, original, 'Operator_' || substr(sha256('{SALT}' || original), 1, 8) as pseudonym,
+select file_stem, original, 'Operator_' || sha256('{SALT}' || original) as pseudonym,
   false as original_left from raw_ops"""))
 def pseudonymize(spark, sf_dir):
     """M-1/C18: operator names replaced in whole file texts through a key table."""
@@ -166,7 +167,7 @@ def pseudonymize_summary(spark, sf_dir):
 
 
 @register("reidentify", star_sql(_PSEUDO_SQL + f"""
-select file_stem, 'Operator_' || substr(sha256('{SALT}' || original), 1, 8) as pseudonym, original
+select file_stem, 'Operator_' || sha256('{SALT}' || original) as pseudonym, original
 from raw_ops"""))
 def reidentify(spark, sf_dir):
     """M-3: pseudonymised files back to the original names with the key table."""
@@ -209,6 +210,13 @@ NOT_NULL = {
                                 "cycle", "step_id", "step_name", "operator_id"],
     "fact_dat_measurements": ["fact_dat_measurement_id", "machine_id", "measurement_id", "timestamp",
                               "date_id", "time_id", "electrode_material_id"],
+    "dim_machine": ["machine_id", "machine_name", "machine_type"],
+    "dim_measurement": ["measurement_id", "measurement_name"],
+    "dim_date": ["date_id", "date", "day", "month", "year"],
+    "dim_time": ["time_id", "time", "hour", "minute", "second"],
+    "dim_operator": ["operator_id", "operator_name", "operator_level"],
+    "dim_electrode_material": ["electrode_material_id", "electrode_material"],
+    "dim_dat_metadata": ["dat_metadata_id"],
 }
 _DIMS = [("machine_id", "dim_machine"), ("measurement_id", "dim_measurement"), ("date_id", "dim_date"),
          ("time_id", "dim_time"), ("electrode_material_id", "dim_electrode_material"),
@@ -226,7 +234,12 @@ LENGTHS = {
                          "current_density_mode": 50, "pump_speed_mode": 50},
     "fact_excel_measurements": {"step_name": 50},
 }
-DECIMAL_TARGETS = [(10, 4), (5, 3)]
+# Declared decimal types of the typed schema, per source column.
+DECIMAL_TARGETS = {
+    "dat": [(MEASURES, 10, 4), (["electrodes_area"], 10, 3),
+            (["current_density_value", "pump_speed_value", "experiment_running_time"], 10, 2)],
+    "sheet": [(["voltage_V", "current_mA"], 10, 4), (["time_in_step", "capacity_mAh", "energy_mWh"], 18, 8)],
+}
 
 
 def _tables(spark, sf_dir):
@@ -267,13 +280,18 @@ def check_lengths(spark, sf_dir):
 
 
 @register("check_decimal_range", star_sql(" union all ".join(
-    f"select '{c}' as column_name, 'decimal({p},{s})' as target, "
-    f"cast(count_if({c} is not null and {c} <> 'NAN' and try_cast({c} as decimal({p},{s})) is null) as bigint) "
-    f"as n_out_of_range from dat"
-    for c in MEASURES for p, s in DECIMAL_TARGETS)))
+    f"select '{t}' as source, '{c}' as column_name, 'decimal({p},{s})' as target, "
+    f"cast(count_if({c} is not null and cast({c} as varchar) <> 'NAN' "
+    f"and try_cast(cast({c} as varchar) as decimal({p},{s})) is null) as bigint) as n_out_of_range from {t}"
+    for t, targets in DECIMAL_TARGETS.items() for cols, p, s in targets for c in cols)))
 def check_decimal_range(spark, sf_dir):
-    dat = fx.dat_rows(fx.readings(spark, sf_dir))
-    return K.check_decimal_range(dat, MEASURES, DECIMAL_TARGETS)
+    """K6: both machines' values against every declared decimal type."""
+    rd = fx.readings(spark, sf_dir)
+    parts = [K.check_decimal_range(rows, cols, [(p, s)]).select(F.lit(t).alias("source"), "*")
+             for t, rows in (("dat", fx.dat_rows(rd)), ("sheet", fx.sheet_rows(rd)))
+             for cols, p, s in DECIMAL_TARGETS[t]]
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 # --- keys --------------------------------------------------------------------------------------
@@ -492,20 +510,70 @@ def preview(spark, sf_dir):
 
 
 
+_LOADS = """
+, loads as (
+  select 'excel' as source, ms.measurement_name, f.timestamp, f.record_id, f.voltage_v, f.current_a, o.operator_name,
+    o.operator_level, em.electrode_material, ms.start_timestamp, ms.finish_timestamp
+  from fact_excel_measurements f join dim_measurement ms using (measurement_id)
+    join dim_operator o using (operator_id) join dim_electrode_material em using (electrode_material_id)
+  union all
+  select 'dat', ms.measurement_name, f.timestamp, null, f.voltage_v, f.current_a, o.operator_name, o.operator_level,
+    em.electrode_material, ms.start_timestamp, ms.finish_timestamp
+  from fact_dat_measurements f join dim_measurement ms using (measurement_id)
+    left join dim_operator o using (operator_id) join dim_electrode_material em using (electrode_material_id))
+"""
+
+
+@register("warehouse_incremental", star_sql(_LOADS + """
+select *, case when cast(measurement_name as bigint) % 3 = 2 then true end as key_kept from loads"""))
+def warehouse_incremental(spark, sf_dir):
+    """H6: two loads give the rows of one. The first holds the measurements
+    numbered 2 modulo 3 and half of the readings of those numbered 1; the second
+    all of the latter and the rest. Keys of the first load stay."""
+    from cellstar.plans.star import build_star, update_star
+    rd = fx.readings(spark, sf_dir)
+    number = measurement_name("table_name").try_cast("bigint") % 3
+    rows = {"sheet": stage(fx.sheet_rows(rd), "load_sheet"), "dat": stage(fx.dat_rows(rd), "load_dat")}
+    meta = fx.metadata_rows(rd)
+    early = (number == 2) | ((number == 1) & (F.col("record_id") % 2 == 0))
+    first = build_star(rows["sheet"].filter(early), rows["dat"].filter(early),
+                       meta.filter(F.col("measurement_name").try_cast("bigint") % 3 == 2))
+    root = scratch_dir(spark, "warehouse")
+    PUB.publish(first.tables(), root)
+    tables = {name: PUB.read_table(spark, f"{root}/{name}") for name in first.tables()}
+    late = F.coalesce(number != 2, F.lit(True))
+    st = update_star(tables, rows["sheet"].filter(late), rows["dat"].filter(late), meta)
+    parts = []
+    for source, fact, before, key in (
+            ("excel", st.fact_excel_measurements, tables["fact_excel_measurements"], "fact_excel_measurement_id"),
+            ("dat", st.fact_dat_measurements, tables["fact_dat_measurements"], "fact_dat_measurement_id")):
+        old = before.select(key, F.col("measurement_id").alias("_m"), F.col("timestamp").alias("_t"))
+        j = (fact.join(broadcast_if_small(st.dim_measurement), "measurement_id")
+             .join(broadcast_if_small(st.dim_operator), "operator_id", "left")
+             .join(broadcast_if_small(st.dim_electrode_material), "electrode_material_id").join(old, key, "left"))
+        kept = F.when(F.col("measurement_name").cast("bigint") % 3 == 2,
+                      (F.col("_m") == F.col("measurement_id")) & (F.col("_t") == F.col("timestamp")))
+        record = F.col("record_id") if source == "excel" else F.lit(None).cast("long")
+        parts.append(j.select(F.lit(source).alias("source"), "measurement_name", "timestamp", record.alias("record_id"),
+                              "voltage_v", "current_a", "operator_name", "operator_level", "electrode_material",
+                              "start_timestamp", "finish_timestamp", kept.alias("key_kept")))
+    return parts[0].unionByName(parts[1])
+
+
 @register("fact_incremental", star_sql("""
-select cast(row_number() over (order by cast(ms.measurement_name as bigint) % 4, ms.measurement_name,
-         f.timestamp) as bigint) as fact_dat_measurement_id,
+select cast(row_number() over (order by coalesce(cast(ms.measurement_name as bigint) % 4 = 1, false) desc,
+         ms.measurement_name, f.timestamp, f.fact_dat_measurement_id) as bigint) as fact_dat_measurement_id,
   f.measurement_id, f.timestamp, f.voltage_v, f.operator_id
 from fact_dat_measurements f join dim_measurement ms using (measurement_id)"""))
 def fact_incremental(spark, sf_dir):
     """The machine 2 fact loaded in two batches (measurements numbered
-    1 then 3 modulo 4); the second batch's keys continue after the first's
+    1 modulo 4, then all others); the second batch's keys continue after the first's
     maximum, as a table that is kept and grows."""
     from cellstar.plans.star import build_fact_dat
     st = star_for(spark, sf_dir)
     dims = {k: v for k, v in st.tables().items() if k.startswith("dim_")}
-    num = F.col("measurement_name").cast("bigint") % 4
-    first = build_fact_dat(st.silver_dat.filter(num == 1), dims)
-    second = build_fact_dat(st.silver_dat.filter(num == 3), dims, existing=first)
+    early = F.coalesce(F.col("measurement_name").try_cast("bigint") % 4 == 1, F.lit(False))
+    first = build_fact_dat(st.silver_dat.filter(early), dims)
+    second = build_fact_dat(st.silver_dat.filter(~early), dims, existing=first)
     cols = ["fact_dat_measurement_id", "measurement_id", "timestamp", "voltage_v", "operator_id"]
     return first.select(*cols).unionByName(second.select(*cols))

@@ -24,7 +24,7 @@ from cellstar.functions import clean as C
 from cellstar.operators import dims as D
 from cellstar.operators.metadata import enrich
 from cellstar.operators.keys import dense_keys, known_rows, next_key, remember_rows, stage
-from cellstar.operators.lookup import Lookup, resolve_keys
+from cellstar.operators.lookup import Lookup, broadcast_if_small, resolve_keys
 from cellstar.plans.concurrent import run_concurrently
 from cellstar.sources.fixtures import DAT_MEASURES
 
@@ -134,9 +134,11 @@ def silver_tables(sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None)
     return out["s1"], out["s2"]
 
 
-def build_dimensions(s1: DataFrame, s2: DataFrame, existing: dict | None = None) -> dict[str, DataFrame]:
+def build_dimensions(s1: DataFrame, s2: DataFrame, existing: dict | None = None,
+                     metadata: DataFrame | None = None) -> dict[str, DataFrame]:
     """Batch 1 from machine 1 rows, batch 2 (machine 2) continues the keys."""
     ex = dict(existing or {})
+    levels = D.operator_levels(metadata) if metadata is not None else None
     specs = [
         ("dim_machine", ["machine_name"], "machine_id",
          lambda r: r.select("machine_name", F.col("machine_name").alias("machine_type")), False),
@@ -145,7 +147,7 @@ def build_dimensions(s1: DataFrame, s2: DataFrame, existing: dict | None = None)
         ("dim_date", ["date"], "date_id", lambda r: D.date_members(r), False),
         ("dim_time", ["time"], "time_id", lambda r: D.time_members(r), False),
         ("dim_operator", ["operator_name"], "operator_id",
-         lambda r: D.operator_members(r), False),
+         lambda r: D.operator_members(r, levels=levels, level=DEFAULT_OPERATOR_LEVEL), False),
         ("dim_electrode_material", ["electrode_material"], "electrode_material_id",
          lambda r: D.material_members(r), False),
     ]
@@ -225,10 +227,49 @@ def _check_all_rows_kept(silver: DataFrame, fact: DataFrame, name: str) -> None:
         raise UnresolvedKeyError(f"{name}: {n_out - n_in} extra rows -- a lookup matched more than one member")
 
 
+def update_star(existing: dict[str, DataFrame], sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None = None,
+                metadata_lookup: str = "full", strict: bool = True) -> Star:
+    """H6: add a load to tables that exist (read from where they are published).
+
+    Dimension members keep their keys, new ones continue after the maximum. A
+    measurement that the load holds is replaced as a whole -- its fact rows,
+    which take keys after the maximum, and its first and last reading -- and all
+    other rows stay as they are. An operator's level follows the new documents
+    where they name one.
+    """
+    s1, s2 = silver_tables(sheet, dat, metadata)
+    dims = build_dimensions(s1, s2, {k: v for k, v in existing.items() if k.startswith("dim_")}, metadata)
+    loaded = stage(s1.select("measurement_name", "timestamp").unionByName(s2.select("measurement_name", "timestamp"))
+                   .groupBy("measurement_name").agg(F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last")),
+                   "loaded_measurements")
+    dims["dim_measurement"] = stage(
+        dims["dim_measurement"].join(broadcast_if_small(loaded), "measurement_name", "left").select(
+            "measurement_id", "measurement_name", F.coalesce("_first", "start_timestamp").alias("start_timestamp"),
+            F.coalesce("_last", "finish_timestamp").alias("finish_timestamp")), "dim_measurement")
+    if metadata is not None:
+        levels = D.operator_levels(metadata).withColumnRenamed("operator_level", "_level")
+        dims["dim_operator"] = stage(
+            dims["dim_operator"].join(broadcast_if_small(levels), "operator_name", "left").select(
+                "operator_id", "operator_name", F.coalesce("_level", "operator_level").alias("operator_level")),
+            "dim_operator")
+    old = {k: v for k, v in existing.items() if k.startswith("fact_")}
+    new = run_concurrently({
+        "fact_excel_measurements": lambda: build_fact_excel(s1, dims, old["fact_excel_measurements"]),
+        "fact_dat_measurements": lambda: build_fact_dat(s2, dims, old["fact_dat_measurements"], metadata_lookup)})
+    if strict:
+        _check_all_rows_kept(s1, new["fact_excel_measurements"], "fact_excel_measurements")
+        _check_all_rows_kept(s2, new["fact_dat_measurements"], "fact_dat_measurements")
+    replaced = broadcast_if_small(dims["dim_measurement"].join(loaded, "measurement_name", "left_semi")
+                                  .select("measurement_id"))
+    facts = {k: v.join(replaced, "measurement_id", "left_anti").select(new[k].columns).unionByName(new[k])
+             for k, v in old.items()}
+    return Star(silver_excel=s1, silver_dat=s2, **facts, **dims)
+
+
 def build_star(sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None = None,
                metadata_lookup: str = "full", strict: bool = True) -> Star:
     s1, s2 = silver_tables(sheet, dat, metadata)
-    dims = build_dimensions(s1, s2)
+    dims = build_dimensions(s1, s2, metadata=metadata)
     facts = run_concurrently({
         "fe": lambda: build_fact_excel(s1, dims),
         "fd": lambda: build_fact_dat(s2, dims, metadata_lookup=metadata_lookup),

@@ -62,7 +62,7 @@ def get_session(master: str | None = None, cores: int | None = None,
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.default.parallelism", str(cores))
-        .config("spark.driver.memory", os.environ.get("CELLSTAR_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("CELLSTAR_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
@@ -76,7 +76,9 @@ def _checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        # Only reached when nothing names a shared folder (local runs, tests).
+        # Executors of a cluster would each write to a disk of their own.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cellstar-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

@@ -1,13 +1,15 @@
 """Table sinks: create, append, replace and publish.
 
 Tables are folders in a file format given as a parameter (Parquet here; no
-table-format add-on is present). Publish overwrites each table as a whole, so
+table-format add-on is present). Publish replaces each table as a whole, so
 running it twice leaves the same tables -- the reference's append-on-rerun
 duplicates cannot happen.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,17 +53,34 @@ def publish(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
             partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
     """Write the fixed list of star-schema tables under ``root``.
 
-    Each table is replaced as a whole (static overwrite, also of partitioned
-    tables, so a partition that no longer has rows does not linger)."""
+    All tables are written beside the published ones first, then each takes its
+    place by a rename, so a failing job leaves the published tables alone, and
+    tables that are read while the new ones are made (a further load) stay
+    readable. Each table is replaced as a whole; its rows are gathered by
+    partition folder, a large folder over several files."""
     parts = DEFAULT_PARTITIONS if partition_by is None else partition_by
+    root = root.rstrip("/")
+    mark = uuid.uuid4().hex[:12]
     out = {}
     for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{name}"
-        w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
-        if parts.get(name):
-            w = w.partitionBy(*parts[name])
-        w.save(path)
-        out[name] = path
+        by = parts.get(name)
+        w = (df.hint("rebalance", *by) if by else df).write.mode("errorifexists").format(fmt)
+        if by:
+            w = w.partitionBy(*by)
+        w.save(f"{root}/_new-{mark}/{name}")
+        out[name] = f"{root}/{name}"
+    spark = next(iter(tables.values())).sparkSession
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    place = lambda *names: jvm.org.apache.hadoop.fs.Path("/".join([root, *names]))
+    for name in tables:
+        if fs.exists(place(name)):
+            fs.mkdirs(place(f"_old-{mark}"))
+            fs.rename(place(name), place(f"_old-{mark}", name))
+        if not fs.rename(place(f"_new-{mark}", name), place(name)):
+            raise OSError(f"cannot publish {name} under {root}")
+    for folder in (f"_new-{mark}", f"_old-{mark}"):
+        fs.delete(place(folder), True)
     return out
 
 

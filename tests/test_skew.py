@@ -18,7 +18,7 @@ def test_hot_measurement_spans_many_key_ranges(spark):
         fact = st.fact_dat_measurements
         hot_id = st.dim_measurement.filter("measurement_name = '2999'").first()["measurement_id"]
         per_file = (fact.filter(F.col("measurement_id") == hot_id)
-                    .groupBy(F.col("_metadata.file_name")).count().collect())
+                    .groupBy(F.input_file_name().alias("f")).count().collect())
         n_hot = sum(r["count"] for r in per_file)
         n_all = fact.count()
         assert n_hot * 4 > n_all                       # the fixture really is skewed
