@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.common import bytes_of, documents, mix64, partitions, schema, text_chunks
+from cellstar.llm.common import bytes_of, documents, lean, mix64, partitions, schema, text_chunks
 from cellstar.llm.shingles import word_hashes
 
 CAPACITY = 2048
@@ -145,7 +145,7 @@ def lengths(docs: DataFrame, *keep: str) -> DataFrame:
                      pa.array(mix64(digest + n.astype(np.uint64)).view(np.int64)), *(part.column(k) for k in keep)],
                     ["doc_id", "n_words", "digest", *keep])
 
-    return data.mapInArrow(run, schema("doc_id long, n_words long, digest long", data.schema.fields[2:]))
+    return data.mapInArrow(lean(run), schema("doc_id long, n_words long, digest long", data.schema.fields[2:]))
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None,

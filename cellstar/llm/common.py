@@ -9,6 +9,9 @@ operator does not name are ignored, so clashing names cannot disturb it.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +26,7 @@ from cellstar.session import scratch_dir, ship_package
 #: reach some MB, so a few hundred rows keep a worker's arrays small.
 ARROW_ROWS = 256
 #: Characters that one vectorised step handles at a time inside a worker.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 
 #: The word pattern of the contracts.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -64,6 +67,23 @@ def schema(before: str, kept: list, after: str = "") -> T.StructType:
                          *(T.StructType.fromDDL(after).fields if after else ())])
 
 
+def lean(run):
+    """``run`` over the batches of a task, giving memory back to the system when
+    the task ends: workers are kept for the next task, and share an executor's
+    memory with its JVM."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def text_chunks(batch: pa.RecordBatch, name: str = "text", limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges [a, b) of ``batch`` whose texts hold at most ``limit`` bytes
     together (a single longer text is a range of its own)."""

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.common import prepare
+from cellstar.llm.common import lean, prepare
 
 #: Pages that the tag weights are learned from, and kinds of tags that are weighted.
 SAMPLE_PAGES = 2000
@@ -150,7 +150,7 @@ def learn_weights(pages: DataFrame) -> dict[str, float]:
                 [pa.array([k for k, _ in keys], pa.string()), pa.array([o for _, o in keys], pa.bool_()),
                  pa.array([total[k] for k in keys], pa.int64())], ["kind", "outside", "n"])
 
-    counts = (sample.mapInArrow(run, "kind string, outside boolean, n long").groupBy("kind")
+    counts = (sample.mapInArrow(lean(run), "kind string, outside boolean, n long").groupBy("kind")
               .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("outside"), F.col("n")).otherwise(0)).alias("out"))
               .orderBy(F.desc("n"), "kind").limit(MAX_KINDS).collect())
     return {r.kind: OUTSIDE * r.out / (r.n + 1) for r in counts}
@@ -203,4 +203,4 @@ def extract(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFr
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html")).mapInArrow(
-        run, "page_id long, url string, text string, n_chars long")
+        lean(run), "page_id long, url string, text string, n_chars long")

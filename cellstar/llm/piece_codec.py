@@ -28,7 +28,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from cellstar.llm.common import documents
+from cellstar.llm.common import documents, lean
 
 MARK = "▁"
 
@@ -236,7 +236,7 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))],
                                              ["doc_id", "ids"])
 
-    return documents(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    return documents(docs).mapInArrow(lean(run), "doc_id long, ids array<int>")
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
@@ -250,4 +250,4 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
                  pa.array(list(rows[2]), pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return documents(docs).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cellstar.llm.common import WORD, documents
+from cellstar.llm.common import WORD, documents, lean
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -107,4 +107,4 @@ def clean_lines(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(list(r), k) for r, k in zip(rows, kinds))], names)
 
-    return documents(docs).mapInArrow(run, SCHEMA)
+    return documents(docs).mapInArrow(lean(run), SCHEMA)

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellstar.llm.common import documents, partitions, stage
+from cellstar.llm.common import documents, lean, partitions, stage
 
 MAGIC = b"S8B1"
 BLOCK = 1024
@@ -279,7 +279,7 @@ def write_ids(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> Dat
     by_id = F.col("doc_id").asc_nulls_first()
     return stage(data.repartitionByRange(partitions(docs.sparkSession), by_id)
                  .sortWithinPartitions(by_id, "text").mapInArrow(
-        run, "shard int, chunk int, start_in_shard long, n_ids long, doc_ids array<long>, data binary"), "ids")
+        lean(run), "shard int, chunk int, start_in_shard long, n_ids long, doc_ids array<long>, data binary"), "ids")
 
 
 def read_ids(chunks: DataFrame) -> DataFrame:
@@ -304,4 +304,4 @@ def read_ids(chunks: DataFrame) -> DataFrame:
         .select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     return (chunks.join(F.broadcast(shards), "shard")
             .select("doc_ids", "data", (F.col("base") + F.col("start_in_shard")).alias("start"))
-            .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+            .mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long"))

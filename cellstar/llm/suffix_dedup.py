@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellstar.llm.common import bytes_of, documents, mix64, partitions, schema, sliding_min, stage, text_chunks
+from cellstar.llm.common import bytes_of, documents, lean, mix64, partitions, schema, sliding_min, stage, text_chunks
 from cellstar.llm.induced import equal_windows
 from cellstar.llm.shingles import _BASE, _INVERSE, powers
 
@@ -50,7 +50,7 @@ HOT = 5_000
 FLUSH = 200_000
 NULL_ID = -(1 << 63)
 #: Texts are cut into windows in slices of at most so many bytes.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 _VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 _ROW = np.dtype([("m", "<u8"), ("dig", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("n", "u1")])
@@ -200,7 +200,7 @@ def meet(sent: DataFrame, parts: int, length: int) -> DataFrame:
 
     # what is settled travels with the bucketless rows, spread by document
     key = F.coalesce("bucket", F.pmod(F.xxhash64("doc", "start"), F.lit(1 << 20)).cast("int"))
-    return sent.repartition(parts, key).mapInArrow(run, _FOUND)
+    return sent.repartition(parts, key).mapInArrow(lean(run), _FOUND)
 
 
 def found_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -218,7 +218,7 @@ def found_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
         if out.held:
             yield from out.flush()
 
-    return meet(documents(docs).mapInArrow(send, _SENT), parts, length)
+    return meet(documents(docs).mapInArrow(lean(send), _SENT), parts, length)
 
 
 @F.pandas_udf(T.StringType())
@@ -254,7 +254,7 @@ def single_windows(cut: DataFrame, parts: int, length: int) -> DataFrame:
         if out.held:
             yield from out.flush()
 
-    return meet(cut.mapInArrow(send, _SENT), parts, length).filter("kind = 0")
+    return meet(cut.mapInArrow(lean(send), _SENT), parts, length).filter("kind = 0")
 
 
 def sorted_shards(cut: DataFrame, parts: int, length: int) -> DataFrame:
@@ -328,8 +328,8 @@ def sorted_shards(cut: DataFrame, parts: int, length: int) -> DataFrame:
         if flat:
             yield _spans(*later(*(np.concatenate(x) for x in zip(*flat))), length)
 
-    return (cut.mapInArrow(send, "m long, doc long, start long, n int, bytes binary")
-            .repartition(parts, "m").mapInArrow(sort, _FOUND))
+    return (cut.mapInArrow(lean(send), "m long, doc long, start long, n int, bytes binary")
+            .repartition(parts, "m").mapInArrow(lean(sort), _FOUND))
 
 
 def _spans(doc: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch:
@@ -363,7 +363,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
                  *batch.columns[2:]], ["doc_id", "key", "z", *batch.schema.names[2:]])
 
     extra = data.schema.fields[2:]
-    packed = data.mapInArrow(pack, schema("doc_id long, key long, z binary", extra))
+    packed = data.mapInArrow(lean(pack), schema("doc_id long, key long, z binary", extra))
     texts = packed.select("key", "z")
     removed = (found.filter("kind = 0").select("doc", "start", "n")
                .union(sorted_shards(_cut_out(texts, found.filter("kind = 1")), parts, length)
@@ -398,4 +398,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
                 ["doc_id", "kept", "n_bytes", "n_removed", "n_spans", *keep])
 
     return (packed.join(spans, packed.key == spans.doc, "left").select("doc_id", "z", "spans", *keep)
-            .mapInArrow(cut, schema("doc_id long, kept binary, n_bytes long, n_removed long, n_spans long", extra)))
+            .mapInArrow(lean(cut), schema("doc_id long, kept binary, n_bytes long, n_removed long, n_spans long", extra)))

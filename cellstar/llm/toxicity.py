@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.common import documents, held_out, schema, stage
+from cellstar.llm.common import documents, held_out, lean, schema, stage
 
 #: Labelled training documents that the trees and the calibration are fitted on.
 SAMPLE_ROWS = 12_000
@@ -214,7 +214,7 @@ def learn_lexicon(rows: DataFrame) -> frozenset[str]:
     if not total.t or total.t == total.n:
         return frozenset()
     ratio = ((F.col("toxic") + 0.5) / F.lit(total.t + 1.0)) / ((F.col("clean") + 0.5) / F.lit(total.n - total.t + 1.0))
-    words = (once.select("text", "toxic").mapInArrow(run, "word string, clean long, toxic long").groupBy("word")
+    words = (once.select("text", "toxic").mapInArrow(lean(run), "word string, clean long, toxic long").groupBy("word")
              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
              .filter((F.col("toxic") >= MIN_DOCUMENTS) & (ratio >= MIN_RATIO))
              .orderBy((F.col("toxic") * F.log(ratio)).desc(), "word").limit(LEXICON).collect())
@@ -241,7 +241,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
 
     # at most SAMPLE_ROWS rows of numbers
     found = rows.select("doc_id", "toxic", "text").mapInArrow(
-        run, "doc_id long, toxic int, x array<double>").orderBy("doc_id", "x").toArrow()
+        lean(run), "doc_id long, toxic int, x array<double>").orderBy("doc_id", "x").toArrow()
     x = np.array(found.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     return fit(x, found.column("toxic").to_numpy().astype(float), lexicon)
 
@@ -259,4 +259,4 @@ def score(docs: DataFrame, classifier: Classifier, *keep) -> DataFrame:
                 [batch.column("doc_id"), *(batch.column(k) for k in names), pa.array(s),
                  pa.array((s >= 0.5).astype(np.int32))], ["doc_id", *names, "score", "predicted"])
 
-    return data.mapInArrow(run, schema("doc_id long", data.schema.fields[2:], "score double, predicted int"))
+    return data.mapInArrow(lean(run), schema("doc_id long", data.schema.fields[2:], "score double, predicted int"))

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.common import documents, mix64, partitions, sliding_min
+from cellstar.llm.common import documents, lean, mix64, partitions, sliding_min
 
 K = 16
 W = 64
@@ -101,7 +101,7 @@ def fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
                  pa.array([h.astype(np.int64) for _, h in found], pa.list_(pa.int64()))],
                 ["doc_id", "n_chars", "positions", "hashes"])
 
-    return documents(docs).mapInArrow(run, "doc_id long, n_chars long, positions array<long>, hashes array<long>")
+    return documents(docs).mapInArrow(lean(run), "doc_id long, n_chars long, positions array<long>, hashes array<long>")
 
 
 def compare_neighbours(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
@@ -140,7 +140,7 @@ def compare_neighbours(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
         return run
 
     # the largest id of every range (one row a range) and the range above it that it visits
-    tops = ids.withColumnRenamed("id", "doc_id").mapInArrow(deal(None), "bucket int, id long") \
+    tops = ids.withColumnRenamed("id", "doc_id").mapInArrow(lean(deal(None)), "bucket int, id long") \
         .groupBy("bucket").agg(F.max("id").alias("id")).orderBy("bucket").collect()
     last_of: dict[int, list[int]] = {}
     for i, top in enumerate(tops):
@@ -178,8 +178,8 @@ def compare_neighbours(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
                     ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
                      "near_next"])
 
-    dealt = data.mapInArrow(deal(last_of), "bucket int, guest boolean, doc_id long, packed binary")
+    dealt = data.mapInArrow(lean(deal(last_of)), "bucket int, guest boolean, doc_id long, packed binary")
     return (dealt.repartition(parts, "bucket")
             .sortWithinPartitions("bucket", F.desc("guest"), F.col("doc_id").asc_nulls_first(), "packed")
-            .mapInArrow(read, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+            .mapInArrow(lean(read), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                               "edited_fingerprint string, near_edited double, near_next double"))
