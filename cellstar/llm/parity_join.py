@@ -18,7 +18,9 @@ Equal sets are one node from the start. Sharing a part makes candidates:
 1. a star for each part: its sets against the one that shares the most parts;
    pairs are verified exactly and linked sets merge into components;
 2. only where a part's sets still lie in several components, the pairs across
-   components are verified too.
+   components are looked at, block against block: the Hamming distance of their
+   whole sketches drops nearly all pairs below the threshold without a row being
+   made of them, and the others are verified too.
 
 So no link between different texts is lost, and a large group of near copies
 costs one verification a copy. Signatures travel in packed arrays; a worker
@@ -41,13 +43,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.common import bytes_of, documents, mix64, partitions, stage, text_chunks
+from cellstar.llm.common import bytes_of, documents, lean, mix64, partitions, stage, text_chunks
 from cellstar.llm.shingles import shingle_sets
 
-#: Bits of a sketch's part.
-PART_BITS = 256
+#: Bits of a sketch's part. A part is held as the exclusive or of its set bits'
+#: codes, so a wide one costs nothing, and parts of one or two shingles differ.
+PART_BITS = 1 << 16
 #: A part that more sets share may be left out.
 COMMON = 64
+#: Sets that one block of a part's sets holds, when blocks are compared.
+BLOCK = 2048
 #: Signatures gathered in a worker before they are packed and sent.
 FLUSH = 400_000
 #: Pairs verified by one task's group: the sets against one centre.
@@ -129,7 +134,7 @@ def describe(docs: DataFrame, bands: Bands, width: int) -> DataFrame:
                      *(pa.array(s, pa.int32()) for s in spare)],
                     ["doc_id", "n_shingles", "node", "spare", "spare_below"])
 
-    return documents(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, spare int, spare_below int")
+    return documents(docs).mapInArrow(lean(run), "doc_id long, n_shingles long, node long, spare int, spare_below int")
 
 
 def shared_parts(docs: DataFrame, bands: Bands, width: int) -> DataFrame:
@@ -206,8 +211,8 @@ def shared_parts(docs: DataFrame, bands: Bands, width: int) -> DataFrame:
             yield rows(key[at[a:a + 50_000]], node[at[a:a + 50_000]])
 
     sent = documents(docs).mapInArrow(
-        send, "bucket int, keys binary, nodes binary, shared_keys binary, shared_nodes binary")
-    return sent.repartition(parts, "bucket").mapInArrow(meet, "key long, node long").distinct()
+        lean(send), "bucket int, keys binary, nodes binary, shared_keys binary, shared_nodes binary")
+    return sent.repartition(parts, "bucket").mapInArrow(lean(meet), "key long, node long").distinct()
 
 
 def useful_parts(shared: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -262,7 +267,82 @@ def verify(pairs: DataFrame, packed: DataFrame, percent: int, width: int) -> Dat
             yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)], ["a", "b"])
 
     return (rows.repartition(parts, "a", "g").sortWithinPartitions("a", "g", F.col("b").asc_nulls_first())
-            .select("a", "b", "z").mapInArrow(run, "a long, b long"))
+            .select("a", "b", "z").mapInArrow(lean(run), "a long, b long"))
+
+
+def dense_sketch(h: np.ndarray) -> bytes:
+    """Parities of a set's shingles over a power of two of bits, two to four a
+    shingle. Halves folded by exclusive or give the sketch of half as many bits."""
+    bits = max(64, 1 << int(2 * len(h) - 1).bit_length())
+    at = (h >> np.uint64(17)) & np.uint64(bits - 1)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def unlike(n: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
+    """Matrix of the pairs whose sketches prove them below the threshold."""
+    width = min(map(len, sketches))
+    rows = np.zeros((len(sketches), width), np.uint8)
+    for i, raw in enumerate(sketches):
+        rows[i] = np.bitwise_xor.reduce(np.frombuffer(raw, np.uint8).reshape(-1, width), axis=0)
+    bits = np.unpackbits(rows, axis=1).astype(np.float32)
+    ones = bits.sum(1)
+    apart = ones[:, None] + ones[None, :] - 2 * (bits @ bits.T)
+    most = (100 - percent) * (n[:, None] + n[None, :]) // (100 + percent)
+    less, more = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+    return (apart > most) | (percent * more > 100 * less)
+
+
+def across_components(rest: DataFrame, packed: DataFrame, percent: int, width: int) -> DataFrame:
+    """Pairs (a, b) of ``rest`` (key, id, n, c) with one key, of two components,
+    that their sketches don't prove unlike. A key's sets are dealt to blocks, and
+    each pair of blocks is compared by itself."""
+    parts = partitions(rest.sparkSession)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            raw = [unpack(z) for z in batch.column("z").to_pylist()]
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)
+            text, h = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), ends, width)
+            cut = np.searchsorted(text, np.arange(len(raw) + 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([dense_sketch(h[a:b]) for a, b in zip(cut[:-1], cut[1:])],
+                                                  pa.binary())], ["doc_id", "sketch"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        group = None
+
+        def close():
+            block, ids, n, c, sketches = zip(*held)
+            ids, c, block = np.array(ids), np.array(c), np.array(block)
+            fit = ~unlike(np.array(n), list(sketches), percent) & (c[:, None] != c[None, :])
+            if group[1] != group[2]:   # pairs inside a block belong to that block alone
+                fit &= block[:, None] != block[None, :]
+            a, b = np.nonzero(np.triu(fit, 1))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], ["a", "b"])
+
+        for batch in batches:
+            for key, i, j, *row in zip(*(col.to_pylist() for col in batch.columns)):
+                if (key, i, j) != group:
+                    if len(held) > 1:
+                        yield close()
+                    group, held = (key, i, j), []
+                held.append(row)
+        if len(held) > 1:
+            yield close()
+
+    sketches = (packed.join(rest.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select("doc_id", "z")
+                .mapInArrow(lean(draw), "doc_id long, sketch binary"))
+    blocks = rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = (rest.join(blocks, "key").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
+            .join(sketches, F.col("id") == F.col("doc_id"))
+            .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))))
+    return (rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+                        "id", "n", "c", "sketch")
+            .repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(lean(compare), "a long, b long").distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -322,7 +402,7 @@ def similarity_components(docs: DataFrame, percent: int = 85, width: int = 4) ->
                 ["doc_id", "z"])
 
     wanted = useful.select(F.col("id").alias("doc_id")).distinct()
-    packed = stage(data.mapInArrow(pack, "doc_id long, z binary").join(wanted, "doc_id")
+    packed = stage(data.mapInArrow(lean(pack), "doc_id long, z binary").join(wanted, "doc_id")
                    .dropDuplicates(["doc_id"]), "texts")
     first = stage(verify(star, packed, percent, width), "verified")
     merged = components(first)
@@ -330,10 +410,8 @@ def similarity_components(docs: DataFrame, percent: int = 85, width: int = 4) ->
     inside = useful.join(merged.withColumnRenamed("component", "c"), "id", "left") \
         .select("key", "id", "n", F.coalesce("c", "id").alias("c"))
     split = inside.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("key")
-    rest = stage(inside.join(split, "key"), "rest")
-    other = rest.select("key", F.col("id").alias("b"), F.col("n").alias("other"), F.col("c").alias("d"))
-    across = (rest.join(other, "key").filter((F.col("id") < F.col("b")) & (F.col("c") != F.col("d")) & near)
-              .select(F.col("id").alias("a"), "b").distinct())
+    rest = stage(inside.join(split, "key"), "rest")   # key, id, n, c
+    across = across_components(rest, packed, percent, width)
     tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = stage(verify(across.join(tested, ["a", "b"], "left_anti"), packed, percent, width), "verified")
     links = first.union(second)

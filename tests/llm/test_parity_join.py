@@ -54,6 +54,7 @@ def test_linked_pairs_always_share_a_part():
 def test_against_all_pairs(spark, monkeypatch, common, flush, percent, width):
     monkeypatch.setattr(parity_join, "COMMON", common)
     monkeypatch.setattr(parity_join, "FLUSH", flush)
+    monkeypatch.setattr(parity_join, "BLOCK", 3 if common == 3 else 2048)
     rng = random.Random(3)
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     for k in range(10):  # chains and stars of near copies around the threshold
@@ -88,6 +89,25 @@ def test_against_all_pairs(spark, monkeypatch, common, flush, percent, width):
     assert got == want
 
 
+def test_sketches_never_drop_a_linked_pair():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        base = rng.integers(0, 2 ** 63, int(rng.integers(1, 400))).astype(np.uint64)
+        sets = [np.unique(np.concatenate((base[rng.random(len(base)) < rng.uniform(0.8, 1)],
+                                          rng.integers(0, 2 ** 63, int(rng.integers(0, 20))).astype(np.uint64))))
+                for _ in range(8)]
+        sets = [x for x in sets if len(x)]
+        if not sets:
+            continue
+        n = np.array([len(x) for x in sets])
+        no = parity_join.unlike(n, [parity_join.dense_sketch(x) for x in sets], 85)
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                both = len(np.intersect1d(x, y))
+                if 100 * both >= 85 * (len(x) + len(y) - both):
+                    assert not no[i, j]
+
+
 def test_components(spark):
     rng = random.Random(7)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(150)]
