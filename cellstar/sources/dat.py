@@ -5,8 +5,8 @@ File layout (ISO-8859-1): ``key: value`` header lines, a line starting with
 tab-separated line per reading.
 
 Parsing uses only built-in functions on the ``binaryFile`` content: decode,
-split into lines, find the marker with ``array_position``, build the header
-map with ``map_from_entries`` (a repeated key keeps its last value), then
+split into lines, find the marker with ``array_position``, fold the header
+entries into a map (a repeated key keeps its last value), then
 ``posexplode`` the table lines and pick each column by its position in the
 name line. One file is one row until the explode, so files -- not
 measurements -- are the unit of parallelism.
