@@ -19,6 +19,7 @@ are ordered by text.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -194,6 +195,9 @@ class PieceEncoder:
     encoded by the library once. A space begins a piece unless another white
     space follows it, so a text without double spaces falls into units that
     each start with one space, and these are remembered as well.
+
+    Added tokens are found in the text before it is split into pieces, as the
+    library does: each is one id, and what lies between them is encoded by itself.
     """
 
     #: Pieces, and units, remembered by a generation (about 150 bytes each).
@@ -204,8 +208,13 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.letters = self.tokenizer.model, byte_letters()
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        # tokens that take in white space, or only count as words, are left to the library
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
+        longest = sorted(self.added, key=len, reverse=True)
+        self.parts = re.compile(f"({'|'.join(map(re.escape, longest))})").split if longest else None
         self.split = regex.compile(pattern).findall
         self.pieces = _Remembered(self._piece, self.PIECES)
         self.units = _Remembered(self._unit, self.UNITS)
@@ -227,6 +236,14 @@ class PieceEncoder:
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian 32-bit integers."""
+        if any(t in text for t in self.added):
+            if not self.plain:
+                return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            return b"".join(self.added.get(part) or self._between(part) for part in self.parts(text))
+        return self._between(text)
+
+    def _between(self, text: str) -> bytes:
+        """The ids of a text without added tokens."""
         if "  " in text:
             return self._joined(text)
         first, *units = text.split(" ")

@@ -7,6 +7,9 @@ import pytest
 from cellstar.llm import registry
 from cellstar.llm import simple8b as sb
 
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "a<|endoftext|><|endof text|>", "",
+         " <|endoftext|>\n\nnext one  two", "plain words"]
+
 
 @pytest.mark.parametrize("ids", [
     [], [0] * 5000, [2 ** 63, 1, 2 ** 64 - 1] * 700, list(range(3000)), [1] * 239 + [0] * 500 + [2 ** 61],
@@ -56,3 +59,35 @@ def test_query(spark):
         r = got[i]
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def test_added_tokens_equal_fresh_library(spark):
+    """A text that holds an added token's literal, against a tokenizer as it is loaded."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    path = registry.vocabulary("byte_bpe_50k.json")
+    fresh = Tokenizer.from_file(path)
+    ids = [fresh.encode(t, add_special_tokens=False).ids for t in ADDED]
+    assert ids[0] == [64, 220, 50256, 275]
+    e = sb.PieceEncoder(path, P.PATTERN)
+    assert [np.frombuffer(e.encode(t), "<u4").tolist() for t in ADDED] == ids
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    got = {r.doc_id: r for r in sb.read_ids(sb.write_ids(docs, path, P.PATTERN, 0)).collect()}
+    start = 0
+    for i, own in enumerate(ids):
+        own = own + [0]
+        assert (got[i].start, got[i].n_tokens) == (start, len(own))
+        assert got[i].ids_crc32 == zlib.crc32(np.array(own, "<u4").tobytes())
+        start += len(own)
+
+
+def test_random_texts_equal_fresh_library():
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    path = registry.vocabulary("byte_bpe_50k.json")
+    fresh, e = Tokenizer.from_file(path), sb.PieceEncoder(path, P.PATTERN)
+    rng = random.Random(8)
+    pieces = ["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", "don't", "é", "漢", "."]
+    for _ in range(1500):
+        t = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12)))
+        assert np.frombuffer(e.encode(t), "<u4").tolist() == fresh.encode(t, add_special_tokens=False).ids, t
