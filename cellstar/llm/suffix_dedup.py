@@ -21,8 +21,8 @@ judged on the input. Texts are UTF-8 bytes, and matches stay within documents.
 
 A null or empty text has no windows and stays as it is. A row repeated with
 its id and text gets its twin's result (a string doesn't start earlier than
-itself); rows that share an id with different texts count as versions of one
-document, whose spans are united. Rows without an id count as the first document.
+itself). Rows that share an id, or have none, with different texts are documents
+of their own, in the order of their texts' digests; those without an id are first.
 """
 
 from __future__ import annotations
@@ -53,7 +53,8 @@ NULL_ID = -(1 << 63)
 SLICE = 1 << 18
 
 _VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-_ROW = np.dtype([("m", "<u8"), ("dig", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("n", "u1")])
+# a document is its id and its text's digest (ver); a text has less than 2 GB
+_ROW = np.dtype([("m", "<u8"), ("dig", "<u8"), ("doc", "<i8"), ("ver", "<i8"), ("start", "<u4"), ("n", "u1")])
 
 
 def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
@@ -103,21 +104,23 @@ def slices(batch: pa.RecordBatch, length: int):
 
 
 def settle(rows: np.ndarray):
-    """Of rows sorted by (m, dig, doc, start): which is the first of its equal
+    """Of rows sorted by (m, dig, doc, ver, start): which is the first of its equal
     segments, and which ones start later than that."""
     new = np.ones(len(rows), bool)
     new[1:] = (rows["m"][1:] != rows["m"][:-1]) | (rows["dig"][1:] != rows["dig"][:-1])
     lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-    later = (rows["doc"] > rows["doc"][lead]) | (rows["start"] > rows["start"][lead])
-    return new, later & ~new
+    later = np.zeros(len(rows), bool)
+    for f in ("doc", "ver", "start"):
+        later |= rows[f] != rows[f][lead]
+    return new, later
 
 
 def ordered(rows: np.ndarray) -> np.ndarray:
-    return rows[np.lexsort((rows["start"], rows["doc"], rows["dig"], rows["m"]))]
+    return rows[np.lexsort((rows["start"], rows["ver"], rows["doc"], rows["dig"], rows["m"]))]
 
 
-_FOUND = "doc long, start long, n int, m long, kind int"   # kind 0: remove; 1: sort in a shard; 2: meet singly
-_SENT = "bucket int, rows binary, doc long, start long, n int, m long, kind int"
+_FOUND = "doc long, ver long, start long, n int, m long, kind int"   # kind 0: remove; 1: sort in a shard; 2: meet singly
+_SENT = "bucket int, rows binary, doc long, ver long, start long, n int, m long, kind int"
 _NAMES = [x.split()[0] for x in _SENT.split(", ")]
 
 
@@ -126,7 +129,7 @@ def _found(rows: np.ndarray, kind: np.ndarray | int, length: int) -> pa.RecordBa
     n = rows["n"].astype(np.int32) + np.where(kind == 0, length - 1, 0).astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary()), pa.array(rows["doc"].copy()),
-         pa.array(rows["start"].copy()), pa.array(n), pa.array(rows["m"].copy().view(np.int64)), pa.array(kind.copy())],
+         pa.array(rows["ver"].copy()), pa.array(rows["start"].astype(np.int64)), pa.array(n), pa.array(rows["m"].copy().view(np.int64)), pa.array(kind.copy())],
         _NAMES)
 
 
@@ -136,9 +139,9 @@ class Sender:
     def __init__(self, buckets: int, length: int):
         self.buckets, self.length, self.parts, self.held = np.uint64(buckets), length, [], 0
 
-    def add(self, doc, start, n, m, dig) -> None:
+    def add(self, doc, ver, start, n, m, dig) -> None:
         rows = np.empty(len(start), _ROW)
-        rows["doc"], rows["start"], rows["n"], rows["m"], rows["dig"] = doc, start, n, m, dig
+        rows["doc"], rows["ver"], rows["start"], rows["n"], rows["m"], rows["dig"] = doc, ver, start, n, m, dig
         self.parts.append(rows)
         self.held += len(rows)
 
@@ -158,7 +161,8 @@ class Sender:
         if k:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket[edge[:-1]]), pa.array(packed, pa.binary()), pa.nulls(k, pa.int64()),
-                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())],
+                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()),
+                 pa.nulls(k, pa.int32())],
                 _NAMES)
 
 
@@ -199,7 +203,7 @@ def meet(sent: DataFrame, parts: int, length: int) -> DataFrame:
             yield _found(rows[a:a + 50_000], np.where(size[a:a + 50_000] > HOT, 2, 1), length).select(_NAMES[2:])
 
     # what is settled travels with the bucketless rows, spread by document
-    key = F.coalesce("bucket", F.pmod(F.xxhash64("doc", "start"), F.lit(1 << 20)).cast("int"))
+    key = F.coalesce("bucket", F.pmod(F.xxhash64("doc", "ver", "start"), F.lit(1 << 20)).cast("int"))
     return sent.repartition(parts, key).mapInArrow(lean(run), _FOUND)
 
 
@@ -210,15 +214,21 @@ def found_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
         out = Sender(4 * parts, length)
         for batch in batches:
             ids = batch.column("doc_id").fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+            ver = batch.column("ver").to_numpy(zero_copy_only=False)
             for a, shift, raw, ends in slices(batch, length):
                 text, start, n, m, dig = segments(raw, ends, length, gram)
-                out.add(ids[a + text], start + shift, n, m, dig)
+                out.add(ids[a + text], ver[a + text], start + shift, n, m, dig)
                 if out.held >= FLUSH:
                     yield from out.flush()
         if out.held:
             yield from out.flush()
 
-    return meet(documents(docs).mapInArrow(lean(send), _SENT), parts, length)
+    return meet(versions(documents(docs)).mapInArrow(lean(send), _SENT), parts, length)
+
+
+def versions(data: DataFrame) -> DataFrame:
+    """``data`` with its texts' digests, which tell the rows of one id, or of none, apart."""
+    return data.withColumn("ver", F.xxhash64("text"))
 
 
 @F.pandas_udf(T.StringType())
@@ -229,8 +239,9 @@ def whole_characters(kept: pd.Series) -> pd.Series:
 
 def _cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The compressed texts of documents beside their wanted segments."""
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("start", "n", "m")).alias("segments"))
-    return lists.join(docs, lists.doc == docs.key).select("doc", "z", "segments")
+    lists = wanted.groupBy("doc", "ver").agg(F.collect_list(F.struct("start", "n", "m")).alias("segments"))
+    return (lists.join(docs, (lists.doc == docs.key) & (lists.ver == docs.ver))
+            .select("doc", lists.ver, "z", "segments"))
 
 
 def single_windows(cut: DataFrame, parts: int, length: int) -> DataFrame:
@@ -240,7 +251,7 @@ def single_windows(cut: DataFrame, parts: int, length: int) -> DataFrame:
         out = Sender(4 * parts, length)
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for doc, z, found in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, ver, z, found in zip(*(c.to_pylist() for c in batch.columns)):
                 text = unpack(z)
                 at, key = [], []
                 for s in found:
@@ -248,7 +259,7 @@ def single_windows(cut: DataFrame, parts: int, length: int) -> DataFrame:
                         at.append(i)
                         key.append(hashlib.blake2b(text[i:i + length], digest_size=16).digest())
                 both = np.frombuffer(b"".join(key), "<u8").reshape(-1, 2)
-                out.add(doc, at, 1, both[:, 0], both[:, 1])
+                out.add(doc, ver, at, 1, both[:, 0], both[:, 1])
                 if out.held >= FLUSH:
                     yield from out.flush()
         if out.held:
@@ -264,29 +275,33 @@ def sorted_shards(cut: DataFrame, parts: int, length: int) -> DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             rows = []
-            for doc, z, found in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, ver, z, found in zip(*(c.to_pylist() for c in batch.columns)):
                 text = unpack(z)
-                rows += [(s["m"], doc, s["start"], s["n"], text[s["start"]:s["start"] + s["n"] + length - 1])
+                rows += [(s["m"], doc, ver, s["start"], s["n"], text[s["start"]:s["start"] + s["n"] + length - 1])
                          for s in found]
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), t) for c, t in zip(zip(*rows), (
-                        pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                    ["m", "doc", "start", "n", "bytes"])
+                        pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                    ["m", "doc", "ver", "start", "n", "bytes"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, starts, counts, texts = [], [], [], []
+        docs, vers, starts, counts, sizes, texts = [], [], [], [], [], []
         for batch in batches:
             docs.append(batch.column("doc").to_numpy())
+            vers.append(batch.column("ver").to_numpy())
             starts.append(batch.column("start").to_numpy())
             counts.append(batch.column("n").to_numpy().astype(np.int64))
-            texts.append(bytes_of(batch.column("bytes"))[0].copy())
+            raw, ends = bytes_of(batch.column("bytes"))
+            texts.append(raw.copy())
+            sizes.append(np.diff(ends))
         if not docs or not sum(map(len, docs)):
             return
-        doc, start, n = map(np.concatenate, (docs, starts, counts))
+        doc, ver, start, n, size = map(np.concatenate, (docs, vers, starts, counts, sizes))
         text = np.concatenate(texts)
-        del docs, starts, counts, texts
-        begin = np.concatenate(([0], np.cumsum(n + length - 1)))[:-1]
+        del docs, vers, starts, counts, sizes, texts
+        begin = np.concatenate(([0], np.cumsum(size)))[:-1]
+        n = np.minimum(n, size - length + 1)   # windows that lie in the slice
         held: list[np.ndarray] = []   # one group's positions so far, its earliest window first
 
         def later(pos: np.ndarray, group: np.ndarray):
@@ -294,14 +309,14 @@ def sorted_shards(cut: DataFrame, parts: int, length: int) -> DataFrame:
             seg = np.searchsorted(begin, pos, side="right") - 1
             off = pos - begin[seg]
             real = off < n[seg]
-            d, s, g = doc[seg[real]], start[seg[real]] + off[real], group[real]
-            order = np.lexsort((s, d, g))
-            d, s, g = d[order], s[order], g[order]
+            d, v, s, g = doc[seg[real]], ver[seg[real]], start[seg[real]] + off[real], group[real]
+            order = np.lexsort((s, v, d, g))
+            d, v, s, g = d[order], v[order], s[order], g[order]
             new = np.ones(len(g), bool)
             new[1:] = g[1:] != g[:-1]
             lead = np.flatnonzero(new)[np.cumsum(new) - 1] if len(g) else new.astype(int)
-            out = (d > d[lead]) | (s > s[lead])
-            return d[out], s[out]
+            out = (d != d[lead]) | (v != v[lead]) | (s != s[lead])
+            return d[out], v[out], s[out]
 
         flat: list[tuple[np.ndarray, np.ndarray]] = []
         waiting_p, waiting_g = [], []
@@ -328,21 +343,21 @@ def sorted_shards(cut: DataFrame, parts: int, length: int) -> DataFrame:
         if flat:
             yield _spans(*later(*(np.concatenate(x) for x in zip(*flat))), length)
 
-    return (cut.mapInArrow(lean(send), "m long, doc long, start long, n int, bytes binary")
+    return (cut.mapInArrow(lean(send), "m long, doc long, ver long, start long, n int, bytes binary")
             .repartition(parts, "m").mapInArrow(lean(sort), _FOUND))
 
 
-def _spans(doc: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch:
+def _spans(doc: np.ndarray, ver: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch:
     """Removed windows, those that touch in one document joined."""
-    order = np.lexsort((start, doc))
-    doc, start = doc[order], start[order]
+    order = np.lexsort((start, ver, doc))
+    doc, ver, start = doc[order], ver[order], start[order]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + length)
+    new[1:] = (doc[1:] != doc[:-1]) | (ver[1:] != ver[:-1]) | (start[1:] > start[:-1] + length)
     a = np.flatnonzero(new)
     b = np.concatenate((a[1:], [len(doc)])) - 1 if len(a) else a
     k = len(a)
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc[a]), pa.array(start[a]), pa.array((start[b] + length - start[a]).astype(np.int32)),
+        [pa.array(doc[a]), pa.array(ver[a]), pa.array(start[a]), pa.array((start[b] + length - start[a]).astype(np.int32)),
          pa.nulls(k, pa.int64()), pa.array(np.zeros(k, np.int32))], _NAMES[2:])
 
 
@@ -359,19 +374,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
             texts = pa.array([z(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()],
                              pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("doc_id").fill_null(NULL_ID), texts,
-                 *batch.columns[2:]], ["doc_id", "key", "z", *batch.schema.names[2:]])
+                [batch.column("doc_id"), batch.column("doc_id").fill_null(NULL_ID), batch.column("ver"), texts,
+                 *batch.columns[2:-1]], ["doc_id", "key", "ver", "z", *batch.schema.names[2:-1]])
 
     extra = data.schema.fields[2:]
-    packed = data.mapInArrow(lean(pack), schema("doc_id long, key long, z binary", extra))
-    texts = packed.select("key", "z")
-    removed = (found.filter("kind = 0").select("doc", "start", "n")
+    packed = versions(data).mapInArrow(lean(pack), schema("doc_id long, key long, ver long, z binary", extra))
+    texts = packed.select("key", "ver", "z")
+    removed = (found.filter("kind = 0").select("doc", "ver", "start", "n")
                .union(sorted_shards(_cut_out(texts, found.filter("kind = 1")), parts, length)
-                      .select("doc", "start", "n")))
+                      .select("doc", "ver", "start", "n")))
     if found.filter("kind = 2").limit(1).count():
         removed = removed.union(single_windows(_cut_out(texts, found.filter("kind = 2")), parts, length)
-                                .select("doc", "start", "n"))
-    spans = removed.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+                                .select("doc", "ver", "start", "n"))
+    spans = removed.groupBy("doc", "ver").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -397,5 +412,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
                  *(pa.array(list(c), pa.int64()) for c in cols[1:]), *(batch.column(k) for k in keep)],
                 ["doc_id", "kept", "n_bytes", "n_removed", "n_spans", *keep])
 
-    return (packed.join(spans, packed.key == spans.doc, "left").select("doc_id", "z", "spans", *keep)
+    return (packed.join(spans, (packed.key == spans.doc) & (packed.ver == spans.ver), "left").select("doc_id", "z", "spans", *keep)
             .mapInArrow(lean(cut), schema("doc_id long, kept binary, n_bytes long, n_removed long, n_spans long", extra)))

@@ -84,3 +84,27 @@ def test_long_text_in_slices(spark, monkeypatch):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest())
            for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute(rows, 100)
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    """Null and shared ids with texts of different lengths: each row by itself."""
+    from pyspark.sql import functions as F
+    rng = random.Random(11)
+    noise = lambda k: "".join(rng.choice("abcdefg hij") for _ in range(k))
+    shared = [noise(300) for _ in range(4)]
+    rows = [(None, None), (None, ""), (None, "short"), (None, noise(150))]
+    rows += [(None, noise(100 + 50 * i) + shared[i % 4] + noise(80 * i)) for i in range(8)]
+    rows += [(5, shared[1][:250] + noise(40)), (5, noise(700) + shared[2] + noise(10)), (5, "tiny")]
+    rows += [(100 + i, noise(60 * i) + shared[i % 4][20:] + noise(90)) for i in range(8)]
+    rows += [(200 + i, noise(400)) for i in range(4)]
+    rows += [rows[6], rows[12]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    text = F.coalesce("text", F.lit(""))
+    order = {(r.doc_id, r.text): r.ver for r in docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("ver"))
+             .collect()}
+    place = sorted(order, key=lambda k: (k[0] is not None, k[0] or 0, order[k]))
+    want = brute(list(enumerate(t for _, t in place)), 100)
+    want = sorted(want[place.index((d, t or ""))] for d, t in rows)
+    got = [(r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest())
+           for r in suffix_dedup.remove_repeats(docs).collect()]
+    assert sorted(got) == want
