@@ -3,7 +3,7 @@
 Features of a whole text: densities of a learned lexicon, hits near a second
 person, capitals, punctuation and obfuscation rates. The lexicon are the words,
 and the stems of words, whose share of toxic documents speaks most clearly for toxicity, counted over
-the labelled training documents. The trees (histogram splits, logistic loss)
+all labelled training documents. The trees (histogram splits, logistic loss)
 and the isotonic calibration are fitted on a bounded sample of these.
 
 An empty or null text has features of zero and a score like any other. Labels
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,12 +189,15 @@ def fit(x: np.ndarray, y: np.ndarray, lexicon: frozenset[str]) -> Classifier:
 
 
 def learn_lexicon(rows: DataFrame) -> frozenset[str]:
-    """Words of toxic documents, by their share there against elsewhere."""
+    """Words of toxic documents, by their share there against elsewhere, from
+    all rows (digest, toxic, z) of compressed texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         toxic: dict[str, list[int]] = {}
         for batch in batches:
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            for z, y in zip(batch.column("z").to_pylist(), batch.column("toxic").to_pylist()):
+                text = unpack(z).decode("utf-8", "surrogatepass")
                 own = {w.strip(_EDGE) for w in text.lower().split()}
                 own = {w for w in own if w.isalpha()}
                 for w in own | {w[:STEM] + "*" for w in own if len(w) > STEM}:
@@ -208,13 +212,13 @@ def learn_lexicon(rows: DataFrame) -> frozenset[str]:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(pairs[:, 0].copy()),
                                            pa.array(pairs[:, 1].copy())], ["word", "clean", "toxic"])
 
-    # copies of a text count once, or a copied document's words would stand out
-    once = rows.dropDuplicates(["text"])
+    # copies of a text count once, or a copied document's words would stand out; toxic where one of them is
+    once = stage(rows.groupBy("digest").agg(F.max("toxic").alias("toxic"), F.first("z").alias("z")), "once")
     total = once.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
     if not total.t or total.t == total.n:
         return frozenset()
     ratio = ((F.col("toxic") + 0.5) / F.lit(total.t + 1.0)) / ((F.col("clean") + 0.5) / F.lit(total.n - total.t + 1.0))
-    words = (once.select("text", "toxic").mapInArrow(lean(run), "word string, clean long, toxic long").groupBy("word")
+    words = (once.select("z", "toxic").mapInArrow(lean(run), "word string, clean long, toxic long").groupBy("word")
              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
              .filter((F.col("toxic") >= MIN_DOCUMENTS) & (ratio >= MIN_RATIO))
              .orderBy((F.col("toxic") * F.log(ratio)).desc(), "word").limit(LEXICON).collect())
@@ -227,20 +231,33 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
-    data = documents(docs)
-    # fitted on the rows of least id hash
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    rows = stage(data.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "labelled")
-    lexicon = learn_lexicon(rows)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("toxic"), batch.column("digest"),
+                 pa.array([z(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()],
+                          pa.binary())], ["doc_id", "toxic", "digest", "z"])
+
+    data = documents(docs).filter(~held_out(F.col("doc_id")))
+    rows = stage(data.join(known, "doc_id").select("doc_id", "toxic", F.md5(F.col("text").cast("binary")).alias("digest"),
+                                                   "text")
+                 .mapInArrow(lean(pack), "doc_id long, toxic int, digest string, z binary"), "labelled")
+    lexicon = learn_lexicon(rows.select("digest", "toxic", "z"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            x = [features(t, lexicon) for t in batch.column("text").to_pylist()]
+            x = [features(unpack(z).decode("utf-8", "surrogatepass"), lexicon) for z in batch.column("z").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"),
                                               pa.array(x, pa.list_(pa.float64()))], ["doc_id", "toxic", "x"])
 
+    # fitted on the documents of least id hash, of those that have a text
+    chosen = rows.select("doc_id", "digest").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(SAMPLE_ROWS)
+    sample = rows.join(F.broadcast(chosen), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
     # at most SAMPLE_ROWS rows of numbers
-    found = rows.select("doc_id", "toxic", "text").mapInArrow(
+    found = sample.select("doc_id", "toxic", "z").mapInArrow(
         lean(run), "doc_id long, toxic int, x array<double>").orderBy("doc_id", "x").toArrow()
     x = np.array(found.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     return fit(x, found.column("toxic").to_numpy().astype(float), lexicon)

@@ -77,3 +77,32 @@ def test_toxicity_held_out(spark):
     found = [r for r in out if r.predicted]
     assert found and sum(r.toxic for r in found) / len(found) > 0.9
     assert all(0 <= r.score <= 1 for r in out)
+
+
+def test_lexicon_counts_all_labelled_documents(spark, monkeypatch):
+    """A toxic word of few documents, far more labels than the sample, most of them without a document."""
+    import random
+    from cellstar.llm.common import held_out
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(tx, "SAMPLE_ROWS", 40)
+    rng = random.Random(6)
+    ids = [r.id for r in spark.range(3000).filter(~held_out(F.col("id"))).orderBy("id").limit(1200).collect()]
+    texts, toxic = [], []
+    for k, i in enumerate(ids):
+        rare = k % 100 < 2
+        common = not rare and k % 4 == 0
+        texts.append(" ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + "xyzw"[rng.randrange(4)] for _ in range(20))
+                     + (" zqrare" if rare else " grumbl" if common else ""))
+        toxic.append(int(rare or common))
+    seen = []
+    learn = tx.learn_lexicon
+    monkeypatch.setattr(tx, "learn_lexicon", lambda rows: seen.append(learn(rows)) or seen[-1])
+    fitted = []
+    fit = tx.fit
+    monkeypatch.setattr(tx, "fit", lambda x, y, lexicon: fitted.append(len(y)) or fit(x, y, lexicon))
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(zip(ids, toxic)), "doc_id long, toxic int").union(
+        spark.range(10 ** 6, 10 ** 6 + 4000).selectExpr("id", "0"))
+    classifier = tx.train(docs, labels)
+    assert {"zqrare", "grumbl"} <= seen[0] and fitted == [40]
+    assert classifier.trees is not None
