@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellstar.llm.common import bytes_of, documents, lean, mix64, partitions, schema, text_chunks
@@ -153,7 +153,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None,
     """doc_id, piece, start_word, n_words, source, cluster, bin, offset of every piece.
 
     ``bin`` is a text: the shard and the bin's number in it; full bins of a long
-    document are numbered by the document alone.
+    document are numbered by the document, and by the copy where rows repeat it.
     """
     keep = ("source",) + ((cluster,) if cluster else ())
     data = lengths(docs, *keep)
@@ -161,12 +161,13 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None,
         "cluster", F.col(cluster).cast("long") if cluster else F.col("digest"))
     cut = data.withColumn("full", F.expr(f"cast(n_words div {capacity} as int)"))
     rest = cut.withColumn("rest", F.col("n_words") % capacity)
-    full = rest.filter("full > 0").select(
-        "doc_id", F.explode(F.expr("sequence(0, full - 1)")).alias("piece"), "source", "cluster", "digest").select(
+    copies = Window.partitionBy("doc_id", "digest").orderBy("source", "cluster")
+    full = rest.filter("full > 0").withColumn("copy", F.row_number().over(copies)).select(
+        "doc_id", F.explode(F.expr("sequence(0, full - 1)")).alias("piece"), "source", "cluster", "digest", "copy").select(
         "doc_id", "piece", (F.col("piece").cast("long") * capacity).alias("start_word"),
         F.lit(capacity).cast("long").alias("n_words"), "source", "cluster",
         F.concat_ws("-", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")),
-                    F.hex("digest"), F.col("piece")).alias("bin"), F.lit(0).cast("long").alias("offset"))
+                    F.hex("digest"), F.col("copy"), F.col("piece")).alias("bin"), F.lit(0).cast("long").alias("offset"))
     small = rest.filter("rest > 0 or full = 0").select(
         "doc_id", F.col("full").alias("piece"), (F.col("full").cast("long") * capacity).alias("start_word"),
         F.col("rest").alias("n_words"), "source", "cluster", "digest")

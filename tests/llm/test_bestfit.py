@@ -43,3 +43,21 @@ def test_documents_are_packed_whole(spark):
         assert own[0].offset == 0 and all(a.offset + a.n_words == b.offset for a, b in zip(own, own[1:]))
         assert own[-1].offset + own[-1].n_words <= 512
         assert len({r.source for r in own}) == len(own) == len({r.cluster for r in own})
+
+
+def test_repeated_long_rows_never_share_a_bin(spark):
+    """Copies of long rows, with one id and with none: capacity and conflicts of every bin."""
+    long, other = " ".join(f"w{i}" for i in range(250)), " ".join(f"v{i}" for i in range(200))
+    rows = [(7, long, "a")] * 3 + [(7, long, "b")] + [(None, long, "a")] * 2 + [(None, other, None)] * 2 + [(8, "x y", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = bestfit.pack(docs, capacity=100).collect()
+    assert sum(r.n_words for r in out) == 6 * 250 + 2 * 200 + 2
+    bins = {}
+    for r in out:
+        bins.setdefault(r.bin, []).append(r)
+    for own in bins.values():
+        own.sort(key=lambda r: r.offset)
+        assert all(a.offset + a.n_words == b.offset for a, b in zip(own, own[1:]))
+        assert sum(r.n_words for r in own) <= 100
+        sources = [r.source for r in own if r.source is not None]
+        assert len(set(sources)) == len(sources) and len({r.cluster for r in own}) == len(own)
