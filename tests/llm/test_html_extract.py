@@ -43,3 +43,37 @@ def test_labelled_pages(spark):
         own = page[page.index("<article>") + 9:page.index("</article>")]
         own = re.sub(r"</?b>", "", re.sub(r"</?(?:p|h1|br)>", " ", own))
         assert r.text == " ".join(html.unescape(own).split()) and r.n_chars == len(r.text)
+
+
+def test_wrappers_are_no_other_matter():
+    words = "Here are quite a few words of the page that all belong to its one article."
+    for name in ("has-sidebar", "no-sidebar", "with-nav", "search-results", "site-search page", "modal"):
+        for open_, close in (("<article>", "</article>"), ("<main>", "</main>"), ("", "")):
+            page = (f"<html><body><div class='{name}'><nav>Home</nav>{open_}<p>{words}</p>{close}"
+                    "<div class='sidebar'>Other links</div></div></body></html>")
+            assert he.main_text(page, W) == words, page
+    assert he.main_text(f"<form id=aspnet><article><p>{words}</p></article></form>", W) == words
+
+
+def test_self_closed_raw_elements_are_empty():
+    for tag in ("<svg class='x' />", "<iframe src='a'/>", "<svg/>", '<svg viewBox="0 0 1 1"/>'):
+        assert he.main_text(f"<p>one {tag}two three</p><p>four</p>", W) == "one two three four"
+    assert he.main_text("<p>one <svg><text>no</text></svg>two</p>", W) == "one two"
+
+
+def test_short_blocks_up_to_the_articles_end():
+    page = ("<nav>Home</nav><article><p>Here are quite a few words to begin with.</p>"
+            "<div class=ad>Buy this very fine thing now, today and for ever</div><p>The end.</p></article><footer>us</footer>")
+    assert he.main_text(page, W) == "Here are quite a few words to begin with. The end."
+
+
+def test_containers_are_learned(spark):
+    """A class word that only stands outside of articles, and a listed one that holds them."""
+    words = "quite a few words that belong to the article of this page"
+    rows = [(i, None, f"<div class='modal'><div class='zzbox'>links to other places {i}</div><article><p>{words} {i}</p>"
+                      "</article></div>") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    learned = he.learn_weights(pages)
+    assert learned[".zzbox"] > 0.8 and learned[".modal"] < 0.2
+    page = f"<div class='zzbox'>a lot of links to some other places here</div><div class='modal'><p>{words}</p></div>"
+    assert he.main_text(page, learned) == words
