@@ -22,8 +22,11 @@ Equal sets are one node from the start. Sharing a part makes candidates:
    whole sketches drops nearly all pairs below the threshold without a row being
    made of them, and the others are verified too.
 
-So no link between different texts is lost, and a large group of near copies
-costs one verification a copy. Signatures travel in packed arrays; a worker
+So no link between different texts is lost, and components cost about one
+verification a copy. The number of links is counted afterwards: links stay within
+components, so a component's sets meet block against block, where the sizes of all
+intersections come from products of incidence matrices; only a sum a set leaves a
+pair of blocks, no pairs are written. Signatures travel in packed arrays; a worker
 keeps one set of each part it has met often and reports the rest at once, so
 a part of a third of all sets doesn't reach one task whole.
 
@@ -55,6 +58,11 @@ COMMON = 64
 BLOCK = 2048
 #: Signatures gathered in a worker before they are packed and sent.
 FLUSH = 400_000
+#: Sets, and shingles, of one block of a component when its links are counted.
+COUNT_SETS, COUNT_SHINGLES = 4096, 1 << 20
+#: A shingle in so many pairs of two blocks at most is counted pair by pair; the
+#: others' columns are multiplied so many at a time.
+RARE, COLUMNS = 4096, 2048
 #: Pairs verified by one task's group: the sets against one centre.
 CENTRE_GROUP = 256
 #: Low bits of a node in transit: from the scheme below; already reported.
@@ -345,6 +353,108 @@ def across_components(rest: DataFrame, packed: DataFrame, percent: int, width: i
             .mapInArrow(lean(compare), "a long, b long").distinct())
 
 
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of the sets of hashes, left by right."""
+    def entries(sets):
+        own = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        h = np.concatenate(sets)
+        order = np.argsort(h, kind="stable")
+        return h[order], own[order]
+
+    (ha, a), (hb, b) = entries(left), entries(right)
+    both = np.intersect1d(ha, hb)
+    a0, a1 = np.searchsorted(ha, both), np.searchsorted(ha, both, side="right")
+    b0, b1 = np.searchsorted(hb, both), np.searchsorted(hb, both, side="right")
+    out = np.zeros((len(left), len(right)), np.float32)   # whole numbers far below 2**24
+    often = (a1 - a0) * (b1 - b0) > RARE
+
+    def spread(starts, stops):
+        """(index of the range, position) of all positions of the ranges."""
+        size = stops - starts
+        of = np.repeat(np.arange(len(size)), size)
+        return of, np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + starts[of]
+
+    dense = np.flatnonzero(often)
+    for k in range(0, len(dense), COLUMNS):
+        cols = dense[k:k + COLUMNS]
+        x, y = np.zeros((len(left), len(cols)), np.float32), np.zeros((len(right), len(cols)), np.float32)
+        of, at = spread(a0[cols], a1[cols])
+        x[a[at], of] = 1
+        of, at = spread(b0[cols], b1[cols])
+        y[b[at], of] = 1
+        out += x @ y.T
+    rare = np.flatnonzero(~often)
+    pairs = np.cumsum((a1 - a0)[rare] * (b1 - b0)[rare])
+    flat, done = out.reshape(-1), 0
+    while done < len(rare):
+        upto = max(done + 1, int(np.searchsorted(pairs, (pairs[done - 1] if done else 0) + 1_000_000, side="right")))
+        cols = rare[done:upto]
+        of, at = spread(a0[cols], a1[cols])            # each left entry meets its shingle's right entries
+        of2, at2 = spread(b0[cols][of], b1[cols][of])
+        place, n = np.unique(a[at][of2] * len(right) + b[at2], return_counts=True)
+        flat[place] += n
+        done = upto
+    return out
+
+
+def count_links(members: DataFrame, packed: DataFrame, percent: int, width: int) -> DataFrame:
+    """(id, n_links) of the sets of ``members`` (id, n, c: their component) that
+    have links: how many other sets are at or above the threshold."""
+    parts = partitions(members.sparkSession)
+    size = members.groupBy("c").agg(F.count("*").alias("m"), F.sum("n").alias("total")).filter("m > 1")
+    own = members.join(size, "c")
+    pairs = own.filter("m = 2").select("id", F.lit(1).cast("long").alias("n_links"))   # these two are linked
+    blocks = F.greatest(F.ceil(F.col("m") / COUNT_SETS), F.ceil(F.col("total") / COUNT_SHINGLES)).cast("int")
+    rows = (own.filter("m > 2").withColumn("blocks", blocks)
+            .withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
+            .join(packed, F.col("id") == F.col("doc_id"))
+            .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+            .select("c", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "z"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        group, held = None, ([], [])   # (id, hashes) of block i, and of block j
+
+        def tally():
+            left, right = held[0], held[1] or held[0]
+            if group[1] != group[2] and not (held[0] and held[1]):
+                return
+            both = intersections([h for _, h in left], [h for _, h in right])
+            na, nb = (np.array([len(h) for _, h in x], np.int64) for x in (left, right))
+            mine, theirs = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
+            for k in range(0, len(left), 256):
+                n = both[k:k + 256].astype(np.int64)
+                fit = 100 * n >= percent * (na[k:k + 256, None] + nb[None, :] - n)
+                mine[k:k + 256] = fit.sum(1)
+                theirs += fit.sum(0)
+            if right is left:
+                mine -= 1   # a set's link with itself
+                found = [(left, mine)]
+            else:
+                found = [(left, mine), (right, theirs)]
+            for x, n in found:
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in x], pa.int64()), pa.array(n)], ["id", "k"])
+
+        for batch in batches:
+            raw = [unpack(z) for z in batch.column("z").to_pylist()]
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)
+            text, h = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), ends, width)
+            cut = np.searchsorted(text, np.arange(len(raw) + 1))
+            for k, (c, i, j, block, one) in enumerate(zip(*(batch.column(x).to_pylist()
+                                                            for x in ("c", "i", "j", "block", "id")))):
+                if (c, i, j) != group:
+                    if group is not None:
+                        yield from tally()
+                    group, held = (c, i, j), ([], [])
+                held[block != i].append((one, h[cut[k]:cut[k + 1]].copy()))
+        if group is not None:
+            yield from tally()
+
+    counted = (rows.repartition(parts, "c", "i", "j").sortWithinPartitions("c", "i", "j")
+               .mapInArrow(lean(run), "id long, k long").groupBy("id").agg(F.sum("k").alias("n_links")))
+    return pairs.unionByName(counted)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id that a link (a, b) names: the smallest id
     that links reach. Alternates two steps until nothing changes: every id's
@@ -371,7 +481,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def similarity_components(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links of every document;
-    n_links counts the verified links of its set (0: only equal sets, or none)."""
+    n_links is the number of other sets that its set is linked with (0: only equal sets, or none)."""
     spark = docs.sparkSession
     data = documents(docs)
     longest = data.agg(F.max(F.octet_length("text"))).first()[0] or 1
@@ -415,8 +525,9 @@ def similarity_components(docs: DataFrame, percent: int = 85, width: int = 4) ->
     tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = stage(verify(across.join(tested, ["a", "b"], "left_anti"), packed, percent, width), "verified")
     links = first.union(second)
-    final = components(links)
-    count = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
+    final = stage(components(links), "components")
+    count = count_links(nodes.select(F.col("rep").alias("id"), "n").join(final.withColumnRenamed("component", "c"), "id"),
+                        packed, percent, width)
     by_node = (nodes.select("node", "rep").join(final, F.col("rep") == F.col("id"), "left").drop("id")
                .join(count, F.col("rep") == F.col("id"), "left")
                .select("node", F.coalesce("component", "rep").alias("component"),

@@ -123,3 +123,31 @@ def test_components(spark):
         u, v = sorted((root(a), root(b)))
         parent[v] = u
     assert got == {x: root(x) for a, b in pairs if a != b for x in (a, b)}
+
+
+@pytest.mark.parametrize("sets, rare, columns", [(4096, 4096, 2048), (16, 4, 8)])
+def test_links_are_counted_exactly(spark, monkeypatch, sets, rare, columns):
+    """A group of near copies, a chain and a pair: every set's number of links."""
+    for name, value in (("COUNT_SETS", sets), ("RARE", rare), ("COLUMNS", columns)):
+        monkeypatch.setattr(parity_join, name, value)
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(200)]
+    rows = []
+    for i in range(70):   # differently edited, so some pairs are linked and some are not
+        w = list(base)
+        for _ in range(i % 5):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    for i in range(30):   # each is like its neighbours only
+        rows.append((1000 + i, " ".join(f"c{k}" for k in range(8 * i, 8 * i + 150))))
+    rows += [(2000, " ".join(base[:90]) + " x"), (2001, " ".join(base[:90]) + " y"), (2002, "by itself"), (2003, None)]
+    rows += [(3000, rows[3][1]), rows[4]]
+    by_set = {}
+    for d, t in rows:
+        by_set.setdefault(shingle(t, 4), set()).add(d)
+    distinct = [x for x in by_set if x]
+    want = {d: sum(y != x and 100 * len(x & y) >= 85 * len(x | y) for y in distinct) for x in by_set for d in by_set[x]}
+    assert max(want.values()) > 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = parity_join.similarity_components(docs).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.n_links for r in got} == want
