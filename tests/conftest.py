@@ -7,8 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -29,4 +27,5 @@ def spark():
 @pytest.fixture(scope="session")
 def duck():
     from oracle_check import duck as make
+    from paths import SMALL
     return make(SMALL)

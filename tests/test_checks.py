@@ -6,7 +6,7 @@ from pyspark.sql import Row
 import __spark_entry__ as E
 from cellstar.operators import checks as K
 from cellstar.plans import catalog
-from conftest import SMALL
+from paths import SMALL
 
 
 def test_checks_report_seeded_bad_rows(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cellstar.operators.keys import dense_keys
 from cellstar.plans.catalog import star_for
-from conftest import SMALL
+from paths import SMALL
 
 
 def test_dense_keys_equal_row_number(spark):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cellstar.plans.star import build_star
 from cellstar.sources import fixtures as fx
-from conftest import SMALL
+from paths import SMALL
 
 
 def test_hot_measurement_spans_many_key_ranges(spark):
