@@ -188,9 +188,9 @@ def fit(x: np.ndarray, y: np.ndarray, lexicon: frozenset[str]) -> Classifier:
     return Classifier(lexicon, trees, isotonic(out, y))
 
 
-def learn_lexicon(rows: DataFrame) -> frozenset[str]:
+def learn_lexicon(once: DataFrame) -> frozenset[str]:
     """Words of toxic documents, by their share there against elsewhere, from
-    all rows (digest, toxic, z) of compressed texts."""
+    rows (toxic, z), one for each different text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -212,8 +212,6 @@ def learn_lexicon(rows: DataFrame) -> frozenset[str]:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(pairs[:, 0].copy()),
                                            pa.array(pairs[:, 1].copy())], ["word", "clean", "toxic"])
 
-    # copies of a text count once, or a copied document's words would stand out; toxic where one of them is
-    once = stage(rows.groupBy("digest").agg(F.max("toxic").alias("toxic"), F.first("z").alias("z")), "once")
     total = once.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
     if not total.t or total.t == total.n:
         return frozenset()
@@ -236,15 +234,20 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
         z = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), batch.column("digest"),
+                [batch.column("doc_id"), batch.column("digest"),
                  pa.array([z(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()],
-                          pa.binary())], ["doc_id", "toxic", "digest", "z"])
+                          pa.binary())], ["doc_id", "digest", "z"])
 
-    data = documents(docs).filter(~held_out(F.col("doc_id")))
-    rows = stage(data.join(known, "doc_id").select("doc_id", "toxic", F.md5(F.col("text").cast("binary")).alias("digest"),
-                                                   "text")
-                 .mapInArrow(lean(pack), "doc_id long, toxic int, digest string, z binary"), "labelled")
-    lexicon = learn_lexicon(rows.select("digest", "toxic", "z"))
+    data = documents(docs).filter(~held_out(F.col("doc_id"))).select(
+        "doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"), "text")
+    # ids, digests and labels first: they say which texts are needed
+    rows = stage(data.select("doc_id", "digest").join(known, "doc_id").distinct(), "labelled")
+    # copies of a text count once, or a copied document's words would stand out; toxic where one of them is
+    first = rows.groupBy("digest").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
+    packed = data.mapInArrow(lean(pack), "doc_id long, digest binary, z binary")
+    # the one exchange of texts, compressed, of one plan at every size
+    once = stage(packed.join(first.hint("merge"), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]), "once")
+    lexicon = learn_lexicon(once.select("toxic", "z"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -253,9 +256,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"),
                                               pa.array(x, pa.list_(pa.float64()))], ["doc_id", "toxic", "x"])
 
-    # fitted on the documents of least id hash, of those that have a text
-    chosen = rows.select("doc_id", "digest").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(SAMPLE_ROWS)
-    sample = rows.join(F.broadcast(chosen), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+    # fitted on the documents of least id hash; hashes far above the bound aren't sorted
+    share = 1.2 * SAMPLE_ROWS / max(rows.count(), 1)
+    least = F.xxhash64("doc_id")
+    near = rows if share >= 1 else rows.filter(least < F.lit(int((share - 0.5) * 2.0 ** 64)))
+    chosen = near.orderBy(least, "doc_id", "digest").limit(SAMPLE_ROWS)
+    sample = once.select("digest", "z").join(F.broadcast(chosen), "digest")
     # at most SAMPLE_ROWS rows of numbers
     found = sample.select("doc_id", "toxic", "z").mapInArrow(
         lean(run), "doc_id long, toxic int, x array<double>").orderBy("doc_id", "x").toArrow()

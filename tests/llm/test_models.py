@@ -74,9 +74,32 @@ def test_features():
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     out = tx.score(docs, tx.train(docs, labels)).join(labels, "doc_id").collect()
-    found = [r for r in out if r.predicted]
-    assert found and sum(r.toxic for r in found) / len(found) > 0.9
     assert all(0 <= r.score <= 1 for r in out)
+    unseen = [r for r in out if r.held_out]
+    found, toxic = [r for r in unseen if r.predicted], [r for r in unseen if r.toxic]
+    right = sum(r.toxic for r in found)
+    assert toxic and right / len(toxic) > 0.6       # recall
+    assert right / len(found) > 0.9                 # precision
+
+
+def test_tree_scores_equal_a_plain_walk():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 5))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] > 0.3).astype(float)
+    t = tx.Trees()
+    t.fit(x[:400], y[:400])
+
+    def walk(row):
+        total = t.base
+        for feature, cut, leaf in t.trees:
+            node = 0
+            for _ in range(tx.DEPTH):
+                j = feature[node]
+                node = 2 * node + (2 if sum(c < row[j] for c in t.cuts[j]) > cut[node] else 1)
+            total += leaf[node - (2 ** tx.DEPTH - 1)]
+        return total
+
+    assert np.allclose(t.raw(x[400:]), [walk(r) for r in x[400:]])
 
 
 def test_lexicon_counts_all_labelled_documents(spark, monkeypatch):
