@@ -41,6 +41,8 @@ from cellstar.llm.common import bytes_of, documents, lean, mix64, stage, text_ch
 from cellstar.llm.shingles import word_hashes
 
 ORDER = 3
+#: Words of a block: many, as n-grams that a block repeats are asked for once.
+BLOCK_WORDS = 400_000
 #: Strength of the shorter context against a context's own counts.
 MU = 16.0
 KEY_BITS = 48
@@ -48,7 +50,7 @@ KEY_BITS = 48
 BEGIN, END = mix64(np.array([0x5EED0001, 0x5EED0002], np.uint64))
 
 
-def text_blocks(docs: DataFrame, block_words: int = blocks.BLOCK_WORDS) -> DataFrame:
+def text_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(t, z, segments): the documents, in blocks of about ``block_words`` words.
     A segment is a text or a part of one: row number, doc_id, held_out, the bytes
     it has in the block, words of context it begins with, and whether the text
@@ -258,7 +260,7 @@ class Automaton:
         return score if len(words) > skip else 0.0
 
 
-def score(docs: DataFrame, block_words: int = blocks.BLOCK_WORDS) -> DataFrame:
+def score(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     staged = stage(text_blocks(docs, block_words), "lm-blocks")
     ranges = blocks.Ranges(2 * blocks.ranges_for(documents(docs)), KEY_BITS)
