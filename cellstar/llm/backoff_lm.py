@@ -11,7 +11,9 @@ and a word of no training document has the one unknown word's probability. Of it
 an automaton is made: a state for every context seen in training, an arc for
 every n-gram seen, a failure arc from each context to the next shorter one. A
 text is read once from left to right; the state is carried, failure weights and
-arc weights (log10) add up to its score.
+arc weights (log10) add up to its score. A block's texts are read side by side,
+in lanes; a long text has several, each of which first reads the two tokens
+before it, as its state depends on no more.
 
 At any size of the corpus: documents become bounded blocks; a block asks the hash
 partitions of ``blocks`` for the counts of its own n-grams and gets them back, so
@@ -46,6 +48,8 @@ BLOCK_WORDS = 400_000
 #: Strength of the shorter context against a context's own counts.
 MU = 16.0
 KEY_BITS = 48
+#: Tokens that a lane of the traversal reads.
+LANE = 256
 #: Hashes of the signs before a text's first word and after its last.
 BEGIN, END = mix64(np.array([0x5EED0001, 0x5EED0002], np.uint64))
 
@@ -218,19 +222,17 @@ class Automaton:
         p2 = (known[1] + MU * p1[tail2]) / (known[0][head2] + MU)
         p3 = (known[2] + MU * p2[tail3]) / (known[1][head3] + MU)
 
-        self.fail = np.zeros(1 + n1 + int((known[1] > 0).sum()), int)
-        self.back = np.zeros(len(self.fail))
         seen1, seen2, seen3 = known[0] > 0, known[1] > 0, known[2] > 0
+        self.fail = np.zeros(1 + n1 + int(seen2.sum()), int)
+        self.back = np.zeros(len(self.fail))
         self.back[state1[seen1]] = np.log10(MU / (known[0][seen1] + MU))
         self.fail[state2[seen2]] = state1[tail2[seen2]]
         self.back[state2[seen2]] = np.log10(MU / (known[1][seen2] + MU))
-        self.root_weight, self.root_target = np.log10(p1).tolist(), state1.tolist()
-        keys = np.concatenate((state1[head2[seen2]] * self.words + tail2[seen2],
-                               state2[head3[seen3]] * self.words + last3[seen3]))
-        self.arcs = dict(zip(keys.tolist(), range(len(keys))))
-        self.weight = np.log10(np.concatenate((p2[seen2], p3[seen3]))).tolist()
-        self.target = np.concatenate((state2[seen2], state2[tail3[seen3]])).tolist()
-        self.fail, self.back = self.fail.tolist(), self.back.tolist()
+        self.root_weight, self.root_target = np.log10(p1), state1
+        self.weight = np.log10(np.concatenate((p2[seen2], p3[seen3])))
+        self.target = np.concatenate((state2[seen2], state2[tail3[seen3]]))
+        self._place(np.concatenate((state1[head2[seen2]] * self.words + tail2[seen2],
+                                    state2[head3[seen3]] * self.words + last3[seen3])))
 
     @staticmethod
     def _occurrence(level, index: np.ndarray, kinds: int) -> np.ndarray:
@@ -238,26 +240,82 @@ class Automaton:
         at[index] = level[0]
         return at
 
-    def read(self, words: list[int], skip: int) -> float:
-        """log10 probability of the tokens after the first ``skip``."""
-        find, weight, target, fail, back = self.arcs.get, self.weight, self.target, self.fail, self.back
-        root_weight, root_target, width = self.root_weight, self.root_target, self.words
-        state, score = 0, 0.0
-        for i, w in enumerate(words):
-            if i == skip:
-                score = 0.0
-            while state:
-                arc = find(state * width + w)
-                if arc is not None:
-                    score += weight[arc]
-                    state = target[arc]
-                    break
-                score += back[state]
-                state = fail[state]
-            else:
-                score += root_weight[w]
-                state = root_target[w]
-        return score if len(words) > skip else 0.0
+    def _place(self, keys: np.ndarray) -> None:
+        """A hash table of the arcs: key and arc number, the next free place after its own for each."""
+        self.mask = (1 << max(4, (2 * len(keys)).bit_length())) - 1
+        self.keys, self.arc = np.full(self.mask + 1, -1), np.zeros(self.mask + 1, int)
+        left, at = np.arange(len(keys)), self._own_place(keys)
+        while len(left):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[left[free]]      # of several, one stays
+            placed = self.keys[at] == keys[left]
+            self.arc[at[placed]] = left[placed]
+            left, at = left[~placed], (at[~placed] + 1) & self.mask
+
+    def _own_place(self, keys: np.ndarray) -> np.ndarray:
+        return (mix64(keys) & np.uint64(self.mask)).astype(int)
+
+    def _arcs(self, keys: np.ndarray) -> np.ndarray:
+        """Arc of each key, -1 where there is none."""
+        at = self._own_place(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.arc[at], -1)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & self.mask
+            there = self.keys[at[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self.arc[at[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return out
+
+    def advance(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(state, log10 probability) after reading a word in each state."""
+        state, cost = state.copy(), np.zeros(len(state))
+        rest = np.flatnonzero(state)
+        at_root = np.flatnonzero(state == 0)
+        while len(rest):
+            arc = self._arcs(state[rest] * self.words + word[rest])
+            hit, arc = rest[arc >= 0], arc[arc >= 0]
+            missed = np.ones(len(state), bool)
+            missed[hit] = False
+            rest = rest[missed[rest]]
+            cost[hit] += self.weight[arc]
+            state[hit] = self.target[arc]
+            cost[rest] += self.back[state[rest]]
+            state[rest] = self.fail[state[rest]]
+            at_root = np.concatenate((at_root, rest[state[rest] == 0]))
+            rest = rest[state[rest] > 0]
+        cost[at_root] += self.root_weight[word[at_root]]
+        state[at_root] = self.root_target[word[at_root]]
+        return state, cost
+
+    def read(self, begin: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """log10 probability of the tokens [first, end) of each lane, read from
+        left to right after its context [begin, first); all lanes a token at a time."""
+        order = np.argsort(begin - end, kind="stable")
+        begin, first, end = begin[order], first[order], end[order]
+        total, state = np.zeros(len(begin)), np.zeros(len(begin), int)
+        size = end - begin
+        for j in range(int(size[0]) if len(size) else 0):
+            n = int(np.searchsorted(-size, -j))       # lanes longer than j
+            at = begin[:n] + j
+            state[:n], cost = self.advance(state[:n], self.word[at])
+            total[:n] += np.where(at >= first[:n], cost, 0.0)
+        out = np.empty(len(total))
+        out[order] = total
+        return out
+
+
+def lanes(tokens: Tokens, length: int = LANE):
+    """(segment, begin, first, end) of the lanes: ``length`` tokens each, with the tokens of context before them."""
+    first = tokens.begin[:-1] + tokens.skip
+    count = np.maximum(-(-(tokens.begin[1:] - first) // length), 0)
+    segment = np.repeat(np.arange(len(first)), count)
+    k = np.arange(len(segment)) - (np.cumsum(count) - count)[segment]
+    at = first[segment] + k * length
+    return (segment, np.maximum(tokens.begin[:-1][segment], at - (ORDER - 1)), at,
+            np.minimum(at + length, tokens.begin[1:][segment]))
 
 
 def score(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -290,8 +348,8 @@ def score(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         known = counts[0][model.word] > 0
         k = len(segments)
         of = tokens.segment[tokens.read]
-        ends = tokens.begin.tolist()
-        scores = [model.read(model.word[a:b].tolist(), skip) for a, b, skip in zip(ends, ends[1:], tokens.skip.tolist())]
+        segment, *lane = lanes(tokens)
+        scores = np.bincount(segment, model.read(*lane), k).astype(float)
         return pa.table([*(pa.array([s[c] for s in segments], kind) for c, kind in kinds_of[:3]),
                          pa.array(np.bincount(of, minlength=k).astype(np.int64)),
                          pa.array(np.bincount(of, known[tokens.read], k).astype(np.int64)),
