@@ -61,6 +61,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(*frames: DataFrame) -> None:
+    """Remove the files of staged tables that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def schema(before: str, kept: list, after: str = "") -> T.StructType:
     """The columns of two DDL texts with the fields ``kept`` between them."""
     return T.StructType([*T.StructType.fromDDL(before).fields, *kept,

@@ -30,10 +30,13 @@ pair of blocks, no pairs are written. Signatures travel in packed arrays; a work
 keeps one set of each part it has met often and reports the rest at once, so
 a part of a third of all sets doesn't reach one task whole.
 
+All this runs on nodes, which ids take no part in; each node carries the text of
+one of its rows, and a component's id is the least one of all its rows.
+
 A null or empty text has an empty set, linked with nothing; its component is
-its own id. A row repeated with the same id and text changes nothing; of rows
-that share an id with different texts, one stands for the id when links are
-verified. A row without an id takes the component of its set, null if alone.
+its own id. A row repeated with the same id and text changes nothing; rows that
+share an id with different texts are documents of their own. A row without an id
+takes the component of its set, null where no row of the component has an id.
 """
 
 from __future__ import annotations
@@ -46,7 +49,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.common import bytes_of, documents, lean, mix64, partitions, stage, text_chunks
+from cellstar.llm.common import bytes_of, documents, drop_staged, lean, mix64, partitions, stage, text_chunks
 from cellstar.llm.shingles import shingle_sets
 
 #: Bits of a sketch's part. A part is held as the exclusive or of its set bits'
@@ -129,8 +132,14 @@ def _chunks(batch: pa.RecordBatch, width: int):
         yield a, b - a, *shingle_sets(raw, ends, width)
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and (row_id, twin), which equal texts of one id share."""
+    return documents(docs).select("doc_id", "text", F.coalesce("doc_id", F.lit(-1 << 63)).alias("row_id"),
+                                  F.xxhash64("text").alias("twin"))
+
+
 def describe(docs: DataFrame, bands: Bands, width: int) -> DataFrame:
-    """doc_id, n_shingles, node and what each scheme may leave out, by document."""
+    """doc_id, row key, n_shingles, node and what each scheme may leave out, by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,11 +147,12 @@ def describe(docs: DataFrame, bands: Bands, width: int) -> DataFrame:
                 n, node = set_digest(text, h, k)
                 spare = [signatures(text, h, n, bands, below)[2] for below in (False, True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, k), pa.array(n), pa.array(node.view(np.int64)),
-                     *(pa.array(s, pa.int32()) for s in spare)],
-                    ["doc_id", "n_shingles", "node", "spare", "spare_below"])
+                    [*(batch.column(c).slice(a, k) for c in ("doc_id", "row_id", "twin")), pa.array(n),
+                     pa.array(node.view(np.int64)), *(pa.array(s, pa.int32()) for s in spare)],
+                    ["doc_id", "row_id", "twin", "n_shingles", "node", "spare", "spare_below"])
 
-    return documents(docs).mapInArrow(lean(run), "doc_id long, n_shingles long, node long, spare int, spare_below int")
+    return with_row_key(docs).mapInArrow(lean(run), "doc_id long, row_id long, twin long, n_shingles long, node long, "
+                                                    "spare int, spare_below int")
 
 
 def shared_parts(docs: DataFrame, bands: Bands, width: int) -> DataFrame:
@@ -238,9 +248,9 @@ def useful_parts(shared: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, packed: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) of documents at or above the threshold.
+    """The pairs (a, b) of sets at or above the threshold.
 
-    ``packed`` holds (doc_id, z), the compressed texts. The sets around one
+    ``packed`` holds (id, z), a compressed text of each set. The sets around one
     centre ``a`` meet in groups of bounded size, the centre's text first.
     """
     parts = partitions(pairs.sparkSession)
@@ -248,8 +258,8 @@ def verify(pairs: DataFrame, packed: DataFrame, percent: int, width: int) -> Dat
     size = dealt.groupBy("a").agg(F.ceil(F.count("*") / CENTRE_GROUP).cast("int").alias("groups"))
     dealt = dealt.join(size, "a").select("a", "b", F.expr("cast(r % groups as int)").alias("g"))
     centres = size.select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("g"))
-    rows = (centres.join(packed, centres.a == packed.doc_id).select("a", "g", F.lit(None).cast("long").alias("b"), "z")
-            .unionByName(dealt.join(packed, dealt.b == packed.doc_id).select("a", "g", "b", "z")))
+    rows = (centres.join(packed, centres.a == packed.id).select("a", "g", F.lit(None).cast("long").alias("b"), "z")
+            .unionByName(dealt.join(packed, dealt.b == packed.id).select("a", "g", "b", "z")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -314,8 +324,8 @@ def across_components(rest: DataFrame, packed: DataFrame, percent: int, width: i
             text, h = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), ends, width)
             cut = np.searchsorted(text, np.arange(len(raw) + 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([dense_sketch(h[a:b]) for a, b in zip(cut[:-1], cut[1:])],
-                                                  pa.binary())], ["doc_id", "sketch"])
+                [batch.column("id"), pa.array([dense_sketch(h[a:b]) for a, b in zip(cut[:-1], cut[1:])],
+                                              pa.binary())], ["id", "sketch"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -341,11 +351,11 @@ def across_components(rest: DataFrame, packed: DataFrame, percent: int, width: i
         if len(held) > 1:
             yield close()
 
-    sketches = (packed.join(rest.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select("doc_id", "z")
-                .mapInArrow(lean(draw), "doc_id long, sketch binary"))
+    sketches = (packed.join(rest.select("id").distinct(), "id").select("id", "z")
+                .mapInArrow(lean(draw), "id long, sketch binary"))
     blocks = rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = (rest.join(blocks, "key").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
-            .join(sketches, F.col("id") == F.col("doc_id"))
+            .join(sketches, "id")
             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))))
     return (rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
                         "id", "n", "c", "sketch")
@@ -407,7 +417,7 @@ def count_links(members: DataFrame, packed: DataFrame, percent: int, width: int)
     blocks = F.greatest(F.ceil(F.col("m") / COUNT_SETS), F.ceil(F.col("total") / COUNT_SHINGLES)).cast("int")
     rows = (own.filter("m > 2").withColumn("blocks", blocks)
             .withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
-            .join(packed, F.col("id") == F.col("doc_id"))
+            .join(packed, "id")
             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
             .select("c", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "z"))
 
@@ -471,35 +481,36 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        edges = stage(small, "links")
+        last, edges = edges, stage(small, "links")
         state, before = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.max("u")).first(), state
+        drop_staged(last)
         if state == before:
             break
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def similarity_components(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links of every document;
+def similarity_components(docs: DataFrame, percent: int = 85, width: int = 4, links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id and, with ``links``, n_links of every document;
     n_links is the number of other sets that its set is linked with (0: only equal sets, or none)."""
-    spark = docs.sparkSession
     data = documents(docs)
     longest = data.agg(F.max(F.octet_length("text"))).first()[0] or 1
     bands = Bands(percent, longest)
     ids = stage(describe(data, bands, width), "sets")
+    # a node is a set; its text is one row's, its least id is that of all its rows
     nodes = stage(ids.filter("n_shingles > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("spare").alias("spare"),
-        F.first("spare_below").alias("spare_below")), "nodes")
+        F.min("doc_id").alias("least"), F.min(F.struct("row_id", "twin")).alias("row"), F.first("n_shingles").alias("n"),
+        F.first("spare").alias("spare"), F.first("spare_below").alias("spare_below")), "nodes")
     shared = stage(shared_parts(data, bands, width), "parts")
     useful = useful_parts(shared, nodes).distinct()
     degree = useful.groupBy("node").agg(F.count("*").alias("degree"))
-    known = nodes.join(degree, "node").select("node", F.col("rep").alias("id"), "n", "degree")
-    useful = stage(useful.join(known, "node").select("key", "id", "n", "degree"), "members")
+    known = nodes.join(degree, "node").select("node", "n", "degree")
+    useful = stage(useful.join(known, "node").select("key", F.col("node").alias("id"), "n", "degree"), "members")
 
     near = F.col("n") * percent <= 100 * F.col("other")
     near &= F.col("other") * percent <= 100 * F.col("n")
-    centre = useful.groupBy("key").agg(F.max(F.struct("degree", -F.col("id"), "n")).alias("c")) \
-        .select("key", (-F.col("c.col2")).alias("centre"), F.col("c.n").alias("other"))
+    centre = useful.groupBy("key").agg(F.max(F.struct("degree", "id", "n")).alias("c")) \
+        .select("key", F.col("c.id").alias("centre"), F.col("c.n").alias("other"))
     star = stage(useful.join(centre, "key").filter((F.col("id") != F.col("centre")) & near)
                  .select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), "stars")
 
@@ -507,13 +518,14 @@ def similarity_components(docs: DataFrame, percent: int = 85, width: int = 4) ->
         z = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([z(t.encode("utf-8", "surrogatepass"))
-                                                   for t in batch.column("text").to_pylist()], pa.binary())],
-                ["doc_id", "z"])
-
-    wanted = useful.select(F.col("id").alias("doc_id")).distinct()
-    packed = stage(data.mapInArrow(lean(pack), "doc_id long, z binary").join(wanted, "doc_id")
-                   .dropDuplicates(["doc_id"]), "texts")
+                [batch.column("row_id"), batch.column("twin"),
+                 pa.array([z(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()],
+                          pa.binary())], ["row_id", "twin", "z"])
+
+    wanted = nodes.select(F.col("node").alias("id"), "row.row_id", "row.twin").join(
+        useful.select("id").distinct(), "id")
+    packed = stage(with_row_key(data).mapInArrow(lean(pack), "row_id long, twin long, z binary")
+                   .join(wanted, ["row_id", "twin"]).dropDuplicates(["row_id", "twin"]).select("id", "z"), "texts")
     first = stage(verify(star, packed, percent, width), "verified")
     merged = components(first)
 
@@ -521,18 +533,20 @@ def similarity_components(docs: DataFrame, percent: int = 85, width: int = 4) ->
         .select("key", "id", "n", F.coalesce("c", "id").alias("c"))
     split = inside.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("key")
     rest = stage(inside.join(split, "key"), "rest")   # key, id, n, c
-    across = across_components(rest, packed, percent, width)
     tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = stage(verify(across.join(tested, ["a", "b"], "left_anti"), packed, percent, width), "verified")
-    links = first.union(second)
-    final = stage(components(links), "components")
-    count = count_links(nodes.select(F.col("rep").alias("id"), "n").join(final.withColumnRenamed("component", "c"), "id"),
-                        packed, percent, width)
-    by_node = (nodes.select("node", "rep").join(final, F.col("rep") == F.col("id"), "left").drop("id")
-               .join(count, F.col("rep") == F.col("id"), "left")
-               .select("node", F.coalesce("component", "rep").alias("component"),
-                       F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    return (ids.join(by_node, "node", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component"))
-                    .otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    # verification reads its pairs several times
+    across = stage(across_components(rest, packed, percent, width).join(tested, ["a", "b"], "left_anti"), "across")
+    second = stage(verify(across, packed, percent, width), "verified")
+    final = stage(components(first.union(second)), "components")
+    by_node = nodes.select("node", "least").join(final, F.col("node") == F.col("id"), "left") \
+        .select("node", "least", F.coalesce("component", "node").alias("c"))
+    columns = ["doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
+               .otherwise(F.col("doc_id")).alias("component_id")]
+    least = by_node.groupBy("c").agg(F.min("least").alias("component_id"))
+    if links:
+        count = stage(count_links(nodes.select(F.col("node").alias("id"), "n").join(
+            final.withColumnRenamed("component", "c"), "id"), packed, percent, width), "counts")
+        by_node = by_node.join(count, F.col("node") == F.col("id"), "left")
+        columns.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    drop_staged(shared, useful, star, packed, first, rest, across, second)
+    return ids.join(by_node.join(least, "c"), "node", "left").select(columns)

@@ -151,3 +151,42 @@ def test_links_are_counted_exactly(spark, monkeypatch, sets, rare, columns):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = parity_join.similarity_components(docs).collect()
     assert len(got) == len(rows) and {r.doc_id: r.n_links for r in got} == want
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_shared_and_missing_ids_equal_all_pairs(spark, seed):
+    """Ids are names only: components and links follow the sets."""
+    rng = random.Random(seed)
+    q, r, s, t = ([f"{c}{k}" for k in range(60)] for c in "qrst")
+    rows = [(3, " ".join(q)), (10, " ".join(q[:-1] + ["x"])), (4, " ".join(r)), (10, " ".join(r[:-1] + ["x"])),
+            (5, " ".join(s)), (None, " ".join(s[:-1] + ["x"])), (None, " ".join(t)), (None, " ".join(t[:-1] + ["x"]))]
+    for k in range(12):
+        base = [f"b{k}_{i}" for i in range(rng.randint(6, 120))]
+        for _ in range(rng.randint(1, 9)):
+            w = list(base)
+            for _ in range(rng.randint(0, 3)):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(10 ** 6)}"
+            rows.append((rng.choice([None, *range(20, 40)]), " ".join(w)))
+    rows += [(7, None), (7, "")] + [rng.choice(rows) for _ in range(5)]
+    sets = [shingle(text, 4) for _, text in rows]
+    distinct = sorted({x for x in sets if x}, key=sorted)
+    like = {x: [y for y in distinct if y != x and 100 * len(x & y) >= 85 * len(x | y)] for x in distinct}
+    of = {}
+    for x in distinct:
+        if x not in of:
+            of[x], left = x, [x]
+            while left:
+                for y in like[left.pop()]:
+                    if y not in of:
+                        of[y] = x
+                        left.append(y)
+    least = {}
+    for (d, _), x in zip(rows, sets):
+        if x and d is not None:
+            least[of[x]] = min(d, least.get(of[x], d))
+    want = [(d, len(x), least.get(of[x]) if x else d, len(like[x]) if x else 0) for (d, _), x in zip(rows, sets)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in parity_join.similarity_components(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert sorted((tuple(r) for r in parity_join.similarity_components(docs, links=False).collect()), key=repr) \
+        == sorted((w[:3] for w in want), key=repr)
