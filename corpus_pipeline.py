@@ -50,7 +50,7 @@ def free(name: str, docs: DataFrame) -> str:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = parity_join.similarity_components(docs, percent=80, width=5)
+    found = parity_join.similarity_components(docs, percent=80, width=5, links=False)
     keep = found.filter(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
     kept = docs.join(keep, "doc_id", "left_semi")
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
@@ -64,7 +64,6 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     none = free("none_", docs)
     rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias(none), *others).alias("row_"))
     left = suffix_dedup.remove_repeats(rows, keep=("row_",))
-    text = F.replace(F.try_validate_utf8("kept"), F.lit("�"), F.lit("")) if False else F.col("kept")
     kind = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
     out = left.select("doc_id", suffix_dedup.whole_characters(F.col("kept")).alias("text"), "row_.*").drop(none)
     if kind is not None:
