@@ -253,13 +253,13 @@ def one_measurement(spark, sf_dir, prefix: str = "2001"):
 
 from cellstar.plans.warehouse import METADATA_COLUMNS, SHEET_COLUMNS, SHEET_NUMERIC  # noqa: E402
 
-def landed_workbooks(spark, sf_dir, kind: str = "sheet"):
+def landed_workbooks(spark, sf_dir, kind: str = "sheet", extension: str = ".xlsx"):
     """Workbooks rendered from the tables, kept as a (path, content) table in
     the shared scratch folder (the shape a ``binaryFile`` scan returns)."""
-    return memo("workbooks", spark, sf_dir, lambda: _render_workbooks(spark, sf_dir, kind), kind)
+    return memo("workbooks", spark, sf_dir, lambda: _render_workbooks(spark, sf_dir, kind, extension), kind, extension)
 
 
-def _render_workbooks(spark, sf_dir, kind):
+def _render_workbooks(spark, sf_dir, kind, extension):
     from cellstar.operators.keys import stage
     from cellstar.sources import sheet as SH
     rd = fx.readings(spark, sf_dir)
@@ -270,24 +270,44 @@ def _render_workbooks(spark, sf_dir, kind):
         micros = "unix_micros(CAST(timestamp AS TIMESTAMP))"
         rows = rows.withColumn("_f", f).withColumn("_ts", F.col("timestamp")).withColumn("timestamp", F.expr(
             f"CAST({micros} div 86400000000 + 25569 AS DOUBLE) + pmod({micros}, 86400000000) / 86400000000D"))
-        wb = SH.render_workbooks(rows, "_f", SHEET_COLUMNS, SHEET_NUMERIC, ["_ts", "record_ID"])
+        wb = SH.render_workbooks(rows, "_f", SHEET_COLUMNS, SHEET_NUMERIC, ["_ts", "record_ID"], extension=extension)
     else:
         rows = fx.metadata_rows(rd)
         # one workbook per machine and block of 1,000 measurement numbers: bounded groups
         block = F.floor(F.col("measurement_name").cast("bigint") / 1000).cast("string")
         wb = SH.render_workbooks(rows.withColumn("_f", F.concat_ws("_", F.lit("metadata"), "machine_name", block)),
                                  "_f", METADATA_COLUMNS, set(), ["json_name"], folder="raw-data/metadata",
-                                 sheet="metadata")
+                                 sheet="metadata", extension=extension)
     return stage(wb, f"landing-{kind}")
 
 
-@register("sheet_ingest", star_sql("""
+_SHEET_SQL = star_sql("""
 select split_part(table_name, '_', 1) as measurement_name, record_ID, cycle, step_ID, step_name, time_in_step,
-  voltage_V, current_mA, capacity_mAh, energy_mWh, timestamp from sheet"""))
+  voltage_V, current_mA, capacity_mAh, energy_mWh, timestamp from sheet""")
+
+
+@register("sheet_ingest", _SHEET_SQL)
 def sheet_ingest(spark, sf_dir):
     """A3: sheet ``Sheet1`` of every machine 1 workbook, typed once in Spark."""
+    return typed_sheets(landed_workbooks(spark, sf_dir))
+
+
+@register("sheet_ingest_xls", _SHEET_SQL)
+def sheet_ingest_xls(spark, sf_dir):
+    """A1/A3: the same measurements delivered as legacy workbooks."""
+    return typed_sheets(landed_workbooks(spark, sf_dir, extension=".xls"))
+
+
+@register("metadata_sheet_ingest_xls", star_sql("select " + ", ".join(METADATA_COLUMNS) + " from meta"))
+def metadata_sheet_ingest_xls(spark, sf_dir):
+    """A9 + C16: metadata delivered as legacy workbooks."""
+    from cellstar.plans.warehouse import metadata_rows_from_files
+    return metadata_rows_from_files(landed_workbooks(spark, sf_dir, "metadata", extension=".xls"))
+
+
+def typed_sheets(files):
     from cellstar.plans.warehouse import land_sheets
-    rows = DAT.whole_files(land_sheets(landed_workbooks(spark, sf_dir)))
+    rows = DAT.whole_files(land_sheets(files))
     return rows.select(
         measurement_name("table_name").alias("measurement_name"), "record_ID", "cycle", "step_ID", "step_name",
         "time_in_step", "voltage_V", "current_mA", "capacity_mAh", "energy_mWh", "timestamp")

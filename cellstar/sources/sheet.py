@@ -1,9 +1,10 @@
-"""Workbook (``.xlsx``) sheets as rows.
+"""Workbook sheets as rows.
 
 No Spark source reads workbooks, so this is the one Python step: a
 ``mapInPandas`` over rows of ``(path, content)`` -- the shape ``binaryFile``
-gives -- that opens each workbook with the standard library (``zipfile`` +
-``ElementTree``), finds the wanted sheet, and yields its rows as text. One
+gives -- that opens each workbook (``.xlsx`` with the standard library's
+``zipfile`` and ``ElementTree``, ``.xls`` with ``sources/xls``; what the content
+is decides, not its name), finds the wanted sheet, and yields its rows as text. One
 workbook is one input row, so workbooks are spread over tasks like any file.
 Types are applied afterwards in Spark (``cast``), never by guessing per file.
 
@@ -24,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, StringType, StructField, StructType
 
+from cellstar.sources import xls
+
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
       "p": "http://schemas.openxmlformats.org/package/2006/relationships"}
@@ -68,6 +71,9 @@ def iter_sheet_rows(content: bytes, sheet_name: str | None = "Sheet1"):
     strings, numbers as written, booleans as TRUE/FALSE). The sheet XML is
     parsed as a stream and each row is released once read, so memory stays
     bounded by one row, not by the sheet."""
+    if content[:8] == xls.MAGIC:
+        yield from xls.iter_sheet_rows(content, sheet_name)
+        return
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         shared: list[str] = []
         if "xl/sharedStrings.xml" in z.namelist():
@@ -98,6 +104,8 @@ def iter_sheet_rows(content: bytes, sheet_name: str | None = "Sheet1"):
 
 def uses_1904(content: bytes) -> bool:
     """Whether the workbook counts its date numbers from 1904."""
+    if content[:8] == xls.MAGIC:
+        return xls.uses_1904(content)
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         pr = ET.fromstring(z.read("xl/workbook.xml")).find("m:workbookPr", NS)
     return pr is not None and pr.get("date1904", "0").lower() in ("1", "true")
@@ -211,8 +219,9 @@ def workbook_bytes(header: list[str], rows: list[list], numeric: set[str], sheet
 
 def render_workbooks(rows: DataFrame, file_col: str, columns: list[str], numeric: set[str],
                      order_by: list[str], folder: str = "raw-data/machine_1",
-                     sheet: str = "Sheet1") -> DataFrame:
-    """One workbook per ``file_col`` value: ``(path, content)`` rows.
+                     sheet: str = "Sheet1", extension: str = ".xlsx") -> DataFrame:
+    """One workbook per ``file_col`` value, in the format that ``extension``
+    names: ``(path, content)`` rows.
 
     Values are rendered to text by Spark first (``cast(.. as string)``), so
     the workbook holds exactly Spark's text of each value.
@@ -224,7 +233,8 @@ def render_workbooks(rows: DataFrame, file_col: str, columns: list[str], numeric
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([f"_o{i}" for i in range(len(order_by))])
         body = [[None if pd.isna(v) else v for v in r] for r in pdf[columns].itertuples(index=False)]
-        name = f"{folder}/{pdf['_file'].iloc[0]}.xlsx"
-        return pd.DataFrame({"path": [name], "content": [workbook_bytes(columns, body, numeric, sheet)]})
+        name = f"{folder}/{pdf['_file'].iloc[0]}{extension}"
+        write = xls.workbook_bytes if extension == ".xls" else workbook_bytes
+        return pd.DataFrame({"path": [name], "content": [write(columns, body, numeric, sheet)]})
 
     return text.groupBy("_file").applyInPandas(one, out_schema)
