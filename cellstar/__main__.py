@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cellstar.plans.warehouse import build_warehouse, land
 from cellstar.session import configure, get_session
+from cellstar.sinks.publish import publish, read_published
 from cellstar.sources.files import routed, skipped
 
 REPORT_LINES = 50
@@ -35,14 +36,15 @@ def main(argv: list[str] | None = None) -> dict:
     root = args.landing.rstrip("/")
     out = args.out.rstrip("/")
     landed = land(routed(spark, root, "machine_2"), routed(spark, root, "machine_1"))
-    star = build_warehouse(None, None, routed(spark, root, "metadata"), publish_root=out, landed=landed)
+    star = build_warehouse(None, None, routed(spark, root, "metadata"), landed=landed)
     left_out = (landed.quarantine().select("source", F.lit("quarantined").alias("status"), "error")
                 .unionByName(skipped(spark, root).select("source", F.lit("skipped").alias("status"), "error")))
-    left_out.write.mode("overwrite").parquet(f"{out}/ingest_report")
-    left_out = spark.read.parquet(f"{out}/ingest_report")
+    publish({**star.tables(), "ingest_report": left_out}, out)   # the report is of the same commit
+    tables = read_published(spark, out)
+    left_out = tables["ingest_report"]
     shown = left_out.orderBy("status", "source").limit(REPORT_LINES).collect()
     report = {
-        "tables": {name: spark.read.parquet(f"{out}/{name}").count() for name in star.tables()},
+        "tables": {name: tables[name].count() for name in star.tables()},
         "not_loaded": left_out.count(),
         "quarantined": [{"source": r.source, "error": r.error} for r in shown if r.status == "quarantined"],
         "skipped": [{"source": r.source, "error": r.error} for r in shown if r.status == "skipped"],

@@ -16,6 +16,7 @@ from cellstar.plans.oracle import MEASURES, star_sql
 from cellstar.plans.registry_ingest import _LANDING, read_bronze
 from cellstar.session import scratch_dir
 from cellstar.sinks import publish as PUB
+from cellstar.sinks import versions as V
 from cellstar.sources import dat as DAT
 from cellstar.sources import files as FL
 from cellstar.sources import fixtures as fx
@@ -460,6 +461,38 @@ def gold_publish(spark, sf_dir):
         for t, p in paths.items()])
 
 
+@register("publish_versions", star_sql(" union all ".join(
+    f"select cast({v} as bigint) as version, '{t}' as table_name, count(*) as n_rows, sum(hash_key) as key_sum "
+    f"from (select {k} as hash_key from {t}) t where {v} = 2 or hash_key % 2 = 0"
+    for v in (1, 2) for t, k in zip(_GOLD_TABLES, (UNIQUE_KEYS[t][0][0] for t in _GOLD_TABLES)))))
+def publish_versions(spark, sf_dir):
+    """Two versions of the nine tables (members of even key, then all),
+    with a publication between them that fails at its sixth table and one that
+    comes second; both versions read back, each with its own rows."""
+    from functools import reduce
+    tables = _tables(spark, sf_dir)
+    root = scratch_dir(spark, "versions")
+    keys = {t: UNIQUE_KEYS[t][0][0] for t in tables}
+    PUB.publish({t: df.filter(F.col(keys[t]) % 2 == 0) for t, df in tables.items()}, root)
+    broken = {t: df.filter(F.raise_error(F.lit("no such load")).isNotNull()) if i == 5 else df.limit(0)
+              for i, (t, df) in enumerate(tables.items())}
+    try:
+        PUB.publish(broken, root)
+    except Exception as e:  # the version before stays
+        if "no such load" not in str(e):
+            raise
+    late = V.prepare(spark, root, {t: df.limit(0) for t, df in tables.items()})
+    PUB.publish(tables, root)
+    try:
+        V.commit(spark, late)
+    except V.Conflict:
+        pass
+    return reduce(lambda a, b: a.unionByName(b), [
+        df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(keys[t]).alias("key_sum")).select(
+            F.lit(v).cast("long").alias("version"), F.lit(t).alias("table_name"), "n_rows", "key_sum")
+        for v in V.list_versions(spark, root) for t, df in PUB.read_published(spark, root, v).items()])
+
+
 @register("silver_roundtrip", star_sql(
     "select table_name, record_ID, cycle, step_ID, step_name, time_in_step, voltage_V, current_mA, "
     "capacity_mAh, energy_mWh, timestamp from sheet"))
@@ -540,7 +573,7 @@ def warehouse_incremental(spark, sf_dir):
                        meta.filter(F.col("measurement_name").try_cast("bigint") % 3 == 2))
     root = scratch_dir(spark, "warehouse")
     PUB.publish(first.tables(), root)
-    tables = {name: PUB.read_table(spark, f"{root}/{name}") for name in first.tables()}
+    tables = PUB.read_published(spark, root)
     late = F.coalesce(number != 2, F.lit(True))
     st = update_star(tables, rows["sheet"].filter(late), rows["dat"].filter(late), meta)
     parts = []

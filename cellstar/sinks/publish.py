@@ -1,18 +1,18 @@
 """Table sinks: create, append, replace and publish.
 
 Tables are folders in a file format given as a parameter (Parquet here; no
-table-format add-on is present). Publish replaces each table as a whole, so
-running it twice leaves the same tables -- the reference's append-on-rerun
-duplicates cannot happen.
+table-format add-on is present). Publish commits all tables at once, as whole
+tables, so running it twice leaves the same rows -- the reference's
+append-on-rerun duplicates cannot happen.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellstar.sinks import versions as V
+
 
 def create_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Create from the data's schema; fails when the table exists."""
@@ -50,38 +50,25 @@ DEFAULT_PARTITIONS = {"fact_excel_measurements": ["date_id"], "fact_dat_measurem
 
 
 def publish(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
-            partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
-    """Write the fixed list of star-schema tables under ``root``.
-
-    All tables are written beside the published ones first, then each takes its
-    place by a rename, so a failing job leaves the published tables alone, and
-    tables that are read while the new ones are made (a further load) stay
-    readable. Each table is replaced as a whole; its rows are gathered by
-    partition folder, a large folder over several files."""
+            partition_by: dict[str, list[str]] | None = None, append: dict[str, DataFrame] | None = None,
+            base: int | None = None, carry: bool = False, note: dict | None = None) -> dict[str, str]:
+    """Publish the star-schema tables under ``root`` in one commit
+    (``sinks/versions``); returns the folder of each table that was written.
+
+    Readers see all new tables or all old ones; tables that are read while the
+    new ones are made (a further load) stay readable. A failure, also of the
+    commit, leaves the published version as it was."""
+    spark = next(iter({**tables, **(append or {})}.values())).sparkSession
     parts = DEFAULT_PARTITIONS if partition_by is None else partition_by
-    root = root.rstrip("/")
-    mark = uuid.uuid4().hex[:12]
-    out = {}
-    for name, df in tables.items():
-        by = parts.get(name)
-        w = (df.hint("rebalance", *by) if by else df).write.mode("errorifexists").format(fmt)
-        if by:
-            w = w.partitionBy(*by)
-        w.save(f"{root}/_new-{mark}/{name}")
-        out[name] = f"{root}/{name}"
-    spark = next(iter(tables.values())).sparkSession
-    jvm = spark._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    place = lambda *names: jvm.org.apache.hadoop.fs.Path("/".join([root, *names]))
-    for name in tables:
-        if fs.exists(place(name)):
-            fs.mkdirs(place(f"_old-{mark}"))
-            fs.rename(place(name), place(f"_old-{mark}", name))
-        if not fs.rename(place(f"_new-{mark}", name), place(name)):
-            raise OSError(f"cannot publish {name} under {root}")
-    for folder in (f"_new-{mark}", f"_old-{mark}"):
-        fs.delete(place(folder), True)
-    return out
+    draft = V.prepare(spark, root, tables, append=append, partition_by=parts, base=base, carry=carry, fmt=fmt, note=note)
+    V.commit(spark, draft)
+    return {name: f"{draft.root}/{folders[-1]}" for name, folders in draft.tables.items()
+            if name in tables or name in (append or {})}
+
+
+def read_published(spark: SparkSession, root: str, version: int | None = None, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The published tables of one version (the newest when None)."""
+    return V.read_version(spark, root, version, fmt)
 
 
 def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
