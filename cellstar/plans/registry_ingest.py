@@ -363,6 +363,42 @@ def streaming_ingest(spark, sf_dir):
     return typed_dat(rows)
 
 
+@register("dat_ingest_split", star_sql(_TYPED_SQL))
+def dat_ingest_split(spark, sf_dir):
+    """A4-A8 by byte range: files of any size, cut wherever the scan's ranges end."""
+    from cellstar.sources.dat_split import parse_dat_split
+    return typed_dat(DAT.dat_rows_from_files(DAT.whole_files(parse_dat_split(spark, landed_dat_root(spark, sf_dir), "*.csv"))))
+
+
+_STREAM_ROWS = """
+select ms.measurement_name, f.timestamp, f.voltage_v, f.current_a, f.h2_flow, o.operator_name, em.electrode_material,
+  md.diaphragm, ms.start_timestamp, ms.finish_timestamp
+from fact_dat_measurements f join dim_measurement ms using (measurement_id) left join dim_operator o using (operator_id)
+  join dim_electrode_material em using (electrode_material_id) join dim_dat_metadata md using (dat_metadata_id)
+"""
+
+
+@register("streaming_star", star_sql(_STREAM_ROWS))
+def streaming_star(spark, sf_dir):
+    """Landed files streamed into the published star in two batches, months of
+    one measurement in both, then again: a second stream with a checkpoint of its
+    own brings every file again, and nothing changes."""
+    from cellstar.sinks.publish import read_published
+    from cellstar.streaming.landing import stream_to_star
+    landing, gold = landed_dat_root(spark, sf_dir), scratch_dir(spark, "stream-gold")
+    half = -(-FL.manifest(spark, landing, glob="*.csv").count() // 2)
+    for _ in range(2):  # Spark's own text files stand for the instrument's here
+        stream_to_star(spark, landing, gold, scratch_dir(spark, "star-ckpt"), glob="*.csv", max_files_per_trigger=half)
+    t = read_published(spark, gold)
+    for name, df in t.items():
+        if name.startswith(("dim_", "fact_")):
+            df.createOrReplaceTempView(f"streamed_{name}")
+    text = _STREAM_ROWS
+    for name in ("fact_dat_measurements", "dim_measurement", "dim_operator", "dim_electrode_material", "dim_dat_metadata"):
+        text = text.replace(f" {name} ", f" streamed_{name} ")
+    return spark.sql(text)
+
+
 def warehouse_from_files(spark, sf_dir):
     """The star schema built only from the landed files (``.dat``, machine 1
     workbooks, metadata workbooks) -- broken files are quarantined, not loaded."""

@@ -121,9 +121,13 @@ class Star:
     dim_dat_metadata: DataFrame
     fact_excel_measurements: DataFrame
     fact_dat_measurements: DataFrame
+    #: After a further load: the fact rows of that load alone, and whether it
+    #: replaced rows that were there (if not, the facts only grew by these).
+    fresh_facts: dict[str, DataFrame] | None = None
+    replaced: bool = True
 
     def tables(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in self.__dict__.items() if not k.startswith("silver")}
+        return {k: v for k, v in self.__dict__.items() if k.startswith(("dim_", "fact_"))}
 
 
 def silver_tables(sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -259,11 +263,12 @@ def update_star(existing: dict[str, DataFrame], sheet: DataFrame, dat: DataFrame
     if strict:
         _check_all_rows_kept(s1, new["fact_excel_measurements"], "fact_excel_measurements")
         _check_all_rows_kept(s2, new["fact_dat_measurements"], "fact_dat_measurements")
+    known = existing["dim_measurement"].join(loaded, "measurement_name", "left_semi").limit(1).count() > 0
     replaced = broadcast_if_small(dims["dim_measurement"].join(loaded, "measurement_name", "left_semi")
                                   .select("measurement_id"))
     facts = {k: v.join(replaced, "measurement_id", "left_anti").select(new[k].columns).unionByName(new[k])
              for k, v in old.items()}
-    return Star(silver_excel=s1, silver_dat=s2, **facts, **dims)
+    return Star(silver_excel=s1, silver_dat=s2, **facts, **dims, fresh_facts=new, replaced=known)
 
 
 def build_star(sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None = None,

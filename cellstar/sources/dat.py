@@ -156,21 +156,28 @@ def parse_dat(files: DataFrame, name_col: str | None = None) -> DataFrame:
     Column positions and header values are resolved once per file, before the
     lines are exploded, so each line only indexes its split values.
     """
-    per_file = parse_files(files, name_col)
+    resolved = resolve_files(parse_files(files, name_col), "CASE WHEN error IS NULL THEN body END AS _body")
+    return line_cells(resolved.selectExpr("*", "posexplode_outer(_body) AS (line_no, line)").drop("_body"))
+
+
+def resolve_files(per_file: DataFrame, *more: str) -> DataFrame:
+    """Column positions and header values of each file (a select of its own, so
+    they are computed once per file and not per line)."""
     srcs = list(DAT_COLUMN_MAP)
-    # per file: column positions and header values (a select of its own, so
-    # they are computed once per file and not after the explode, per line)
-    resolved = per_file.selectExpr(
+    return per_file.selectExpr(
         "source", "file_stem", "error",
         *[f"CAST(array_position(columns, {_lit(src)}) AS INT) AS _p{i}" for i, src in enumerate(srcs)],
         *[f"try_element_at(header, {_lit(src)}) AS _h{i}" for i, src in enumerate(srcs)],
-        *[f"try_element_at(header, {_lit(k)}) AS {f}" for k, f in DAT_HEADER_MAP.items()],
-        "CASE WHEN error IS NULL THEN body END AS _body")
-    exploded = resolved.selectExpr("*", "posexplode_outer(_body) AS (line_no, line)").drop("_body")
+        *[f"try_element_at(header, {_lit(k)}) AS {f}" for k, f in DAT_HEADER_MAP.items()], *more)
+
+
+def line_cells(lines: DataFrame, wide: str | None = None) -> DataFrame:
+    """Rows of ``resolve_files`` with ``line_no`` and ``line``: the line's cells.
+    ``wide`` says which lines have too many, where that isn't known by file."""
     # split each line once; the cells below index the split array
-    split = exploded.selectExpr("*", "split(line, '\\t') AS _values")
+    split = lines.selectExpr("*", "split(line, '\\t') AS _values")
     missing = ", ".join(_lit(m) for m in MISSING_CELLS)
-    cells, bad = [], []
+    cells, bad = [], [f"WHEN {wide} THEN 'row with more cells than columns'"] if wide else []
     for i, clean in enumerate(DAT_COLUMN_MAP.values()):
         v = f"CASE WHEN _p{i} > 0 THEN try_element_at(_values, _p{i}) END"
         v = f"CASE WHEN ({v}) IN ({missing}) THEN NULL ELSE {v} END"
