@@ -76,8 +76,11 @@ def segments(raw: np.ndarray, ends: np.ndarray, length: int, gram: int):
     low = np.uint64((1 << 21) - 1)
     best = sliding_min((h & ~low) | np.arange(len(h), dtype=np.uint64), length - gram + 1)
     at = (best & low).astype(np.int64)      # of each window's minimiser
-    text = np.searchsorted(ends, np.arange(n - length + 1), side="right") - 1
-    valid = np.arange(n - length + 1) + length <= ends[text + 1]
+    text = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[:n - length + 1]
+    valid = np.zeros(n - length + 1, bool)
+    for a, b in zip(ends[:-1].tolist(), (ends[1:] - length + 1).tolist()):
+        if a < b:
+            valid[a:b] = True
     start = valid.copy()
     start[1:] &= (at[1:] != at[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(start)
@@ -116,7 +119,13 @@ def settle(rows: np.ndarray):
 
 
 def ordered(rows: np.ndarray) -> np.ndarray:
-    return rows[np.lexsort((rows["start"], rows["ver"], rows["doc"], rows["dig"], rows["m"]))]
+    """Rows by (m, dig, doc, ver, start); only rows that share m are compared by more."""
+    rows = rows[np.argsort(rows["m"])]
+    same = rows["m"][1:] == rows["m"][:-1]
+    many = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same))) if len(rows) else same
+    part = rows[many]
+    rows[many] = part[np.lexsort((part["start"], part["ver"], part["doc"], part["dig"], part["m"]))]
+    return rows
 
 
 _FOUND = "doc long, ver long, start long, n int, m long, kind int"   # kind 0: remove; 1: sort in a shard; 2: meet singly
