@@ -14,9 +14,11 @@ Its text, without the words of negative score, is the main text: character refer
 block tags part blocks, white space in a block becomes one space, and blocks
 are joined by one space.
 
-Scripts, styles, comments and the head have no tokens; such an element that
-closes itself (``<svg/>``) is empty. A null or empty page, or
-one without a word, has an empty text. Unclosed elements end with their parent;
+Scripts, styles and comments have no tokens, nor has what is between the tags of
+a title, frame, drawing, choice, template or the like; such an element that closes
+itself (``<svg/>``), or that is never closed, is empty. A null or empty page, or
+one without a word, has an empty text. Unclosed elements end with their parent,
+an unclosed script with the page;
 a markup sign that opens no tag is text. Repeated rows give equal results.
 """
 
@@ -46,7 +48,8 @@ GUESS, MAX_CONTAINERS = 2, 2000
 NEARLY_ALL = 0.75
 
 # Elements by what they are (fixed values).
-_RAW = "script style noscript template textarea svg math iframe object head title select"
+_RAW = "script|style|textarea"
+_SKIPPED = "noscript|template|svg|math|iframe|object|title|select"
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -65,8 +68,10 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([
                         re.IGNORECASE)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?:{_RAW.replace(' ', '|')})(?=[\s/])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
-    rf"|<(?P<raw>{_RAW.replace(' ', '|')})(?=[\s/>])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?:{_RAW})(?=[\s/])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<skip>{_SKIPPED})(?=[\s/>])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>"
+    rf"|</(?P<skipped>{_SKIPPED})\s*>"
     r"|<(?P<close>/)?(?P<tag>[a-zA-Z][^\s/<>]*)(?P<rest>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<loose>/)?(?P<ltag>[a-zA-Z][^\s/<>]*)[^<>]*>"
     r"|<[!?][^<>]*>"
@@ -93,6 +98,19 @@ def guess(feature: str) -> bool:
     return bool(_MARKED.search(name)) and not _MODIFIER.match(name)
 
 
+def skipped_ends(page: str) -> dict[int, int]:
+    """Where the skipped elements that are closed end, by where their start tag ends.
+    An end belongs to the last start of its name that is open."""
+    open_: dict[str, list[int]] = {}
+    out = {}
+    for m in _TOKEN.finditer(page):
+        if m["skip"] and not m[0].endswith("/>"):
+            open_.setdefault(m["skip"].lower(), []).append(m.end())
+        elif m["skipped"] and open_.get(m["skipped"].lower()):
+            out[open_[m["skipped"].lower()].pop()] = m.end()
+    return out
+
+
 def tokens(page: str) -> tuple[list[tuple[str, str, int]], list[Element]]:
     """(tag or "", text, element that it stands in) of a page, and its elements
     in the order they open; a closing tag is "/name". Tags' text is empty."""
@@ -108,7 +126,14 @@ def tokens(page: str) -> tuple[list[tuple[str, str, int]], list[Element]]:
         out[-1] = ("", text, out[-1][2])
         held.clear()
 
+    ends = skipped_ends(page)
+    upto = 0
     for m in _TOKEN.finditer(page):
+        if m.start() < upto:
+            continue
+        if m["skip"]:
+            upto = ends.get(m.end(), 0)
+            continue
         text = m["text"]
         if text is not None:
             if not held:
@@ -131,7 +156,10 @@ def tokens(page: str) -> tuple[list[tuple[str, str, int]], list[Element]]:
             out.append(("/" + tag, "", stack[-1]))
             continue
         here = Element(tag, stack[-1], len(out))
-        if tag in _OTHER or (tag == "header" and not inside):
+        # by itself in a paragraph of an article, a label or button is a part of its sentence
+        inline = tag in ("label", "button") and inside and any(elements[e].tag == "p" for e in stack) and not any(
+            elements[e].tag in ("form", "fieldset") for e in stack)
+        if (tag in _OTHER and not inline) or (tag == "header" and not inside):
             here.features.append("@" + tag)
         rest = m["rest"] or ""
         if "=" in rest or "hidden" in rest:
@@ -213,7 +241,9 @@ def learn_weights(pages: DataFrame) -> dict[str, float]:
     """Score of each kind of tag, and share of other matter of containers' features
     (@tag, =role, .class word), from the sampled pages of least id hash."""
     prepare(pages.sparkSession)
-    sample = pages.filter(F.col("html").isNotNull()).select("html", F.xxhash64("page_id").alias("h")) \
+    share = 1.5 * SAMPLE_PAGES / max(pages.count(), 1)   # hashes far above the bound aren't sorted
+    sample = pages.filter(F.col("html").isNotNull()).select("html", F.xxhash64("page_id").alias("h"))
+    sample = (sample if share >= 1 else sample.filter(F.col("h") < F.lit(int((share - 0.5) * 2.0 ** 64)))) \
         .orderBy("h", F.xxhash64("html")).limit(SAMPLE_PAGES).select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -77,3 +77,25 @@ def test_containers_are_learned(spark):
     assert learned[".zzbox"] > 0.8 and learned[".modal"] < 0.2
     page = f"<div class='zzbox'>a lot of links to some other places here</div><div class='modal'><p>{words}</p></div>"
     assert he.main_text(page, learned) == words
+
+
+def test_unclosed_elements_swallow_nothing():
+    words = "Here are quite a few words of the page that all belong to its one article."
+    body = f"<nav>Home</nav><article><p>{words}</p></article><footer>us</footer>"
+    for page in (f"<html><head><title>x</title><body>{body}", f"<html><head><title>x</title><meta charset=u>{body}",
+                 f"<head><title>x</title><script>var a='<iframe>';</script></head><body>{body}</body>",
+                 f"<body><iframe src=x>{body}", f"<body><svg class=a>{body}", f"<body><select name=s>{body}",
+                 f"<object data=x>{body}", f"<math>{body}", f"<noscript>{body}", f"<template>{body}",
+                 f"<iframe src=x>{body}<iframe src=y>no</iframe>", f"{body}</svg></iframe></select>",
+                 f"<svg><g>no</g><svg><text>no</text></svg><text>no</text></svg>{body}",
+                 f"<noscript><p>Please enable it, now and in every other browser</p></noscript>{body}"):
+        assert he.main_text(page, W) == words, page
+    assert he.main_text(f"<article><select><option>no<option>nor</select><p>{words}</article>", W) == words
+    assert he.main_text(f"<article><p>{words}<script>never closed {words}</article>", W) == words
+
+
+def test_labels_and_buttons_in_a_sentence():
+    words = "Here are quite a few words of the page."
+    page = (f"<article><p>{words} Press <button>Start</button> beside <label>Name</label> now.</p>"
+            f"<form><p>Your <label>Address</label> <button>Send</button></p></form><p>{words}</p></article><button>Share</button>")
+    assert he.main_text(page, W) == f"{words} Press Start beside Name now. {words}"
