@@ -161,20 +161,25 @@ def read_block(blob: bytes, block: int) -> np.ndarray:
 
 class _Remembered(dict):
     """Looks a missing key up by ``find``. When full, what is remembered steps
-    back a generation. Keys with line ends are not kept, as they hold the end
-    of one line and the start of another."""
+    back a generation; that is by bytes. Long keys are not kept, nor keys with
+    line ends, as they hold the end of one line and the start of another."""
+
+    #: Bytes that a table entry takes besides its key and value; the longest key kept.
+    ENTRY, LONGEST = 150, 64
 
     def __init__(self, find, most: int):
         super().__init__()
-        self.find, self.most, self.former = find, most, {}
+        self.find, self.most, self.held, self.former = find, most, 0, {}
 
     def __missing__(self, key: str) -> bytes:
         value = self.former.get(key)
         if value is None:
             value = self.find(key)
-        if "\n" not in key:
-            if len(self) >= self.most:
-                self.former = dict(self)
+        if len(key) <= self.LONGEST and "\n" not in key:
+            size = self.ENTRY + 4 * len(key) + len(value)
+            self.held += size
+            if self.held > self.most:
+                self.former, self.held = dict(self), size
                 self.clear()
             self[key] = value
         return value
@@ -200,8 +205,8 @@ class PieceEncoder:
     library does: each is one id, and what lies between them is encoded by itself.
     """
 
-    #: Pieces, and units, remembered by a generation (about 150 bytes each).
-    PIECES, UNITS = 150_000, 450_000
+    #: Bytes of pieces, and of units, remembered by a generation.
+    PIECES, UNITS = 30_000_000, 90_000_000
 
     def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -91,3 +91,20 @@ def test_random_texts_equal_fresh_library():
     for _ in range(1500):
         t = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12)))
         assert np.frombuffer(e.encode(t), "<u4").tolist() == fresh.encode(t, add_special_tokens=False).ids, t
+
+
+def test_memory_is_bounded_by_bytes(monkeypatch):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    path = registry.vocabulary("byte_bpe_50k.json")
+    monkeypatch.setattr(sb.PieceEncoder, "PIECES", 20_000)
+    monkeypatch.setattr(sb.PieceEncoder, "UNITS", 20_000)
+    fresh, e = Tokenizer.from_file(path), sb.PieceEncoder(path, P.PATTERN)
+    rng = random.Random(9)
+    for size in (3, 30, 64, 65, 3000):
+        for _ in range(60):
+            t = "and " + "".join(rng.choice("abcdeé漢🙂0/+") for _ in range(size)) + " the"
+            assert np.frombuffer(e.encode(t), "<u4").tolist() == fresh.encode(t, add_special_tokens=False).ids, t
+            for kept in (e.pieces, e.pieces.former, e.units, e.units.former):
+                assert all(len(k) <= 64 for k in kept)
+                assert sum(4 * len(k) + len(v) + 150 for k, v in kept.items()) <= 20_000
