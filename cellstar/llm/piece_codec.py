@@ -34,8 +34,9 @@ MARK = "▁"
 
 
 class PieceCodec:
-    #: Words remembered (about 200 bytes each) before they become the former ones.
-    REMEMBER = 500_000
+    #: Bytes of words remembered before they become the former ones (words, ids, and
+    #: what a table entry takes), and the longest word that is.
+    REMEMBER, ENTRY, LONGEST = 100_000_000, 150, 64
     _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
     def __init__(self, model: str):
@@ -61,6 +62,7 @@ class PieceCodec:
         self.whole = {}      # piece -> it is what merging its own text gives
         self.words: dict[str, bytes] = {}   # word -> ids as little-endian 32-bit integers
         self.former: dict[str, bytes] = {}  # the words remembered before these
+        self.held = 0                       # bytes of ``words``
 
     def merge(self, text: str) -> list[str]:
         """Merge from single characters, best score first, leftmost on ties.
@@ -185,9 +187,12 @@ class PieceCodec:
         if found is None:
             ids = self.encode_word(word)
             found = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self.words) >= self.REMEMBER:
-            self.words, self.former = {}, self.words
-        self.words[word] = found
+        if len(word) <= self.LONGEST:
+            size = self.ENTRY + 4 * len(word) + len(found)
+            self.held += size
+            if self.held > self.REMEMBER:
+                self.words, self.former, self.held = {}, self.words, size
+            self.words[word] = found
         return found
 
     def split(self, text: str) -> list[str]:

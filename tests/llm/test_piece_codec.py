@@ -46,3 +46,18 @@ def test_query(spark, both):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+
+
+def test_memory_is_bounded_by_bytes(both, monkeypatch):
+    """Words of every length: results as the library's, what is remembered stays below its bound."""
+    sp, _ = both
+    monkeypatch.setattr(piece_codec.PieceCodec, "REMEMBER", 40_000)
+    own = piece_codec.PieceCodec(registry.vocabulary("piece_bpe_32k.model"))
+    rng = random.Random(7)
+    for size in (3, 30, 64, 65, 3000):
+        for _ in range(60):
+            t = "".join(rng.choice("abcdeé漢🙂0/+") for _ in range(size)) + " and the"
+            assert own.encode(t) == sp.encode(t)
+            assert max(map(len, own.words)) <= 64
+            for kept in (own.words, own.former):
+                assert sum(4 * len(w) + len(ids) + 150 for w, ids in kept.items()) <= 40_000
