@@ -10,8 +10,9 @@ so each piece goes to the tightest compatible bin (longest pieces first). A
 tree over the residuals keeps the bits that all bins below a node share, and
 skips what conflicts altogether.
 
-Pieces are dealt to shards by a hash, so that every shard gets its portion of a
-hot source or a large cluster; a shard of bounded size is packed by itself, and
+Pieces are dealt to shards by a hash of the document and the number of its copy,
+so that every shard gets its portion of a hot source, a large cluster, or a row
+that repeats very often; a shard of bounded size is packed by itself, and
 all shards in parallel. A null source or cluster conflicts with nothing; a null
 or empty text has length 0 and takes no room. Rows that repeat a document are
 documents of their own, in one cluster.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellstar.llm.common import bytes_of, documents, lean, mix64, partitions, schema, text_chunks
+from cellstar.llm.common import bytes_of, documents, lean, mix64, partitions, schema, stage, text_chunks
 from cellstar.llm.shingles import word_hashes
 
 CAPACITY = 2048
@@ -148,6 +149,23 @@ def lengths(docs: DataFrame, *keep: str) -> DataFrame:
     return data.mapInArrow(lean(run), schema("doc_id long, n_words long, digest long", data.schema.fields[2:]))
 
 
+def number_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``, 1 upwards among those of one (doc_id, digest). Copies
+    are numbered in each written file by themselves and the files' numbers added
+    up, so no task holds all copies of a row."""
+    staged = stage(rows, "lengths")
+    key = [F.coalesce("doc_id", F.lit(0)).alias("id_"), F.col("doc_id").isNull().alias("none_"), "digest"]
+    placed = staged.select("*", *key[:2], F.col("_metadata.file_name").alias("file_"),
+                           F.col("_metadata.row_index").alias("row_"))
+    own = Window.partitionBy("id_", "none_", "digest", "file_")
+    placed = placed.withColumn("copy", F.row_number().over(own.orderBy("row_")))
+    counts = placed.groupBy("id_", "none_", "digest", "file_").agg(F.count("*").alias("k"))
+    before = Window.partitionBy("id_", "none_", "digest").orderBy("file_").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("k").over(before), F.lit(0))).filter("before > 0").drop("k")
+    return placed.join(counts, ["id_", "none_", "digest", "file_"], "left").select(
+        *rows.columns, (F.col("copy") + F.coalesce("before", F.lit(0))).alias("copy"))
+
+
 def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None,
          shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """doc_id, piece, start_word, n_words, source, cluster, bin, offset of every piece.
@@ -159,10 +177,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None,
     data = lengths(docs, *keep)
     data = data.withColumn("source", F.col("source").cast("string")).withColumn(
         "cluster", F.col(cluster).cast("long") if cluster else F.col("digest"))
-    cut = data.withColumn("full", F.expr(f"cast(n_words div {capacity} as int)"))
+    cut = number_copies(data).withColumn("full", F.expr(f"cast(n_words div {capacity} as int)"))
     rest = cut.withColumn("rest", F.col("n_words") % capacity)
-    copies = Window.partitionBy("doc_id", "digest").orderBy("source", "cluster")
-    full = rest.filter("full > 0").withColumn("copy", F.row_number().over(copies)).select(
+    full = rest.filter("full > 0").select(
         "doc_id", F.explode(F.expr("sequence(0, full - 1)")).alias("piece"), "source", "cluster", "digest", "copy").select(
         "doc_id", "piece", (F.col("piece").cast("long") * capacity).alias("start_word"),
         F.lit(capacity).cast("long").alias("n_words"), "source", "cluster",
@@ -170,11 +187,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None,
                     F.hex("digest"), F.col("copy"), F.col("piece")).alias("bin"), F.lit(0).cast("long").alias("offset"))
     small = rest.filter("rest > 0 or full = 0").select(
         "doc_id", F.col("full").alias("piece"), (F.col("full").cast("long") * capacity).alias("start_word"),
-        F.col("rest").alias("n_words"), "source", "cluster", "digest")
+        F.col("rest").alias("n_words"), "source", "cluster", "digest", "copy")
     rows = docs.count()
     shards = max(1, -(-rows // shard_pieces))
     # dealt by the document itself, not by its source or cluster
-    small = small.withColumn("shard", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(shards)).cast("int"))
+    small = small.withColumn("shard", F.pmod(F.xxhash64("doc_id", "digest", "copy"), F.lit(shards)).cast("int"))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n_words", "doc_id", "digest"], ascending=[False, True, True], kind="stable",

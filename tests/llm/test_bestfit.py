@@ -61,3 +61,16 @@ def test_repeated_long_rows_never_share_a_bin(spark):
         assert sum(r.n_words for r in own) <= 100
         sources = [r.source for r in own if r.source is not None]
         assert len(set(sources)) == len(sources) and len({r.cluster for r in own}) == len(own)
+
+
+def test_copies_of_one_row_are_spread(spark):
+    """100,000 copies of a row without an id: no shard holds more than its portion."""
+    from pyspark.sql import functions as F
+    rows = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c").alias("text"),
+                                       F.lit(None).cast("string").alias("source")).repartition(6)
+    numbers = bestfit.number_copies(bestfit.lengths(rows, "source")).select("copy")
+    assert numbers.agg(F.min("copy"), F.max("copy"), F.count_distinct("copy")).first()[:] == (1, 100_000, 100_000)
+    out = bestfit.pack(rows, capacity=64, shard_pieces=2000)
+    shards = out.groupBy(F.substring_index("bin", "-", 1).alias("s")).count().collect()
+    assert len(shards) == 50 and max(r["count"] for r in shards) < 3000
+    assert out.select("bin").distinct().count() == 100_000      # one cluster: no two in a bin
