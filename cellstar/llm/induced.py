@@ -103,6 +103,12 @@ class Scan:
         at, lead = at[order], lead[order]
         before = pos[at] - 1
         edge = np.flatnonzero(np.concatenate(([True], lead[1:] != lead[:-1], [True])))
+        if self.cap == 1:   # the order alone matters
+            none = np.zeros(BLOCK, np.uint8)
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                for k in range(a, b, BLOCK):
+                    self.queues.push(int(lead[a]), before[k:min(k + BLOCK, b)], none[:min(BLOCK, b - k)])
+            return
         met = np.zeros(256, bool)
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
             c, own = int(lead[a]), at[a:b]
@@ -127,7 +133,7 @@ def _split(text: np.ndarray):
     change = np.full(n, n, np.int64)
     at = np.flatnonzero(text[1:] != text[:-1])
     if len(at):
-        change[:at[-1] + 1] = at[np.searchsorted(at, np.arange(at[-1] + 1))] + 1
+        change[:at[-1] + 1] = np.repeat(at + 1, np.diff(at, prepend=-1))
     run = np.minimum(change - np.arange(n), 255).astype(np.uint8)
     larger = np.ones(n, bool)
     inner = change < n
@@ -211,22 +217,26 @@ def lms_order(text, larger, run, lms, length, memory):
     order = index[np.concatenate(found)[::-1]]
     a, b = order[:-1], order[1:]
     same = size[a] == size[b]
+    alive = np.flatnonzero(same)
     for d in range(int(size.max())):   # names: equal substrings
-        at = np.flatnonzero(same & (size[b] > d))
-        if not len(at):
+        alive = alive[size[b[alive]] > d]
+        if not len(alive):
             break
-        x, y = lms[a[at]] + d, lms[b[at]] + d
-        same[at] = (text[x] == text[y]) & (larger[x] == larger[y])
+        x, y = lms[a[alive]] + d, lms[b[alive]] + d
+        ok = (text[x] == text[y]) & (larger[x] == larger[y])
+        same[alive[~ok]] = False
+        alive = alive[ok]
     rank = np.empty(len(lms), np.int64)
     rank[order] = np.concatenate(([0], np.cumsum(~same))) + 1
     step = 1
     while step * 2 < length + 2 and rank.max() < len(lms):
         ahead = np.concatenate((rank[step:], np.zeros(min(step, len(rank)), np.int64)))[:len(rank)]
-        order = np.lexsort((ahead, rank))
-        new = (rank[order][1:] != rank[order][:-1]) | (ahead[order][1:] != ahead[order][:-1])
-        rank[order] = np.concatenate(([0], np.cumsum(new))) + 1
+        both = (rank.astype(np.uint64) << np.uint64(32)) | ahead.astype(np.uint64)   # a shard has less than 2**32 bytes
+        order = np.argsort(both)
+        both = both[order]
+        rank[order] = np.concatenate(([0], np.cumsum(both[1:] != both[:-1]))) + 1
         step *= 2
-    first = lms[np.argsort(rank, kind="stable")]
+    first = lms[np.argsort(rank)]
     return first, np.concatenate((np.zeros(1, np.uint8), _same_text(text, first[:-1], first[1:], length)))
 
 
