@@ -88,6 +88,82 @@ def check_foreign_keys(tables: dict[str, DataFrame],
     return _union(parts)
 
 
+def check_dense_keys(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
+    """K1 for whole-number keys without moving the keys: per table its rows,
+    distinct keys, keys seen more than once, greatest key and the numbers from 1
+    up to it that no row has.
+
+    A bucket is 32,768 consecutive numbers; its bitmap and its row count are made
+    where the rows lie, so what is shuffled is one row a bucket and task (for
+    keys that were numbered in file order: a row a bucket, 4 kB for 32,768 keys).
+    Only buckets with more rows than bits hold a repeated key, and only their
+    rows are counted by key. A missing (null) key is one key, as in
+    ``check_unique``; numbers below 1 count as keys, not towards ``n_missing``.
+    """
+    from cellstar.operators.keys import stage
+    from cellstar.operators.lookup import broadcast_if_small
+    parts = []
+    for t, c in keys.items():
+        rows = tables[t].select(F.col(c).cast("bigint").alias("k"))
+        rows = rows.withColumn("bucket", F.bitmap_bucket_number("k"))
+        bits = F.bitmap_construct_agg(F.bitmap_bit_position(F.coalesce("k", F.lit(1))))
+        positive = F.bitmap_construct_agg(F.bitmap_bit_position(F.when(F.col("k") >= 1, F.col("k"))))
+        buckets = stage(rows.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("n"), bits.alias("bits"), positive.alias("positive"), F.max("k").alias("top"))
+            .select("bucket", "n", F.bitmap_count("bits").alias("n_keys"), F.bitmap_count("positive").alias("n_positive"),
+                    "top"), "key_buckets")
+        suspect = buckets.filter("n > n_keys").select("bucket")
+        n_suspect = suspect.count()
+        if n_suspect:
+            repeated = (rows.join(broadcast_if_small(suspect, rows=n_suspect), rows.bucket.eqNullSafe(suspect.bucket),
+                                  "left_semi").groupBy("k").count().filter("count > 1")
+                        .agg(F.count(F.lit(1)).alias("n_duplicate_keys")))
+        else:
+            repeated = tables[t].sparkSession.range(1).select(F.lit(0).cast("bigint").alias("n_duplicate_keys"))
+        totals = buckets.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum("n_keys"), F.lit(0)).alias("n_keys"),
+            F.coalesce(F.max("top"), F.lit(0)).alias("max_key"),
+            (F.greatest(F.coalesce(F.max("top"), F.lit(0)), F.lit(0)) - F.coalesce(F.sum("n_positive"), F.lit(0)))
+            .alias("n_missing"))
+        parts.append(totals.join(F.broadcast(repeated)).select(  # one row each
+            F.lit(t).alias("table_name"), F.lit(c).alias("key_column"), "n_rows", "n_keys", "n_duplicate_keys",
+            "max_key", "n_missing"))
+    return _union(parts)
+
+
+def check_references(tables: dict[str, DataFrame], fks: list[tuple[str, str, str, str]]) -> DataFrame:
+    """K4 with one shuffle of keys, however many foreign keys and facts: the
+    report of ``check_foreign_keys`` without a join.
+
+    Every table sends rows of (reference, key), counted where they lie -- a key
+    that a third of the fact has is one row a task -- facts with their count,
+    dimensions with a mark. One aggregation settles which keys no dimension row
+    marked; the sums by reference that follow are a row a reference and task. A
+    fact is read once for all its references.
+    """
+    spark = next(iter(tables.values())).sparkSession
+
+    def tagged(t: str, refs: list[tuple[int, str]], n: int, hit: bool) -> DataFrame:
+        each = F.explode(F.array(*[F.struct(F.lit(i).alias("ref"), F.col(c).cast("string").alias("key")) for i, c in refs]))
+        return (tables[t].select(each.alias("x")).filter(F.col("x.key").isNotNull())
+                .select("x.ref", "x.key", F.lit(n).cast("bigint").alias("n"), F.lit(hit).alias("hit")))
+
+    facts: dict[str, list[tuple[int, str]]] = {}
+    dims: dict[str, list[tuple[int, str]]] = {}
+    for i, (fact, col, dim, dim_col) in enumerate(fks):
+        facts.setdefault(fact, []).append((i, col))
+        dims.setdefault(dim, []).append((i, dim_col))
+    settled = _union([*(tagged(t, refs, 1, False) for t, refs in facts.items()),
+                      *(tagged(t, refs, 0, True) for t, refs in dims.items())]).groupBy("ref", "key").agg(
+        F.sum("n").alias("n"), F.max("hit").alias("hit"))
+    missing = settled.groupBy("ref").agg(F.sum(F.when(~F.col("hit"), F.col("n")).otherwise(0)).alias("n_missing"))
+    names = spark.createDataFrame([(i, f, c, d) for i, (f, c, d, _) in enumerate(fks)],
+                                  "ref int, table_name string, column_name string, referenced_table string")
+    return (names.join(missing, "ref", "left")
+            .select("table_name", "column_name", "referenced_table",
+                    F.coalesce("n_missing", F.lit(0)).cast("bigint").alias("n_missing")))
+
+
 def check_lengths(tables: dict[str, DataFrame], limits: dict[str, dict[str, int]]) -> DataFrame:
     """K5: longest text and count over the declared VARCHAR length."""
     parts = []

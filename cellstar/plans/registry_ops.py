@@ -11,7 +11,7 @@ from cellstar.operators import metadata as META
 from cellstar.operators import pseudonym as P
 from cellstar.operators.keys import stage
 from cellstar.operators.lookup import Lookup, broadcast_if_small, resolve_keys
-from cellstar.plans.catalog import memo, register, star_for
+from cellstar.plans.catalog import ORACLES, memo, register, star_for
 from cellstar.plans.oracle import MEASURES, star_sql
 from cellstar.plans.registry_ingest import _LANDING, read_bronze
 from cellstar.session import scratch_dir
@@ -271,6 +271,25 @@ def check_foreign_keys(spark, sf_dir):
     return K.check_foreign_keys(_tables(spark, sf_dir), FOREIGN_KEYS)
 
 
+@register("check_dense_keys", star_sql(" union all ".join(
+    f"select '{t}' as table_name, '{k}' as key_column, cast(sum(c) as bigint) as n_rows, count(*) as n_keys, "
+    f"cast(count_if(c > 1) as bigint) as n_duplicate_keys, max({k}) as max_key, "
+    f"max({k}) - cast(count_if({k} >= 1) as bigint) as n_missing from (select {k}, count(*) as c from {t} group by 1)"
+    for t, k in ((t, sets[0][0]) for t, sets in UNIQUE_KEYS.items()))))
+def check_dense_keys(spark, sf_dir):
+    """K1: the number keys of the nine tables by bitmaps, keys left out as well."""
+    return K.check_dense_keys(_tables(spark, sf_dir), {t: sets[0][0] for t, sets in UNIQUE_KEYS.items()})
+
+
+@register("check_references", star_sql(" union all ".join(
+    f"select '{f}' as table_name, '{c}' as column_name, '{d}' as referenced_table, count(*) as n_missing "
+    f"from {f} x where x.{c} is not null and not exists (select 1 from {d} y where y.{dc} = x.{c})"
+    for f, c, d, dc in FOREIGN_KEYS)))
+def check_references(spark, sf_dir):
+    """K4: all references of both facts in one shuffle of their distinct keys."""
+    return K.check_references(_tables(spark, sf_dir), FOREIGN_KEYS)
+
+
 @register("check_lengths", star_sql(" union all ".join(
     f"select '{t}' as table_name, '{c}' as column_name, {n} as \"limit\", "
     f"cast(max(length({c})) as bigint) as max_length, cast(count_if(length({c}) > {n}) as bigint) as n_over "
@@ -610,3 +629,63 @@ def fact_incremental(spark, sf_dir):
     second = build_fact_dat(st.silver_dat.filter(~early), dims, existing=first)
     cols = ["fact_dat_measurement_id", "measurement_id", "timestamp", "voltage_v", "operator_id"]
     return first.select(*cols).unionByName(second.select(*cols))
+
+
+# --- states of the questions ----------------------------------------------------------------------
+
+def _three_loads(spark, sf_dir):
+    """The published tables after three loads, states of the questions among
+    them: measurements numbered 2 modulo 3 and half of the readings of those
+    numbered 1; all readings of the latter; the rest."""
+    from cellstar.plans import states as ST
+    from cellstar.plans.star import build_star, update_star
+
+    def build():
+        rd = fx.readings(spark, sf_dir)
+        number = F.coalesce(measurement_name("table_name").try_cast("bigint") % 3, F.lit(0))
+        rows = {"sheet": stage(fx.sheet_rows(rd), "loads_sheet"), "dat": stage(fx.dat_rows(rd), "loads_dat")}
+        meta = fx.metadata_rows(rd)
+        root = scratch_dir(spark, "loads")
+        for load in ((number == 2) | ((number == 1) & (F.col("record_id") % 2 == 0)), number == 1, number == 0):
+            part = rows["sheet"].filter(load), rows["dat"].filter(load), meta
+            before = PUB.read_published(spark, root)
+            star = update_star({k: v for k, v in before.items() if k not in ST.STATES}, *part) if before else build_star(*part)
+            fresh = star.fresh_facts or star.tables()
+            states = ST.measurement_states(fresh["fact_excel_measurements"], fresh["fact_dat_measurements"],
+                                           star.dim_dat_metadata)
+            PUB.publish({**star.tables(), **(ST.replace_states(before, states) if before else states)}, root)
+        return PUB.read_published(spark, root)
+
+    return memo("three_loads", spark, sf_dir, build)
+
+
+@register("q1_from_states", ORACLES["q1_material_by_density"])
+def q1_from_states(spark, sf_dir):
+    """N10 with B9: from the states that three loads left; no fact is read."""
+    from cellstar.plans import states as ST
+    t = _three_loads(spark, sf_dir)
+    return ST.q1_material_by_density(t, t["dim_electrode_material"])
+
+
+@register("q2_from_states", ORACLES["q2_machine_compare"])
+def q2_from_states(spark, sf_dir):
+    """N11 with B9: from the states that three loads left; no fact is read."""
+    from cellstar.plans import states as ST
+    t = _three_loads(spark, sf_dir)
+    return ST.q2_machine_compare(t, t["dim_machine"], t["dim_electrode_material"])
+
+
+@register("q3_from_states", ORACLES["q3_degradation"])
+def q3_from_states(spark, sf_dir):
+    """N12 with B9: from the states that three loads left, folded to one part a measurement."""
+    from cellstar.plans import states as ST
+    t = _three_loads(spark, sf_dir)
+    return ST.q3_degradation(ST.compact(t), t["dim_electrode_material"])
+
+
+@register("q4_from_states", ORACLES["q4_h2_output"])
+def q4_from_states(spark, sf_dir):
+    """N13 with B9: from the states that three loads left, folded to one part a measurement."""
+    from cellstar.plans import states as ST
+    t = _three_loads(spark, sf_dir)
+    return ST.q4_h2_output(ST.compact(t), t["dim_electrode_material"])
