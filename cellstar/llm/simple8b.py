@@ -44,6 +44,8 @@ ESCAPE = 15
 CHUNK_IDS = 1 << 18
 
 _COUNT = np.array([c for c, _ in SELECTORS] + [1], np.int64)
+#: Width class by the bits of an id: the first selector (widths ascend) that holds it.
+_CLASS = np.array([sum(w < bits for _, w in SELECTORS) for bits in range(66)], np.int8)
 
 
 def choose(ids: np.ndarray) -> np.ndarray:
@@ -55,7 +57,7 @@ def choose(ids: np.ndarray) -> np.ndarray:
     n = len(ids)
     bits = np.frexp(ids.astype(np.float64))[1]
     need = np.full(-(-n // BLOCK) * BLOCK, 127, np.int8)
-    need[:n] = np.searchsorted([w for _, w in SELECTORS], bits)  # widths ascend; beyond the last: escape
+    need[:n] = _CLASS[bits]  # beyond the last: escape
     most = need = need.reshape(-1, BLOCK)
     best = np.full(need.shape, ESCAPE, np.int8)
     have = 1
@@ -63,10 +65,14 @@ def choose(ids: np.ndarray) -> np.ndarray:
         count = SELECTORS[s][0]
         while have < count:
             step = min(have, count - have)
-            wider = np.full_like(most, 127)
+            wider = np.empty_like(most)
             np.maximum(most[:, :-step], most[:, step:], out=wider[:, :-step])
+            wider[:, -step:] = 127
             most, have = wider, have + step
-        best[most <= s] = s
+        fits = most <= s
+        if not fits.any():  # nor does any that packs more ids
+            break
+        np.copyto(best, np.int8(s), where=fits)
     return best.reshape(-1)[:n]
 
 
@@ -175,11 +181,11 @@ class _Remembered(dict):
         value = self.former.get(key)
         if value is None:
             value = self.find(key)
-        if len(key) <= self.LONGEST and "\n" not in key:
-            size = self.ENTRY + 4 * len(key) + len(value)
-            self.held += size
+        n = len(key)
+        if n <= self.LONGEST and "\n" not in key:
+            self.held += self.ENTRY + 4 * n + len(value)
             if self.held > self.most:
-                self.former, self.held = dict(self), size
+                self.former, self.held = dict(self), self.ENTRY + 4 * n + len(value)
                 self.clear()
             self[key] = value
         return value
@@ -214,6 +220,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.space = self.letters[32]
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
         # tokens that take in white space, or only count as words, are left to the library
@@ -225,7 +232,10 @@ class PieceEncoder:
         self.units = _Remembered(self._unit, self.UNITS)
 
     def _piece(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece.isprintable():  # of these bytes only the space has another letter
+            raw = piece.replace(" ", self.space)
+        else:
+            raw = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
         ids = [t.id for t in self.model.tokenize(raw)]
         return array("I", ids).tobytes()
 
