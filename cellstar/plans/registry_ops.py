@@ -689,3 +689,24 @@ def q4_from_states(spark, sf_dir):
     from cellstar.plans import states as ST
     t = _three_loads(spark, sf_dir)
     return ST.q4_h2_output(ST.compact(t), t["dim_electrode_material"])
+
+
+# --- layout --------------------------------------------------------------------------------------
+
+@register("clustered_facts", star_sql("""
+select measurement_id, date_id, count(*) as n_rows, sum(voltage_v) as sum_voltage, min(timestamp) as first_timestamp,
+  max(timestamp) as last_timestamp
+from (select measurement_id, date_id, voltage_v, timestamp from fact_excel_measurements
+      union all select measurement_id, date_id, voltage_v, timestamp from fact_dat_measurements)
+group by measurement_id, date_id"""))
+def clustered_facts(spark, sf_dir):
+    """Both facts written along the curve of (measurement, date) and
+    read back: the readings of each measurement and day."""
+    from cellstar.sinks import clustered as CL
+    st, parts = star_for(spark, sf_dir), []
+    for fact in (st.fact_excel_measurements, st.fact_dat_measurements):
+        path = CL.write(fact, scratch_dir(spark, "clustered"))
+        parts.append(CL.read(spark, path, fact.schema).select("measurement_id", "date_id", "voltage_v", "timestamp"))
+    return parts[0].unionByName(parts[1]).groupBy("measurement_id", "date_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("voltage_v").alias("sum_voltage"),
+        F.min("timestamp").alias("first_timestamp"), F.max("timestamp").alias("last_timestamp"))
