@@ -710,3 +710,34 @@ def clustered_facts(spark, sf_dir):
     return parts[0].unionByName(parts[1]).groupBy("measurement_id", "date_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("voltage_v").alias("sum_voltage"),
         F.min("timestamp").alias("first_timestamp"), F.max("timestamp").alias("last_timestamp"))
+
+
+# --- documents of any shape ---------------------------------------------------------------------
+
+_EVEN = "cast(measurement_name as bigint) % 2 = 0"
+
+
+@register("document_fields", star_sql(f"""
+select json_name as document, 'json_name' as field, '"' || json_name || '"' as value from meta
+union all select json_name, 'operator_name', '"' || operator_name || '"' from meta
+union all select json_name, 'cell', '{{"level":"' || operator_level || '","number":' ||
+  cast(cast(measurement_name as bigint) as varchar) || '}}' from meta
+union all select json_name, 'rating', case when {_EVEN} then '"' || operator_level || '"'
+  else cast(cast(measurement_name as bigint) % 5 as varchar) end from meta
+union all select json_name, 'seen', '[1,"two",null]' from meta where {_EVEN}"""))
+def document_fields(spark, sf_dir):
+    """Documents with nested and unknown fields stored as VARIANT; a
+    second load turns a number into text and adds a list for every other
+    measurement. All fields after the merge, as JSON."""
+    from cellstar.operators import documents as DOC
+    meta = fx.metadata_rows(fx.readings(spark, sf_dir))
+    number = F.col("measurement_name").cast("bigint")
+    first = meta.select(F.to_json(F.struct("json_name", "operator_name", F.struct(
+        F.col("operator_level").alias("level"), number.alias("number")).alias("cell"),
+        (number % 5).alias("rating"))).alias("value"))
+    second = meta.filter(number % 2 == 0).select(F.concat(
+        F.lit('{"json_name":"'), F.col("json_name"), F.lit('","rating":"'), F.col("operator_level"),
+        F.lit('","seen":[1,"two",null]}')).alias("value"))
+    stored = stage(DOC.read(first, LOAD_TIME), "variant_documents")
+    merged = stage(DOC.merge(stored, DOC.read(second, "2024-03-01 00:00:00")), "variant_documents")
+    return DOC.fields(merged).select("document", "field", "value")
