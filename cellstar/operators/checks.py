@@ -114,20 +114,20 @@ def check_dense_keys(tables: dict[str, DataFrame], keys: dict[str, str]) -> Data
                     "top"), "key_buckets")
         suspect = buckets.filter("n > n_keys").select("bucket")
         n_suspect = suspect.count()
+        counted = buckets.select("n", "n_keys", "n_positive", "top", F.lit(0).cast("bigint").alias("twice"))
         if n_suspect:
             repeated = (rows.join(broadcast_if_small(suspect, rows=n_suspect), rows.bucket.eqNullSafe(suspect.bucket),
-                                  "left_semi").groupBy("k").count().filter("count > 1")
-                        .agg(F.count(F.lit(1)).alias("n_duplicate_keys")))
-        else:
-            repeated = tables[t].sparkSession.range(1).select(F.lit(0).cast("bigint").alias("n_duplicate_keys"))
-        totals = buckets.agg(
+                                  "left_semi").groupBy("k").count().filter("count > 1"))
+            none = F.lit(0).cast("bigint")
+            counted = counted.unionByName(repeated.select(
+                none.alias("n"), none.alias("n_keys"), none.alias("n_positive"), F.lit(None).cast("bigint").alias("top"),
+                F.lit(1).cast("bigint").alias("twice")))
+        top = F.coalesce(F.max("top"), F.lit(0))
+        parts.append(counted.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum("n_keys"), F.lit(0)).alias("n_keys"),
-            F.coalesce(F.max("top"), F.lit(0)).alias("max_key"),
-            (F.greatest(F.coalesce(F.max("top"), F.lit(0)), F.lit(0)) - F.coalesce(F.sum("n_positive"), F.lit(0)))
-            .alias("n_missing"))
-        parts.append(totals.join(F.broadcast(repeated)).select(  # one row each
-            F.lit(t).alias("table_name"), F.lit(c).alias("key_column"), "n_rows", "n_keys", "n_duplicate_keys",
-            "max_key", "n_missing"))
+            F.coalesce(F.sum("twice"), F.lit(0)).alias("n_duplicate_keys"), top.alias("max_key"),
+            (F.greatest(top, F.lit(0)) - F.coalesce(F.sum("n_positive"), F.lit(0))).alias("n_missing"))
+            .select(F.lit(t).alias("table_name"), F.lit(c).alias("key_column"), "*"))
     return _union(parts)
 
 

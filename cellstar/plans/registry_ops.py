@@ -481,7 +481,7 @@ def gold_publish(spark, sf_dir):
 
 
 @register("publish_versions", star_sql(" union all ".join(
-    f"select cast({v} as bigint) as version, '{t}' as table_name, count(*) as n_rows, sum(hash_key) as key_sum "
+    f"select cast({v} as bigint) as version, '{t}' as table_name, count(*) as n_rows, cast(sum(hash_key) as bigint) as key_sum "
     f"from (select {k} as hash_key from {t}) t where {v} = 2 or hash_key % 2 = 0"
     for v in (1, 2) for t, k in zip(_GOLD_TABLES, (UNIQUE_KEYS[t][0][0] for t in _GOLD_TABLES)))))
 def publish_versions(spark, sf_dir):
@@ -688,7 +688,8 @@ def q4_from_states(spark, sf_dir):
     """N13 with B9: from the states that three loads left, folded to one part a measurement."""
     from cellstar.plans import states as ST
     t = _three_loads(spark, sf_dir)
-    return ST.q4_h2_output(ST.compact(t), t["dim_electrode_material"])
+    folded = {k: stage(df, k) for k, df in ST.compact(t).items()}
+    return ST.q4_h2_output(folded, t["dim_electrode_material"], folded=True)
 
 
 # --- layout --------------------------------------------------------------------------------------
@@ -708,7 +709,7 @@ def clustered_facts(spark, sf_dir):
         path = CL.write(fact, scratch_dir(spark, "clustered"))
         parts.append(CL.read(spark, path, fact.schema).select("measurement_id", "date_id", "voltage_v", "timestamp"))
     return parts[0].unionByName(parts[1]).groupBy("measurement_id", "date_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("voltage_v").alias("sum_voltage"),
+        F.count(F.lit(1)).alias("n_rows"), F.sum("voltage_v").cast("decimal(38,4)").alias("sum_voltage"),
         F.min("timestamp").alias("first_timestamp"), F.max("timestamp").alias("last_timestamp"))
 
 

@@ -84,22 +84,24 @@ _SUMS = ["n_readings", "n_dat", "n_voltage", "sum_voltage", "n_current", "sum_cu
 
 def fold_readings(states: DataFrame, by: list[str]) -> DataFrame:
     """The states of each group ``by`` merged into one row. The centred sums of a
-    part grow by its count times the distance of its mean from the common one,
-    which is found first (one shuffle: the window's and the group's keys agree)."""
-    group = Window.partitionBy(*by)
+    part grow by its count times the square of its mean's distance from the common
+    mean, so means come first and are joined back: two partial aggregates, no
+    group in one task. Mean hours count from the epoch while they are compared."""
     timed = F.col("n") > 0
-    origin = F.min(F.when(timed, F.col("origin_us"))).over(group)
-    at = states.withColumn("_origin", origin).withColumn(
-        "_h", F.when(timed, F.col("mean_h") + (F.col("origin_us") - F.col("_origin")) / F.lit(_MICROS_PER_HOUR)))
-    n = F.sum("n").over(group)
-    at = (at.withColumn("_mh", F.sum(F.col("_h") * F.col("n")).over(group) / F.when(n > 0, n))
-          .withColumn("_mv", F.sum(F.when(timed, F.col("mean_v") * F.col("n"))).over(group) / F.when(n > 0, n)))
+    at = states.withColumn("_h", F.when(timed, F.col("mean_h") + F.col("origin_us") / F.lit(_MICROS_PER_HOUR)))
+    n = F.sum(F.when(timed, F.col("n")))
+    means = at.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(
+        F.min(F.when(timed, F.col("origin_us"))).alias("_origin"),
+        (F.sum(F.col("_h") * F.col("n")) / n).alias("_mh"),
+        (F.sum(F.when(timed, F.col("mean_v") * F.col("n"))) / n).alias("_mv"))
+    at = at.join(means, [at[c].eqNullSafe(means[f"_by_{c}"]) for c in by])
     dh, dv = F.col("_h") - F.col("_mh"), F.col("mean_v") - F.col("_mv")
     return at.groupBy(*by).agg(
         F.min("part").alias("part"),
         *[F.sum(c).cast("bigint" if c.startswith("n_") else _EXACT).alias(c) for c in _SUMS],
         F.min("min_voltage").alias("min_voltage"), F.max("max_voltage").alias("max_voltage"),
-        F.sum("n").alias("n"), F.min("_mh").alias("mean_h"), F.min("_mv").alias("mean_v"),
+        F.sum("n").alias("n"),
+        F.min(F.col("_mh") - F.col("_origin") / F.lit(_MICROS_PER_HOUR)).alias("mean_h"), F.min("_mv").alias("mean_v"),
         F.sum(F.when(timed, F.col("c_hh") + F.col("n") * dh * dh)).alias("c_hh"),
         F.sum(F.when(timed, F.col("c_hv") + F.col("n") * dh * dv)).alias("c_hv"),
         F.min("_origin").alias("origin_us"))
@@ -234,8 +236,10 @@ def q3_degradation(states: dict[str, DataFrame], dim_material: DataFrame) -> Dat
             .select("electrode_material", "n_measurements", "avg_slope_v_per_h", "min_slope_v_per_h", "max_slope_v_per_h"))
 
 
-def q4_h2_output(states: dict[str, DataFrame], dim_material: DataFrame) -> DataFrame:
-    per = (states["state_volume"].unionByName(seams(states["state_interval"]))
+def q4_h2_output(states: dict[str, DataFrame], dim_material: DataFrame, folded: bool = False) -> DataFrame:
+    """``folded``: the states come from ``compact``; a measurement is one interval, without seams."""
+    volumes = states["state_volume"]
+    per = ((volumes if folded else volumes.unionByName(seams(states["state_interval"])))
            .groupBy("measurement_id", "electrode_material_id").agg(F.sum("volume").alias("volume")))
     volume = per.groupBy("electrode_material_id").agg(
         F.round(F.sum("volume"), 4).alias("h2_volume"), F.count(F.lit(1)).alias("n_measurements"))
