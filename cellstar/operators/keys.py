@@ -16,8 +16,10 @@ instead of recomputing the shuffle, and every re-read sees the same rows.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,13 @@ def next_key(dim: DataFrame | None, key_col: str) -> int:
 
 
 def stage(df: DataFrame, name: str, partitions: int | None = None,
-          order_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to a fresh folder in the shared scratch area and read it back."""
+          order_by: list[str] | None = None, then: Callable[[DataFrame], DataFrame] | None = None,
+          keep: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to a fresh folder in the shared scratch area and read it back.
+
+    With ``order_by``, ``then`` adds columns after the rows are dealt by range:
+    the sample that finds the ranges runs all that comes before. It must keep
+    each row in its partition (broadcast joins do). Only ``keep`` is written."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     out = df
@@ -41,19 +48,23 @@ def stage(df: DataFrame, name: str, partitions: int | None = None,
         # Without an explicit count AQE sizes the range partitions from the data
         # (merging neighbours keeps the key order); ``partitions`` pins it.
         ranged = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
-        out = ranged.sortWithinPartitions(*order_by)
+        out = (then(ranged) if then else ranged).sortWithinPartitions(*order_by)
+    if keep:
+        out = out.select(*keep)
     out.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
 
 def dense_keys(df: DataFrame, order_by: list[str], key_col: str, base: int = 0,
-               name: str = "keys", partitions: int | None = None) -> DataFrame:
+               name: str = "keys", partitions: int | None = None,
+               then: Callable[[DataFrame], DataFrame] | None = None, keep: list[str] | None = None) -> DataFrame:
     """Number the rows of ``df`` 1..n (plus ``base``) in ``order_by`` order.
 
     Equal to ``base + row_number() over (order by order_by)``; ties in the
     order columns are broken by the written order, so give a total order.
+    ``then`` and ``keep`` as in ``stage``; a row that ``then`` drops takes no number.
     """
-    staged = stage(df, name, partitions, order_by)
+    staged = stage(df, name, partitions, order_by, then, keep)
     with_pos = staged.select(
         "*",
         F.col("_metadata.file_name").alias("_file"),
@@ -66,9 +77,9 @@ def dense_keys(df: DataFrame, order_by: list[str], key_col: str, base: int = 0,
             staged.select(F.lit(None).cast("bigint").alias(key_col), *staged.columns).where(F.lit(False)), 0)
     starts = [s + base for s in [0] + list(accumulate(r["count"] for r in files))[:-1]]
     total = sum(r["count"] for r in files)
-    # offsets: one row per staged file
-    offsets = df.sparkSession.createDataFrame([(r["_file"], s) for r, s in zip(files, starts)],
-                                              "_file string, _offset bigint")
+    # offsets: one row per staged file, a local relation (no job of its own at each use)
+    offsets = df.sparkSession.createDataFrame(pa.table({
+        "_file": pa.array([r["_file"] for r in files], pa.string()), "_offset": pa.array(starts, pa.int64())}))
     key = (F.col("_offset") + F.col("_row") + F.lit(1)).cast("bigint")
     from cellstar.operators.lookup import broadcast_if_small
     out = with_pos.join(broadcast_if_small(offsets, rows=len(files)), "_file").select(key.alias(key_col), *staged.columns)

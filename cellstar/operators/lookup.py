@@ -33,6 +33,11 @@ def row_width(df: DataFrame) -> int:
     return total + 8
 
 
+def is_small(dim: DataFrame, rows: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+             max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    return rows <= max_rows and rows * row_width(dim) <= max_bytes
+
+
 def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                        rows: int | None = None, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint behind a size check: the row count recorded when the
@@ -42,7 +47,7 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROW
     n = rows if rows is not None else known_rows(dim)
     if n is None:
         n = dim.count()
-    return F.broadcast(dim) if n <= max_rows and n * row_width(dim) <= max_bytes else dim
+    return F.broadcast(dim) if is_small(dim, n, max_rows, max_bytes) else dim
 
 
 @dataclass
@@ -65,22 +70,33 @@ class Lookup:
     out_col: str | None = None
     extra: dict = field(default_factory=dict)
 
-    def right(self) -> DataFrame:
+    def _columns(self) -> DataFrame:
         dim_cols = self.dim_cols or self.fact_cols
         d = self.dim.select(self.key_col, *dim_cols)
         if self.mode == "first":
             d = d.groupBy(*dim_cols).agg(F.min(self.key_col).alias(self.key_col))
-        d = d.select(F.col(self.key_col).alias(self.out_col or self.key_col),
-                     *[F.col(c).alias(f"__lk_{i}") for i, c in enumerate(dim_cols)])
-        if self.broadcast is True:
-            return F.broadcast(d)
-        if self.broadcast is None:
-            n = known_rows(self.dim)
-            if n is None:
-                n = self.dim.count()
-                remember_rows(self.dim, n)
-            return broadcast_if_small(d, self.max_broadcast_rows, rows=n)
-        return d
+        return d.select(F.col(self.key_col).alias(self.out_col or self.key_col),
+                        *[F.col(c).alias(f"__lk_{i}") for i, c in enumerate(dim_cols)])
+
+    def is_broadcast(self) -> bool:
+        if self.broadcast is not None:
+            return self.broadcast
+        n = known_rows(self.dim)
+        if n is None:
+            n = self.dim.count()
+            remember_rows(self.dim, n)
+        return is_small(self._columns(), n, self.max_broadcast_rows)
+
+    def right(self) -> DataFrame:
+        return F.broadcast(self._columns()) if self.is_broadcast() else self._columns()
+
+
+def small_lookups(lookups: list[Lookup]) -> tuple[list[Lookup], list[Lookup]]:
+    """The lookups whose dimension is broadcast, and those that shuffle the fact."""
+    small, large = [], []
+    for lookup in lookups:
+        (small if lookup.is_broadcast() else large).append(lookup)
+    return small, large
 
 
 def resolve(fact: DataFrame, lookup: Lookup) -> DataFrame:

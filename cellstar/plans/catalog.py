@@ -41,14 +41,20 @@ def memo(kind: str, spark: SparkSession, sf_dir: str, build: Callable[[], object
         return _CACHE[key]
 
 
+def readings_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings of ``sf_dir``, written once a session: several passes read them."""
+    from cellstar.operators.keys import stage
+    from cellstar.sources import fixtures as fx
+    return memo("readings", spark, sf_dir, lambda: stage(fx.readings(spark, sf_dir), "bronze_readings"))
+
+
 def star_for(spark: SparkSession, sf_dir: str, metadata_lookup: str = "full"):
     """The star schema built from the readings of ``sf_dir`` (once per session)."""
-    from cellstar.operators.keys import stage
     from cellstar.plans.star import build_star
     from cellstar.sources import fixtures as fx
 
     def build():
-        rd = stage(fx.readings(spark, sf_dir), "bronze_readings")
+        rd = readings_for(spark, sf_dir)
         return build_star(fx.sheet_rows(rd), fx.dat_rows(rd), fx.metadata_rows(rd),
                           metadata_lookup=metadata_lookup)
 

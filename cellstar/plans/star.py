@@ -24,7 +24,7 @@ from cellstar.functions import clean as C
 from cellstar.operators import dims as D
 from cellstar.operators.metadata import enrich
 from cellstar.operators.keys import dense_keys, known_rows, next_key, remember_rows, stage
-from cellstar.operators.lookup import Lookup, broadcast_if_small, resolve_keys
+from cellstar.operators.lookup import Lookup, broadcast_if_small, resolve_keys, small_lookups
 from cellstar.plans.concurrent import run_concurrently
 from cellstar.sources.fixtures import DAT_MEASURES
 
@@ -130,6 +130,11 @@ class Star:
         return {k: v for k, v in self.__dict__.items() if k.startswith(("dim_", "fact_"))}
 
 
+def _written(metadata: DataFrame | None) -> DataFrame | None:
+    """The metadata rows, made once for the enrichment and the operators' levels."""
+    return None if metadata is None else stage(metadata, "metadata")
+
+
 def silver_tables(sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     out = run_concurrently({
         "s1": lambda: stage(enrich_with_metadata(clean_sheet(sheet), metadata), "silver_excel"),
@@ -178,19 +183,29 @@ def _time_lookup(dim_time: DataFrame) -> Lookup:
     return Lookup(dim, "time_id", ["time_us"])
 
 
+def _keyed_fact(silver: DataFrame, lookups: list[Lookup], columns: list[str], existing: DataFrame | None,
+                name: str) -> DataFrame:
+    """The fact's rows with dense keys (the first column) in ``FACT_ORDER``. Rows are
+    dealt by range before the broadcast lookups, so the sample that finds the ranges
+    only scans, and only the fact's columns are written."""
+    key, *rest = columns
+    small, large = small_lookups(lookups)
+    rows = resolve_keys(silver.selectExpr("*", f"{_TS_MICROS_OF_DAY} AS time_us"), large)
+    keyed = dense_keys(rows, FACT_ORDER, key, base=next_key(existing, key), name=name,
+                       then=lambda ranged: resolve_keys(ranged, small), keep=rest)
+    return remember_rows(keyed.select(*columns), known_rows(keyed))
+
+
 def build_fact_excel(s1: DataFrame, dims: dict, existing: DataFrame | None = None) -> DataFrame:
     """Machine 1 fact; every lookup strict."""
-    f = resolve_keys(s1.selectExpr("*", f"{_TS_MICROS_OF_DAY} AS time_us"), [
+    return _keyed_fact(s1, [
         Lookup(dims["dim_machine"], "machine_id", ["machine_name"]),
         Lookup(dims["dim_measurement"], "measurement_id", ["measurement_name"]),
         Lookup(dims["dim_date"], "date_id", ["date"]),
         _time_lookup(dims["dim_time"]),
         Lookup(dims["dim_electrode_material"], "electrode_material_id", ["electrode_material"]),
         Lookup(dims["dim_operator"], "operator_id", ["operator_name"]),
-    ])
-    keyed = dense_keys(f, FACT_ORDER, "fact_excel_measurement_id",
-                       base=next_key(existing, "fact_excel_measurement_id"), name="fact_excel")
-    return remember_rows(keyed.select(*FACT_EXCEL_COLUMNS), known_rows(keyed))
+    ], FACT_EXCEL_COLUMNS, existing, "fact_excel")
 
 
 def build_fact_dat(s2: DataFrame, dims: dict, existing: DataFrame | None = None,
@@ -203,7 +218,7 @@ def build_fact_dat(s2: DataFrame, dims: dict, existing: DataFrame | None = None,
                       ["electrodes"], mode="first")
     else:
         meta = Lookup(dims["dim_dat_metadata"], "dat_metadata_id", D.DAT_METADATA_KEY, mode="null_safe")
-    f = resolve_keys(s2.selectExpr("*", f"{_TS_MICROS_OF_DAY} AS time_us"), [
+    return _keyed_fact(s2, [
         Lookup(dims["dim_machine"], "machine_id", ["machine_name"]),
         Lookup(dims["dim_measurement"], "measurement_id", ["measurement_name"]),
         Lookup(dims["dim_date"], "date_id", ["date"]),
@@ -211,10 +226,7 @@ def build_fact_dat(s2: DataFrame, dims: dict, existing: DataFrame | None = None,
         Lookup(dims["dim_electrode_material"], "electrode_material_id", ["electrode_material"]),
         Lookup(dims["dim_operator"], "operator_id", ["operator_name"], mode="optional"),
         meta,
-    ])
-    keyed = dense_keys(f, FACT_ORDER, "fact_dat_measurement_id",
-                       base=next_key(existing, "fact_dat_measurement_id"), name="fact_dat")
-    return remember_rows(keyed.select(*FACT_DAT_COLUMNS), known_rows(keyed))
+    ], FACT_DAT_COLUMNS, existing, "fact_dat")
 
 
 class UnresolvedKeyError(ValueError):
@@ -241,6 +253,7 @@ def update_star(existing: dict[str, DataFrame], sheet: DataFrame, dat: DataFrame
     other rows stay as they are. An operator's level follows the new documents
     where they name one.
     """
+    metadata = _written(metadata)
     s1, s2 = silver_tables(sheet, dat, metadata)
     dims = build_dimensions(s1, s2, {k: v for k, v in existing.items() if k.startswith("dim_")}, metadata)
     loaded = stage(s1.select("measurement_name", "timestamp").unionByName(s2.select("measurement_name", "timestamp"))
@@ -273,6 +286,7 @@ def update_star(existing: dict[str, DataFrame], sheet: DataFrame, dat: DataFrame
 
 def build_star(sheet: DataFrame, dat: DataFrame, metadata: DataFrame | None = None,
                metadata_lookup: str = "full", strict: bool = True) -> Star:
+    metadata = _written(metadata)
     s1, s2 = silver_tables(sheet, dat, metadata)
     dims = build_dimensions(s1, s2, metadata=metadata)
     facts = run_concurrently({

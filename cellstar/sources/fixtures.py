@@ -73,10 +73,16 @@ def machine_readings(rd: DataFrame, machine: str) -> DataFrame:
     return rd.filter(F.col("table_name").rlike("^[0-9]") & F.col("table_name").startswith(machine))
 
 
+def _first_by(rows: DataFrame, name) -> DataFrame:
+    """Least time, ``k`` and material of each ``name``. Materials are grouped first:
+    the least of a text can't be kept in a hash aggregate, which then sorts all rows."""
+    each = rows.groupBy(name, "electrode_material").agg(F.min("reading_ts").alias("start_ts"), F.min("k").alias("hk"))
+    return each.groupBy(each.columns[0]).agg(
+        F.min("start_ts").alias("start_ts"), F.min("hk").alias("hk"), F.min("electrode_material").alias("hk_material"))
+
+
 def _measurement_start(rows: DataFrame) -> DataFrame:
-    return (rows.groupBy(measurement_name("table_name").alias("measurement_name"))
-            .agg(F.min("reading_ts").alias("start_ts"), F.min("k").alias("hk"),
-                 F.min("electrode_material").alias("hk_material")))
+    return _first_by(rows, measurement_name("table_name").alias("measurement_name"))
 
 
 def sheet_rows(rd: DataFrame) -> DataFrame:
@@ -144,9 +150,8 @@ def metadata_rows(rd: DataFrame, batch: int = 1) -> DataFrame:
     Batch 2 is the re-delivered sheet: every tenth measurement has its
     operator level changed to ``high`` (the upsert must replace those).
     """
-    per_table = (rd.filter(F.col("table_name").rlike("^[0-9]"))
-                 .groupBy("table_name")
-                 .agg(F.min("k").alias("hk"), F.min("electrode_material").alias("electrode_material")))
+    per_table = _first_by(rd.filter(F.col("table_name").rlike("^[0-9]")), F.col("table_name")).select(
+        "table_name", "hk", F.col("hk_material").alias("electrode_material"))
     mname = measurement_name("table_name")
     level = F.element_at(F.array(F.lit("low"), F.lit("medium"), F.lit("high")),
                          (mname.cast("bigint") % 3).cast("int") + 1)
