@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cellstar.functions.clean import MEASUREMENT_DATA_MARKER, measurement_name, path_extension, path_stem, to_decimal
 from cellstar.plans import registry as _base  # noqa: F401  (q2_from_files reuses its oracle)
-from cellstar.plans.catalog import memo, register
+from cellstar.plans.catalog import memo, readings_for, register
 from cellstar.plans.oracle import MEASURES, star_sql
 from cellstar.session import scratch_dir
 from cellstar.sources import dat as DAT
@@ -21,7 +21,7 @@ def landed_dat_root(spark, sf_dir) -> str:
     """Render the machine 2 files of ``sf_dir`` once per session (plus the
     header-only copies that must be quarantined) and return their folder."""
     def build():
-        dat = fx.dat_rows(fx.readings(spark, sf_dir))
+        dat = fx.dat_rows(readings_for(spark, sf_dir))
         root = scratch_dir(spark, "landing-dat")
         return DAT.write_dat_files(DAT.dat_lines(dat).unionByName(DAT.broken_lines(dat)), root)
     return memo("landing-dat", spark, sf_dir, build)
@@ -259,10 +259,21 @@ def landed_workbooks(spark, sf_dir, kind: str = "sheet", extension: str = ".xlsx
     return memo("workbooks", spark, sf_dir, lambda: _render_workbooks(spark, sf_dir, kind, extension), kind, extension)
 
 
+def _bounded_books(rows, file_col: str, by: str, most: int = 20_000):
+    """Files of more than ``most`` rows cut into several by a hash of ``by``: a legacy
+    sheet has 65,536 rows, and one task makes a workbook in memory."""
+    from cellstar.operators.keys import stage
+    from cellstar.operators.lookup import broadcast_if_small
+    full = stage(rows.groupBy(file_col).agg(F.ceil(F.count(F.lit(1)) / F.lit(most)).alias("_n")).filter("_n > 1"), "book_sizes")
+    part = F.pmod(F.xxhash64(by), F.col("_n")).cast("string")
+    return rows.join(broadcast_if_small(full), file_col, "left").withColumn(
+        file_col, F.when(F.col("_n").isNull(), F.col(file_col)).otherwise(F.concat(file_col, F.lit("_"), part))).drop("_n")
+
+
 def _render_workbooks(spark, sf_dir, kind, extension):
     from cellstar.operators.keys import stage
     from cellstar.sources import sheet as SH
-    rd = fx.readings(spark, sf_dir)
+    rd = readings_for(spark, sf_dir)
     if kind == "sheet":
         rows = fx.sheet_rows(rd)
         f = F.concat(measurement_name("table_name"), F.lit("_"), F.date_format("timestamp", "yyyyMM"))
@@ -270,6 +281,8 @@ def _render_workbooks(spark, sf_dir, kind, extension):
         micros = "unix_micros(CAST(timestamp AS TIMESTAMP))"
         rows = rows.withColumn("_f", f).withColumn("_ts", F.col("timestamp")).withColumn("timestamp", F.expr(
             f"CAST({micros} div 86400000000 + 25569 AS DOUBLE) + pmod({micros}, 86400000000) / 86400000000D"))
+        if extension == ".xls":
+            rows = _bounded_books(rows, "_f", "record_ID")
         wb = SH.render_workbooks(rows, "_f", SHEET_COLUMNS, SHEET_NUMERIC, ["_ts", "record_ID"], extension=extension)
     else:
         rows = fx.metadata_rows(rd)
@@ -307,7 +320,8 @@ def metadata_sheet_ingest_xls(spark, sf_dir):
 
 def typed_sheets(files):
     from cellstar.plans.warehouse import land_sheets
-    rows = DAT.whole_files(land_sheets(files))
+    from cellstar.operators.keys import stage
+    rows = DAT.whole_files(stage(land_sheets(files), "landed_sheet"))   # each workbook is opened once
     return rows.select(
         measurement_name("table_name").alias("measurement_name"), "record_ID", "cycle", "step_ID", "step_name",
         "time_in_step", "voltage_V", "current_mA", "capacity_mAh", "energy_mWh", "timestamp")

@@ -94,3 +94,28 @@ def test_broken_workbooks_are_reported_whole(spark):
     assert "encrypted" in errors["locked"] and "version" in errors["older"] and "no sheet named" in errors["other"]
     assert "sector chain" in errors["loop"] and "breaks off" in errors["short"]
     assert sum(r.source == "good" for r in rows) == 2000
+
+
+def test_rows_out_of_order_and_rows_one_by_one():
+    """Rows come as they are read where they ascend, and sorted where they don't."""
+    label = lambda r, c, t: (xls.LABEL, struct.pack("<HHH", r, c, 0) + struct.pack("<HB", len(t), 0) + t.encode())
+    mixed = cell_records(label(2, 0, "c"), label(0, 0, "a"), label(2, 1, "d"), label(1, 0, "b"))
+    assert list(xls.iter_sheet_rows(mixed)) == [["a"], ["b"], ["c", "d"]]
+    book = xls.workbook_bytes(["a", "b"], [[f"x{i}", str(i)] for i in range(30_000)], {"b"})
+    import tracemalloc
+    _, rows = xls.opened(book)
+    next(rows)
+    tracemalloc.start()
+    assert sum(1 for _ in rows) == 30_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 20
+
+
+def test_large_groups_become_several_workbooks(spark):
+    from cellstar.plans.registry_ingest import _bounded_books
+    rows = spark.range(100).selectExpr("id", "CASE WHEN id < 90 THEN '1001_202401' ELSE '1002_202401' END AS f")
+    cut = _bounded_books(rows, "f", "id", most=30)
+    files = {r.f: r["count"] for r in cut.groupBy("f").count().collect()}
+    assert files.pop("1002_202401") == 10 and sum(files.values()) == 90 and len(files) == 3
+    assert all(f.startswith("1001_202401_") for f in files)
