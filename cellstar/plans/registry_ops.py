@@ -11,7 +11,7 @@ from cellstar.operators import metadata as META
 from cellstar.operators import pseudonym as P
 from cellstar.operators.keys import stage
 from cellstar.operators.lookup import Lookup, broadcast_if_small, resolve_keys
-from cellstar.plans.catalog import ORACLES, memo, register, star_for
+from cellstar.plans.catalog import ORACLES, memo, readings_for, register, star_for
 from cellstar.plans.oracle import MEASURES, star_sql
 from cellstar.plans.registry_ingest import _LANDING, read_bronze
 from cellstar.session import scratch_dir
@@ -583,7 +583,7 @@ def warehouse_incremental(spark, sf_dir):
     numbered 2 modulo 3 and half of the readings of those numbered 1; the second
     all of the latter and the rest. Keys of the first load stay."""
     from cellstar.plans.star import build_star, update_star
-    rd = fx.readings(spark, sf_dir)
+    rd = readings_for(spark, sf_dir)
     number = measurement_name("table_name").try_cast("bigint") % 3
     rows = {"sheet": stage(fx.sheet_rows(rd), "load_sheet"), "dat": stage(fx.dat_rows(rd), "load_dat")}
     meta = fx.metadata_rows(rd)
@@ -641,7 +641,7 @@ def _three_loads(spark, sf_dir):
     from cellstar.plans.star import build_star, update_star
 
     def build():
-        rd = fx.readings(spark, sf_dir)
+        rd = readings_for(spark, sf_dir)
         number = F.coalesce(measurement_name("table_name").try_cast("bigint") % 3, F.lit(0))
         rows = {"sheet": stage(fx.sheet_rows(rd), "loads_sheet"), "dat": stage(fx.dat_rows(rd), "loads_dat")}
         meta = fx.metadata_rows(rd)
@@ -653,7 +653,11 @@ def _three_loads(spark, sf_dir):
             fresh = star.fresh_facts or star.tables()
             states = ST.measurement_states(fresh["fact_excel_measurements"], fresh["fact_dat_measurements"],
                                            star.dim_dat_metadata)
-            PUB.publish({**star.tables(), **(ST.replace_states(before, states) if before else states)}, root)
+            if before and not star.replaced:    # new measurements only: the facts and states grow by a folder each
+                whole, grown = {k: v for k, v in star.tables().items() if k not in fresh}, {**fresh, **states}
+            else:
+                whole, grown = {**star.tables(), **(ST.replace_states(before, states) if before else states)}, {}
+            PUB.publish(whole, root, append=grown, carry=bool(grown))
         return PUB.read_published(spark, root)
 
     return memo("three_loads", spark, sf_dir, build)

@@ -23,6 +23,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from cellstar.plans.concurrent import run_concurrently
+
 DIGITS = 12
 
 
@@ -96,20 +98,24 @@ def prepare(spark: SparkSession, root: str, tables: dict[str, DataFrame], append
     named = {k: list(v) for k, v in old["tables"].items()} if carry else {}
     schemas = {k: v for k, v in old["schemas"].items() if carry or k in (append or {})}
     draft = Draft(root, old["version"], mark, named, schemas, note or {})
+
+    def write(name: str, df: DataFrame) -> None:
+        by = (partition_by or {}).get(name)
+        # rows are gathered by partition folder, a large folder over several files
+        w = (df.hint("rebalance", *by) if by else df).write.mode("errorifexists").format(fmt)
+        (w.partitionBy(*by) if by else w).save(f"{root}/_versions/{mark}/{name}")
+
+    frames = {**tables, **(append or {})}
     try:
-        for name, df, more in [*((n, d, False) for n, d in tables.items()),
-                               *((n, d, True) for n, d in (append or {}).items())]:
-            by = (partition_by or {}).get(name)
-            folder = f"_versions/{mark}/{name}"
-            # rows are gathered by partition folder, a large folder over several files
-            w = (df.hint("rebalance", *by) if by else df).write.mode("errorifexists").format(fmt)
-            (w.partitionBy(*by) if by else w).save(f"{root}/{folder}")
-            named[name] = [*(old["tables"].get(name, []) if more else []), folder]
-            if not more or name not in schemas:
-                schemas[name] = df.schema.jsonValue()
-    except Exception:
+        run_concurrently({n: (lambda n=n, d=d: write(n, d)) for n, d in frames.items()})
+    except Exception:   # all writers have ended by now
         discard(spark, draft)
         raise
+    for name, df in frames.items():
+        more = name in (append or {})
+        named[name] = [*(old["tables"].get(name, []) if more else []), f"_versions/{mark}/{name}"]
+        if not more or name not in schemas:
+            schemas[name] = df.schema.jsonValue()
     return draft
 
 

@@ -39,3 +39,12 @@ def test_rows_are_hashed_not_sorted_for_the_measurement_starts(spark):
     for df in (fx.metadata_rows(rd), fx.dat_rows(rd)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert re.findall(r"(\w+Aggregate)\(", plan)[-1] == "HashAggregate"
+
+
+def test_a_load_of_new_measurements_adds_folders(spark):
+    """The third load brings new measurements only: no fact and no state is written again."""
+    from cellstar.plans.registry_ops import _three_loads
+    load_all()
+    tables = _three_loads(spark, SMALL)
+    for name in ("fact_dat_measurements", "fact_excel_measurements", "state_readings", "state_volume"):
+        assert len({re.search(r"_versions/(\w+)/", f)[1] for f in tables[name].inputFiles()}) == 2
