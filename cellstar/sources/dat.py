@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellstar.functions.clean import MEASUREMENT_DATA_MARKER, measurement_name, q
+from cellstar.operators.keys import stage
+from cellstar.operators.lookup import broadcast_if_small
 from cellstar.sources.fixtures import (
     DAT_COLUMN_MAP, DAT_HEADER_FIELDS, DAT_HEADER_KEYS, DAT_HEADER_MAP, DAT_MEASURES, DAT_TABLE_COLUMNS,
 )
@@ -176,12 +178,14 @@ def line_cells(lines: DataFrame, wide: str | None = None) -> DataFrame:
     ``wide`` says which lines have too many, where that isn't known by file."""
     # split each line once; the cells below index the split array
     split = lines.selectExpr("*", "split(line, '\\t') AS _values")
+    taken = []  # each cell's text in a select of its own: what follows names it several times
     missing = ", ".join(_lit(m) for m in MISSING_CELLS)
     cells, bad = [], [f"WHEN {wide} THEN 'row with more cells than columns'"] if wide else []
     for i, clean in enumerate(DAT_COLUMN_MAP.values()):
         v = f"CASE WHEN _p{i} > 0 THEN try_element_at(_values, _p{i}) END"
         v = f"CASE WHEN ({v}) IN ({missing}) THEN NULL ELSE {v} END"
-        expr = f"coalesce(_h{i}, {v})"  # a header key equal to a column name wins
+        taken.append(f"coalesce(_h{i}, {v}) AS _c{i}")  # a header key equal to a column name wins
+        expr = f"_c{i}"
         if clean == "timestamp":
             raw, expr = expr, timestamp_sql(expr)
             bad.append(f"WHEN ({raw}) IS NOT NULL AND ({expr}) IS NULL THEN concat('unreadable timestamp: ', {raw})")
@@ -189,7 +193,7 @@ def line_cells(lines: DataFrame, wide: str | None = None) -> DataFrame:
             bad.append(unfit_sql(clean, expr, "DECIMAL(10,4)"))
         cells.append(f"{expr} AS {clean}")
     bad += [unfit_sql(f, f, kind) for f, kind in HEADER_TYPES.items()]
-    return split.selectExpr(
+    return split.selectExpr("*", *taken).selectExpr(
         "source", "file_stem", "line_no",
         "CASE WHEN error IS NULL THEN 'ok' ELSE 'quarantined' END AS status", "error",
         "concat(file_stem, '_table') AS table_name", *cells, *DAT_HEADER_FIELDS,
@@ -220,7 +224,7 @@ def whole_files(landed: DataFrame) -> DataFrame:
     written table of ``parse_dat`` or ``read_sheets`` rows; one bad cell or a
     broken end keeps all of its file out."""
     bad = landed.filter(F.coalesce("error", "cell_error").isNotNull()).select("source").distinct()
-    return landed.join(bad, "source", "left_anti")
+    return landed.join(broadcast_if_small(stage(bad, "bad_files")), "source", "left_anti")
 
 
 def broken_files(landed: DataFrame) -> DataFrame:

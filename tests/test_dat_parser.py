@@ -93,3 +93,10 @@ def test_pushed_filters_never_reparse_inside_a_lambda(spark):
         plan = f._jdf.queryExecution().optimizedPlan().toString()
         assert not [b for b in _lambda_bodies(plan) if "decode" in b]
     assert dat_rows_from_files(parsed).count() == 3
+
+
+def test_a_cell_is_looked_up_once_a_line(spark):
+    """The checks of a cell name its text; they don't take it from the line again."""
+    files = spark.createDataFrame([("a.dat", bytearray(b"x"))], "path string, content binary")
+    plan = parse_dat(files)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("element_at(_values") <= 2 * len(DAT_TABLE_COLUMNS)
