@@ -45,6 +45,10 @@ class Ranges:
     def cut(self, hashes: np.ndarray) -> np.ndarray:
         return hashes >> np.uint64(self.shift)
 
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The range of every key."""
+        return np.searchsorted(self.bounds, keys, side="right")
+
     def split(self, keys: np.ndarray):
         """(range, first, last + 1) of every range that ascending ``keys`` touch."""
         ends = [0, *np.searchsorted(keys, self.bounds).tolist(), len(keys)]

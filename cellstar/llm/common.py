@@ -53,12 +53,27 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: Spark's setting by which an execution's shuffle files go when it ends, not at
+#: the driver's next garbage collection (from 4.1 on; earlier versions ignore it).
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there,
-    and the files survive a lost executor."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    and the files survive a lost executor. ``release``: its shuffle files go
+    once it is written."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    if not release:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(*frames: DataFrame) -> None:

@@ -4,18 +4,23 @@ Texts (A-Z in lower case) are split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and t
 at spaces and tabs into words; n-grams of 1 to 4 words stay within a piece and
 are counted per ``lang`` (null: ``und``).
 
-* Documents become bounded blocks of one language (``blocks``). A block's
-  counts of n-gram hashes in each hash partition are its Misra-Gries summary
-  there: with all its counters, so without error.
-* First pass: in a hash partition of mass M the blocks' summaries are merged
+* Documents become bounded blocks of one language (``blocks``), some of which
+  are a unit. A unit's counts of n-gram hashes in each hash partition, merged
+  from its blocks, are its Misra-Gries summary there: with all its counters, so
+  without error.
+* First pass: in a hash partition of mass M the units' summaries are merged
   into one of more than M / ``at_least`` counters. Each merge beyond that takes
   the (capacity + 1)-th largest count off all counters, hence at most
   M / (capacity + 1) < ``at_least`` off any: every frequent n-gram survives. The
   survivors' hashes are added up over the partition, and those that reach
-  ``at_least`` are named to the blocks they occur in.
-* Second pass: each block counts the phrases so named in its own text, by their
-  words, and Spark adds these counts: exact ones, whatever fell together as a
-  hash before.
+  ``at_least`` are named to the units they occur in.
+* Second pass: each unit counts the phrases so named in its own text, by their
+  words, and sends each hash partition its phrases, packed in their order. There
+  these counts are added by words: exact ones, whatever fell together as a hash
+  before.
+
+What a unit sends is packed, as most of the disk is the shuffles': no row goes out
+for a single phrase, and a step's shuffle files go when its result is written.
 
 A frequent n-gram's parts are frequent too, so all counts that the scores need
 are there. Scores are exact integers (decimal arithmetic). A piece is never cut,
@@ -31,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -47,38 +53,51 @@ COVERED = 80
 #: Signs that end a piece, beside spaces and tabs that end a word (fixed values).
 BREAKS = ".,;:!?\x0a\x0b\x0c\x0d"
 #: Bits of a key within its hash partition: two n-grams that fall together only cost a survivor.
-KEY_BITS = 32
-#: Keys that a merge sorts at a time.
+KEY_BITS = 26
+#: Blocks' worth of words in a unit; packed bytes of units that a task holds back at most.
+UNIT_BLOCKS, UNIT_BYTES = 4, 1 << 25
+#: Keys or phrases that a merge sorts at a time.
 MERGE_KEYS = 1 << 20
 
 
 def language_blocks(docs: DataFrame, block_words: int = blocks.BLOCK_WORDS) -> DataFrame:
-    """(t, lang, n_words, z): the documents' pieces, in blocks of one language."""
+    """(t, lang, n_words, z): the documents' pieces, in blocks of one language; blocks of a unit share t."""
     rows = documents(docs, F.coalesce(F.col("lang").cast("string"), F.lit(UND)).alias("lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId() << 40, 0
         waiting: dict[str, list[np.ndarray]] = {}
         size: dict[str, int] = {}
+        ready: dict[str, list[tuple[int, bytes]]] = {}
 
-        def block(lang: str, raw: np.ndarray):
-            nonlocal made
-            made += 1
-            z = zstandard.ZstdCompressor(level=3).compress(raw.tobytes())
-            words = int(np.count_nonzero((raw == 10) | (raw == 32)))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([task + made]), pa.array([lang]), pa.array([words]), pa.array([z], pa.binary())],
-                ["t", "lang", "n_words", "z"])
-
-        def flush(lang: str):
+        def words_of(raw: np.ndarray) -> int:
+            return int(np.count_nonzero((raw == 10) | (raw == 32)))
+
+        def pack(lang: str, all_of_it: bool) -> None:
             raw = np.concatenate(waiting.pop(lang))
             size.pop(lang)
             stops, feeds = np.flatnonzero((raw == 10) | (raw == 32)), np.flatnonzero(raw == 10)
             wanted = stops[block_words - 1::block_words]
             cuts = np.unique(feeds[np.searchsorted(feeds, wanted)] + 1)
-            for part in np.split(raw, cuts):
+            *parts, rest = np.split(raw, cuts)
+            if all_of_it:
+                parts.append(rest)
+            elif len(rest):
+                waiting[lang], size[lang] = [rest.copy()], words_of(rest)
+            for part in parts:
                 if len(part):
-                    yield block(lang, part)
+                    z = zstandard.ZstdCompressor(level=3).compress(part.tobytes())
+                    ready.setdefault(lang, []).append((words_of(part), z))
+
+        def units(least: int) -> Iterator[pa.RecordBatch]:
+            nonlocal made
+            for lang in sorted(ready):
+                if sum(n for n, _ in ready[lang]) >= least:
+                    made += 1
+                    n, z = zip(*ready.pop(lang))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([task + made] * len(z)), pa.array([lang] * len(z)), pa.array(n),
+                         pa.array(z, pa.binary())], ["t", "lang", "n_words", "z"])
 
         for batch in batches:
             for a, b in text_chunks(batch):
@@ -88,14 +107,17 @@ def language_blocks(docs: DataFrame, block_words: int = blocks.BLOCK_WORDS) -> D
                     raw, ends = bytes_of(some.column("text").take(pa.array(np.flatnonzero(langs == lang))))
                     raw, _ = blocks.normalise(raw, ends, BREAKS)
                     waiting.setdefault(lang, []).append(raw)
-                    size[lang] = size.get(lang, 0) + int(np.count_nonzero((raw == 10) | (raw == 32)))
+                    size[lang] = size.get(lang, 0) + words_of(raw)
                     if size[lang] >= block_words:
-                        yield from flush(lang)
+                        pack(lang, False)
                 if sum(size.values()) > 4 * block_words:  # very many languages
                     for lang in sorted(waiting):
-                        yield from flush(lang)
+                        pack(lang, True)
+                held = sum(len(z) for own in ready.values() for _, z in own)
+                yield from units(UNIT_BLOCKS * block_words if held < UNIT_BYTES else 0)
         for lang in sorted(waiting):
-            yield from flush(lang)
+            pack(lang, True)
+        yield from units(0)
 
     return rows.mapInArrow(lean(run), "t long, lang string, n_words long, z binary")
 
@@ -115,20 +137,30 @@ def _grams(lang: str, z: bytes):
 
 
 def summaries(staged: DataFrame, ranges: blocks.Ranges) -> DataFrame:
-    """(t, p, mass, keys, counts): each block's counters in each hash partition."""
+    """(t, p, mass, keys, counts): each unit's counters in each hash partition.
+    (Were a unit's blocks read apart, each part would send its own.)"""
+
+    def send(t: int, own: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, n = own[0] if len(own) == 1 else blocks.counted(*map(np.concatenate, zip(*own)))
+        parts = ranges.split(keys)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([t] * len(parts), pa.int64()), pa.array([p for p, _, _ in parts], pa.int64()),
+             pa.array([int(n[a:b].sum()) for _, a, b in parts], pa.int64()),
+             pa.array([blocks.pack_keys(keys[a:b]) for _, a, b in parts], pa.binary()),
+             pa.array([blocks.pack_counts(n[a:b]) for _, a, b in parts], pa.binary())],
+            ["t", "p", "mass", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, own = None, []
         for batch in batches:
             for t, lang, z in zip(*(batch.column(c).to_pylist() for c in ("t", "lang", "z"))):
-                found = _grams(lang, z)[2]
-                keys, n = blocks.counted(ranges.cut(np.concatenate([k for _, k in found])))
-                parts = ranges.split(keys)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([t] * len(parts), pa.int64()), pa.array([p for p, _, _ in parts], pa.int64()),
-                     pa.array([int(n[a:b].sum()) for _, a, b in parts], pa.int64()),
-                     pa.array([blocks.pack_keys(keys[a:b]) for _, a, b in parts], pa.binary()),
-                     pa.array([blocks.pack_counts(n[a:b]) for _, a, b in parts], pa.binary())],
-                    ["t", "p", "mass", "keys", "counts"])
+                if t != now and own:
+                    yield send(now, own)
+                    own = []
+                now = t
+                own.append(blocks.counted(ranges.cut(np.concatenate([k for _, k in _grams(lang, z)[2]]))))
+        if own:
+            yield send(now, own)
 
     return staged.select("t", "lang", "z").mapInArrow(
         lean(run), "t long, p long, mass long, keys binary, counts binary")
@@ -154,7 +186,7 @@ class Summary:
 
 
 def _portions(table: pa.Table):
-    """Keys and counts of the group's blocks, some MERGE_KEYS keys at a time."""
+    """Keys and counts of the group's units, some MERGE_KEYS keys at a time."""
     keys, counts, size = [], [], 0
     for k, n in zip(table.column("keys"), table.column("counts")):
         keys.append(blocks.unpack_keys(k.as_py()))
@@ -185,15 +217,15 @@ def survivors(table: pa.Table, at_least: int) -> np.ndarray:
 
 
 def frequent_keys(sent: DataFrame, at_least: int) -> DataFrame:
-    """(t, named): for every block, its keys that survive."""
+    """(t, named): for every unit, its keys that survive."""
 
     def settle(table: pa.Table) -> pa.Table:
         found = survivors(table, at_least)
         t, named = [], []
-        for block, k in zip(table.column("t"), table.column("keys")):
+        for unit, k in zip(table.column("t"), table.column("keys")):
             own = np.intersect1d(blocks.unpack_keys(k.as_py()), found, assume_unique=True)
             if len(own):
-                t.append(block.as_py())
+                t.append(unit.as_py())
                 named.append(blocks.pack_keys(own))
         return pa.table([pa.array(t, pa.int64()), pa.array(named, pa.binary())], ["t", "named"])
 
@@ -205,8 +237,78 @@ def _cut(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     size = end - start
     ends = np.concatenate(([0], np.cumsum(size)))
     at = np.repeat(start - ends[:-1], size) + np.arange(ends[-1])
-    return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends.astype(np.int64)),
-                                            pa.py_buffer(np.ascontiguousarray(raw[at]))).cast(pa.string())
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [
+        None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw[at]))])
+
+
+def _added(tables: list[pa.Table], *by: str) -> pa.Table:
+    """The tables' rows with f added up."""
+    summed = pa.concat_tables(tables).group_by([*by]).aggregate([("f", "sum")])
+    return summed.select([*by, "f_sum"]).rename_columns([*by, "f"])
+
+
+def phrase_counts(told: DataFrame, ranges: blocks.Ranges) -> DataFrame:
+    """(lang, p, phrases, counts): for each unit and hash partition, the unit's
+    phrases with a named key, in ascending order, and their counts."""
+
+    def count(table: pa.Table) -> pa.Table:
+        texts = [(lang.as_py(), z.as_py()) for lang, z in zip(table.column("lang"), table.column("z")) if z.is_valid]
+        parts = [blocks.unpack_keys(k.as_py()) for k in table.column("named") if k.is_valid]
+        wanted = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+        names, out = ["lang", "p", "phrases", "counts"], []
+        if len(wanted):
+            seen = np.zeros(1 << 22, bool)
+            seen[wanted & np.uint64(len(seen) - 1)] = True
+            for lang, z in texts:
+                raw, words, found = _grams(lang, z)
+                for n, (first, k) in enumerate(found, 1):
+                    key = ranges.cut(k)
+                    maybe = np.flatnonzero(seen[key & np.uint64(len(seen) - 1)])
+                    at = np.minimum(np.searchsorted(wanted, key[maybe]), len(wanted) - 1)
+                    maybe = maybe[wanted[at] == key[maybe]]
+                    k, one, f = np.unique(k[maybe], return_index=True, return_counts=True)
+                    first = first[maybe[one]]
+                    out.append(pa.table([pa.array(ranges.of(ranges.cut(k))),
+                                         _cut(raw, words.start[first], words.end[first + n - 1]),
+                                         pa.array(f.astype(np.int64))], ["p", "phrase", "f"]))
+        if not out:
+            return pa.schema([("lang", pa.string()), ("p", pa.int64()), ("phrases", pa.binary()),
+                              ("counts", pa.binary())]).empty_table()
+        whole = _added(out, "p", "phrase").sort_by([("p", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        p, first = np.unique(whole.column("p").to_numpy(), return_index=True)
+        ends = np.append(first, len(whole))
+        f = whole.column("f").to_numpy().astype(np.uint64)
+        pack = zstandard.ZstdCompressor(level=3).compress
+        lines = pc.binary_join(pa.LargeListArray.from_arrays(ends, whole.column("phrase").combine_chunks()),
+                               pa.scalar(b"\n", pa.large_binary()))
+        return pa.table([pa.array([texts[0][0]] * len(p), pa.string()), pa.array(p),
+                         pa.array([pack(x.as_py()) for x in lines], pa.binary()),
+                         pa.array([blocks.pack_counts(f[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())], names)
+
+    return told.groupBy("t").applyInArrow(count, "lang string, p long, phrases binary, counts binary")
+
+
+def exact_counts(sent: DataFrame, at_least: int) -> DataFrame:
+    """(lang, words, phrase, f): the units' counts added by words, those that reach ``at_least``."""
+
+    def add(table: pa.Table) -> pa.Table:
+        parts, size = [], 0
+        for z, n in zip(table.column("phrases"), table.column("counts")):
+            lines = pa.array([zstandard.ZstdDecompressor().decompress(z.as_py())], pa.large_binary())
+            parts.append(pa.table([pc.split_pattern(lines, "\n").flatten(),
+                                   pa.array(blocks.unpack_counts(n.as_py()).astype(np.int64))], ["phrase", "f"]))
+            size += len(parts[-1])
+            if size >= MERGE_KEYS:
+                parts, size = [_added(parts, "phrase")], 0
+        whole = _added(parts, "phrase")
+        whole = whole.filter(pc.greater_equal(whole.column("f"), at_least))
+        phrase = whole.column("phrase")
+        words = pc.add(pc.count_substring(phrase, " ").cast(pa.int32()), pa.scalar(1, pa.int32()))
+        return pa.table([pa.array([table.column("lang")[0].as_py()] * len(whole), pa.string()), words,
+                         phrase.cast(pa.large_string(), safe=False).cast(pa.string()), whole.column("f")],
+                        ["lang", "words", "phrase", "f"])
+
+    return sent.groupBy("lang", "p").applyInArrow(add, "lang string, words int, phrase string, f long")
 
 
 def count_phrases(docs: DataFrame, at_least: int = AT_LEAST,
@@ -215,39 +317,12 @@ def count_phrases(docs: DataFrame, at_least: int = AT_LEAST,
     ``at_least`` times, and (lang, n) with all words of every language."""
     staged = stage(language_blocks(docs, block_words), "phrase-blocks")
     ranges = blocks.Ranges(blocks.ranges_for(documents(docs)), KEY_BITS)
-    named = frequent_keys(summaries(staged, ranges), at_least)
+    named = stage(frequent_keys(summaries(staged, ranges), at_least), "phrase-keys", release=True)
     empty = {"lang": "string", "z": "binary", "named": "binary"}
     own = staged.select("t", "lang", "z", F.lit(None).cast("binary").alias("named"))
     told = named.select("t", *(F.lit(None).cast(empty[c]).alias(c) for c in ("lang", "z")), "named")
-    kinds = [("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())]
-
-    def count(table: pa.Table) -> pa.Table:
-        texts = [(lang.as_py(), z.as_py()) for lang, z in zip(table.column("lang"), table.column("z")) if z.is_valid]
-        parts = [blocks.unpack_keys(k.as_py()) for k in table.column("named") if k.is_valid]
-        wanted = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-        out = []
-        if len(wanted):
-            (lang, z), = texts
-            raw, words, found = _grams(lang, z)
-            seen = np.zeros(1 << 22, bool)
-            seen[wanted & np.uint64(len(seen) - 1)] = True
-            for n, (first, k) in enumerate(found, 1):
-                key = ranges.cut(k)
-                maybe = np.flatnonzero(seen[key & np.uint64(len(seen) - 1)])
-                at = np.minimum(np.searchsorted(wanted, key[maybe]), len(wanted) - 1)
-                maybe = maybe[wanted[at] == key[maybe]]
-                _, one, f = np.unique(k[maybe], return_index=True, return_counts=True)
-                first = first[maybe[one]]
-                out.append(pa.table([pa.array([lang] * len(one), pa.string()),
-                                     pa.array(np.full(len(one), n, np.int32)),
-                                     _cut(raw, words.start[first], words.end[first + n - 1]),
-                                     pa.array(f.astype(np.int64))], [c for c, _ in kinds]))
-        return pa.concat_tables(out) if out else pa.schema(kinds).empty_table()
-
-    counted = own.unionByName(told).groupBy("t").applyInArrow(count, "lang string, words int, phrase string, f long")
-    exact = (counted.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
-             .filter(F.col("f") >= at_least))
-    return stage(exact, "phrase-counts"), staged.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    exact = exact_counts(phrase_counts(own.unionByName(told), ranges), at_least)
+    return stage(exact, "phrase-counts", release=True), staged.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
 
 def collocations(docs: DataFrame, at_least: int = AT_LEAST, top: int = TOP,

@@ -3,8 +3,10 @@
 import collections
 import itertools
 import math
+import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -179,6 +181,70 @@ def test_summary_keeps_every_frequent_key():
         assert set(keys[n >= at_least]) <= set(summary.keys)
 
 
+def many_words(spark, n_docs, seed=5):
+    rng = np.random.default_rng(seed)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.4, 500) % 20000) for _ in range(n_docs)]
+    return spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string").coalesce(1)
+
+
+def test_units_send_each_key_once_and_packed(spark):
+    staged = phrases.stage(phrases.language_blocks(many_words(spark, 600), 12_000), "test-units")
+    sizes = [r.n_words for r in staged.select("n_words").collect()]
+    assert sum(sizes) == 300_000 and sum(n < 12_000 for n in sizes) <= 1     # none but the last is short
+    ranges = blocks.Ranges(8, phrases.KEY_BITS)
+    sent = phrases.summaries(staged, ranges).collect()
+    assert len({(r.t, r.p) for r in sent}) == len(sent) and len({r.t for r in sent}) < len(sizes)
+    distinct = sum(len(blocks.unpack_keys(r.keys)) for r in sent)
+    assert sum(r.mass for r in sent) == 600 * (500 + 499 + 498 + 497)
+    assert sum(len(r.keys) + len(r.counts) for r in sent) < 2.6 * distinct
+
+
+def test_a_unit_sends_no_row_for_a_single_phrase(spark):
+    docs = many_words(spark, 200)
+    staged = phrases.stage(phrases.language_blocks(docs, 12_000), "test-units")
+    ranges = blocks.Ranges(8, phrases.KEY_BITS)
+    named = phrases.frequent_keys(phrases.summaries(staged, ranges), 5).selectExpr(
+        "t", "cast(null as string) as lang", "cast(null as binary) as z", "named")
+    told = staged.selectExpr("t", "lang", "z", "cast(null as binary) as named").unionByName(named)
+    sent = phrases.phrase_counts(told, ranges).collect()
+    assert 0 < len(sent) <= 8 * staged.select("t").distinct().count()
+    counts = phrases.exact_counts(spark.createDataFrame(sent), 5)
+    texts = [tuple(r.text.split(" ")) for r in docs.collect()]
+    plain = collections.Counter(w[i:i + k] for w in texts for k in range(1, 5) for i in range(len(w) - k + 1))
+    assert {(r.lang, r.words, r.phrase, r.f) for r in counts.collect()} == {
+        ("en", len(w), " ".join(w), f) for w, f in plain.items() if f >= 5}
+
+
+def test_a_unit_read_apart_counts_once(spark):
+    docs = many_words(spark, 40)
+    staged = phrases.stage(phrases.language_blocks(docs, 2_000), "test-units")
+    apart = staged.repartition(7, "z")
+    ranges = blocks.Ranges(8, phrases.KEY_BITS)
+
+    def counts(one):
+        named = phrases.frequent_keys(phrases.summaries(one, ranges), 3).selectExpr(
+            "t", "cast(null as string) as lang", "cast(null as binary) as z", "named")
+        told = one.selectExpr("t", "lang", "z", "cast(null as binary) as named").unionByName(named)
+        return sorted(map(tuple, phrases.exact_counts(phrases.phrase_counts(told, ranges), 3).collect()))
+
+    assert counts(apart) == counts(staged) != []
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    def held():
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for top in dirs for _, _, names in os.walk(top) for f in names if re.match(r"shuffle_.*[.]data$", f)}
+
+    before = held()
+    counts, _ = phrases.count_phrases(many_words(spark, 100), 5, 12_000)
+    for _ in range(40):     # they are removed in the background
+        if not (left := held() - before):
+            break
+        time.sleep(0.25)
+    assert not left and counts.count() > 0
+
+
 # --- language model
 
 def held(d):
