@@ -27,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellstar.llm.common import documents, lean, partitions, stage
+from cellstar.llm.common import bytes_of, documents, lean, partitions, stage, text_chunks
 
 MAGIC = b"S8B1"
 BLOCK = 1024
@@ -42,6 +43,8 @@ SELECTORS = ((240, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8,
 ESCAPE = 15
 #: Ids after which a chunk is closed.
 CHUNK_IDS = 1 << 18
+#: Bytes of texts whose distinct units are looked up together (a longer text is by itself).
+TEXTS_BYTES = 1 << 23
 
 _COUNT = np.array([c for c, _ in SELECTORS] + [1], np.int64)
 #: Width class by the bits of an id: the first selector (widths ascend) that holds it.
@@ -199,13 +202,39 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+#: Texts that don't fall into units (RE2): white space other than space and line end, three in a row, two at the end.
+ODD = (r"[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+       r"|[ \n]{3}|[ \n]{2}\z")
+
+
+#: Signs of which any number after letters are one piece.
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class _Letters(dict):
+    """The letters a vocabulary writes a character's bytes with."""
+
+    def __init__(self):
+        super().__init__()
+        self.letters = byte_letters()
+
+    def __missing__(self, c: str) -> str:
+        raw = "".join(self.letters[b] for b in c.encode("utf-8", "surrogatepass"))
+        if c < "\u2000":  # of the others there are many
+            self[c] = raw
+        return raw
+
+
 class PieceEncoder:
     """``Tokenizer.encode`` for a byte-level BPE, remembering what it has met.
 
     Merges never cross the pre-tokeniser's pieces, so each distinct piece is
-    encoded by the library once. A space begins a piece unless another white
-    space follows it, so a text without double spaces falls into units that
-    each start with one space, and these are remembered as well.
+    encoded by the library once. Of white space before a word the last space
+    belongs to the word, a last line end is a piece, and so is all that stands
+    before. So a text whose white space is spaces and line ends, two in a row at
+    most, falls into units that each start with one of them, and these are
+    remembered as well. ``encode_all`` finds the distinct units of many texts
+    first and looks each up once; other texts are split by the pattern.
 
     Added tokens are found in the text before it is split into pieces, as the
     library does: each is one id, and what lies between them is encoded by itself.
@@ -219,8 +248,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.space = self.letters[32]
+        self.model, self.letters = self.tokenizer.model, _Letters()
+        self.space = self.letters[" "]
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
         # tokens that take in white space, or only count as words, are left to the library
@@ -235,16 +264,22 @@ class PieceEncoder:
         if piece.isascii() and piece.isprintable():  # of these bytes only the space has another letter
             raw = piece.replace(" ", self.space)
         else:
-            raw = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(raw)]
-        return array("I", ids).tobytes()
+            raw = "".join(map(self.letters.__getitem__, piece))
+        return array("I", [t.id for t in self.model.tokenize(raw)]).tobytes()
 
     def _unit(self, unit: str) -> bytes:
-        if unit.isalpha():  # letters are one piece, with a sign after them two
+        if unit.isalpha():  # letters are one piece
             return self._piece(" " + unit)
-        if unit[-1:] in (".", ",") and unit[:-1].isalpha():
-            return self.units[unit[:-1]] + self.pieces[unit[-1]]
-        return self._joined(" " + unit)
+        word = unit.rstrip(SIGNS)
+        if word[:1] in ("\n", "\r"):  # after a line end, or (\r) at the start of a text
+            before, word = self.pieces["\n"] if unit[0] == "\n" else b"", word[1:]
+            ids = self.pieces[word] if word.isalpha() else None
+        else:
+            before, ids = b"", self.units[word] if word.isalpha() else None
+        if ids is None:
+            return self._joined(unit[1:] if unit[:1] == "\r" else unit if unit[:1] == "\n" else " " + unit)
+        signs = unit[len(unit.rstrip(SIGNS)):]
+        return before + ids + (self.pieces[signs] if signs else b"")
 
     def _joined(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
@@ -254,15 +289,27 @@ class PieceEncoder:
         if any(t in text for t in self.added):
             if not self.plain:
                 return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-            return b"".join(self.added.get(part) or self._between(part) for part in self.parts(text))
-        return self._between(text)
-
-    def _between(self, text: str) -> bytes:
-        """The ids of a text without added tokens."""
-        if "  " in text:
-            return self._joined(text)
-        first, *units = text.split(" ")
-        return self._joined(first) + b"".join(map(self.units.__getitem__, units))
+            return b"".join(self.added.get(part) or self._joined(part) for part in self.parts(text))
+        return self._joined(text)
+
+    def encode_all(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, ids of all), with an end id after each text."""
+        odd = pc.match_substring_regex(texts, ODD)
+        for t in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, t))
+        # a carriage return, which no text left here has, marks where a text starts
+        units = pc.split_pattern(pc.replace_substring(
+            pc.binary_join_element_wise("\r", pc.if_else(odd, "", texts), ""), "\n", " \n"), " ")
+        named = units.flatten().dictionary_encode()
+        values = list(map(self.units.__getitem__, named.dictionary.to_numpy(zero_copy_only=False)))
+        at, ends = named.indices.to_numpy().copy(), units.offsets.to_numpy()
+        of = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        at[ends[of]] = len(values) + np.arange(len(of))
+        values += map(self.encode, texts.take(pa.array(of)).to_pylist())
+        values.append(struct.pack("<I", end_id))
+        at = np.insert(at, ends[1:], len(values) - 1)
+        raw, place = bytes_of(pa.array(values, pa.binary()).take(pa.array(at)))
+        return np.diff(place[ends + np.arange(len(ends))]) // 4, raw.view("<u4")
 
 
 _ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
@@ -275,10 +322,24 @@ def encoder(path: str, pattern: str) -> PieceEncoder:
     return _ENCODERS[path, pattern]
 
 
+def groups(batches: Iterator[pa.RecordBatch], limit: int = TEXTS_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``limit`` bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        for a, b in text_chunks(batch, limit=limit):
+            part = batch.slice(a, b - a)
+            if held and size + part.nbytes > limit:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(part)
+            size += part.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def write_ids(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> DataFrame:
     """Encode all documents and write the files; the table of chunks
     (shard, chunk, start_in_shard, n_ids, doc_ids, data)."""
-    end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, chunk, start = TaskContext.get().partitionId(), 0, 0
@@ -286,7 +347,7 @@ def write_ids(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> Dat
 
         def close():
             nonlocal chunk, start, own, counts, parts, held
-            ids = np.frombuffer(b"".join(parts), "<u4").astype(np.uint64)
+            ids = np.concatenate(parts).astype(np.uint64)
             row = pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([chunk], pa.int32()), pa.array([start], pa.int64()),
                  pa.array([held], pa.int64()), pa.array([own], pa.list_(pa.int64())),
@@ -295,13 +356,13 @@ def write_ids(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> Dat
             chunk, start, own, counts, parts, held = chunk + 1, start + held, [], [], [], 0
             return row
 
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), map(encoder(tokenizer, pattern).encode, texts)):
+        for some in groups(batches):
+            sizes, ids = encoder(tokenizer, pattern).encode_all(some.column("text"), end_id)
+            for doc_id, part in zip(some.column("doc_id").to_pylist(), np.split(ids, np.cumsum(sizes)[:-1])):
                 own.append(doc_id)
-                parts += (ids, end)
-                counts.append(len(ids) // 4 + 1)
-                held += counts[-1]
+                parts.append(part)
+                counts.append(len(part))
+                held += len(part)
                 if held >= CHUNK_IDS:
                     yield close()
         if own:

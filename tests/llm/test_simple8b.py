@@ -108,3 +108,44 @@ def test_memory_is_bounded_by_bytes(monkeypatch):
             for kept in (e.pieces, e.pieces.former, e.units, e.units.former):
                 assert all(len(k) <= 64 for k in kept)
                 assert sum(4 * len(k) + len(v) + 150 for k, v in kept.items()) <= 20_000
+
+
+def test_mixed_white_space_equals_library():
+    """A run of different white space is one piece, and its signs may merge."""
+    import public_tokenizers as P
+    e = sb.PieceEncoder(registry.vocabulary("byte_bpe_50k.json"), P.PATTERN)
+    for t in ["a \xa0 \xa0 b", "a\n\xa0 b c", "a \xa0 \xa0", "x\n\n\xa0\xa0 y z"]:
+        assert np.frombuffer(e.encode(t), "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
+def test_many_texts_equal_fresh_library():
+    import public_tokenizers as P
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    path = registry.vocabulary("byte_bpe_50k.json")
+    fresh, e = Tokenizer.from_file(path), sb.PieceEncoder(path, P.PATTERN)
+    rng = random.Random(10)
+    parts = [" ", " ", " ", "\n", "\t", "\r\n", "\xa0", "\u3000", "\x1c", "the", "The", "né", "漢", "🙂", "12", "don't", "'s", ".",
+             ",", "###", "'", "<|endoftext|>", "²", "\x00"]
+    texts = ADDED + ["", " ", "\n", "  ", "\n\n", "  a", "\n\nb", " \nc ", "a\n", "a \n", "a\n\n", "a  b", "a\n b\n\nc", "\r"] + [
+        "".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    want = [fresh.encode(t, add_special_tokens=False).ids + [7] for t in texts]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    for limit in (1, 100, 1 << 23):
+        some = list(sb.groups(iter([batch.slice(0, 5), batch.slice(5, 0), batch.slice(5)]), limit))
+        assert [i for b in some for i in b.column("doc_id").to_pylist()] == list(range(len(texts)))
+        found = [e.encode_all(b.column("text"), 7) for b in some]
+        assert [n for sizes, _ in found for n in sizes.tolist()] == [len(w) for w in want]
+        assert np.concatenate([ids for _, ids in found]).tolist() == [i for w in want for i in w]
+
+
+def test_each_distinct_unit_is_found_once(monkeypatch):
+    """Texts of a group share the work on their units, whatever the tables can hold."""
+    import public_tokenizers as P
+    import pyarrow as pa
+    monkeypatch.setattr(sb.PieceEncoder, "PIECES", 1)
+    monkeypatch.setattr(sb.PieceEncoder, "UNITS", 1)
+    e, calls = sb.PieceEncoder(registry.vocabulary("byte_bpe_50k.json"), P.PATTERN), []
+    e.units.find = lambda unit: calls.append(unit) or e._unit(unit)
+    e.encode_all(pa.array([" ".join(["", *map(str, range(50))])] * 40), 0)
+    assert sorted(calls) == sorted(["\r", *map(str, range(50))])
