@@ -44,11 +44,13 @@ ESCAPE = 15
 #: Ids after which a chunk is closed.
 CHUNK_IDS = 1 << 18
 #: Bytes of texts whose distinct units are looked up together (a longer text is by itself).
-TEXTS_BYTES = 1 << 23
+TEXTS_BYTES = 1 << 24
 
 _COUNT = np.array([c for c, _ in SELECTORS] + [1], np.int64)
 #: Width class by the bits of an id: the first selector (widths ascend) that holds it.
 _CLASS = np.array([sum(w < bits for _, w in SELECTORS) for bits in range(66)], np.int8)
+#: The same by the id itself, for small ids.
+_SMALL = _CLASS[np.frexp(np.arange(1 << 16, dtype=np.float64))[1]]
 
 
 def choose(ids: np.ndarray) -> np.ndarray:
@@ -58,9 +60,11 @@ def choose(ids: np.ndarray) -> np.ndarray:
     from one selector's count to the next by overlapping maxima.
     """
     n = len(ids)
-    bits = np.frexp(ids.astype(np.float64))[1]
     need = np.full(-(-n // BLOCK) * BLOCK, 127, np.int8)
-    need[:n] = _CLASS[bits]  # beyond the last: escape
+    if n and ids.max() < len(_SMALL):
+        need[:n] = _SMALL[ids]
+    else:
+        need[:n] = _CLASS[np.frexp(ids.astype(np.float64))[1]]  # beyond the last: escape
     most = need = need.reshape(-1, BLOCK)
     best = np.full(need.shape, ESCAPE, np.int8)
     have = 1
