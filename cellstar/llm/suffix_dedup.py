@@ -19,6 +19,10 @@ judged on the input. Texts are UTF-8 bytes, and matches stay within documents.
    windows meet one by one as in step 2, which spreads them.
 4. The removed spans meet their documents.
 
+What a worker holds doesn't follow the input: Spark orders a task's rows by
+bucket or minimiser, on disk if need be, and a worker takes one bucket, or whole
+minimisers of some ``RUN`` bytes, at a time.
+
 A null or empty text has no windows and stays as it is. A row repeated with
 its id and text gets its twin's result (a string doesn't start earlier than
 itself). Rows that share an id, or have none, with different texts are documents
@@ -38,7 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellstar.llm.common import bytes_of, documents, lean, mix64, partitions, schema, sliding_min, stage, text_chunks
+from cellstar.llm.common import (bytes_of, documents, lean, mix64, offsets_of, partitions, schema, sliding_min, stage,
+                                 text_chunks)
 from cellstar.llm.induced import equal_windows
 from cellstar.llm.shingles import _BASE, _INVERSE, powers
 
@@ -48,6 +53,14 @@ GRAM = 32
 HOT = 5_000
 #: Segments gathered in a worker before they are sent.
 FLUSH = 200_000
+#: Segments packed in one row at most; an Arrow batch holds many such rows.
+PACKED = 1_000
+#: Segments of one bucket held in a worker before those that are settled, or hot, leave.
+HELD = 400_000
+#: Bytes of whole minimisers whose suffixes are sorted together; one minimiser has 5,000 segments of 168 at most.
+RUN = 1 << 20
+#: Bytes of segments sent on in one batch.
+CUT = 1 << 22
 NULL_ID = -(1 << 63)
 #: Texts are cut into windows in slices of at most so many bytes.
 SLICE = 1 << 18
@@ -145,8 +158,8 @@ def _found(rows: np.ndarray, kind: np.ndarray | int, length: int) -> pa.RecordBa
 class Sender:
     """Gathers segments; removes local repeats and packs the rest by bucket."""
 
-    def __init__(self, buckets: int, length: int):
-        self.buckets, self.length, self.parts, self.held = np.uint64(buckets), length, [], 0
+    def __init__(self, buckets: int, length: int, packed: int):
+        self.buckets, self.length, self.packed, self.parts, self.held = np.uint64(buckets), length, packed, [], 0
 
     def add(self, doc, ver, start, n, m, dig) -> None:
         rows = np.empty(len(start), _ROW)
@@ -164,7 +177,9 @@ class Sender:
         bucket = (rows["m"] % self.buckets).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         rows, bucket = rows[order], bucket[order]
-        edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))[:len(rows) + 1]
+        new = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        new = np.concatenate([np.arange(a, b, self.packed) for a, b in zip(new, [*new[1:], len(rows)])])
+        edge = np.concatenate((new, [len(rows)]))
         packed = [b"".join(rows[a:b][f].tobytes() for f in _ROW.names) for a, b in zip(edge[:-1], edge[1:])]
         k = len(packed)
         if k:
@@ -175,8 +190,8 @@ class Sender:
                 _NAMES)
 
 
-def _unpack(blob: bytes) -> np.ndarray:
-    n = len(blob) // _ROW.itemsize
+def _unpack(blob: pa.Buffer) -> np.ndarray:
+    n = blob.size // _ROW.itemsize
     rows, at = np.empty(n, _ROW), 0
     for f in _ROW.names:
         kind = _ROW[f]
@@ -185,42 +200,82 @@ def _unpack(blob: bytes) -> np.ndarray:
     return rows
 
 
+class Bucket:
+    """The segments of one bucket: repeats leave as they are found, and so do hot
+    minimisers, of which the first ``hot`` segments tell."""
+
+    def __init__(self, length: int, hot: int, least: int):
+        self.length, self.many, self.least, self.parts, self.held = length, hot, least, [], 0
+        self.most, self.hot = least, np.zeros(0, np.uint64)   # hot: the minimisers found to be so
+
+    def add(self, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(rows)
+        self.held += len(rows)
+        if self.held > self.most:
+            rows, size = yield from self._settled()
+            hot = size > self.many
+            yield from self._send(rows[hot], 2)
+            self.hot = np.union1d(self.hot, rows["m"][hot])
+            self.parts, self.held = [rows[~hot]], int((~hot).sum())
+            self.most = max(self.least, 2 * self.held)
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        rows, size = yield from self._settled()
+        rows, size = rows[size > 1], size[size > 1]
+        yield from self._send(rows, np.where(size > self.many, 2, 1))
+
+    def _settled(self):
+        """What stays of the segments held, and how many of each minimiser."""
+        rows = np.concatenate(self.parts)
+        self.parts = []
+        if len(self.hot):
+            hot = np.isin(rows["m"], self.hot)
+            yield from self._send(rows[hot], 2)
+            rows = rows[~hot]
+        rows = ordered(rows)
+        first, later = settle(rows)
+        yield from self._send(rows[later], 0)
+        rows = rows[first]
+        new = np.ones(len(rows), bool)
+        new[1:] = rows["m"][1:] != rows["m"][:-1]
+        group = np.cumsum(new) - 1
+        return rows, np.bincount(group)[group] if len(rows) else group
+
+    def _send(self, rows: np.ndarray, kind: np.ndarray | int) -> Iterator[pa.RecordBatch]:
+        kind = np.broadcast_to(np.asarray(kind, np.int32), len(rows))
+        for a in range(0, len(rows), 50_000):
+            yield _found(rows[a:a + 50_000], kind[a:a + 50_000], self.length).select(_NAMES[2:])
+
+
 def meet(sent: DataFrame, parts: int, length: int) -> DataFrame:
     """Equal segments against the earliest; what is left of shared minimisers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        at, held = None, None
         for batch in batches:
             blobs = batch.column("rows")
             done = batch.filter(blobs.is_null())
             if done.num_rows:
                 yield done.select(_NAMES[2:])
-            held += [_unpack(b) for b in blobs.drop_null().to_pylist()]
-        if not held:
-            return
-        rows = ordered(np.concatenate(held))
-        held.clear()
-        first, later = settle(rows)
-        removed = rows[later]
-        for a in range(0, len(removed), 50_000):
-            yield _found(removed[a:a + 50_000], 0, length).select(_NAMES[2:])
-        rows = rows[first]
-        new = np.concatenate(([True], rows["m"][1:] != rows["m"][:-1]))
-        size = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1]
-        rows, size = rows[size > 1], size[size > 1]
-        for a in range(0, len(rows), 50_000):
-            yield _found(rows[a:a + 50_000], np.where(size[a:a + 50_000] > HOT, 2, 1), length).select(_NAMES[2:])
+            for bucket, blob in zip(batch.column("bucket").drop_null().to_pylist(), blobs.drop_null()):
+                if bucket != at:
+                    if held:
+                        yield from held.end()
+                    at, held = bucket, Bucket(length, HOT, HELD)
+                yield from held.add(_unpack(blob.as_buffer()))
+        if held:
+            yield from held.end()
 
     # what is settled travels with the bucketless rows, spread by document
     key = F.coalesce("bucket", F.pmod(F.xxhash64("doc", "ver", "start"), F.lit(1 << 20)).cast("int"))
-    return sent.repartition(parts, key).mapInArrow(lean(run), _FOUND)
+    return sent.repartition(parts, key).sortWithinPartitions("bucket").mapInArrow(lean(run), _FOUND)
 
 
 def found_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
     parts = partitions(docs.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Sender(4 * parts, length)
+        out = Sender(4 * parts, length, PACKED)
         for batch in batches:
             ids = batch.column("doc_id").fill_null(NULL_ID).to_numpy(zero_copy_only=False)
             ver = batch.column("ver").to_numpy(zero_copy_only=False)
@@ -257,7 +312,7 @@ def single_windows(cut: DataFrame, parts: int, length: int) -> DataFrame:
     """Hot minimisers' windows, each a segment of its own with its own hash."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Sender(4 * parts, length)
+        out = Sender(4 * parts, length, PACKED)
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for doc, ver, z, found in zip(*(c.to_pylist() for c in batch.columns)):
@@ -277,24 +332,70 @@ def single_windows(cut: DataFrame, parts: int, length: int) -> DataFrame:
     return meet(cut.mapInArrow(lean(send), _SENT), parts, length).filter("kind = 0")
 
 
+def whole_minimisers(batches: Iterator[pa.RecordBatch], enough: int) -> Iterator[list[pa.RecordBatch]]:
+    """Rows in order of (m, doc, ver, start), each once, in runs of whole
+    minimisers that end as soon as they have ``enough`` bytes."""
+    held, size, last = [], 0, None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in ("m", "doc", "ver", "start")], 1)
+        if not len(keys):
+            continue
+        # a row repeated with its id and text has sent its twin's segments
+        fresh = np.ones(len(keys), bool)
+        fresh[1:] = (keys[1:] != keys[:-1]).any(1)
+        fresh[0] = last is None or bool((keys[0] != last).any())
+        m = keys[:, 0]
+        new = np.ones(len(m), bool)
+        new[1:] = m[1:] != m[:-1]
+        new[0] = last is None or m[0] != last[0]
+        last = keys[-1].copy()
+        if not fresh.all():
+            batch, new = batch.filter(pa.array(fresh)), new[fresh]
+            if not batch.num_rows:
+                continue
+        ends, a = offsets_of(batch.column("bytes")), 0
+        for b in np.flatnonzero(new).tolist():
+            if size + ends[b] - ends[a] >= enough:
+                yield held + [batch.slice(a, b - a)]
+                held, size, a = [], 0, b
+        held.append(batch.slice(a))
+        size += int(ends[-1] - ends[a])
+    if held:
+        yield held
+
+
 def sorted_shards(cut: DataFrame, parts: int, length: int) -> DataFrame:
     """Repeats among the segments that share minimisers, by suffix sorting."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            rows = []
-            for doc, ver, z, found in zip(*(c.to_pylist() for c in batch.columns)):
-                text = unpack(z)
-                rows += [(s["m"], doc, ver, s["start"], s["n"], text[s["start"]:s["start"] + s["n"] + length - 1])
-                         for s in found]
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(zip(*rows), (
-                        pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                    ["m", "doc", "ver", "start", "n", "bytes"])
+            if not batch.num_rows:
+                continue
+            found = batch.column("segments")
+            m, start, n = (found.flatten().field(f) for f in ("m", "start", "n"))
+            first, stop = start.to_pylist(), (start.to_numpy() + n.to_numpy() + length - 1).tolist()
+            edge = found.offsets.to_numpy()
+            doc, ver = (np.repeat(batch.column(c).to_numpy(), np.diff(edge)) for c in ("doc", "ver"))
+            edge = (edge - edge[0]).tolist()
+            parts, a, held = [], 0, 0
+            for i, z in enumerate(batch.column("z")):
+                text = unpack(z.as_buffer())
+                for k in range(edge[i], edge[i + 1]):
+                    parts.append(text[first[k]:stop[k]])
+                    held += len(parts[-1])
+                    if held >= CUT or k == edge[-1] - 1:
+                        b = k + 1
+                        yield pa.RecordBatch.from_arrays(
+                            [m[a:b], pa.array(doc[a:b]), pa.array(ver[a:b]), start[a:b], n[a:b],
+                             pa.array(parts, pa.binary())], ["m", "doc", "ver", "start", "n", "bytes"])
+                        parts, a, held = [], b, 0
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in whole_minimisers(batches, RUN):
+            yield from sort_run(run)
+
+    def sort_run(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, vers, starts, counts, sizes, texts = [], [], [], [], [], []
         for batch in batches:
             docs.append(batch.column("doc").to_numpy())
@@ -302,10 +403,8 @@ def sorted_shards(cut: DataFrame, parts: int, length: int) -> DataFrame:
             starts.append(batch.column("start").to_numpy())
             counts.append(batch.column("n").to_numpy().astype(np.int64))
             raw, ends = bytes_of(batch.column("bytes"))
-            texts.append(raw.copy())
+            texts.append(raw)
             sizes.append(np.diff(ends))
-        if not docs or not sum(map(len, docs)):
-            return
         doc, ver, start, n, size = map(np.concatenate, (docs, vers, starts, counts, sizes))
         text = np.concatenate(texts)
         del docs, vers, starts, counts, sizes, texts
@@ -353,7 +452,7 @@ def sorted_shards(cut: DataFrame, parts: int, length: int) -> DataFrame:
             yield _spans(*later(*(np.concatenate(x) for x in zip(*flat))), length)
 
     return (cut.mapInArrow(lean(send), "m long, doc long, ver long, start long, n int, bytes binary")
-            .repartition(parts, "m").mapInArrow(lean(sort), _FOUND))
+            .repartition(parts, "m").sortWithinPartitions("m", "doc", "ver", "start").mapInArrow(lean(sort), _FOUND))
 
 
 def _spans(doc: np.ndarray, ver: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch:

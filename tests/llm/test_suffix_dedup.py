@@ -108,3 +108,59 @@ def test_rows_without_an_id_are_documents_of_their_own(spark):
     got = [(r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest())
            for r in suffix_dedup.remove_repeats(docs).collect()]
     assert sorted(got) == want
+
+
+def edges_of_a_passage(rng, copies):
+    """Documents that share passages, each between texts of its own; some come twice."""
+    noise = lambda k: "".join(rng.choice("abcdefg hij") for _ in range(k))
+    shared = [noise(260) for _ in range(3)]
+    rows = [(i, noise(rng.randrange(90, 160)) + shared[i % 3] + noise(rng.randrange(40, 130))) for i in range(copies)]
+    return rows + [(copies + i, rows[i][1][30:400]) for i in range(0, copies, 5)]
+
+
+@pytest.mark.parametrize("hot", [5000, 8])
+def test_bounds_change_no_result(spark, monkeypatch, hot):
+    """Small bounds on what a worker holds: the same bytes go."""
+    for name, value in {"HOT": hot, "FLUSH": 300, "PACKED": 7, "HELD": 60, "RUN": 500, "CUT": 1000}.items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rows = edges_of_a_passage(random.Random(5), 60)
+    docs = spark.createDataFrame(rows + rows[:9] * 20, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest())
+           for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == brute(rows, 100)
+
+
+def test_sorted_together():
+    """A shard's text is sorted in runs of whole minimisers, whatever the shard has,
+    and a row that comes often adds nothing to it."""
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    m = np.sort(np.array([rng.randrange(500) for _ in range(6000)]))
+    rows = [(int(x), i, 0, 0, 1, bytes([97 + i % 20]) * 100) for i, x in enumerate(m) for _ in range(1 + 300 * (i == 7))]
+    table = pa.table([pa.array(list(c), t) for c, t in zip(zip(*rows), (
+        pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+        ["m", "doc", "ver", "start", "n", "bytes"])
+    runs = [pa.Table.from_batches(r) for r in suffix_dedup.whole_minimisers(iter(table.to_batches(max_chunksize=256)), 4000)]
+    most = max(np.bincount(m)) * 100
+    assert len(runs) > 50 and max(sum(map(len, r["bytes"].to_pylist())) for r in runs) < 4000 + 2 * most
+    of = [set(r["m"].to_pylist()) for r in runs]
+    assert sum(map(len, of)) == len(set.union(*of)) == len(set(m.tolist()))
+    assert [d for r in runs for d in r["doc"].to_pylist()] == list(range(6000))
+
+
+def test_bucket_holds_little():
+    """A minimiser that very many segments share doesn't stay in the worker that meets it."""
+    bucket, rng, sent, most = suffix_dedup.Bucket(100, 50, 1000), np.random.default_rng(4), [], 0
+    for at in range(0, 40_000, 200):
+        rows = np.zeros(200, suffix_dedup._ROW)
+        rows["doc"], rows["m"], rows["dig"], rows["n"] = np.arange(at, at + 200), 5, np.arange(at, at + 200), 1
+        rows["dig"][::4], rows["m"][1::4], rows["dig"][1::4] = 1, rng.integers(10, 20), 2
+        sent += bucket.add(rows)
+        most = max(most, bucket.held)
+    sent += bucket.end()
+    assert most <= 1200
+    kinds = collections.Counter(k for b in sent for k in b.column("kind").to_pylist())
+    assert 2 in kinds and sum(kinds.values()) >= 40_000 - 11
+    docs = [d for b in sent for d in b.column("doc").to_pylist()]
+    assert len(docs) == len(set(docs))
