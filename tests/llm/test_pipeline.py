@@ -1,5 +1,6 @@
 """Every stage of the pipeline against its operator, on its own input."""
 
+import hashlib
 import os
 import sys
 
@@ -75,3 +76,30 @@ def test_stages_take_edges(spark, edge_docs, no_docs):
             docs = cp.stage(stage(spark, docs, SF), "test")
             if name != "packing":
                 assert docs.columns == columns
+
+
+def test_passages_sorted_in_bounded_runs(spark, monkeypatch):
+    """However much text a shard of repeated_passages has, little of it is sorted
+    at a time; one partition holds the whole here."""
+    import random
+
+    from cellstar.llm import induced, suffix_dedup
+    from test_suffix_dedup import edges_of_a_passage
+
+    def bounded(text, length, real=induced.equal_windows):
+        assert len(text) < 8_000
+        return real(text, length)
+
+    monkeypatch.setattr(suffix_dedup, "equal_windows", bounded)
+    monkeypatch.setattr(suffix_dedup, "RUN", 1_000, raising=False)
+    rows = edges_of_a_passage(random.Random(6), 90)
+    docs = spark.createDataFrame([(d, t, "en", "src", len(t)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = {r.doc_id: r.text for r in cp.repeated_passages(spark, docs, SF).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = brute(rows, 100)
+    assert {d: hashlib.sha256(t.encode()).hexdigest() for d, t in got.items()} == {d: w[3] for d, w in want.items()}
